@@ -92,7 +92,7 @@ def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
 
     def bad(c: str) -> Column:
         t, n = listed[c], max_length(listed[c])
-        cond = _q(c).isNotNull() & F.try_cast(_q(c), spark_type(t)).isNull() if n is None \
+        cond = _q(c).isNotNull() & _q(c).try_cast(spark_type(t)).isNull() if n is None \
             else _q(c).isNotNull() & (F.length(_q(c).cast("string")) > n)
         return cond
 
@@ -104,7 +104,7 @@ def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
     problems = F.filter(problems, lambda x: x.isNotNull())
     flagged = df.withColumn("_problems", problems)
     good = flagged.filter(F.size("_problems") == 0).select(*[
-        (F.try_cast(_q(c), spark_type(listed[c])) if c in listed else _q(c)).alias(c) for c in df.columns])
+        (_q(c).try_cast(spark_type(listed[c])) if c in listed else _q(c)).alias(c) for c in df.columns])
     rejected = (flagged.filter(F.size("_problems") > 0)
                 .select(*[_q(c) for c in df.columns], F.explode("_problems").alias("_p"))
                 .select(*[_q(c) for c in df.columns], "_p.error_column", "_p.error_value", "_p.error_type"))

@@ -96,8 +96,11 @@ def ordered_group_collect(df: DataFrame, keys: Sequence[str], order: Sequence[st
     packed = F.struct(*[_q(o).alias(f"_o{i}") for i, o in enumerate(order)],
                       *[_q(c).alias(c) for c in cols])
     g = df.groupBy(*keys).agg(F.array_sort(F.collect_list(packed)).alias("_items"))
-    return g.select(*[_q(k) for k in keys],
-                    *[F.transform("_items", lambda e, c=c: e[c]).alias(c) for c in cols])
+
+    def field(name: str):
+        # one-argument lambda: ``transform`` passes the index as a second argument otherwise
+        return lambda e: e.getField(name)
+    return g.select(*[_q(k) for k in keys], *[F.transform("_items", field(c)).alias(c) for c in cols])
 
 
 def array_map_ordered(df: DataFrame, arr: str, fn: Callable[[Column], Column], out: str | None = None) -> DataFrame:

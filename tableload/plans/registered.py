@@ -1,0 +1,872 @@
+"""Queries over the driver tables, one or more per operator, each with its SQL oracle.
+
+Every query reads whole tables from ``sf_dir`` (or data Spark derives from them) and
+returns a DataFrame; the matching SQL computes the same result in another engine.
+Computed columns carry the same alias on both sides.  Outputs avoid decimals (another
+engine may hand them back as floats) and cast counts and sums to bigint.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.scalars import at_least, clamp_to_bigint
+from ..functions.sqlfuncs import register_sql_function
+from ..operators import filters, integrity, project, relops, rewrite, routing, sequences, upsert
+from ..session import scratch_path
+from ..sources import scan_declared, scan_delimited, to_text_lines
+from ..specs import (CheckSpec, ColumnSpec, ForeignKeySpec, KeySpec, Partition, PartitionLevel,
+                     PartitionScheme, SequenceSpec)
+from . import materialize as mat
+from .runlog import failure_tally
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, QueryFn] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, oracle: str | None = None):
+    def deco(fn: QueryFn) -> QueryFn:
+        QUERIES[name] = fn
+        if oracle is not None:
+            ORACLES[name] = oracle.strip()
+        return fn
+    return deco
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# =========================================================================== sources
+
+ORDER_COLUMNS = [  # listed out of order on purpose: position decides
+    ColumnSpec("total", "double precision", 4, "o_totalprice"),
+    ColumnSpec("order_id", "bigint", 1, "o_orderkey"),
+    ColumnSpec("priority", "text", 6, "o_orderpriority"),
+    ColumnSpec("customer_id", "int8", 2, "o_custkey"),
+    ColumnSpec("ordered_at", "timestamp", 5, "o_orderdate"),
+    ColumnSpec("status", "varchar(1)", 3, "o_orderstatus"),
+]
+
+
+@query("scan_declared", """
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status,
+       o_totalprice AS total, o_orderdate AS ordered_at, o_orderpriority AS priority
+FROM orders""")
+def q_scan_declared(spark, d):
+    return scan_declared(spark, "parquet", f"{d}/orders.parquet", ORDER_COLUMNS)
+
+
+SUPPLIER_COLUMNS = [ColumnSpec("s_suppkey", "bigint", 1), ColumnSpec("s_name", "text", 2),
+                    ColumnSpec("s_nationkey", "int", 3), ColumnSpec("s_acctbal", "double precision", 4)]
+
+
+@query("scan_declared_csv", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def q_scan_declared_csv(spark, d):
+    path = scratch_path(spark, "csv")
+    table(spark, d, "supplier").write.csv(path)
+    return scan_declared(spark, "csv", path, SUPPLIER_COLUMNS)
+
+
+DOC_COLUMNS = [ColumnSpec("doc_id", "bigint", 1), ColumnSpec("text", "text", 2),
+               ColumnSpec("lang", "varchar(2)", 3), ColumnSpec("source", "text", 4),
+               ColumnSpec("n_chars", "bigint", 5)]
+
+
+@query("scan_delimited", """
+SELECT doc_id, text, nullif(lang, 'en') AS lang, source, n_chars FROM documents""")
+def q_scan_delimited(spark, d):
+    docs = table(spark, d, "documents").select(
+        "doc_id", "text", F.expr("nullif(lang, 'en')").alias("lang"), "source", "n_chars")
+    path = scratch_path(spark, "copytext")
+    to_text_lines(docs).write.text(path)
+    return scan_delimited(spark, path, DOC_COLUMNS)
+
+
+# =========================================================================== materialization
+
+@query("materialize_table", "SELECT * FROM supplier")
+def q_materialize_table(spark, d):
+    path = mat.materialize_table(table(spark, d, "supplier"), scratch_path(spark, "s3"))
+    return spark.read.parquet(path)
+
+
+@query("materialize_shape", "SELECT * FROM supplier WHERE false")
+def q_materialize_shape(spark, d):
+    path = mat.materialize_table(table(spark, d, "supplier"), scratch_path(spark, "s3shape"), with_data=False)
+    return spark.read.parquet(path)
+
+
+ORDERS_SCHEME = PartitionScheme(
+    PartitionLevel("RANGE", "o_totalprice", (
+        Partition("low", ("MINVALUE", "50000")),
+        Partition("mid", ("50000", "150000")),
+        Partition("high", ("150000", "MAXVALUE")))),
+    {"low": PartitionLevel("HASH", "o_orderkey", tuple(Partition(f"low_{i}", (str(i),)) for i in range(3))),
+     "mid": PartitionLevel("LIST", "o_orderstatus", (
+         Partition("mid_f", ("'F'",)), Partition("mid_o", ("'O'",)), Partition("mid_rest", None, True)))})
+
+
+@query("materialize_partitioned", """
+SELECT part, subpart, CAST(count(*) AS BIGINT) AS rows FROM (
+  SELECT CASE WHEN o_totalprice < 50000 THEN 'low' WHEN o_totalprice < 150000 THEN 'mid' ELSE 'high' END AS part,
+         CASE WHEN o_totalprice < 50000 THEN 'low_' || CAST(o_orderkey % 3 AS VARCHAR)
+              WHEN o_totalprice < 150000 THEN CASE o_orderstatus WHEN 'F' THEN 'mid_f' WHEN 'O' THEN 'mid_o'
+                                                                 ELSE 'mid_rest' END END AS subpart
+  FROM orders) GROUP BY part, subpart""")
+def q_materialize_partitioned(spark, d):
+    path = mat.materialize_partitioned(table(spark, d, "orders"), ORDERS_SCHEME, scratch_path(spark, "s4"),
+                                       hash_fn=routing.identity_hash)
+    return (spark.read.parquet(path).groupBy("part", "subpart")
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+BAD_PART_COLUMNS = [ColumnSpec("p_partkey", "bigint", 1), ColumnSpec("p_brand", "int", 2)]
+
+
+def _many(spark, d):
+    loads = [
+        mat.TableLoad("orders", lambda: scan_declared(spark, "parquet", f"{d}/orders.parquet", ORDER_COLUMNS),
+                      scratch_path(spark, "s5-orders")),
+        mat.TableLoad("part", lambda: scan_declared(spark, "parquet", f"{d}/part.parquet", BAD_PART_COLUMNS),
+                      scratch_path(spark, "s5-part")),
+        mat.TableLoad("lineitem", lambda: table(spark, d, "lineitem"), scratch_path(spark, "s5-skip"),
+                      migrate=False),
+    ]
+    failures, written, log = mat.materialize_many(spark, loads, parallelism=2)
+    return loads, written, log
+
+
+@query("materialize_many", """
+SELECT 'orders' AS table_name, true AS loaded, CAST(count(*) AS BIGINT) AS rows FROM orders
+UNION ALL SELECT 'part', false, CAST(0 AS BIGINT)""")
+def q_materialize_many(spark, d):
+    loads, written, _ = _many(spark, d)
+    parts = []
+    for t in loads:
+        if not t.migrate:
+            continue
+        if t.name in written:
+            parts.append(spark.read.parquet(written[t.name]).agg(F.count(F.lit(1)).alias("rows"))
+                         .select(F.lit(t.name).alias("table_name"), F.lit(True).alias("loaded"), "rows"))
+        else:
+            parts.append(spark.createDataFrame([(t.name, False, 0)], "table_name string, loaded boolean, rows bigint"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("failure_tally", """
+SELECT 'materialize table' AS operation, CAST(1 AS BIGINT) AS failures
+UNION ALL SELECT 'total', CAST(1 AS BIGINT)""")
+def q_failure_tally(spark, d):
+    _, _, log = _many(spark, d)
+    return failure_tally(log)
+
+
+# =========================================================================== projections
+
+_PART_TEXT = """
+SELECT p_partkey,
+       CASE WHEN p_size > 40 THEN CAST(p_size AS VARCHAR) || 'x' ELSE CAST(p_size AS VARCHAR) END AS size_txt,
+       substr(p_brand, 7) AS brand_no, p_name AS name, p_retailprice
+FROM part"""
+
+
+def _part_text(spark, d):
+    return table(spark, d, "part").select(
+        "p_partkey",
+        F.when(F.col("p_size") > 40, F.concat(F.col("p_size").cast("string"), F.lit("x")))
+        .otherwise(F.col("p_size").cast("string")).alias("size_txt"),
+        F.expr("substr(p_brand, 7)").alias("brand_no"), F.col("p_name").alias("name"), "p_retailprice")
+
+
+PART_CASTS = [("size_txt", "int"), ("brand_no", "integer"), ("name", "varchar(10)")]
+
+
+@query("cast_quarantine", f"""
+WITH p AS ({_PART_TEXT})
+SELECT p_partkey, 'size_txt' AS error_column, size_txt AS error_value, 'int' AS error_type
+FROM p WHERE size_txt IS NOT NULL AND TRY_CAST(size_txt AS INTEGER) IS NULL
+UNION ALL
+SELECT p_partkey, 'brand_no', brand_no, 'integer' FROM p WHERE brand_no IS NOT NULL AND TRY_CAST(brand_no AS INTEGER) IS NULL
+UNION ALL
+SELECT p_partkey, 'name', name, 'varchar(10)' FROM p WHERE length(name) > 10""")
+def q_cast_quarantine(spark, d):
+    _, rejected = project.cast_checked(_part_text(spark, d), PART_CASTS, on_error="quarantine")
+    return rejected.select("p_partkey", "error_column", "error_value", "error_type")
+
+
+@query("cast_good", f"""
+WITH p AS ({_PART_TEXT})
+SELECT p_partkey, CAST(size_txt AS INTEGER) AS size_txt, CAST(brand_no AS INTEGER) AS brand_no, name, p_retailprice
+FROM p WHERE TRY_CAST(size_txt AS INTEGER) IS NOT NULL AND TRY_CAST(brand_no AS INTEGER) IS NOT NULL
+  AND length(name) <= 10""")
+def q_cast_good(spark, d):
+    good, _ = project.cast_checked(_part_text(spark, d), PART_CASTS, on_error="quarantine")
+    return good
+
+
+_BIG = ("CASE WHEN o_orderstatus = 'F' THEN -1 ELSE 1 END * CAST(o_totalprice AS DECIMAL(20,2)) "
+        "* CAST(100000000000000 AS DECIMAL(15,0))")
+_SMALL = ("CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderstatus = 'O' "
+          "THEN -CAST(o_totalprice AS DECIMAL(20,2)) ELSE CAST(o_totalprice AS DECIMAL(20,2)) END")
+
+
+@query("clamp_bigint", f"""
+SELECT o_orderkey,
+  CASE WHEN big < -9223372036854775808 THEN CAST(-9223372036854775808 AS BIGINT)
+       WHEN big > 9223372036854775807 THEN CAST(9223372036854775807 AS BIGINT)
+       ELSE CAST(round(big) AS BIGINT) END AS clamped_big,
+  CAST(round(small) AS BIGINT) AS clamped_small
+FROM (SELECT o_orderkey, {_BIG} AS big, {_SMALL} AS small FROM orders)""")
+def q_clamp_bigint(spark, d):
+    o = table(spark, d, "orders")
+    return o.select("o_orderkey", clamp_to_bigint(F.expr(_BIG)).alias("clamped_big"),
+                    clamp_to_bigint(F.expr(_SMALL)).alias("clamped_small"))
+
+
+DEFAULTS_TARGET = [ColumnSpec("order_id", "bigint", 1), ColumnSpec("priority", "text", 2),
+                   ColumnSpec("note", "text", 3, default="'N/A'"), ColumnSpec("qty", "int", 4, default="0"),
+                   ColumnSpec("flag", "boolean", 5, default="true")]
+
+
+@query("apply_defaults", """
+SELECT o_orderkey AS order_id, nullif(o_orderpriority, '1-URGENT') AS priority,
+       'N/A' AS note, 0 AS qty, true AS flag FROM orders""")
+def q_apply_defaults(spark, d):
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"),
+                                             F.expr("nullif(o_orderpriority, '1-URGENT')").alias("priority"))
+    return project.apply_column_defaults(rows, DEFAULTS_TARGET)
+
+
+@query("profile_columns", """
+WITH c AS (SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal,
+                  nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer)
+SELECT CAST(1 AS BIGINT) AS position, 'c_custkey' AS column_name, 'bigint' AS type_name, CAST(0 AS BIGINT) AS length,
+       CAST(NULL AS BIGINT) AS precision, CAST(NULL AS BIGINT) AS scale, count(*) > count(c_custkey) AS nullable,
+       'bigint' AS type_label FROM c
+UNION ALL SELECT 2, 'c_name', 'string', max(length(c_name)), NULL, NULL, count(*) > count(c_name),
+       'string(' || CAST(max(length(c_name)) AS VARCHAR) || ')' FROM c
+UNION ALL SELECT 3, 'c_nationkey', 'int', 0, NULL, NULL, count(*) > count(c_nationkey), 'int' FROM c
+UNION ALL SELECT 4, 'c_acctbal', 'decimal', 0, 12, 2, count(*) > count(c_acctbal), 'decimal(12,2)' FROM c
+UNION ALL SELECT 5, 'c_mktsegment', 'string', max(length(c_mktsegment)), NULL, NULL,
+       count(*) > count(c_mktsegment), 'string(' || CAST(max(length(c_mktsegment)) AS VARCHAR) || ')' FROM c""")
+def q_profile_columns(spark, d):
+    c = table(spark, d, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"),
+        F.expr("nullif(c_mktsegment, 'BUILDING')").alias("c_mktsegment"))
+    return project.profile_columns(c)
+
+
+@query("at_least", "SELECT p_partkey, coalesce(greatest(nullif(p_size, 1), 10), 10) AS size_floor FROM part")
+def q_at_least(spark, d):
+    p = table(spark, d, "part")
+    return p.select("p_partkey", at_least(F.expr("nullif(p_size, 1)"), 10).alias("size_floor"))
+
+
+@query("project_mapped", """
+SELECT l_orderkey AS order_key, l_linenumber AS line_no, CAST(l_quantity AS BIGINT) AS quantity,
+       l_returnflag AS return_flag FROM lineitem""")
+def q_project_mapped(spark, d):
+    cols = [ColumnSpec("return_flag", "char(1)", 4, "l_returnflag"), ColumnSpec("order_key", "bigint", 1, "l_orderkey"),
+            ColumnSpec("quantity", "bigint", 3, "l_quantity"), ColumnSpec("line_no", "integer", 2, "l_linenumber")]
+    return project.project_mapped(table(spark, d, "lineitem"), cols)
+
+
+# =========================================================================== filters
+
+@query("keep_members", """
+SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""")
+def q_keep_members(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return filters.keep_members(c, "c_mktsegment", ["BUILDING", "MACHINERY"])
+
+
+@query("keep_members_long", """
+SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT range FROM range(1, 3000, 7))""")
+def q_keep_members_long(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return filters.keep_members(o, "o_custkey", list(range(1, 3000, 7)))
+
+
+_LINE_NATIONS = """
+SELECT l.l_orderkey, l.l_linenumber, c.c_nationkey AS cust_nationkey, s.s_nationkey AS supp_nationkey
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey JOIN supplier s ON l.l_suppkey = s.s_suppkey"""
+
+
+def _line_nations(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"),
+                                            F.col("c_nationkey").alias("cust_nationkey"))
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"),
+                                            F.col("s_nationkey").alias("supp_nationkey"))
+    rel = relops.join_using(relops.join_using(relops.join_using(li, o, ["l_orderkey"]), c, ["o_custkey"]),
+                            s, ["l_suppkey"])
+    return rel.select("l_orderkey", "l_linenumber", "cust_nationkey", "supp_nationkey")
+
+
+@query("keep_both_ends", f"""
+SELECT * FROM ({_LINE_NATIONS}) WHERE cust_nationkey IN (0,1,2,3,4,5,6,7,8,9)
+  AND supp_nationkey IN (0,1,2,3,4,5,6,7,8,9)""")
+def q_keep_both_ends(spark, d):
+    return filters.keep_both_ends(_line_nations(spark, d), "cust_nationkey", "supp_nationkey", list(range(10)))
+
+
+@query("flagged_only", """
+SELECT c_custkey, c_nationkey FROM customer
+WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 2) AND c_acctbal > 0""")
+def q_flagged_only(spark, d):
+    control = table(spark, d, "nation").select("n_nationkey", (F.col("n_regionkey") != 2).alias("migrate"))
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    return filters.flagged_only(c, control, {"c_nationkey": "n_nationkey"},
+                                own_flag=F.col("c_acctbal") > 0).select("c_custkey", "c_nationkey")
+
+
+@query("partial_filter", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+def q_partial_filter(spark, d):
+    o = table(spark, d, "orders")
+    return filters.partial_filter(o, "o_orderstatus = 'F'").select("o_orderkey", "o_totalprice")
+
+
+# =========================================================================== joins
+
+@query("join_using", """
+SELECT o.o_orderkey, o.o_custkey AS custkey, c.c_name, n.n_name
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+def q_join_using(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("custkey"))
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("custkey"), "c_name",
+                                            F.col("c_nationkey").alias("nationkey"))
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("nationkey"), "n_name")
+    return relops.join_using(relops.join_using(o, c, ["custkey"]), n, ["nationkey"]).select(
+        "o_orderkey", "custkey", "c_name", "n_name")
+
+
+@query("join_two_sided", f"""
+SELECT x.l_orderkey, x.l_linenumber, cn.n_name AS cust_nation, sn.n_name AS supp_nation
+FROM ({_LINE_NATIONS}) x JOIN nation cn ON x.cust_nationkey = cn.n_nationkey
+JOIN nation sn ON x.supp_nationkey = sn.n_nationkey""")
+def q_join_two_sided(spark, d):
+    out = relops.join_two_sided(_line_nations(spark, d), table(spark, d, "nation"), "n_nationkey",
+                                "cust_nationkey", "supp_nationkey", {"n_name": "cust_nation"},
+                                {"n_name": "supp_nation"})
+    return out.select("l_orderkey", "l_linenumber", "cust_nation", "supp_nation")
+
+
+@query("explode_position", """
+SELECT p_partkey, CAST(generate_subscripts(string_split(p_name, ' '), 1) AS BIGINT) AS pos,
+       unnest(string_split(p_name, ' ')) AS word FROM part""")
+def q_explode_position(spark, d):
+    p = table(spark, d, "part").select("p_partkey", F.split("p_name", " ").alias("words"))
+    return relops.explode_with_position(p, "words", "pos", "word")
+
+
+@query("orphan_rows", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
+def q_orphan_rows(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return relops.orphans(o, ["o_orderkey"], table(spark, d, "lineitem"), ["l_orderkey"])
+
+
+@query("matched_rows", """
+SELECT c_custkey, c_name FROM customer c
+WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')""")
+def q_matched_rows(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_name")
+    o = table(spark, d, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    return relops.matched(c, ["c_custkey"], o, ["o_custkey"])
+
+
+# =========================================================================== aggregations
+
+@query("ordered_collect", """
+SELECT conv_id,
+       string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) AS turns,
+       string_agg(coalesce(nullif(role, 'system'), '~'), ',' ORDER BY turn) AS roles,
+       string_agg(text, '|' ORDER BY turn) AS texts
+FROM conversations GROUP BY conv_id""")
+def q_ordered_collect(spark, d):
+    cv = table(spark, d, "conversations").select("conv_id", "turn", F.expr("nullif(role, 'system')").alias("role"),
+                                                  "text")
+    g = relops.ordered_group_collect(cv, ["conv_id"], ["turn"], ["turn", "role", "text"])
+    return g.select("conv_id",
+                    F.array_join(F.transform("turn", lambda x: x.cast("string")), ",").alias("turns"),
+                    F.array_join("role", ",", "~").alias("roles"),
+                    F.array_join("text", "|").alias("texts"))
+
+
+@query("array_map", """
+SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x)), ' ') AS upper_name
+FROM part""")
+def q_array_map(spark, d):
+    p = table(spark, d, "part").select("p_partkey", F.split("p_name", " ").alias("words"))
+    m = relops.array_map_ordered(p, "words", F.upper)
+    return m.select("p_partkey", F.array_join("words", " ").alias("upper_name"))
+
+
+@query("distinct_rows", """
+SELECT DISTINCT o_orderstatus, nullif(o_orderpriority, '5-LOW') AS priority FROM orders""")
+def q_distinct_rows(spark, d):
+    o = table(spark, d, "orders").select("o_orderstatus", F.expr("nullif(o_orderpriority, '5-LOW')").alias("priority"))
+    return relops.distinct_rows(o)
+
+
+@query("sibling_count", """
+SELECT p_partkey, p_brand, count(*) OVER (PARTITION BY p_brand) AS siblings FROM part""")
+def q_sibling_count(spark, d):
+    return relops.sibling_count(table(spark, d, "part").select("p_partkey", "p_brand"), ["p_brand"])
+
+
+@query("ordered_listing", """
+SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority, o_totalprice FROM orders
+ORDER BY priority DESC NULLS FIRST, o_totalprice ASC NULLS LAST, o_orderkey LIMIT 100""")
+def q_ordered_listing(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.expr("nullif(o_orderpriority, '5-LOW')").alias("priority"),
+                                         "o_totalprice")
+    return relops.ordered_listing(o, [("priority", True), "o_totalprice", "o_orderkey"], limit=100)
+
+
+# =========================================================================== upserts
+
+_TARGET = "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal >= 1000"
+_SOURCE = ("SELECT c_custkey, upper(c_name) AS c_name, c_acctbal + 1 AS c_acctbal FROM customer "
+           "WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
+
+
+def _upsert_sides(spark, d):
+    c = table(spark, d, "customer")
+    target = c.filter(F.col("c_acctbal") >= 1000).select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    source = c.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
+        "c_custkey", F.upper("c_name").alias("c_name"), (F.col("c_acctbal") + 1).alias("c_acctbal"))
+    return target, source
+
+
+@query("upsert_ignore", f"""
+SELECT * FROM ({_TARGET})
+UNION ALL
+SELECT s.c_custkey, s.c_name, s.c_acctbal, 'NEW' AS c_mktsegment FROM ({_SOURCE}) s
+WHERE NOT EXISTS (SELECT 1 FROM ({_TARGET}) t WHERE t.c_custkey = s.c_custkey)""")
+def q_upsert_ignore(spark, d):
+    target, source = _upsert_sides(spark, d)
+    return upsert.upsert_ignore(target, source, ["c_custkey"], insert_defaults={"c_mktsegment": "'NEW'"})
+
+
+@query("upsert_update", f"""
+SELECT CASE WHEN t.c_custkey IS NOT NULL THEN t.c_custkey ELSE s.c_custkey END AS c_custkey,
+       CASE WHEN s.c_custkey IS NOT NULL THEN s.c_name ELSE t.c_name END AS c_name,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_acctbal ELSE s.c_acctbal END AS c_acctbal,
+       CASE WHEN t.c_custkey IS NOT NULL THEN t.c_mktsegment ELSE 'NEW' END AS c_mktsegment
+FROM ({_TARGET}) t FULL OUTER JOIN ({_SOURCE}) s ON t.c_custkey = s.c_custkey""")
+def q_upsert_update(spark, d):
+    target, source = _upsert_sides(spark, d)
+    return upsert.upsert_update(target, source, ["c_custkey"], ["c_name"],
+                                insert_defaults={"c_mktsegment": "'NEW'"})
+
+
+@query("dup_source", """
+SELECT o_custkey, CAST(count(*) AS BIGINT) AS rows FROM orders GROUP BY o_custkey HAVING count(*) > 1""")
+def q_dup_source(spark, d):
+    return upsert.duplicate_keys(table(spark, d, "orders"), ["o_custkey"])
+
+
+# =========================================================================== integrity
+
+_NN_ORDERS = ("SELECT o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus, o_totalprice, "
+              "nullif(o_orderpriority, '1-URGENT') AS o_orderpriority FROM orders")
+
+
+@query("check_not_null", f"""
+WITH o AS ({_NN_ORDERS})
+SELECT 'o_orderkey' AS column_name, count(*) - count(o_orderkey) AS nulls FROM o
+UNION ALL SELECT 'o_orderstatus', count(*) - count(o_orderstatus) FROM o
+UNION ALL SELECT 'o_totalprice', count(*) - count(o_totalprice) FROM o
+UNION ALL SELECT 'o_orderpriority', count(*) - count(o_orderpriority) FROM o""")
+def q_check_not_null(spark, d):
+    o = spark.read.parquet(f"{d}/orders.parquet").selectExpr(
+        "o_orderkey", "nullif(o_orderstatus, 'P') AS o_orderstatus", "o_totalprice",
+        "nullif(o_orderpriority, '1-URGENT') AS o_orderpriority")
+    return integrity.not_null_report(o, ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
+
+
+@query("check_pk", """
+SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS rows,
+       CASE WHEN l_orderkey IS NULL OR l_linenumber IS NULL THEN 'null key' ELSE 'duplicate' END AS reason
+FROM lineitem GROUP BY l_orderkey, l_linenumber
+HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""")
+def q_check_pk(spark, d):
+    return integrity.primary_key_violations(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+_EVENTS_NULLED = "SELECT user_id, nullif(event_type, 'error') AS event_type, value FROM events"
+
+
+def _events_nulled(spark, d):
+    return table(spark, d, "events").selectExpr("user_id", "nullif(event_type, 'error') AS event_type", "value")
+
+
+@query("check_unique", f"""
+SELECT user_id, event_type, CAST(count(*) AS BIGINT) AS rows FROM ({_EVENTS_NULLED})
+WHERE user_id IS NOT NULL AND event_type IS NOT NULL GROUP BY user_id, event_type HAVING count(*) > 1""")
+def q_check_unique(spark, d):
+    return integrity.unique_violations(_events_nulled(spark, d), ["user_id", "event_type"])
+
+
+@query("check_unique_partial", f"""
+SELECT user_id, upper(event_type) AS etype, CAST(count(*) AS BIGINT) AS rows FROM ({_EVENTS_NULLED})
+WHERE value > 50 AND user_id IS NOT NULL AND upper(event_type) IS NOT NULL
+GROUP BY user_id, upper(event_type) HAVING count(*) > 1""")
+def q_check_unique_partial(spark, d):
+    return integrity.unique_violations(_events_nulled(spark, d), {"user_id": "user_id", "etype": "upper(event_type)"},
+                                       where="value > 50")
+
+
+@query("check_fk", """
+SELECT o_orderkey, CAST(count(*) AS BIGINT) AS rows FROM orders o
+WHERE o_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+GROUP BY o_orderkey""")
+def q_check_fk(spark, d):
+    return integrity.foreign_key_violations(table(spark, d, "orders"), ["o_orderkey"],
+                                            table(spark, d, "lineitem"), ["l_orderkey"])
+
+
+_BROKEN_KEY = ("CASE WHEN l_discount = 0 THEN NULL WHEN l_quantity >= 50 THEN -l_orderkey "
+               "ELSE l_orderkey END")
+
+
+@query("check_fk_nulls", f"""
+SELECT child_key, CAST(count(*) AS BIGINT) AS rows FROM (SELECT {_BROKEN_KEY} AS child_key FROM lineitem) c
+WHERE child_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = c.child_key)
+GROUP BY child_key""")
+def q_check_fk_nulls(spark, d):
+    child = table(spark, d, "lineitem").select(F.expr(_BROKEN_KEY).alias("child_key"))
+    return integrity.foreign_key_violations(child, ["child_key"], table(spark, d, "orders"), ["o_orderkey"])
+
+
+@query("check_condition", """
+SELECT c_custkey, c_acctbal, c_mktsegment FROM (
+  SELECT c_custkey, c_acctbal, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer)
+WHERE NOT (c_acctbal >= 0 OR c_mktsegment = 'MACHINERY')""")
+def q_check_condition(spark, d):
+    c = table(spark, d, "customer").selectExpr("c_custkey", "c_acctbal",
+                                               "nullif(c_mktsegment, 'BUILDING') AS c_mktsegment")
+    return integrity.check_violations(c, "c_acctbal >= 0 OR c_mktsegment = 'MACHINERY'")
+
+
+_DELETED = "SELECT c_custkey FROM customer WHERE c_mktsegment = 'AUTOMOBILE'"
+
+
+def _deleted(spark, d):
+    return table(spark, d, "customer").filter(F.col("c_mktsegment") == "AUTOMOBILE").select("c_custkey")
+
+
+@query("delete_cascade", f"""
+SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN ({_DELETED})""")
+def q_delete_cascade(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return integrity.apply_delete_rule(o, ["o_custkey"], _deleted(spark, d), ["c_custkey"], "CASCADE")
+
+
+@query("delete_set_null", f"""
+SELECT o_orderkey, CASE WHEN o_custkey IN ({_DELETED}) THEN NULL ELSE o_custkey END AS o_custkey FROM orders""")
+def q_delete_set_null(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return integrity.apply_delete_rule(o, ["o_custkey"], _deleted(spark, d), ["c_custkey"], "SET NULL")
+
+
+@query("delete_set_default", f"""
+SELECT o_orderkey, CASE WHEN o_custkey IN ({_DELETED}) THEN CAST(0 AS BIGINT) ELSE o_custkey END AS o_custkey
+FROM orders""")
+def q_delete_set_default(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return integrity.apply_delete_rule(o, ["o_custkey"], _deleted(spark, d), ["c_custkey"], "SET DEFAULT",
+                                       defaults={"o_custkey": "0"})
+
+
+@query("delete_blocked", f"""
+SELECT o_custkey, CAST(count(*) AS BIGINT) AS children FROM orders WHERE o_custkey IN ({_DELETED})
+GROUP BY o_custkey""")
+def q_delete_blocked(spark, d):
+    return integrity.delete_blocked(table(spark, d, "orders"), ["o_custkey"], _deleted(spark, d), ["c_custkey"])
+
+
+def report_rules(spark, d) -> list[integrity.TableRules]:
+    orders, lineitem = table(spark, d, "orders"), table(spark, d, "lineitem")
+    customer, part = table(spark, d, "customer"), table(spark, d, "part")
+    return [
+        integrity.TableRules(
+            "orders", orders, not_null=("o_orderpriority",),
+            keys=(KeySpec("orders_pk", ("o_orderkey",), primary=True),),
+            foreign_keys=(ForeignKeySpec("orders_cust_fk", ("o_custkey",), "customer", ("c_custkey",)),),
+            checks=(CheckSpec("orders_total_ck", "o_totalprice > 100000"),
+                    CheckSpec("orders_status_nn", "o_orderstatus IS NOT NULL"),
+                    CheckSpec("orders_ignored_ck", "o_totalprice < 0", migrate=False)),
+            parents={"customer": customer}),
+        integrity.TableRules(
+            "lineitem", lineitem,
+            keys=(KeySpec("lineitem_pk", ("l_orderkey", "l_linenumber"), primary=True),
+                  KeySpec("lineitem_r_uk", ("l_orderkey", "l_linenumber"), where="l_returnflag = 'R'",
+                          deferrable=True, deferred=True)),
+            foreign_keys=(ForeignKeySpec("lineitem_order_fk", ("l_orderkey",), "orders", ("o_orderkey",)),
+                          ForeignKeySpec("lineitem_part_fk", ("l_partkey",), "part", ("p_partkey",),
+                                         deferrable=True, deferred=True)),
+            checks=(CheckSpec("lineitem_discount_ck", "l_discount <= 0.05"),),
+            parents={"orders": orders, "part": part}),
+        integrity.TableRules(
+            "customer", customer, keys=(KeySpec("customer_name_uk", ("c_name",)),),
+            checks=(CheckSpec("customer_bal_ck", "c_acctbal >= 0"),)),
+    ]
+
+
+@query("constraint_report", """
+SELECT 'orders' AS table_name, 'orders_pk' AS constraint_name, 'PRIMARY KEY' AS constraint_type,
+       'immediate' AS timing, CAST(coalesce(sum(n), 0) AS BIGINT) AS violations, CAST(NULL AS VARCHAR) AS error
+FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1 OR o_orderkey IS NULL)
+UNION ALL SELECT 'orders', 'orders_cust_fk', 'FOREIGN KEY', 'immediate',
+       (SELECT count(*) FROM orders o WHERE o_custkey IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)), NULL
+UNION ALL SELECT 'orders', 'o_orderpriority_not_null', 'NOT NULL', 'immediate',
+       (SELECT count(*) - count(o_orderpriority) FROM orders), NULL
+UNION ALL SELECT 'orders', 'o_orderstatus_not_null', 'NOT NULL', 'immediate',
+       (SELECT count(*) - count(o_orderstatus) FROM orders), NULL
+UNION ALL SELECT 'orders', 'orders_total_ck', 'CHECK', 'immediate',
+       (SELECT count(*) FROM orders WHERE NOT (o_totalprice > 100000)), NULL
+UNION ALL SELECT 'lineitem', 'lineitem_pk', 'PRIMARY KEY', 'immediate',
+       (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber
+        HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL)), NULL
+UNION ALL SELECT 'lineitem', 'lineitem_r_uk', 'UNIQUE', 'deferred',
+       (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM lineitem WHERE l_returnflag = 'R'
+        AND l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber
+        HAVING count(*) > 1)), NULL
+UNION ALL SELECT 'lineitem', 'lineitem_order_fk', 'FOREIGN KEY', 'immediate',
+       (SELECT count(*) FROM lineitem l WHERE l_orderkey IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)), NULL
+UNION ALL SELECT 'lineitem', 'lineitem_part_fk', 'FOREIGN KEY', 'deferred',
+       (SELECT count(*) FROM lineitem l WHERE l_partkey IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey)), NULL
+UNION ALL SELECT 'lineitem', 'lineitem_discount_ck', 'CHECK', 'immediate',
+       (SELECT count(*) FROM lineitem WHERE NOT (l_discount <= 0.05)), NULL
+UNION ALL SELECT 'customer', 'customer_name_uk', 'UNIQUE', 'immediate',
+       (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM customer WHERE c_name IS NOT NULL
+        GROUP BY c_name HAVING count(*) > 1)), NULL
+UNION ALL SELECT 'customer', 'customer_bal_ck', 'CHECK', 'immediate',
+       (SELECT count(*) FROM customer WHERE NOT (c_acctbal >= 0)), NULL""")
+def q_constraint_report(spark, d):
+    return integrity.constraint_report(spark, report_rules(spark, d), mode="all")
+
+
+# =========================================================================== routing
+
+PRIORITY_LIST = PartitionLevel("LIST", "prio", (
+    Partition("p_hi", ("'1-URGENT'", "'2-HIGH'")), Partition("p_mid", ("'3-MEDIUM'",)),
+    Partition("p_low", ("NULL", "'4-NOT SPECIFIED'")), Partition("p_other", None, True)))
+
+
+@query("route_list", """
+SELECT o_orderkey, CASE WHEN prio IN ('1-URGENT', '2-HIGH') THEN 'p_hi' WHEN prio = '3-MEDIUM' THEN 'p_mid'
+                        WHEN prio IS NULL OR prio = '4-NOT SPECIFIED' THEN 'p_low' ELSE 'p_other' END AS part
+FROM (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS prio FROM orders)""")
+def q_route_list(spark, d):
+    o = table(spark, d, "orders").selectExpr("o_orderkey", "nullif(o_orderpriority, '5-LOW') AS prio")
+    return routing.route(o, PRIORITY_LIST).select("o_orderkey", "part")
+
+
+PRICE_RANGES = PartitionLevel("RANGE", "o_totalprice", (
+    Partition("r_low", ("MINVALUE", "50000")), Partition("r_mid", ("50000", "150000")),
+    Partition("r_high", ("150000", "300000")), Partition("r_rest", None, True)))
+
+
+@query("route_range", """
+SELECT o_orderkey, CASE WHEN o_totalprice < 50000 THEN 'r_low' WHEN o_totalprice < 150000 THEN 'r_mid'
+                        WHEN o_totalprice < 300000 THEN 'r_high' ELSE 'r_rest' END AS part FROM orders""")
+def q_route_range(spark, d):
+    return routing.route(table(spark, d, "orders"), PRICE_RANGES).select("o_orderkey", "part")
+
+
+HASH4 = PartitionLevel("HASH", "o_orderkey", tuple(Partition(f"h_{i}", (str(i),)) for i in range(4)))
+
+
+@query("route_hash", "SELECT o_orderkey, 'h_' || CAST(o_orderkey % 4 AS VARCHAR) AS part FROM orders")
+def q_route_hash(spark, d):
+    return routing.route(table(spark, d, "orders"), HASH4, hash_fn=routing.identity_hash).select("o_orderkey", "part")
+
+
+TWO_LEVEL = PartitionScheme(
+    PartitionLevel("RANGE", "o_orderstatus, o_totalprice", (
+        Partition("a", ("MINVALUE", "('F', 100000)")),
+        Partition("b", ("('F', 100000)", "('O', 0)")),
+        Partition("c", ("('O', 0)", "MAXVALUE")))),
+    {"a": PartitionLevel("HASH", "o_orderkey", (Partition("a_0", ("0",)), Partition("a_1", ("1",)))),
+     "b": PartitionLevel("LIST", "o_orderpriority", (Partition("b_urgent", ("'1-URGENT'",)),
+                                                     Partition("b_other", None, True)))})
+
+_TWO_LEVEL_SQL = """
+SELECT o_orderkey,
+  CASE WHEN o_orderstatus < 'F' OR (o_orderstatus = 'F' AND o_totalprice < 100000) THEN 'a'
+       WHEN o_orderstatus < 'O' OR (o_orderstatus = 'O' AND o_totalprice < 0) THEN 'b' ELSE 'c' END AS part,
+  CASE WHEN o_orderstatus < 'F' OR (o_orderstatus = 'F' AND o_totalprice < 100000)
+         THEN 'a_' || CAST(o_orderkey % 2 AS VARCHAR)
+       WHEN o_orderstatus < 'O' OR (o_orderstatus = 'O' AND o_totalprice < 0)
+         THEN CASE WHEN o_orderpriority = '1-URGENT' THEN 'b_urgent' ELSE 'b_other' END END AS subpart
+FROM orders"""
+
+
+@query("route_two_level", _TWO_LEVEL_SQL)
+def q_route_two_level(spark, d):
+    return routing.route(table(spark, d, "orders"), TWO_LEVEL, hash_fn=routing.identity_hash).select(
+        "o_orderkey", "part", "subpart")
+
+
+GAPPED = PartitionLevel("RANGE", "o_totalprice", (
+    Partition("g_low", ("MINVALUE", "50000")), Partition("g_high", ("100000", "MAXVALUE"))))
+
+
+@query("route_reject", """
+SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 50000 AND o_totalprice < 100000""")
+def q_route_reject(spark, d):
+    _, rejected = routing.route_or_reject(table(spark, d, "orders"), GAPPED)
+    return rejected.select("o_orderkey", "o_totalprice")
+
+
+COUNTED = PartitionScheme(
+    PartitionLevel("RANGE", "o_totalprice", (
+        Partition("k_low", ("MINVALUE", "100000")), Partition("k_high", ("100000", "600000")),
+        Partition("k_huge", ("600000", "MAXVALUE")))),
+    {"k_low": PartitionLevel("HASH", "o_orderkey", tuple(Partition(f"k_low_{i}", (str(i),)) for i in range(3)))})
+
+
+@query("partition_counts", """
+WITH leaves(part, subpart) AS (VALUES ('k_low', 'k_low_0'), ('k_low', 'k_low_1'), ('k_low', 'k_low_2'),
+                                      ('k_high', NULL), ('k_huge', NULL)),
+r AS (SELECT CASE WHEN o_totalprice < 100000 THEN 'k_low' WHEN o_totalprice < 600000 THEN 'k_high'
+                  ELSE 'k_huge' END AS part,
+             CASE WHEN o_totalprice < 100000 THEN 'k_low_' || CAST(o_orderkey % 3 AS VARCHAR) END AS subpart
+      FROM orders)
+SELECT l.part, l.subpart, CAST(count(r.part) AS BIGINT) AS rows
+FROM leaves l LEFT JOIN r ON l.part = r.part AND l.subpart IS NOT DISTINCT FROM r.subpart
+GROUP BY l.part, l.subpart""")
+def q_partition_counts(spark, d):
+    routed = routing.route(table(spark, d, "orders"), COUNTED, hash_fn=routing.identity_hash)
+    return routing.partition_counts(routed, COUNTED)
+
+
+# =========================================================================== layout
+
+@query("clustered_copy", "SELECT * FROM lineitem WHERE l_returnflag = 'R'")
+def q_clustered_copy(spark, d):
+    path = mat.clustered_copy(table(spark, d, "lineitem"), [("l_shipdate", True), "l_orderkey"],
+                              scratch_path(spark, "x1"), where="l_returnflag = 'R'")
+    return spark.read.parquet(path)
+
+
+# =========================================================================== sequences
+
+@query("assign_sequence", """
+SELECT c_custkey, 1000 + row_number() OVER (ORDER BY c_custkey) AS id FROM customer""")
+def q_assign_sequence(spark, d):
+    seq = SequenceSpec("cust_seq", increment_by=1, last_value=1000)
+    return sequences.assign_sequence(table(spark, d, "customer").select("c_custkey"), ["c_custkey"], seq)
+
+
+@query("assign_sequence_cycle", """
+SELECT o_orderkey, CASE WHEN rn < 1 THEN 97 + rn * 7 ELSE 1 + ((rn - 1) % 15) * 7 END AS id
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders)""")
+def q_assign_sequence_cycle(spark, d):
+    seq = SequenceSpec("cyc", increment_by=7, last_value=90, min_value=1, max_value=100, cyclical=True)
+    return sequences.assign_sequence(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], seq)
+
+
+@query("assign_sequence_desc", """
+SELECT o_orderkey, CASE WHEN rn < 333 THEN -4 - rn * 3 ELSE -1 - ((rn - 333) % 334) * 3 END AS id
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) - 1 AS rn FROM orders)""")
+def q_assign_sequence_desc(spark, d):
+    seq = SequenceSpec("desc", increment_by=-3, last_value=-1, min_value=-1000, max_value=-1, cyclical=True)
+    return sequences.assign_sequence(table(spark, d, "orders").select("o_orderkey", "o_orderdate"),
+                                     [("o_orderdate", True), "o_orderkey"], seq).select("o_orderkey", "id")
+
+
+# =========================================================================== views, functions, triggers
+
+@query("define_view", """
+SELECT l_orderkey AS order_key, l_linenumber AS line, l_quantity AS qty FROM lineitem WHERE l_returnflag = 'A'""")
+def q_define_view(spark, d):
+    table(spark, d, "lineitem").createOrReplaceTempView("tl_lineitem")
+    return rewrite.define_view(
+        spark, "tl_lineitem_v", "SELECT l_orderkey, l_linenumber, l_quantity FROM tl_lineitem WHERE l_returnflag = 'A'",
+        ["order_key", "line", "qty"])
+
+
+@query("sql_function", """
+SELECT l_orderkey, l_linenumber, (CAST(l_quantity AS BIGINT) * -7) // 3 AS v FROM lineitem""")
+def q_sql_function(spark, d):
+    register_sql_function(spark, "tl_multiply", [("a", "bigint"), ("b", "bigint")], "bigint", "a * b")
+    register_sql_function(spark, "tl_divide", [("a", "bigint"), ("b", "bigint")], "bigint", "a div b")
+    table(spark, d, "lineitem").createOrReplaceTempView("tl_lineitem")
+    return spark.sql("SELECT l_orderkey, l_linenumber, "
+                     "tl_divide(tl_multiply(CAST(l_quantity AS BIGINT), -7), 3) AS v FROM tl_lineitem")
+
+
+_CHANGES = """
+SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'INSERT' WHEN 'O' THEN 'UPDATE' ELSE 'DELETE' END AS op,
+       o_totalprice, o_orderpriority, 'none' AS tag FROM orders"""
+
+
+def _changes(spark, d):
+    return table(spark, d, "orders").selectExpr(
+        "o_orderkey", "CASE o_orderstatus WHEN 'F' THEN 'INSERT' WHEN 'O' THEN 'UPDATE' ELSE 'DELETE' END AS op",
+        "o_totalprice", "o_orderpriority", "'none' AS tag")
+
+
+@query("before_row", f"""
+SELECT o_orderkey, op,
+       CASE WHEN act THEN 'BIG-' || o_orderpriority ELSE o_orderpriority END AS o_orderpriority,
+       CASE WHEN act THEN substr('BIG-' || o_orderpriority, 1, 5) ELSE tag END AS tag
+FROM (SELECT *, op IN ('INSERT', 'UPDATE') AND coalesce(o_totalprice > 100000, false) AS act FROM ({_CHANGES}))
+WHERE NOT (act AND coalesce('BIG-' || o_orderpriority = 'BIG-5-LOW', false))""")
+def q_before_row(spark, d):
+    out = rewrite.before_row(_changes(spark, d), ["INSERT", "UPDATE"],
+                             [("o_orderpriority", "concat('BIG-', o_orderpriority)"),
+                              ("tag", "substr(o_orderpriority, 1, 5)")],
+                             when="o_totalprice > 100000", drop_if="o_orderpriority = 'BIG-5-LOW'")
+    return out.select("o_orderkey", "op", "o_orderpriority", "tag")
+
+
+@query("instead_of_insert", """
+SELECT s_suppkey * 10 AS c1 FROM supplier
+UNION ALL SELECT ((CAST(l_quantity AS BIGINT) * 10) // 10) * 10 FROM lineitem""")
+def q_instead_of_insert(spark, d):
+    base = table(spark, d, "supplier").select(F.col("s_suppkey").alias("c1"))
+    inserted = table(spark, d, "lineitem").select((F.col("l_quantity").cast("bigint") * 10).alias("c1"))
+    new_base = rewrite.instead_of_insert(inserted, {"c1": "c1 div 10"}, base)
+    new_base.createOrReplaceTempView("tl_t1")
+    return rewrite.define_view(spark, "tl_v1", "SELECT c1 * 10 FROM tl_t1", ["c1"])
+
+
+@query("after_statement", """
+WITH ch AS (SELECT strftime(ts, '%Y-%m-%d %H') AS batch,
+                   CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'purchase' THEN 'UPDATE' ELSE 'OTHER' END AS op,
+                   CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+b AS (SELECT DISTINCT batch FROM ch),
+s AS (SELECT b.batch, e.op FROM b CROSS JOIN (VALUES ('INSERT'), ('UPDATE')) e(op)),
+a AS (SELECT batch, op, count(*) AS n_rows, sum(cents) AS cents FROM ch WHERE op IN ('INSERT', 'UPDATE')
+      GROUP BY batch, op)
+SELECT s.batch, s.op, CAST(coalesce(a.n_rows, 0) AS BIGINT) AS n_rows, CAST(coalesce(a.cents, 0) AS BIGINT) AS cents
+FROM s LEFT JOIN a ON s.batch = a.batch AND s.op = a.op""")
+def q_after_statement(spark, d):
+    ch = table(spark, d, "events").selectExpr(
+        "date_format(ts, 'yyyy-MM-dd HH') AS batch",
+        "CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'purchase' THEN 'UPDATE' ELSE 'OTHER' END AS op",
+        "CAST(round(value * 100) AS BIGINT) AS cents")
+    batches = ch.select("batch").distinct()
+    out = rewrite.after_statement(ch, batches, ["INSERT", "UPDATE"],
+                                  {"n_rows": F.count(F.lit(1)), "cents": F.sum("cents")})
+    return out.select("batch", "op", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
+                      F.coalesce("cents", F.lit(0)).cast("bigint").alias("cents"))
