@@ -20,9 +20,16 @@ def define_view(spark: SparkSession, name: str, query: str | DataFrame,
                 columns: Sequence[str] | None = None) -> DataFrame:
     """V1: register ``query`` as temp view ``name`` with columns renamed by position.
 
-    A column list of the wrong length raises (as ``CREATE VIEW v (a, b)`` does).
+    A SQL definition is stored as text and resolved again on every use, so the view
+    follows later changes of the tables and views it names (as a database view does).
+    A DataFrame definition is fixed to that DataFrame.  A column list of the wrong
+    length raises (as ``CREATE VIEW v (a, b)`` does).
     """
-    df = spark.sql(query) if isinstance(query, str) else query
+    if isinstance(query, str):
+        cols = f" ({', '.join(f'`{c}`' for c in columns)})" if columns is not None else ""
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{name}`{cols} AS {query}")
+        return spark.table(name)
+    df = query
     if columns is not None:
         if len(columns) != len(df.columns):
             raise ValueError(f"view {name}: {len(columns)} column names for {len(df.columns)} columns")
