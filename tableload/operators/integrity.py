@@ -99,14 +99,19 @@ def foreign_key_violations(child: DataFrame, child_cols: Sequence[str], parent:
 
     MATCH SIMPLE: a child row with any NULL key part is exempt.  Columns are paired by
     position.  The child side is aggregated to distinct keys first (partial aggregation,
-    so a hot key shrinks to one row per task), then anti-joined to the parent keys;
-    AQE broadcasts whichever side turns out small.
+    so a hot key shrinks to one row per task before anything is shuffled), then looked
+    up in the parent keys.  The lookup is a left outer join keeping the misses: an anti
+    join here would be pushed below the aggregation by the optimizer, shuffling every
+    child row again.  The aggregated side is already partitioned on the keys, so the
+    join adds no second shuffle of it; AQE broadcasts the parent keys when they are
+    measured small.
     """
     keys = (child.filter(_all_set(child_cols)).groupBy(*[_q(c) for c in child_cols])
             .agg(F.count(F.lit(1)).alias("rows")))
     p = parent.select(*[_q(c).alias(f"_p{i}") for i, c in enumerate(parent_cols)])
     cond = [_q(c) == F.col(f"_p{i}") for i, c in enumerate(child_cols)]
-    return keys.join(p, cond, "left_anti")
+    hits = keys.join(p, cond, "left")
+    return hits.filter(F.col("_p0").isNull()).select(*[_q(c) for c in child_cols], "rows")
 
 
 # --------------------------------------------------------------------------- I5
