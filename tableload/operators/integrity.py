@@ -10,7 +10,8 @@ one shuffled row per task, not a third of the table in one task.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -194,7 +195,8 @@ def _timing(deferrable: bool, deferred: bool) -> str:
     return "deferred" if deferrable and deferred else "immediate"
 
 
-def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: str = "all") -> DataFrame:
+def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: str = "all",
+                      parallelism: int = 1) -> DataFrame:
     """Run many constraints; one report row each.
 
     Order: keys, foreign keys, then not-null rules and checks.  A check whose condition
@@ -204,41 +206,37 @@ def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: s
     immediate; deferrable-but-not-deferred keys are immediate) or ``"all"``.  A failing
     constraint (bad expression, missing parent, runtime error) becomes a row with its
     ``error`` and does not stop the others.  Each constraint's result is one small row.
+    ``parallelism > 1`` submits the independent jobs from driver threads so that Spark
+    runs them side by side.
     """
     if mode not in ("all", "immediate", "deferred"):
         raise ValueError("mode must be all, immediate or deferred")
     want = (lambda t: True) if mode == "all" else (lambda t: t == mode)
-    rows: list[tuple] = []
+    # each job: (table, [(name, kind, timing)], fn returning one count per listed item)
+    jobs: list[tuple[str, list[tuple[str, str, str]], Callable[[], list]]] = []
 
-    def run(table: str, name: str, kind: str, timing: str, count_fn):
-        if not want(timing):
-            return
-        try:
-            rows.append((table, name, kind, timing, int(count_fn()), None))
-        except Exception as exc:  # noqa: BLE001 - one failure must not stop the report
-            rows.append((table, name, kind, timing, None, str(exc).strip().splitlines()[0][:500]))
+    def total(df: DataFrame) -> Callable[[], list]:
+        return lambda: [df.agg(F.sum("rows")).first()[0] or 0]
 
     for t in tables:
-        df = t.df
         for k in t.keys:
-            if not k.migrate:
-                continue
             timing = _timing(k.deferrable, k.deferred)
+            if not k.migrate or not want(timing):
+                continue
             if k.primary:
-                run(t.name, k.name, "PRIMARY KEY", timing,
-                    lambda k=k: primary_key_violations(df, k.columns).agg(F.sum("rows")).first()[0] or 0)
+                fn = (lambda df=t.df, k=k: total(primary_key_violations(df, k.columns))())
             else:
-                run(t.name, k.name, "UNIQUE", timing,
-                    lambda k=k: unique_violations(df, list(k.columns), k.where).agg(F.sum("rows")).first()[0] or 0)
+                fn = (lambda df=t.df, k=k: total(unique_violations(df, list(k.columns), k.where))())
+            jobs.append((t.name, [(k.name, "PRIMARY KEY" if k.primary else "UNIQUE", timing)], fn))
         for fk in t.foreign_keys:
-            if not fk.migrate:
+            timing = _timing(fk.deferrable, fk.deferred)
+            if not fk.migrate or not want(timing):
                 continue
 
-            def fk_count(fk=fk):
-                parent = t.parents[fk.parent]
-                return foreign_key_violations(df, fk.columns, parent, fk.parent_columns).agg(
-                    F.sum("rows")).first()[0] or 0
-            run(t.name, fk.name, "FOREIGN KEY", _timing(fk.deferrable, fk.deferred), fk_count)
+            def fk_count(df=t.df, parents=t.parents, fk=fk):
+                parent = parents[fk.parent]
+                return total(foreign_key_violations(df, fk.columns, parent, fk.parent_columns))()
+            jobs.append((t.name, [(fk.name, "FOREIGN KEY", timing)], fk_count))
 
         # not-null rules and checks: one scan for the whole table
         nn = list(t.not_null)
@@ -253,13 +251,46 @@ def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: s
                 checks.append(ck)
         if not want("immediate") or not (nn or checks):
             continue
-        items = [(f"{c}_not_null", "NOT NULL", F.count_if(_q(c).isNull())) for c in dict.fromkeys(nn)]
-        items += [(ck.name, "CHECK", F.count_if(~F.expr(ck.condition))) for ck in checks]
+        items = [(f"{c}_not_null", "NOT NULL", c, None) for c in dict.fromkeys(nn)]
+        items += [(ck.name, "CHECK", None, ck.condition) for ck in checks]
+
+        def scan(df=t.df, items=items):
+            def count_expr(c, cond):
+                return F.count_if(_q(c).isNull()) if c is not None else F.count_if(~F.expr(cond))
+            try:
+                exprs = [count_expr(c, cond).alias(f"v{i}") for i, (_, _, c, cond) in enumerate(items)]
+                return list(df.agg(*exprs).first())
+            except Exception:  # noqa: BLE001 - isolate the failing item(s) with one scan each
+                out = []
+                for _, _, c, cond in items:
+                    try:
+                        out.append(df.agg(count_expr(c, cond)).first()[0])
+                    except Exception as exc:  # noqa: BLE001
+                        out.append(exc)
+                return out
+        jobs.append((t.name, [(n, kind, "immediate") for n, kind, _, _ in items], scan))
+
+    def run(job) -> list[tuple]:
+        table, meta, fn = job
         try:
-            values = df.agg(*[e.alias(f"v{i}") for i, (_, _, e) in enumerate(items)]).first()
-            for i, (name, kind, _) in enumerate(items):
-                rows.append((t.name, name, kind, "immediate", int(values[f"v{i}"]), None))
-        except Exception:  # noqa: BLE001 - isolate the failing item(s)
-            for name, kind, e in items:
-                run(t.name, name, kind, "immediate", lambda e=e: df.agg(e).first()[0])
+            values = fn()
+        except Exception as exc:  # noqa: BLE001 - one failure must not stop the report
+            values = [exc] * len(meta)
+        return [(table, n, kind, timing, None, _first_line(v)) if isinstance(v, Exception)
+                else (table, n, kind, timing, int(v), None)
+                for (n, kind, timing), v in zip(meta, values)]
+
+    rows = [r for res in _map(run, jobs, parallelism) for r in res]
     return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
+def _first_line(exc: Exception) -> str:
+    lines = str(exc).strip().splitlines()
+    return (lines[0] if lines else exc.__class__.__name__)[:500]
+
+
+def _map(fn, items: list, parallelism: int) -> list:
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(fn, items))

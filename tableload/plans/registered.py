@@ -660,7 +660,7 @@ UNION ALL SELECT 'customer', 'customer_name_uk', 'UNIQUE', 'immediate',
 UNION ALL SELECT 'customer', 'customer_bal_ck', 'CHECK', 'immediate',
        (SELECT count(*) FROM customer WHERE NOT (c_acctbal >= 0)), NULL""")
 def q_constraint_report(spark, d):
-    return integrity.constraint_report(spark, report_rules(spark, d), mode="all")
+    return integrity.constraint_report(spark, report_rules(spark, d), mode="all", parallelism=4)
 
 
 # =========================================================================== routing
