@@ -397,17 +397,20 @@ def test_delete_rules(spark):
 def test_constraint_report_modes_and_isolation(spark):
     df = spark.createDataFrame([(1, 5), (1, None)], "k int, v int")
     rules = [integrity.TableRules(
-        "t", df, keys=(KeySpec("pk", ("k",), primary=True), KeySpec("uk_def", ("v",), deferrable=True, deferred=True),
+        "t", df, keys=(KeySpec("pk", ("k",), primary=True), KeySpec("pk_bad", ("no_such",), primary=True),
+                       KeySpec("uk_def", ("v",), deferrable=True, deferred=True),
                        KeySpec("uk_imm", ("v",), deferrable=True, deferred=False)),
         foreign_keys=(ForeignKeySpec("fk_missing_parent", ("k",), "nowhere", ("x",)),),
         checks=(CheckSpec("bad_expr", "no_such_column > 0"), CheckSpec("v_pos", "v > 0"),
                 CheckSpec("nn", "v IS NOT NULL")))]
     rep = {r["constraint_name"]: r for r in integrity.constraint_report(spark, rules).collect()}
-    assert rep["pk"]["violations"] == 2
+    assert rep["pk"]["violations"] == 2 and rep["pk_bad"]["error"] is not None
     assert rep["uk_def"]["timing"] == "deferred" and rep["uk_imm"]["timing"] == "immediate"
     assert rep["fk_missing_parent"]["error"] is not None
     assert rep["bad_expr"]["error"] is not None and rep["v_pos"]["violations"] == 0
     assert rep["v_not_null"]["violations"] == 1 and "nn" not in rep
+    assert rows(integrity.constraint_report(spark, rules, parallelism=4)) == \
+        rows(integrity.constraint_report(spark, rules))
     deferred = integrity.constraint_report(spark, rules, mode="deferred").collect()
     assert [r["constraint_name"] for r in deferred] == ["uk_def"]
 
