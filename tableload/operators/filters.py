@@ -28,8 +28,8 @@ def keep_members(df: DataFrame, col: str, values: Sequence | DataFrame | None =
         return df
     if isinstance(values, DataFrame):
         (vcol,) = values.columns
-        return df.join(values.select(F.col(vcol).alias("_member")).distinct(),
-                       _c(col) == F.col("_member"), "left_semi")
+        # a semi join never multiplies rows, so the values need no distinct (no extra shuffle)
+        return df.join(values.select(F.col(vcol).alias("_member")), _c(col) == F.col("_member"), "left_semi")
     values = list(values)
     if not values:
         return df.filter(F.lit(False))

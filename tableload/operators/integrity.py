@@ -124,8 +124,11 @@ def check_violations(df: DataFrame, predicate: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- I6
 
-def _deleted_keys(deleted: DataFrame, parent_cols: Sequence[str]) -> DataFrame:
-    return deleted.select(*[_q(c).alias(f"_d{i}") for i, c in enumerate(parent_cols)]).distinct()
+def _deleted_keys(deleted: DataFrame, parent_cols: Sequence[str], distinct: bool = False) -> DataFrame:
+    """Deleted parent keys; ``distinct`` only where a left join must not multiply rows
+    (semi and anti joins do not need it, which saves an aggregation)."""
+    d = deleted.select(*[_q(c).alias(f"_d{i}") for i, c in enumerate(parent_cols)])
+    return d.distinct() if distinct else d
 
 
 def delete_blocked(child: DataFrame, child_cols: Sequence[str], deleted: DataFrame,
@@ -148,7 +151,7 @@ def apply_delete_rule(child: DataFrame, child_cols: Sequence[str], deleted: Data
     a NULL key part never reference anything.
     """
     rule = rule.upper().strip()
-    d = _deleted_keys(deleted, parent_cols)
+    d = _deleted_keys(deleted, parent_cols, distinct=rule in ("SET NULL", "SET DEFAULT"))
     cond = [_q(c) == F.col(f"_d{i}") for i, c in enumerate(child_cols)]
     if rule == "CASCADE":
         return child.join(d, cond, "left_anti")
