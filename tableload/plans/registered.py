@@ -870,3 +870,38 @@ def q_after_statement(spark, d):
                                   {"n_rows": F.count(F.lit(1)), "cents": F.sum("cents")})
     return out.select("batch", "op", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
                       F.coalesce("cents", F.lit(0)).cast("bigint").alias("cents"))
+
+
+# =========================================================================== catalog refresh
+
+@query("refresh_columns", """
+WITH prof AS (
+  SELECT 'customer' AS table_name, 'c_custkey' AS column_name, 1 AS position, 'bigint' AS base,
+         'bigint' AS label, count(*) > count(c_custkey) AS nullable FROM customer
+  UNION ALL SELECT 'customer', 'c_name', 2, 'string', 'string(' || CAST(max(length(c_name)) AS VARCHAR) || ')',
+         count(*) > count(c_name) FROM customer
+  UNION ALL SELECT 'customer', 'c_nationkey', 3, 'int', 'int', count(*) > count(c_nationkey) FROM customer
+  UNION ALL SELECT 'customer', 'c_acctbal', 4, 'double', 'double', count(*) > count(c_acctbal) FROM customer
+  UNION ALL SELECT 'customer', 'c_mktsegment', 5, 'string',
+         'string(' || CAST(max(length(c_mktsegment)) AS VARCHAR) || ')', count(*) > count(c_mktsegment) FROM customer
+  UNION ALL SELECT 'nation', 'n_nationkey', 1, 'int', 'int', count(*) > count(n_nationkey) FROM nation
+  UNION ALL SELECT 'nation', 'n_name', 2, 'string', 'string(' || CAST(max(length(n_name)) AS VARCHAR) || ')',
+         count(*) > count(n_name) FROM nation
+  UNION ALL SELECT 'nation', 'n_regionkey', 3, 'int', 'int', count(*) > count(n_regionkey) FROM nation)
+SELECT 'tpch' AS schema, table_name, column_name, position,
+       CASE WHEN column_name = 'c_name' THEN 'text' ELSE label END AS type_name,
+       CASE WHEN column_name = 'c_acctbal' THEN false ELSE nullable END AS nullable,
+       CAST(NULL AS VARCHAR) AS default_value, column_name AS orig_column, base AS orig_type, '{}' AS options
+FROM prof""")
+def q_refresh_columns(spark, d):
+    from .refresh import catalog_from_tables, refresh_snapshot, refresh_table
+    customer, nation = table(spark, d, "customer"), table(spark, d, "nation")
+    before = catalog_from_tables(spark, {"customer": customer.drop("c_mktsegment")}, "tpch")
+    snap = refresh_snapshot(None, before)["columns"]
+    edited = snap.withColumn(   # user edits between two refreshes
+        "type_name", F.when(F.col("column_name") == "c_name", F.lit("text")).otherwise(F.col("type_name"))
+    ).withColumn("nullable", F.when(F.col("column_name") == "c_acctbal", F.lit(False)).otherwise(F.col("nullable")))
+    now = catalog_from_tables(spark, {"customer": customer, "nation": nation}, "tpch")
+    return refresh_table("columns", edited, now["columns"]).select(
+        "schema", "table_name", "column_name", "position", "type_name", "nullable", "default_value",
+        "orig_column", "orig_type", "options")
