@@ -905,3 +905,18 @@ def q_refresh_columns(spark, d):
     return refresh_table("columns", edited, now["columns"]).select(
         "schema", "table_name", "column_name", "position", "type_name", "nullable", "default_value",
         "orig_column", "orig_type", "options")
+
+
+@query("profile_documents", """
+SELECT CAST(1 AS BIGINT) AS position, 'doc_id' AS column_name, 'bigint' AS type_name, CAST(0 AS BIGINT) AS length,
+       CAST(NULL AS BIGINT) AS precision, CAST(NULL AS BIGINT) AS scale, count(*) > count(doc_id) AS nullable,
+       'bigint' AS type_label FROM documents
+UNION ALL SELECT 2, 'text', 'string', max(length(text)), NULL, NULL, count(*) > count(text),
+       'string(' || CAST(max(length(text)) AS VARCHAR) || ')' FROM documents
+UNION ALL SELECT 3, 'lang', 'string', max(length(lang)), NULL, NULL, count(*) > count(lang),
+       'string(' || CAST(max(length(lang)) AS VARCHAR) || ')' FROM documents
+UNION ALL SELECT 4, 'source', 'string', max(length(source)), NULL, NULL, count(*) > count(source),
+       'string(' || CAST(max(length(source)) AS VARCHAR) || ')' FROM documents
+UNION ALL SELECT 5, 'n_chars', 'bigint', 0, NULL, NULL, count(*) > count(n_chars), 'bigint' FROM documents""")
+def q_profile_documents(spark, d):
+    return project.profile_columns(table(spark, d, "documents"))
