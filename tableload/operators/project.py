@@ -48,6 +48,23 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def strict_cast(c: Column, type_name: str, label: str | None = None) -> Column:
+    """Cast that fails the job on a value that does not convert (NULL stays NULL).
+
+    The check is explicit, so it holds whether or not the session runs in ANSI mode; a
+    ``varchar(n)``/``char(n)`` target also fails on values longer than ``n``.
+    """
+    t = spark_type(type_name)
+    converted = c.try_cast(t)
+    what = label or type_name
+    bad = c.isNotNull() & converted.isNull()
+    n = max_length(type_name)
+    if n is not None:
+        bad = bad | (F.length(c.cast("string")) > n)
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"invalid input for type {what}: "), c.cast("string")))) \
+        .otherwise(converted)
+
+
 def project_mapped(df: DataFrame, columns: list[ColumnSpec], truncate: bool = True) -> DataFrame:
     """Select, reorder by position, rename and cast by a column spec.
 
@@ -59,14 +76,15 @@ def project_mapped(df: DataFrame, columns: list[ColumnSpec], truncate: bool = Tr
     dup = {n for n in names if names.count(n) > 1}
     if dup:
         raise ValueError(f"columns map to the same target name: {sorted(dup)}")
-    return df.select(*[_q(c.source).cast(spark_type(c.type_name)).alias(n) for c, n in zip(cols, names)])
+    return df.select(*[strict_cast(_q(c.source), c.type_name).alias(n) for c, n in zip(cols, names)])
 
 
 def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str = "fail"):
     """Convert string (or any) columns to declared types.
 
-    ``on_error="fail"``: an ANSI cast, so one bad value fails the job, plus an explicit
-    length check for ``varchar(n)``/``char(n)`` (a plain cast neither truncates nor fails).
+    ``on_error="fail"``: one bad value fails the job (:func:`strict_cast`, independent of
+    ANSI mode), including values longer than a ``varchar(n)``/``char(n)`` limit (a plain
+    cast neither truncates nor fails).
     ``on_error="quarantine"``: returns ``(good, rejected)``.  ``good`` holds rows whose
     every value converted, cast to the declared types.  ``rejected`` holds one row per
     bad cell: the row's raw columns plus ``error_column``, ``error_value``, ``error_type``.
@@ -81,13 +99,7 @@ def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
             if c not in listed:
                 out.append(_q(c))
                 continue
-            t, n = listed[c], max_length(listed[c])
-            v = _q(c).cast(spark_type(t))
-            if n is not None:
-                v = F.when(F.length(_q(c)) > n, F.raise_error(
-                    F.concat(F.lit(f"value too long for type {t}: "), _q(c).cast("string")))
-                ).otherwise(v)
-            out.append(v.alias(c))
+            out.append(strict_cast(_q(c), listed[c]).alias(c))
         return df.select(*out)
 
     def bad(c: str) -> Column:

@@ -303,6 +303,15 @@ def test_materialize_many_and_log(spark, tmp_path):
     assert not os.path.exists(tmp_path / "bad") and not os.path.exists(tmp_path / "skip")
     entry = log.first()
     assert entry["object_name"] == "bad" and "CAST_INVALID_INPUT" in entry["error_message"]
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:      # the checked cast fails without ANSI mode too
+        with pytest.raises(SparkError):
+            project.cast_checked(bad_src, [("v", "int")]).collect()
+        with pytest.raises(SparkError):
+            project.project_mapped(bad_src, [ColumnSpec("v", "int", 1)]).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
     assert rows(failure_tally(log)) == [("materialize table", 1), ("total", 1)]
 
 
