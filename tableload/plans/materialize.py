@@ -119,8 +119,12 @@ def clustered_copy(df: DataFrame, keys: Sequence[str | tuple[str, bool]], path:
     src = partial_filter(df, where)
     order = sort_columns(keys)
     tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in src.columns])
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    out = src.repartitionByRange(n, *order, tiebreak).sortWithinPartitions(*order)
+    # without an explicit count the range exchange starts from the adaptive initial
+    # partition number and AQE merges neighbouring ranges up to the advisory size, so the
+    # file count follows the data while the global order is kept
+    ranged = src.repartitionByRange(num_partitions, *order, tiebreak) if num_partitions \
+        else src.repartitionByRange(*order, tiebreak)
+    out = ranged.sortWithinPartitions(*order)
     return _publish(spark, lambda p: out.write.parquet(p), path)
 
 

@@ -62,5 +62,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def target_partitions(spark: SparkSession) -> int:
-    """Partition count for explicit range repartitions (follows the shuffle setting)."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    """Partition count for an exchange that needs a fixed count.
+
+    Follows the cluster's sizing: the adaptive initial partition number when it is set
+    (the count a large job starts from before coalescing), else the shuffle setting.
+    """
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(1, int(initial or spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
