@@ -295,6 +295,15 @@ def q_keep_members_long(spark, d):
     return filters.keep_members(o, "o_custkey", list(range(1, 3000, 7)))
 
 
+@query("keep_members_table", """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def q_keep_members_table(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    members = table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
+    return filters.keep_members(o, "o_custkey", members)
+
+
 _LINE_NATIONS = """
 SELECT l.l_orderkey, l.l_linenumber, c.c_nationkey AS cust_nationkey, s.s_nationkey AS supp_nationkey
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
