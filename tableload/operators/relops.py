@@ -131,6 +131,23 @@ def sibling_count(df: DataFrame, keys: Sequence[str], out: str = "siblings") ->
 
 # --------------------------------------------------------------------------- ordering
 
+def row_hash(df: DataFrame) -> Column:
+    """Deterministic 64-bit hash of a whole row (map columns, which Spark cannot hash, are
+    left out).  Used as the last range key so that equal sort keys can span partitions."""
+    from pyspark.sql import types as T
+
+    def hashable(t: T.DataType) -> bool:
+        if isinstance(t, T.MapType):
+            return False
+        if isinstance(t, T.ArrayType):
+            return hashable(t.elementType)
+        if isinstance(t, T.StructType):
+            return all(hashable(f.dataType) for f in t.fields)
+        return True
+    cols = [_q(f.name) for f in df.schema.fields if hashable(f.dataType)]
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("bigint")
+
+
 def sort_columns(keys: Sequence[str | tuple[str, bool] | Column]) -> list[Column]:
     """Sort expressions with the SQL-standard null placement of the source database:
     NULLs last when ascending, first when descending.  ``(name, True)`` means DESC."""

@@ -142,8 +142,10 @@ def validate_level(level: PartitionLevel) -> None:
     else:
         spans = []
         for p in level.partitions:
-            if p.is_default or not p.values:
+            if p.is_default:
                 continue
+            if not p.values or len(p.values) != 2:
+                raise ValueError(f"range partition {p.name} needs a lower and an upper bound")
             lo, hi = (_bound_items(v) for v in p.values)
             if len(lo) == 1 and len(hi) == 1:
                 a = Decimal("-Infinity") if _is_open(lo[0], MINVALUE) else _number(lo[0])

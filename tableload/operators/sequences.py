@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import clamp_to_bigint_py
 from ..session import target_partitions
 from ..specs import BIGINT_MAX, BIGINT_MIN, SequenceSpec
-from .relops import sort_columns
+from .relops import row_hash, sort_columns
 
 _POS_BITS = 33   # monotonically_increasing_id puts the partition index above bit 33
 
@@ -42,7 +42,7 @@ def dense_ordinal(df: DataFrame, order: Sequence[str | tuple[str, bool] | Column
     """Add ``out``: 0, 1, 2, ... in the given order (ties broken arbitrarily but densely)."""
     n = num_partitions or target_partitions(df.sparkSession)
     keys = sort_columns(order)
-    tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    tiebreak = row_hash(df)
     ranged = df.repartitionByRange(n, *keys, tiebreak).sortWithinPartitions(*keys, tiebreak)
     mid = F.monotonically_increasing_id()
     tagged = ranged.withColumn("_mid", mid).select(

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.relops import sort_columns
+from ..operators.relops import row_hash, sort_columns
 from ..operators.routing import HashFn, reject_condition, route, xxhash_keys
 from ..operators.filters import partial_filter
 from ..specs import PartitionLevel, PartitionScheme
@@ -118,7 +118,7 @@ def clustered_copy(df: DataFrame, keys: Sequence[str | tuple[str, bool]], path:
     spark = df.sparkSession
     src = partial_filter(df, where)
     order = sort_columns(keys)
-    tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in src.columns])
+    tiebreak = row_hash(src)
     # without an explicit count the range exchange starts from the adaptive initial
     # partition number and AQE merges neighbouring ranges up to the advisory size, so the
     # file count follows the data while the global order is kept

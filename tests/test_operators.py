@@ -251,6 +251,16 @@ def test_spec_errors():
                                                              Partition("b", ("5", "20")))))
     with pytest.raises(ValueError):
         routing.validate_level(PartitionLevel("HASH", "k", (Partition("a", ("0",)), Partition("b", ("0",)))))
+    with pytest.raises(ValueError):
+        routing.validate_level(PartitionLevel("RANGE", "k", (Partition("a", None),)))
+
+
+def test_range_operators_accept_map_columns(spark, tmp_target):
+    df = spark.createDataFrame([(2, {"a": 1}), (1, {"b": 2})], "k int, m map<string,int>")
+    out = sequences.assign_sequence(df, ["k"], SequenceSpec("s", 1, last_value=0))
+    assert rows(out, "k", "id") == [(1, 1), (2, 2)]
+    mat.clustered_copy(df, ["k"], tmp_target)
+    assert spark.read.parquet(tmp_target).count() == 2
 
 
 def test_hash_routing_invariants(spark):
