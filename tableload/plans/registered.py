@@ -3,7 +3,9 @@
 Every query reads whole tables from ``sf_dir`` (or data Spark derives from them) and
 returns a DataFrame; the matching SQL computes the same result in another engine.
 Computed columns carry the same alias on both sides.  Outputs avoid decimals (another
-engine may hand them back as floats) and cast counts and sums to bigint.
+engine may hand them back as floats) and cast counts and sums to bigint.  Integer results
+that can be NULL are rendered as text on both sides (``as_text``): exact for every value,
+and identical however an engine hands back a nullable integer column.
 """
 
 from __future__ import annotations
@@ -37,6 +39,11 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+def as_text(df: DataFrame, *cols: str) -> DataFrame:
+    """Render the given (nullable integer) columns as text, keeping column order."""
+    return df.select(*[F.col(c).cast("string").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -223,12 +230,12 @@ SELECT o_orderkey,
   CASE WHEN big < -9223372036854775808 THEN CAST(-9223372036854775808 AS BIGINT)
        WHEN big > 9223372036854775807 THEN CAST(9223372036854775807 AS BIGINT)
        ELSE CAST(round(big) AS BIGINT) END AS clamped_big,
-  CAST(round(small) AS BIGINT) AS clamped_small
+  CAST(CAST(round(small) AS BIGINT) AS VARCHAR) AS clamped_small
 FROM (SELECT o_orderkey, {_BIG} AS big, {_SMALL} AS small FROM orders)""")
 def q_clamp_bigint(spark, d):
     o = table(spark, d, "orders")
     return o.select("o_orderkey", clamp_to_bigint(F.expr(_BIG)).alias("clamped_big"),
-                    clamp_to_bigint(F.expr(_SMALL)).alias("clamped_small"))
+                    clamp_to_bigint(F.expr(_SMALL)).cast("string").alias("clamped_small"))
 
 
 DEFAULTS_TARGET = [ColumnSpec("order_id", "bigint", 1), ColumnSpec("priority", "text", 2),
@@ -249,19 +256,19 @@ def q_apply_defaults(spark, d):
 WITH c AS (SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal,
                   nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer)
 SELECT CAST(1 AS BIGINT) AS position, 'c_custkey' AS column_name, 'bigint' AS type_name, CAST(0 AS BIGINT) AS length,
-       CAST(NULL AS BIGINT) AS precision, CAST(NULL AS BIGINT) AS scale, count(*) > count(c_custkey) AS nullable,
+       CAST(NULL AS VARCHAR) AS precision, CAST(NULL AS VARCHAR) AS scale, count(*) > count(c_custkey) AS nullable,
        'bigint' AS type_label FROM c
 UNION ALL SELECT 2, 'c_name', 'string', max(length(c_name)), NULL, NULL, count(*) > count(c_name),
        'string(' || CAST(max(length(c_name)) AS VARCHAR) || ')' FROM c
 UNION ALL SELECT 3, 'c_nationkey', 'int', 0, NULL, NULL, count(*) > count(c_nationkey), 'int' FROM c
-UNION ALL SELECT 4, 'c_acctbal', 'decimal', 0, 12, 2, count(*) > count(c_acctbal), 'decimal(12,2)' FROM c
+UNION ALL SELECT 4, 'c_acctbal', 'decimal', 0, '12', '2', count(*) > count(c_acctbal), 'decimal(12,2)' FROM c
 UNION ALL SELECT 5, 'c_mktsegment', 'string', max(length(c_mktsegment)), NULL, NULL,
        count(*) > count(c_mktsegment), 'string(' || CAST(max(length(c_mktsegment)) AS VARCHAR) || ')' FROM c""")
 def q_profile_columns(spark, d):
     c = table(spark, d, "customer").select(
         "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"),
         F.expr("nullif(c_mktsegment, 'BUILDING')").alias("c_mktsegment"))
-    return project.profile_columns(c)
+    return as_text(project.profile_columns(c), "precision", "scale")
 
 
 @query("at_least", "SELECT p_partkey, coalesce(greatest(nullif(p_size, 1), 10), 10) AS size_floor FROM part")
@@ -585,10 +592,12 @@ def q_delete_cascade(spark, d):
 
 
 @query("delete_set_null", f"""
-SELECT o_orderkey, CASE WHEN o_custkey IN ({_DELETED}) THEN NULL ELSE o_custkey END AS o_custkey FROM orders""")
+SELECT o_orderkey, CAST(CASE WHEN o_custkey IN ({_DELETED}) THEN NULL ELSE o_custkey END AS VARCHAR) AS o_custkey
+FROM orders""")
 def q_delete_set_null(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return integrity.apply_delete_rule(o, ["o_custkey"], _deleted(spark, d), ["c_custkey"], "SET NULL")
+    return as_text(integrity.apply_delete_rule(o, ["o_custkey"], _deleted(spark, d), ["c_custkey"], "SET NULL"),
+                   "o_custkey")
 
 
 @query("delete_set_default", f"""
@@ -918,7 +927,7 @@ def q_refresh_columns(spark, d):
 
 @query("profile_documents", """
 SELECT CAST(1 AS BIGINT) AS position, 'doc_id' AS column_name, 'bigint' AS type_name, CAST(0 AS BIGINT) AS length,
-       CAST(NULL AS BIGINT) AS precision, CAST(NULL AS BIGINT) AS scale, count(*) > count(doc_id) AS nullable,
+       CAST(NULL AS VARCHAR) AS precision, CAST(NULL AS VARCHAR) AS scale, count(*) > count(doc_id) AS nullable,
        'bigint' AS type_label FROM documents
 UNION ALL SELECT 2, 'text', 'string', max(length(text)), NULL, NULL, count(*) > count(text),
        'string(' || CAST(max(length(text)) AS VARCHAR) || ')' FROM documents
@@ -928,4 +937,4 @@ UNION ALL SELECT 4, 'source', 'string', max(length(source)), NULL, NULL, count(*
        'string(' || CAST(max(length(source)) AS VARCHAR) || ')' FROM documents
 UNION ALL SELECT 5, 'n_chars', 'bigint', 0, NULL, NULL, count(*) > count(n_chars), 'bigint' FROM documents""")
 def q_profile_documents(spark, d):
-    return project.profile_columns(table(spark, d, "documents"))
+    return as_text(project.profile_columns(table(spark, d, "documents")), "precision", "scale")
