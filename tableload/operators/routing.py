@@ -14,9 +14,11 @@ Rules kept from the source database:
   compare lexicographically; a NULL key part only fits the default partition;
   overlapping literal ranges are an error.
 * HASH: the modulus is the number of sibling partitions and the remainder is the
-  partition's value; there is no default partition.  The hash function is Spark's
-  ``xxhash64`` -- placements differ from the source database's hash, but every key lands
-  in exactly one bucket.  Pass ``hash_fn`` for another hash (e.g. identity on integers).
+  partition's value; there is no default partition.  The default placement uses Spark's
+  ``xxhash64`` (JVM-side): every key lands in exactly one bucket, but not in the bucket
+  the source database would pick.  ``hash_fn=pg_hash(<key types>)``
+  (:mod:`tableload.functions.pghash`) reproduces the source database's placement on the
+  slower pandas-UDF path; ``identity_hash`` uses an integer key as its own hash.
 * A row that fits no partition is rejected (``part`` is NULL); see :func:`route_or_reject`.
 """
 
@@ -30,17 +32,18 @@ from pyspark.sql import functions as F
 
 from ..specs import MAXVALUE, MINVALUE, Partition, PartitionLevel, PartitionScheme
 
-HashFn = Callable[[list[Column]], Column]
+# A hash function maps the key columns and the modulus to each row's bucket in [0, modulus).
+HashFn = Callable[[list[Column], int], Column]
 
 
-def xxhash_keys(keys: list[Column]) -> Column:
-    return F.xxhash64(*keys)
+def xxhash_keys(keys: list[Column], modulus: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(modulus))
 
 
-def identity_hash(keys: list[Column]) -> Column:
+def identity_hash(keys: list[Column], modulus: int) -> Column:
     """Integer key as its own hash (lets a SQL oracle reproduce the placement)."""
     (k,) = keys
-    return k.cast("bigint")
+    return F.pmod(k.cast("bigint"), F.lit(modulus))
 
 
 def split_top_level(text: str) -> list[str]:
@@ -192,7 +195,7 @@ def level_expr(level: PartitionLevel, hash_fn: HashFn = xxhash_keys) -> Column:
             add(not_null & _ge(keys, lo) & _lt(keys, hi), p.name)
     else:
         n = len(level.partitions)
-        bucket = F.pmod(hash_fn(keys), F.lit(n))
+        bucket = hash_fn(keys, n)
         for p in level.partitions:
             if p.values:
                 add(bucket == F.lit(int(p.values[0])), p.name)

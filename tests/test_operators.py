@@ -496,3 +496,33 @@ def test_define_view_arity(spark):
     with pytest.raises(ValueError):
         rewrite.define_view(spark, "tv_bad2", spark.table("tv_src"), ["a", "b"])
     assert rewrite.define_view(spark, "tv_ok", "SELECT id FROM tv_src", ["x"]).columns == ["x"]
+
+
+# --------------------------------------------------------------------------- compatible hash placement
+
+def test_pg_hash_vectorised_ints_match_scalar_definition():
+    import numpy as np
+
+    from tableload.functions import pghash as H
+    vals = np.array([0, 1, -1, 2 ** 31 - 1, -(2 ** 31), 123456], dtype=np.int64)
+    vec = H.hash_uint32(vals.astype(np.uint32))
+    for v, h in zip(vals, vec):
+        a, b, c = H._start(4, H.PARTITION_SEED)
+        a, b, c = H._final((a + (int(v) & 0xFFFFFFFF)) & 0xFFFFFFFF, b, c)
+        assert int(h) == (b << 32) | c
+    folded = H.fold_int64(np.array([5, -5, 2 ** 40 + 7], dtype=np.int64))
+    assert list(folded) == [5, (0xFFFFFFFB ^ 0), (7 ^ 256)]
+
+
+def test_pg_hash_routing_on_spark(spark):
+    import pandas as pd
+
+    from tableload.functions.pghash import pg_hash, row_buckets
+    df = spark.createDataFrame([(1, "a ", "x"), (2, "b", None), (None, "a", "y")], "i int, c string, t string")
+    lvl = PartitionLevel("HASH", "i, c", tuple(Partition(f"h{r}", (str(r),)) for r in range(3)))
+    got = dict(rows(routing.route(df, lvl, hash_fn=pg_hash("integer", "char(2)")), "t", "part"))
+    local = row_buckets([pd.Series([1, 2, None]), pd.Series(["a ", "b", "a"])], ["int32", "bpchar"], 3)
+    assert got == {"x": f"h{local[0]}", None: f"h{local[1]}", "y": f"h{local[2]}"}
+    # blank padding does not change a char key's bucket
+    assert list(row_buckets([pd.Series(["a", "a   "])], ["bpchar"], 7)) == \
+        list(row_buckets([pd.Series(["a", "a"])], ["bpchar"], 7))
