@@ -717,6 +717,14 @@ def q_route_hash(spark, d):
     return routing.route(table(spark, d, "orders"), HASH4, hash_fn=routing.identity_hash).select("o_orderkey", "part")
 
 
+@query("route_hash_compatible")
+def q_route_hash_compatible(spark, d):
+    # placement as the source database would choose it; no SQL oracle can express the hash
+    from ..functions.pghash import pg_hash
+    r = routing.route(table(spark, d, "orders"), HASH4, hash_fn=pg_hash("bigint"))
+    return routing.partition_counts(r, HASH4)
+
+
 TWO_LEVEL = PartitionScheme(
     PartitionLevel("RANGE", "o_orderstatus, o_totalprice", (
         Partition("a", ("MINVALUE", "('F', 100000)")),
