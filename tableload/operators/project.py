@@ -23,7 +23,8 @@ TYPE_ALIASES = {
     "timestamp_ntz": "timestamp_ntz", "tinyint": "tinyint", "long": "bigint",
 }
 
-_VARCHAR = re.compile(r"^\s*(?:varchar|character varying|char|character|bpchar)\s*\(\s*(\d+)\s*\)\s*$", re.I)
+_VARCHAR = re.compile(r"^\s*(?:varchar|character varying|char|character|bpchar|string)\s*\(\s*(\d+)\s*\)\s*$",
+                      re.I)
 _NUMERIC = re.compile(r"^\s*(?:numeric|decimal)\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\)\s*$", re.I)
 
 
