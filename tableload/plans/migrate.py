@@ -59,7 +59,11 @@ def _flagged(df: DataFrame | None) -> DataFrame | None:
 
 
 def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
-    """Driver-side specs for every flagged table (the snapshot is catalog-sized)."""
+    """Driver-side specs for every flagged table (the snapshot is catalog-sized).
+
+    Key, index and foreign-key columns are put in order by ``ordered_group_collect``
+    without its group-size probe: a group is the column list of one constraint.
+    """
     tables = _flagged(snapshot["tables"]).select("schema", "table_name", "orig_table").collect()
     plans = {(r["schema"], r["table_name"]): TablePlan(r["schema"], r["table_name"], r["orig_table"], [])
              for r in tables}
@@ -98,7 +102,7 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
     if snapshot.get("keys") is not None:
         keys = ordered_group_collect(
             _flagged(snapshot["keys"]), ["schema", "table_name", "constraint_name", "is_primary", "deferrable",
-                                        "deferred"], ["position"], ["column_name"])
+                                        "deferred"], ["position"], ["column_name"], max_elements=None)
         for r in keys.collect():
             p = plans.get((r["schema"], r["table_name"]))
             if p is not None:
@@ -110,7 +114,7 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
         cols = snapshot["index_columns"].join(idx.select("schema", "index_name", "table_name", "where_clause"),
                                               ["schema", "index_name", "table_name"], "inner")
         grouped = ordered_group_collect(cols, ["schema", "table_name", "index_name", "where_clause"], ["position"],
-                                        ["column_name"])
+                                        ["column_name"], max_elements=None)
         for r in grouped.collect():
             p = plans.get((r["schema"], r["table_name"]))
             if p is not None:
@@ -121,7 +125,7 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
         fks = ordered_group_collect(
             _flagged(snapshot["foreign_keys"]),
             ["schema", "table_name", "constraint_name", "remote_schema", "remote_table", "delete_rule", "deferrable",
-             "deferred"], ["position"], ["column_name", "remote_column"])
+             "deferred"], ["position"], ["column_name", "remote_column"], max_elements=None)
         for r in fks.collect():
             p = plans.get((r["schema"], r["table_name"]))
             if p is not None:

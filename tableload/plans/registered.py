@@ -946,3 +946,90 @@ UNION ALL SELECT 4, 'source', 'string', max(length(source)), NULL, NULL, count(*
 UNION ALL SELECT 5, 'n_chars', 'bigint', 0, NULL, NULL, count(*) > count(n_chars), 'bigint' FROM documents""")
 def q_profile_documents(spark, d):
     return as_text(project.profile_columns(table(spark, d, "documents")), "precision", "scale")
+
+
+# =========================================================================== one-shot run
+
+def _migration_snapshot(spark, d):
+    from .refresh import catalog_from_tables, refresh_snapshot
+    tabs = {t: table(spark, d, t) for t in ("orders", "customer", "nation")}
+    snap = refresh_snapshot(None, catalog_from_tables(spark, tabs, "tpch"))
+    # user edits: only the key columns are declared NOT NULL
+    snap["columns"] = snap["columns"].withColumn(
+        "nullable", ~F.col("column_name").isin("o_orderkey", "c_custkey", "n_nationkey"))
+    snap["partitions"] = spark.createDataFrame(
+        [("tpch", "orders", "o_low", "RANGE", "o_totalprice", False, ["MINVALUE", "100000"]),
+         ("tpch", "orders", "o_high", "RANGE", "o_totalprice", False, ["100000", "MAXVALUE"])],
+        "schema string, table_name string, partition_name string, type string, key string, is_default boolean, "
+        "values array<string>")
+    snap["subpartitions"] = spark.createDataFrame(
+        [("tpch", "orders", "o_low", f"o_low_{i}", "HASH", "o_orderkey", False, [str(i)]) for i in range(2)],
+        "schema string, table_name string, partition_name string, subpartition_name string, type string, "
+        "key string, is_default boolean, values array<string>")
+    snap["keys"] = spark.createDataFrame(
+        [("tpch", "orders", "orders_pk", False, False, "o_orderkey", 1, True, True),
+         ("tpch", "customer", "customer_pk", False, False, "c_custkey", 1, True, True),
+         ("tpch", "nation", "nation_pk", False, False, "n_nationkey", 1, True, True)],
+        "schema string, table_name string, constraint_name string, deferrable boolean, deferred boolean, "
+        "column_name string, position int, is_primary boolean, migrate boolean")
+    snap["foreign_keys"] = spark.createDataFrame(
+        [("tpch", "orders", "orders_cust_fk", False, False, "NO ACTION", "o_custkey", 1, "tpch", "customer",
+          "c_custkey", True),
+         ("tpch", "customer", "customer_nation_fk", True, True, "CASCADE", "c_nationkey", 1, "tpch", "nation",
+          "n_nationkey", True)],
+        "schema string, table_name string, constraint_name string, deferrable boolean, deferred boolean, "
+        "delete_rule string, column_name string, position int, remote_schema string, remote_table string, "
+        "remote_column string, migrate boolean")
+    snap["checks"] = spark.createDataFrame(
+        [("tpch", "orders", "orders_total_ck", False, False, "o_totalprice > 1000", True),
+         ("tpch", "customer", "customer_bal_ck", False, False, "c_acctbal >= 0", True)],
+        "schema string, table_name string, constraint_name string, deferrable boolean, deferred boolean, "
+        "condition string, migrate boolean")
+    snap["indexes"] = spark.createDataFrame(
+        [("tpch", "customer", "customer_name_idx", True, None, True)],
+        "schema string, table_name string, index_name string, uniqueness boolean, where_clause string, "
+        "migrate boolean")
+    snap["index_columns"] = spark.createDataFrame(
+        [("tpch", "customer", "customer_name_idx", 1, False, False, "c_name")],
+        "schema string, table_name string, index_name string, position int, descend boolean, "
+        "is_expression boolean, column_name string")
+    return snap
+
+
+@query("migrate_run", """
+SELECT 'tpch.orders' AS table_name, 'orders_pk' AS constraint_name, 'PRIMARY KEY' AS constraint_type,
+       'immediate' AS timing,
+       CAST((SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey
+             HAVING count(*) > 1 OR o_orderkey IS NULL)) AS BIGINT) AS violations, CAST(NULL AS VARCHAR) AS error
+UNION ALL SELECT 'tpch.orders', 'orders_cust_fk', 'FOREIGN KEY', 'immediate',
+       (SELECT count(*) FROM orders o WHERE o_custkey IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)), NULL
+UNION ALL SELECT 'tpch.orders', 'o_orderkey_not_null', 'NOT NULL', 'immediate',
+       (SELECT count(*) - count(o_orderkey) FROM orders), NULL
+UNION ALL SELECT 'tpch.orders', 'orders_total_ck', 'CHECK', 'immediate',
+       (SELECT count(*) FROM orders WHERE NOT (o_totalprice > 1000)), NULL
+UNION ALL SELECT 'tpch.customer', 'customer_pk', 'PRIMARY KEY', 'immediate',
+       CAST((SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM customer GROUP BY c_custkey
+             HAVING count(*) > 1 OR c_custkey IS NULL)) AS BIGINT), NULL
+UNION ALL SELECT 'tpch.customer', 'customer_name_idx', 'UNIQUE', 'immediate',
+       CAST((SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM customer WHERE c_name IS NOT NULL
+             GROUP BY c_name HAVING count(*) > 1)) AS BIGINT), NULL
+UNION ALL SELECT 'tpch.customer', 'customer_nation_fk', 'FOREIGN KEY', 'deferred',
+       (SELECT count(*) FROM customer c WHERE c_nationkey IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM nation n WHERE n.n_nationkey = c.c_nationkey)), NULL
+UNION ALL SELECT 'tpch.customer', 'c_custkey_not_null', 'NOT NULL', 'immediate',
+       (SELECT count(*) - count(c_custkey) FROM customer), NULL
+UNION ALL SELECT 'tpch.customer', 'customer_bal_ck', 'CHECK', 'immediate',
+       (SELECT count(*) FROM customer WHERE NOT (c_acctbal >= 0)), NULL
+UNION ALL SELECT 'tpch.nation', 'nation_pk', 'PRIMARY KEY', 'immediate',
+       CAST((SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM nation GROUP BY n_nationkey
+             HAVING count(*) > 1 OR n_nationkey IS NULL)) AS BIGINT), NULL
+UNION ALL SELECT 'tpch.nation', 'n_nationkey_not_null', 'NOT NULL', 'immediate',
+       (SELECT count(*) - count(n_nationkey) FROM nation), NULL""")
+def q_migrate_run(spark, d):
+    from .migrate import migrate
+
+    def read(schema, source, columns):
+        return scan_declared(spark, "parquet", f"{d}/{source}.parquet", columns)
+    _, _, report = migrate(spark, _migration_snapshot(spark, d), read, scratch_path(spark, "migrate"), parallelism=4)
+    return report
