@@ -35,6 +35,7 @@ from ..operators.filters import keep_members
 from ..operators.integrity import unique_violations
 from ..operators.project import profile_columns
 from ..operators.upsert import upsert_ignore, upsert_update
+from ..session import checkpoint_root
 
 Translate = Callable[[Column], Column]
 
@@ -167,12 +168,22 @@ def refresh_table(name: str, current: DataFrame | None, remote: DataFrame,
 
 
 def refresh_snapshot(current: dict[str, DataFrame] | None, remote: dict[str, DataFrame],
-                     only_schemas: Sequence[str] | None = None, **translators) -> dict[str, DataFrame]:
-    """Refresh every snapshot table present in ``remote`` (tables absent there stay as they are)."""
+                     only_schemas: Sequence[str] | None = None, cut_lineage: bool = False,
+                     **translators) -> dict[str, DataFrame]:
+    """Refresh every snapshot table present in ``remote`` (tables absent there stay as they are).
+
+    Each refresh stacks an upsert on the previous snapshot; ``cut_lineage`` checkpoints
+    the refreshed tables (into ``spark.checkpoint.dir``) so that repeated refreshes do
+    not grow an ever longer plan.
+    """
     current = dict(current or {})
     out = dict(current)
     for name, rdf in remote.items():
-        out[name] = refresh_table(name, current.get(name), rdf, only_schemas, **translators)
+        new = refresh_table(name, current.get(name), rdf, only_schemas, **translators)
+        if cut_lineage:
+            checkpoint_root(new.sparkSession)       # make sure the checkpoint folder is known
+            new = new.checkpoint(eager=True)
+        out[name] = new
     return out
 
 

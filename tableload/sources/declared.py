@@ -45,8 +45,8 @@ def scan_declared(spark: SparkSession, fmt: str, path: str | list[str] | None,
         df = reader.format(fmt).load(path) if path is not None else reader.format(fmt).load()
         return project_mapped(df, columns)
     if fmt in ("csv", "json"):
-        if fmt == "csv":
-            reader = reader.option("mode", options.get("mode", "FAILFAST"))
+        # a malformed record fails the scan (the readers' default would turn it into NULLs)
+        reader = reader.option("mode", options.get("mode", "FAILFAST"))
         df = reader.schema(declared_schema(columns)).format(fmt).load(path)
         return df.select(*[F.col(f"`{c.source}`").alias(c.name) for c in ordered(columns)])
     raise ValueError(f"unsupported source format {fmt!r}")

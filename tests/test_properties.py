@@ -1,5 +1,6 @@
 """Invariants checked over generated specs (few examples each: every example runs Spark jobs)."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -55,3 +56,8 @@ def test_declared_scan_of_orc_and_json(spark, tmp_path):
         got = scan_declared(spark, fmt, path, cols)
         assert got.columns == ["key", "name"]
         assert rows(got) == rows(src.select(F.col("n_nationkey").cast("bigint"), "n_name"))
+    bad = str(tmp_path / "bad.json")
+    with open(bad, "w") as f:
+        f.write('{"n_nationkey": 1, "n_name": "x"}\n{not json\n')
+    with pytest.raises(Exception):
+        scan_declared(spark, "json", bad, cols).collect()

@@ -81,3 +81,11 @@ def test_refresh_update_rules_for_keys(spark):
     changed = remote.withColumn("deferrable", F.lit(True))
     again = refresh_table("keys", snap, changed).first()
     assert again["deferrable"] is True and again["migrate"] is False
+
+
+def test_repeated_refresh_with_lineage_cut(spark):
+    snap = refresh_snapshot(None, _remote(spark), cut_lineage=True)
+    for _ in range(3):
+        snap = refresh_snapshot(snap, _remote(spark, with_extra_column=True), cut_lineage=True)
+    assert snap["columns"].count() == 4
+    assert "LogicalRDD" in snap["columns"]._jdf.queryExecution().optimizedPlan().toString()
