@@ -25,21 +25,35 @@ _HOLD = "\u0000"   # text values cannot contain NUL, so it can stand in for an e
 
 
 def decode_text_field(raw: Column) -> Column:
-    """Decode one raw field; ``\\N`` becomes NULL, an empty field stays ``''``."""
+    """Decode one raw field; ``\\N`` becomes NULL, an empty field stays ``''``.
+
+    Only fields that contain a backslash go through the replacement chain.
+    """
     v = F.replace(raw, F.lit("\\\\"), F.lit(_HOLD))
     for letter, char in ESCAPES:
         v = F.replace(v, F.lit("\\" + letter), F.lit(char))
-    v = F.regexp_replace(v, r"\\(.)", "$1")
+    # any other backslash escapes the next character; after the known escapes this is
+    # rare, so the regular expression only runs where a backslash is left
+    v = F.when(F.instr(v, "\\") > 0, F.regexp_replace(v, r"\\(.)", "$1")).otherwise(v)
     v = F.replace(v, F.lit(_HOLD), F.lit("\\"))
-    return F.when(raw == F.lit(NULL_MARKER), F.lit(None).cast("string")).otherwise(v)
+    return (F.when(raw == F.lit(NULL_MARKER), F.lit(None).cast("string"))
+            .when(F.instr(raw, "\\") > 0, v)
+            .otherwise(raw))
+
+
+_SPECIAL = "[\\\\" + "".join(c for _, c in ESCAPES) + "]"
 
 
 def encode_text_field(value: Column) -> Column:
-    """Inverse of :func:`decode_text_field` (used to write the format from Spark)."""
-    v = F.replace(value.cast("string"), F.lit("\\"), F.lit("\\\\"))
+    """Inverse of :func:`decode_text_field` (used to write the format from Spark).
+
+    Only values that contain a backslash or a control character are rewritten.
+    """
+    text = value.cast("string")
+    v = F.replace(text, F.lit("\\"), F.lit("\\\\"))
     for letter, char in ESCAPES:
         v = F.replace(v, F.lit(char), F.lit("\\" + letter))
-    return F.coalesce(v, F.lit(NULL_MARKER))
+    return F.coalesce(F.when(text.rlike(_SPECIAL), v).otherwise(text), F.lit(NULL_MARKER))
 
 
 def to_text_lines(df: DataFrame) -> DataFrame:
