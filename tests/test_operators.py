@@ -14,7 +14,7 @@ from tableload.plans import materialize as mat
 from tableload.plans.runlog import Step, failure_tally, run_logged
 from tableload.sources import scan_declared, scan_delimited, to_text_lines
 from tableload.specs import (BIGINT_MAX, BIGINT_MIN, CheckSpec, ColumnSpec, ForeignKeySpec, KeySpec, Partition,
-                             PartitionLevel, PartitionScheme, SequenceSpec)
+                             PartitionLevel, SequenceSpec)
 
 from .conftest import SF_SMALL, rows
 
