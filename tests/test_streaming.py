@@ -1,6 +1,5 @@
 """Streaming variants: micro-batches of a change set flowing into a partitioned table."""
 
-
 from pyspark.sql import functions as F
 
 from tableload.operators import routing
