@@ -51,8 +51,11 @@ def checkpoint_root(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; point it at storage shared by all executors"
         )
     root = tempfile.mkdtemp(prefix="tableload-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    sc.setCheckpointDir(root)
+    sc.setCheckpointDir(root)           # what DataFrame.checkpoint() uses; read back above
+    try:
+        spark.conf.set("spark.checkpoint.dir", root)
+    except Exception:  # noqa: BLE001 - some deployments refuse runtime changes of core settings
+        pass
     return root
 
 
