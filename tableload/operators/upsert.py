@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -74,8 +74,22 @@ def upsert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return target.unionByName(_fill(fresh, target.columns, types, insert_defaults))
 
 
+def fail_on_duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source unchanged, but a job reading it fails on the first duplicated key.
+
+    The count runs over a window partitioned by the keys: the same hash partitioning and
+    sort a sort-merge join on those keys needs, so inside an upsert it adds no exchange.
+    """
+    w = Window.partitionBy(*[_q(k) for k in keys])
+    key_text = F.concat_ws(", ", *[F.coalesce(_q(k).cast("string"), F.lit("NULL")) for k in keys])
+    message = F.concat(F.lit(f"source has duplicate keys {tuple(keys)}: "), key_text)
+    return (source.withColumn("_key_rows", F.count(F.lit(1)).over(w))
+            .filter(F.when(F.col("_key_rows") > 1, F.raise_error(message)).otherwise(F.lit(True)))
+            .drop("_key_rows"))
+
+
 def upsert_update(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
-                  insert_defaults: dict[str, str] | None = None, validate: bool = True) -> DataFrame:
+                  insert_defaults: dict[str, str] | None = None, validate: bool | str = True) -> DataFrame:
     """``INSERT ... ON CONFLICT DO UPDATE SET <update_cols>`` for whole tables.
 
     * matched key: only ``update_cols`` take the source value, every other column keeps
@@ -85,10 +99,15 @@ def upsert_update(target: DataFrame, source: DataFrame, keys: Sequence[str], upd
     * target-only key: kept unchanged (a refresh never deletes).
 
     Presence of each side is tracked with marker columns, so a NULL value is never
-    mistaken for a missing row.  ``validate`` runs U3 first (one aggregation job).
+    mistaken for a missing row.  A duplicated source key is an error: by default the
+    check runs inside the upsert's own job (:func:`fail_on_duplicate_keys`, no extra
+    scan or shuffle); ``validate="eager"`` runs U3 first and lists up to 20 keys;
+    ``validate=False`` trusts the source.
     """
-    if validate:
+    if validate == "eager":
         require_unique_source(source, keys)
+    elif validate:
+        source = fail_on_duplicate_keys(source, keys)
     insert_defaults = insert_defaults or {}
     t = target.select(*[_q(c).alias(f"_t_{c}") for c in target.columns], F.lit(True).alias("_t_in"))
     s = source.select(*[_q(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_s_in"))
