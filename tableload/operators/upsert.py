@@ -79,6 +79,9 @@ def fail_on_duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     The count runs over a window partitioned by the keys: the same hash partitioning and
     sort a sort-merge join on those keys needs, so inside an upsert it adds no exchange.
+    The window holds each key's rows while counting them, so a heavily duplicated key is
+    buffered (and spilled) in one task before the job fails; use it for sources that are
+    expected to be unique.
     """
     w = Window.partitionBy(*[_q(k) for k in keys])
     key_text = F.concat_ws(", ", *[F.coalesce(_q(k).cast("string"), F.lit("NULL")) for k in keys])
@@ -89,7 +92,7 @@ def fail_on_duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def upsert_update(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
-                  insert_defaults: dict[str, str] | None = None, validate: bool | str = True) -> DataFrame:
+                  insert_defaults: dict[str, str] | None = None, validate: bool | str = "eager") -> DataFrame:
     """``INSERT ... ON CONFLICT DO UPDATE SET <update_cols>`` for whole tables.
 
     * matched key: only ``update_cols`` take the source value, every other column keeps
@@ -99,15 +102,17 @@ def upsert_update(target: DataFrame, source: DataFrame, keys: Sequence[str], upd
     * target-only key: kept unchanged (a refresh never deletes).
 
     Presence of each side is tracked with marker columns, so a NULL value is never
-    mistaken for a missing row.  A duplicated source key is an error: by default the
-    check runs inside the upsert's own job (:func:`fail_on_duplicate_keys`, no extra
-    scan or shuffle); ``validate="eager"`` runs U3 first and lists up to 20 keys;
-    ``validate=False`` trusts the source.
+    mistaken for a missing row.  A duplicated source key is an error.  By default
+    (``validate="eager"``) U3 runs first: a partial aggregation over the key columns
+    only, safe however skewed the keys are, that lists up to 20 offending keys.
+    ``validate="in_job"`` checks inside the upsert's own job instead
+    (:func:`fail_on_duplicate_keys`: no extra scan or shuffle, for sources expected to be
+    unique); ``validate=False`` trusts the source.
     """
-    if validate == "eager":
-        require_unique_source(source, keys)
-    elif validate:
+    if validate == "in_job":
         source = fail_on_duplicate_keys(source, keys)
+    elif validate:
+        require_unique_source(source, keys)
     insert_defaults = insert_defaults or {}
     t = target.select(*[_q(c).alias(f"_t_{c}") for c in target.columns], F.lit(True).alias("_t_in"))
     s = source.select(*[_q(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_s_in"))

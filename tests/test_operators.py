@@ -366,10 +366,12 @@ def test_upsert_update_keeps_user_columns(spark):
 def test_upsert_refuses_duplicate_source_keys(spark):
     t = spark.createDataFrame([(1, "a")], "k int, v string")
     s = spark.createDataFrame([(2, "x"), (2, "y")], "k int, v string")
-    with pytest.raises(SparkError, match="duplicate keys"):      # checked inside the upsert's job
-        upsert.upsert_update(t, s, ["k"], ["v"]).collect()
     with pytest.raises(ValueError, match="duplicate"):
-        upsert.upsert_update(t, s, ["k"], ["v"], validate="eager")
+        upsert.upsert_update(t, s, ["k"], ["v"])
+    with pytest.raises(SparkError, match="duplicate keys"):      # checked inside the upsert's job
+        upsert.upsert_update(t, s, ["k"], ["v"], validate="in_job").collect()
+    clean = spark.createDataFrame([(2, "x")], "k int, v string")
+    assert rows(upsert.upsert_update(t, clean, ["k"], ["v"], validate="in_job")) == [(1, "a"), (2, "x")]
     assert rows(upsert.duplicate_keys(s, ["k"])) == [(2, 2)]
 
 
