@@ -530,3 +530,14 @@ def test_pg_hash_routing_on_spark(spark):
     # blank padding does not change a char key's bucket
     assert list(row_buckets([pd.Series(["a", "a   "])], ["bpchar"], 7)) == \
         list(row_buckets([pd.Series(["a", "a"])], ["bpchar"], 7))
+
+
+def test_log_appends_across_runs(spark, tmp_path):
+    from tableload.plans.runlog import append_log
+    path = str(tmp_path / "log")
+    for _ in range(2):
+        _, log = run_logged(spark, [Step("load", "t", lambda: 1 / 0)])
+        append_log(log, path)
+    back = spark.read.parquet(path)
+    assert back.count() == 2 and back.select("run_id").distinct().count() == 2
+    assert back.first()["error_message"].endswith(": ZeroDivisionError")
