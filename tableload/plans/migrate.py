@@ -7,9 +7,9 @@ put in order with ``ordered_group_collect`` first).  The run then
 
 1. loads every flagged table from its source through the declared columns, routed into
    its partitions when it has any, all-or-nothing per table (S5);
-2. registers every loaded table as a temp view under its table name, creates the given
-   SQL functions (UF1) and defines the flagged views (V1), whose definitions are Spark
-   SQL over those names;
+2. creates the given SQL functions (UF1) and defines the flagged views (V1), whose
+   definitions are Spark SQL over the loaded tables, registered as temp views under
+   their table names when there are views to define;
 3. validates keys, unique indexes (also partial ones), foreign keys, not-null rules and
    checks on the loaded tables (I7).
 
@@ -151,18 +151,18 @@ def migrate(spark: SparkSession, snapshot: dict[str, DataFrame], read_table: Rea
     failures, written, load_log = materialize_many(spark, loads, parallelism)
     loaded = {name: spark.read.parquet(path) for name, path in written.items()}
 
-    for name, df in loaded.items():
-        df.createOrReplaceTempView(name.split(".", 1)[1])
-
     logs = [load_log]
+    views = _flagged(snapshot.get("views"))
+    view_rows = views.collect() if views is not None else []
+    if view_rows:   # view definitions name the loaded tables; register them only when needed
+        for name, df in loaded.items():
+            df.createOrReplaceTempView(name.split(".", 1)[1])
     steps = [Step("create function", f.name, (lambda f=f: register_sql_function(spark, f.name, f.args, f.returns,
                                                                                  f.body) or True), None, f.body)
              for f in functions or () if f.migrate]
-    views = _flagged(snapshot.get("views"))
-    if views is not None:
-        steps += [Step("define view", f"{r['schema']}.{r['view_name']}",
-                       (lambda r=r: define_view(spark, r["view_name"], r["definition"])), r["schema"], r["definition"])
-                  for r in views.collect()]
+    steps += [Step("define view", f"{r['schema']}.{r['view_name']}",
+                   (lambda r=r: define_view(spark, r["view_name"], r["definition"])), r["schema"], r["definition"])
+              for r in view_rows]
     if steps:
         done, step_log = run_logged(spark, steps)
         failures += len(steps) - len(done)
