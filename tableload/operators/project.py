@@ -90,6 +90,9 @@ def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
     every value converted, cast to the declared types.  ``rejected`` holds one row per
     bad cell: the row's raw columns plus ``error_column``, ``error_value``, ``error_type``.
     A NULL input is never an error.  Columns not listed pass through unchanged.
+    ``good`` and ``rejected`` are two plans over the same input; when both are written,
+    checkpoint the input first (or accept a second scan) -- the rejected side is usually
+    tiny, so its write mostly re-reads and filters.
     """
     listed = dict(columns)
     if on_error not in ("fail", "quarantine"):
