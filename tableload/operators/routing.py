@@ -163,11 +163,73 @@ def validate_level(level: PartitionLevel) -> None:
                 raise ValueError(f"partitions {n1} and {n2} overlap")
 
 
+# Above this many range partitions on one key column, routing uses a binary decision
+# tree (about log2(n) comparisons per row) instead of a chain of n range tests.
+RANGE_TREE_MIN = 8
+
+
+def _literal_values(texts: list[str]) -> list | None:
+    """Python values of SQL literals, evaluated once by Spark (spec-sized, on the driver)."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    if spark is None or not texts:
+        return None
+    row = spark.sql("SELECT " + ", ".join(f"{t} AS v{i}" for i, t in enumerate(texts))).first()
+    return [row[f"v{i}"] for i in range(len(texts))]
+
+
+def _range_tree(level: PartitionLevel, key: Column, fallback: Column) -> Column | None:
+    """Range routing as a balanced tree of ``key < point`` tests over the sorted bounds.
+
+    The boundary points cut the key domain into intervals; each interval belongs to at
+    most one partition (ranges do not overlap) or to the fallback.  Returns ``None`` when
+    the bounds cannot be ordered on the driver (the caller then uses the chain).
+    """
+    parts = [p for p in level.partitions if not p.is_default]
+    texts = sorted({b.strip() for p in parts for b in p.values
+                    if not (_is_open(b, MINVALUE) or _is_open(b, MAXVALUE))})
+    try:
+        values = _literal_values(texts)
+        if values is None or any(v is None for v in values):
+            return None
+        order = sorted(range(len(texts)), key=lambda i: values[i])
+    except Exception:  # noqa: BLE001 - bounds Spark cannot evaluate or Python cannot order
+        return None
+    points = [(texts[i], values[i]) for i in order]
+    rank = {t: r for r, (t, _) in enumerate(points)}
+
+    def span(p: Partition) -> tuple[int, int]:      # covered intervals [first, last)
+        lo, hi = (b.strip() for b in p.values)
+        first = 0 if _is_open(lo, MINVALUE) else rank[lo] + 1
+        last = len(points) + 1 if _is_open(hi, MAXVALUE) else rank[hi] + 1
+        return first, last
+
+    owner: list[Column] = [fallback] * (len(points) + 1)   # interval i: [point i-1, point i)
+    for p in parts:
+        first, last = span(p)
+        for i in range(first, last):
+            owner[i] = F.lit(p.name)
+
+    def tree(lo: int, hi: int) -> Column:                 # intervals lo .. hi-1
+        if hi - lo == 1:
+            return owner[lo]
+        mid = (lo + hi) // 2                               # interval mid starts at point mid-1
+        return F.when(key < F.expr(points[mid - 1][0]), tree(lo, mid)).otherwise(tree(mid, hi))
+
+    return F.when(key.isNull(), fallback).otherwise(tree(0, len(points) + 1))
+
+
 def level_expr(level: PartitionLevel, hash_fn: HashFn = xxhash_keys) -> Column:
     """Partition name of each row for one level (NULL when nothing fits)."""
     validate_level(level)
     keys = key_columns(level.key)
     default = next((p.name for p in level.partitions if p.is_default), None)
+    if level.method == "RANGE" and len(keys) == 1 and \
+            sum(1 for p in level.partitions if not p.is_default) > RANGE_TREE_MIN:
+        fallback = F.lit(default) if default is not None else F.lit(None).cast("string")
+        routed = _range_tree(level, keys[0], fallback)
+        if routed is not None:
+            return routed
     expr = None
 
     def add(cond: Column, name: str):

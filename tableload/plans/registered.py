@@ -709,6 +709,22 @@ def q_route_range(spark, d):
     return routing.route(table(spark, d, "orders"), PRICE_RANGES).select("o_orderkey", "part")
 
 
+MANY_RANGES = PartitionLevel("RANGE", "o_totalprice", tuple(
+    Partition(f"b_{i:02d}", ("MINVALUE" if i == 0 else str(i * 12500), str((i + 1) * 12500)))
+    for i in range(40)) + (Partition("b_rest", None, True),))
+
+
+@query("route_range_many", """
+SELECT o_orderkey,
+       CASE WHEN o_totalprice >= 500000 THEN 'b_rest'
+            WHEN o_totalprice < 12500 THEN 'b_00'
+            ELSE 'b_' || lpad(CAST(CAST(floor(o_totalprice / 12500) AS BIGINT) AS VARCHAR), 2, '0') END AS part
+FROM orders""")
+def q_route_range_many(spark, d):
+    # 40 ranges: routed by a binary decision tree (about 6 comparisons per row)
+    return routing.route(table(spark, d, "orders"), MANY_RANGES).select("o_orderkey", "part")
+
+
 HASH4 = PartitionLevel("HASH", "o_orderkey", tuple(Partition(f"h_{i}", (str(i),)) for i in range(4)))
 
 

@@ -61,3 +61,26 @@ def test_declared_scan_of_orc_and_json(spark, tmp_path):
         f.write('{"n_nationkey": 1, "n_name": "x"}\n{not json\n')
     with pytest.raises(Exception):
         scan_declared(spark, "json", bad, cols).collect()
+
+
+@SETTINGS
+@given(cuts=st.lists(st.integers(min_value=1_000, max_value=500_000), min_size=9, max_size=40, unique=True),
+       drop=st.integers(min_value=0, max_value=8), with_default=st.booleans())
+def test_range_tree_equals_chain(spark, cuts, drop, with_default):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_totalprice")
+    bounds = ["MINVALUE"] + [str(c) for c in sorted(cuts)] + ["MAXVALUE"]
+    parts = [Partition(f"p{i}", (lo, hi)) for i, (lo, hi) in enumerate(zip(bounds, bounds[1:]))]
+    del parts[drop]                                     # a gap: default or reject
+    if with_default:
+        parts.append(Partition("dflt", None, True))
+    lvl = PartitionLevel("RANGE", "o_totalprice", tuple(parts))
+    assert routing._range_tree(lvl, F.col("o_totalprice"), F.lit(None)) is not None
+    tree = routing.route(orders, lvl).select("o_orderkey", F.col("part").alias("t"))
+    old = routing.RANGE_TREE_MIN
+    routing.RANGE_TREE_MIN = 10 ** 6                    # force the chain of range tests
+    try:
+        chain = routing.route(orders, lvl).select("o_orderkey", F.col("part").alias("c"))
+    finally:
+        routing.RANGE_TREE_MIN = old
+    diff = tree.join(chain, "o_orderkey").filter(~F.col("t").eqNullSafe(F.col("c")))
+    assert diff.count() == 0
