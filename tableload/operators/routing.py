@@ -256,11 +256,14 @@ def level_expr(level: PartitionLevel, hash_fn: HashFn = xxhash_keys) -> Column:
             lo, hi = (_bound_items(v) for v in p.values)
             add(not_null & _ge(keys, lo) & _lt(keys, hi), p.name)
     else:
+        # one lookup: the partition names indexed by remainder (NULL where none is declared)
         n = len(level.partitions)
-        bucket = hash_fn(keys, n)
+        by_remainder: list[str | None] = [None] * n
         for p in level.partitions:
             if p.values:
-                add(bucket == F.lit(int(p.values[0])), p.name)
+                by_remainder[int(p.values[0])] = p.name
+        names = F.array(*[F.lit(x).cast("string") for x in by_remainder])
+        return F.try_element_at(names, hash_fn(keys, n).cast("int") + F.lit(1))
     fallback = F.lit(default) if default is not None else F.lit(None).cast("string")
     return fallback if expr is None else expr.otherwise(fallback)
 
