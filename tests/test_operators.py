@@ -541,3 +541,16 @@ def test_log_appends_across_runs(spark, tmp_path):
     back = spark.read.parquet(path)
     assert back.count() == 2 and back.select("run_id").distinct().count() == 2
     assert back.first()["error_message"].endswith(": ZeroDivisionError")
+
+
+def test_apply_trigger_spec(spark):
+    from tableload.specs import TriggerSpec
+    ch = spark.createDataFrame([(1, "INSERT", 5), (2, "UPDATE", 50)], "k int, op string, v int")
+    trg = TriggerSpec("t", "BEFORE", ("UPDATE",), assignments=(("v", "v + 1"),))
+    assert rows(rewrite.apply_trigger(ch, trg), "k", "v") == [(1, 5), (2, 51)]
+    off = TriggerSpec("t", "BEFORE", ("UPDATE",), assignments=(("v", "0"),), migrate=False)
+    assert rows(rewrite.apply_trigger(ch, off), "k", "v") == [(1, 5), (2, 50)]
+    with pytest.raises(ValueError):
+        rewrite.apply_trigger(ch, TriggerSpec("t", "AFTER", ("UPDATE",), for_each_row=False))
+    with pytest.raises(ValueError):
+        rewrite.parse_events("INSERT OR TRUNCATE")
