@@ -84,3 +84,13 @@ def test_range_tree_equals_chain(spark, cuts, drop, with_default):
         routing.RANGE_TREE_MIN = old
     diff = tree.join(chain, "o_orderkey").filter(~F.col("t").eqNullSafe(F.col("c")))
     assert diff.count() == 0
+
+
+def test_declared_csv_enforces_length(spark, tmp_path):
+    path = str(tmp_path / "c.csv")
+    with open(path, "w") as f:
+        f.write("1,ok\n2,too long\n")
+    cols = [ColumnSpec("k", "int", 1), ColumnSpec("s", "varchar(3)", 2)]
+    with pytest.raises(Exception):
+        scan_declared(spark, "csv", path, cols).collect()
+    assert scan_declared(spark, "csv", path, [cols[0], ColumnSpec("s", "varchar(10)", 2)]).count() == 2
