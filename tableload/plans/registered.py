@@ -507,7 +507,7 @@ UNION ALL SELECT 'o_orderstatus', count(*) - count(o_orderstatus) FROM o
 UNION ALL SELECT 'o_totalprice', count(*) - count(o_totalprice) FROM o
 UNION ALL SELECT 'o_orderpriority', count(*) - count(o_orderpriority) FROM o""")
 def q_check_not_null(spark, d):
-    o = spark.read.parquet(f"{d}/orders.parquet").selectExpr(
+    o = table(spark, d, "orders").selectExpr(
         "o_orderkey", "nullif(o_orderstatus, 'P') AS o_orderstatus", "o_totalprice",
         "nullif(o_orderpriority, '1-URGENT') AS o_orderpriority")
     return integrity.not_null_report(o, ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
