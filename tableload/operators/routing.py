@@ -314,7 +314,12 @@ def reject_condition(scheme: PartitionScheme, part: str = "part", subpart: str =
 
 def route_or_reject(df: DataFrame, scheme: PartitionScheme | PartitionLevel, part: str = "part",
                     subpart: str = "subpart", hash_fn: HashFn = xxhash_keys) -> tuple[DataFrame, DataFrame]:
-    """``(routed, rejected)``; a default partition takes what fits nowhere else."""
+    """``(routed, rejected)``; a default partition takes what fits nowhere else.
+
+    The two results are separate plans over the input.  To load and fail on rejects in
+    one pass use :func:`tableload.plans.materialize.materialize_partitioned`; to keep
+    both sides, checkpoint the input first or accept a second scan.
+    """
     if isinstance(scheme, PartitionLevel):
         scheme = PartitionScheme(scheme)
     routed = route(df, scheme, part, subpart, hash_fn)
