@@ -14,7 +14,9 @@ Rules kept from the source database:
   error.
 * RANGE: ``[lower, upper)``; ``MINVALUE``/``MAXVALUE`` are open ends; composite keys
   compare lexicographically; a NULL key part only fits the default partition;
-  overlapping literal ranges are an error.
+  overlapping literal ranges are an error.  Strings compare by code point (the "C"
+  collation); a source column with a linguistic collation may order non-ASCII text
+  differently.
 * HASH: the modulus is the number of sibling partitions and the remainder is the
   partition's value; there is no default partition.  The default placement uses Spark's
   ``xxhash64`` (JVM-side): every key lands in exactly one bucket, but not in the bucket
