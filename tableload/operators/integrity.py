@@ -209,12 +209,18 @@ def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: s
     immediate; deferrable-but-not-deferred keys are immediate) or ``"all"``.  A failing
     constraint (bad expression, missing parent, runtime error) becomes a row with its
     ``error`` and does not stop the others.  Each constraint's result is one small row.
+    A foreign key whose parent table is part of the report must reference columns that
+    carry a declared primary key or (non-partial) unique key there, else it is an error
+    -- a metadata check, no data is read for it.
     ``parallelism > 1`` submits the independent jobs from driver threads so that Spark
     runs them side by side.
     """
     if mode not in ("all", "immediate", "deferred"):
         raise ValueError("mode must be all, immediate or deferred")
     want = (lambda t: True) if mode == "all" else (lambda t: t == mode)
+    # declared unique column sets per reported table: a foreign key must reference one
+    unique_sets = {t.name: {frozenset(k.columns) for k in t.keys if k.migrate and k.where is None}
+                   for t in tables}
     # each job: (table, [(name, kind, timing)], fn returning one count per listed item)
     jobs: list[tuple[str, list[tuple[str, str, str]], Callable[[], list]]] = []
 
@@ -237,6 +243,9 @@ def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: s
                 continue
 
             def fk_count(df=t.df, parents=t.parents, fk=fk):
+                if fk.parent in unique_sets and frozenset(fk.parent_columns) not in unique_sets[fk.parent]:
+                    raise ValueError(f'there is no unique constraint matching given keys for referenced '
+                                     f'table "{fk.parent}"')
                 parent = parents[fk.parent]
                 return total(foreign_key_violations(df, fk.columns, parent, fk.parent_columns))()
             jobs.append((t.name, [(fk.name, "FOREIGN KEY", timing)], fk_count))

@@ -639,7 +639,8 @@ def report_rules(spark, d) -> list[integrity.TableRules]:
             checks=(CheckSpec("lineitem_discount_ck", "l_discount <= 0.05"),),
             parents={"orders": orders, "part": part}),
         integrity.TableRules(
-            "customer", customer, keys=(KeySpec("customer_name_uk", ("c_name",)),),
+            "customer", customer, keys=(KeySpec("customer_pk", ("c_custkey",), primary=True),
+                                        KeySpec("customer_name_uk", ("c_name",))),
             checks=(CheckSpec("customer_bal_ck", "c_acctbal >= 0"),)),
     ]
 
@@ -672,6 +673,9 @@ UNION ALL SELECT 'lineitem', 'lineitem_part_fk', 'FOREIGN KEY', 'deferred',
           AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey)), NULL
 UNION ALL SELECT 'lineitem', 'lineitem_discount_ck', 'CHECK', 'immediate',
        (SELECT count(*) FROM lineitem WHERE NOT (l_discount <= 0.05)), NULL
+UNION ALL SELECT 'customer', 'customer_pk', 'PRIMARY KEY', 'immediate',
+       (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM customer GROUP BY c_custkey
+        HAVING count(*) > 1 OR c_custkey IS NULL)), NULL
 UNION ALL SELECT 'customer', 'customer_name_uk', 'UNIQUE', 'immediate',
        (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM customer WHERE c_name IS NOT NULL
         GROUP BY c_name HAVING count(*) > 1)), NULL

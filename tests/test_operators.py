@@ -434,6 +434,15 @@ def test_constraint_report_modes_and_isolation(spark):
     assert rep["v_not_null"]["violations"] == 1 and "nn" not in rep
     assert rows(integrity.constraint_report(spark, rules, parallelism=4)) == \
         rows(integrity.constraint_report(spark, rules))
+    parent = spark.createDataFrame([(1,)], "x int")
+    unkeyed = [integrity.TableRules("p", parent),
+               integrity.TableRules("c", df, foreign_keys=(ForeignKeySpec("fk", ("k",), "p", ("x",)),),
+                                    parents={"p": parent})]
+    err = integrity.constraint_report(spark, unkeyed).first()["error"]
+    assert "no unique constraint" in err
+    keyed = [integrity.TableRules("p", parent, keys=(KeySpec("p_pk", ("x",), primary=True),)), unkeyed[1]]
+    got = {r["constraint_name"]: r["violations"] for r in integrity.constraint_report(spark, keyed).collect()}
+    assert got == {"p_pk": 0, "fk": 0}
     deferred = integrity.constraint_report(spark, rules, mode="deferred").collect()
     assert [r["constraint_name"] for r in deferred] == ["uk_def"]
 
