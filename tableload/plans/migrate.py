@@ -7,9 +7,10 @@ put in order with ``ordered_group_collect`` first).  The run then
 
 1. loads every flagged table from its source through the declared columns, routed into
    its partitions when it has any, all-or-nothing per table (S5);
-2. creates the given SQL functions (UF1) and defines the flagged views (V1), whose
-   definitions are Spark SQL over the loaded tables, registered as temp views under
-   their table names when there are views to define;
+2. creates the given SQL functions (UF1), defines the flagged views (V1), whose
+   definitions are Spark SQL over the loaded tables (registered as temp views under
+   their table names when there are views to define), and optionally writes a clustered
+   copy per plain index (X1);
 3. validates keys, unique indexes (also partial ones), foreign keys, not-null rules and
    checks on the loaded tables (I7).
 
@@ -32,7 +33,7 @@ from ..operators.relops import ordered_group_collect
 from ..operators.rewrite import define_view
 from ..specs import (CheckSpec, ColumnSpec, ForeignKeySpec, KeySpec, Partition, PartitionLevel, PartitionScheme,
                      ordered)
-from .materialize import TableLoad, materialize_many
+from .materialize import TableLoad, clustered_copy, materialize_many
 from .runlog import LOG_SCHEMA, Step, run_logged
 
 ReadTable = Callable[[str, str, list[ColumnSpec]], DataFrame]   # (schema, source table, columns) -> rows
@@ -48,6 +49,8 @@ class TablePlan:
     keys: list[KeySpec] = field(default_factory=list)
     foreign_keys: list[ForeignKeySpec] = field(default_factory=list)
     checks: list[CheckSpec] = field(default_factory=list)
+    # non-unique indexes: (name, [(column or expression, descending)], where clause)
+    clusterings: list[tuple[str, list[tuple[str, bool]], str | None]] = field(default_factory=list)
 
     @property
     def qualified(self) -> str:
@@ -110,16 +113,22 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
                                       deferrable=bool(r["deferrable"]), deferred=bool(r["deferred"])))
 
     if snapshot.get("indexes") is not None and snapshot.get("index_columns") is not None:
-        idx = _flagged(snapshot["indexes"]).filter(F.col("uniqueness"))
-        cols = snapshot["index_columns"].join(idx.select("schema", "index_name", "table_name", "where_clause"),
-                                              ["schema", "index_name", "table_name"], "inner")
-        grouped = ordered_group_collect(cols, ["schema", "table_name", "index_name", "where_clause"], ["position"],
-                                        ["column_name"], max_elements=None)
+        idx = _flagged(snapshot["indexes"])
+        cols = snapshot["index_columns"].join(
+            idx.select("schema", "index_name", "table_name", "where_clause", "uniqueness"),
+            ["schema", "index_name", "table_name"], "inner")
+        grouped = ordered_group_collect(cols, ["schema", "table_name", "index_name", "where_clause", "uniqueness"],
+                                        ["position"], ["column_name", "descend"], max_elements=None)
         for r in grouped.collect():
             p = plans.get((r["schema"], r["table_name"]))
-            if p is not None:
-                where = r["where_clause"] if r["where_clause"] and r["where_clause"].strip() else None
+            if p is None:
+                continue
+            where = r["where_clause"] if r["where_clause"] and r["where_clause"].strip() else None
+            if r["uniqueness"]:          # a unique index is a uniqueness rule (I3)
                 p.keys.append(KeySpec(r["index_name"], tuple(r["column_name"]), False, where=where))
+            else:                        # a plain index becomes a clustered copy (X1)
+                p.clusterings.append((r["index_name"], [(c, bool(d)) for c, d in zip(r["column_name"], r["descend"])],
+                                      where))
 
     if snapshot.get("foreign_keys") is not None:
         fks = ordered_group_collect(
@@ -142,8 +151,14 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
 
 
 def migrate(spark: SparkSession, snapshot: dict[str, DataFrame], read_table: ReadTable, target_root: str,
-            parallelism: int = 1, with_data: bool = True, functions: list[FunctionSpec] | None = None):
-    """Run the whole load; returns ``(failures, log DataFrame, constraint report)``."""
+            parallelism: int = 1, with_data: bool = True, functions: list[FunctionSpec] | None = None,
+            cluster_root: str | None = None):
+    """Run the whole load; returns ``(failures, log DataFrame, constraint report)``.
+
+    With ``cluster_root`` every flagged non-unique index of a loaded table is written as
+    a clustered copy below it (``<cluster_root>/<schema>/<index name>``); each copy is a
+    full rewrite of the table, so this is opt-in.
+    """
     plans = plan_from_snapshot(snapshot)
     root = target_root.rstrip("/")
     loads = [TableLoad(p.qualified, (lambda p=p: read_table(p.schema, p.source, p.columns)),
@@ -163,6 +178,13 @@ def migrate(spark: SparkSession, snapshot: dict[str, DataFrame], read_table: Rea
     steps += [Step("define view", f"{r['schema']}.{r['view_name']}",
                    (lambda r=r: define_view(spark, r["view_name"], r["definition"])), r["schema"], r["definition"])
               for r in view_rows]
+    if cluster_root:
+        croot = cluster_root.rstrip("/")
+        steps += [Step("create index", f"{p.schema}.{name}",
+                       (lambda p=p, name=name, keys=keys, where=where: clustered_copy(
+                           loaded[p.qualified], keys, f"{croot}/{p.schema}/{name}", where=where)),
+                       p.schema, f"cluster {p.qualified} on {keys}" + (f" where {where}" if where else ""))
+                  for p in plans if p.qualified in loaded for name, keys, where in p.clusterings]
     if steps:
         done, step_log = run_logged(spark, steps)
         failures += len(steps) - len(done)

@@ -98,6 +98,8 @@ def test_plan_from_snapshot(spark):
     assert set(pt2.scheme.sub) == {"pt2_a", "pt2_b", "pt2_c"}
     assert {k.name for k in plans["sch1.t1"].keys} == {"t1_pk", "t1_idx2_unique"}
     assert {k.name for k in plans["sch1.t2"].keys} == {"t2_uk"}
+    assert plans["sch1.t1"].clusterings == [("t1_idx1_nonunique", [("c1", False)], None)]
+    assert plans["sch1.t2"].clusterings == [("t2_idx1_filtered", [("c1", False)], "(c1 = 1)")]
 
 
 def test_migrate_fixture_run(spark, tmp_path, read_table):
@@ -108,6 +110,16 @@ def test_migrate_fixture_run(spark, tmp_path, read_table):
         [("t1_pk", 0), ("t1_idx2_unique", 0), ("t2_uk", 0), ("t2_fk", 0), ("c1_not_null", 0), ("t2_ck", 0),
          ("pt1_pk", 0), ("c1_not_null", 0), ("pt2_pk", 0), ("r1_not_null", 0), ("h1_not_null", 0)])
     assert rows(spark.table("v1")) == [(10,), (20,), (30,), (40,), (50,)]
+    assert not os.path.exists(tmp_path / "idx")          # clustered copies are opt-in
+
+
+def test_migrate_writes_clustered_index_copies(spark, tmp_path, read_table):
+    failures, log, _ = migrate(spark, snapshot(spark), read_table, str(tmp_path / "db"), functions=FUNCTIONS,
+                               cluster_root=str(tmp_path / "idx"))
+    assert failures == 0
+    assert rows(spark.read.parquet(str(tmp_path / "idx" / "sch1" / "t1_idx1_nonunique"))) == [(i,) for i in range(1, 6)]
+    assert spark.read.parquet(str(tmp_path / "idx" / "sch1" / "t2_idx1_filtered")).count() == 0
+    assert not os.path.exists(tmp_path / "idx" / "sch1" / "t1_idx3_ignored")
     pt1 = spark.read.parquet(str(tmp_path / "db" / "part1" / "pt1"))
     assert rows(pt1.select("part", "c1")) == [("pt1_1", 1), ("pt1_def", 0), ("pt1_def", 2)]
 
