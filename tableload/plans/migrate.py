@@ -32,7 +32,7 @@ from ..operators.integrity import TableRules, constraint_report
 from ..operators.relops import ordered_group_collect
 from ..operators.rewrite import define_view
 from ..specs import (CheckSpec, ColumnSpec, ForeignKeySpec, KeySpec, Partition, PartitionLevel, PartitionScheme,
-                     ordered)
+                     SequenceSpec, ordered)
 from .materialize import TableLoad, clustered_copy, materialize_many
 from .runlog import LOG_SCHEMA, Step, run_logged
 
@@ -150,6 +150,22 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
     return list(plans.values())
 
 
+def sequences_from_snapshot(snapshot: dict[str, DataFrame]) -> dict[str, SequenceSpec]:
+    """``schema.sequence_name`` -> :class:`SequenceSpec` for every sequence of the snapshot.
+
+    Sequences have no flag: all are returned.  Use them with
+    :func:`tableload.operators.sequences.assign_sequence`; numbering resumes after the
+    catalogued last value.
+    """
+    seqs = snapshot.get("sequences")
+    if seqs is None:
+        return {}
+    return {f"{r['schema']}.{r['sequence_name']}": SequenceSpec(
+                r["sequence_name"], int(r["increment_by"]), int(r["last_value"]),
+                r["min_value"], r["max_value"], bool(r["cyclical"]))
+            for r in seqs.collect()}
+
+
 def migrate(spark: SparkSession, snapshot: dict[str, DataFrame], read_table: ReadTable, target_root: str,
             parallelism: int = 1, with_data: bool = True, functions: list[FunctionSpec] | None = None,
             cluster_root: str | None = None):

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableload.functions.sqlfuncs import FunctionSpec
-from tableload.plans.migrate import migrate, plan_from_snapshot
+from tableload.plans.migrate import migrate, plan_from_snapshot, sequences_from_snapshot
+from tableload.operators.sequences import assign_sequence
 from tableload.sources import scan_delimited
 
 from .conftest import rows
@@ -142,3 +143,14 @@ def test_migrate_logs_failures_and_goes_on(spark, tmp_path, read_table):
     assert failures == 2 and ops == ["define view", "materialize table"]
     assert os.path.exists(tmp_path / "db2" / "sch1" / "t1")
     assert not os.path.exists(tmp_path / "db2" / "sch1" / "t3")
+
+
+def test_sequences_from_snapshot(spark):
+    seqs = spark.createDataFrame(
+        [("sch1", "seq1", 1, 100, 1, False, 10, 1, 1), ("sch1", "seq2", 1, 100, 10, False, 1, 10, 10)],
+        "schema string, sequence_name string, min_value bigint, max_value bigint, increment_by bigint, "
+        "cyclical boolean, cache_size int, last_value bigint, orig_value bigint")
+    specs = sequences_from_snapshot({"sequences": seqs})
+    rows_ = spark.range(3).toDF("k")
+    assert [r["id"] for r in assign_sequence(rows_, ["k"], specs["sch1.seq1"]).orderBy("k").collect()] == [2, 3, 4]
+    assert [r["id"] for r in assign_sequence(rows_, ["k"], specs["sch1.seq2"]).orderBy("k").collect()] == [20, 30, 40]
