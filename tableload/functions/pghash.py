@@ -7,8 +7,8 @@ column, combined column by column; NULL key columns are skipped.  Supported key
 ``smallint``/``int`` (hashed as a 32-bit value), ``bigint`` (folded to 32 bits first) and
 ``text``/``varchar``/``char`` (hashed over the UTF-8 bytes).
 
-This is the slow path: it runs as an Arrow-batched pandas UDF (vectorised with numpy for
-integers, a small per-value loop for text).  Spark's ``xxhash64`` placement stays the
+This is the slow path: it runs as an Arrow-batched pandas UDF, vectorised with numpy
+(text values are hashed in groups of equal byte length).  Spark's ``xxhash64`` placement stays the
 default; use this only when placements must match the source database.
 """
 
@@ -80,6 +80,78 @@ def hash_bytes(data: bytes, seed: int = PARTITION_SEED) -> int:
     return (b << 32) | c
 
 
+def _rot_v(x: np.ndarray, k: int) -> np.ndarray:
+    return (x << np.uint32(k)) | (x >> np.uint32(32 - k))
+
+
+def _mix_v(a, b, c):
+    a -= c; a ^= _rot_v(c, 4); c += b        # noqa: E702
+    b -= a; b ^= _rot_v(a, 6); a += c        # noqa: E702
+    c -= b; c ^= _rot_v(b, 8); b += a        # noqa: E702
+    a -= c; a ^= _rot_v(c, 16); c += b       # noqa: E702
+    b -= a; b ^= _rot_v(a, 19); a += c       # noqa: E702
+    c -= b; c ^= _rot_v(b, 4); b += a        # noqa: E702
+    return a, b, c
+
+
+def _final_v(a, b, c):
+    c ^= b; c -= _rot_v(b, 14)      # noqa: E702
+    a ^= c; a -= _rot_v(c, 11)      # noqa: E702
+    b ^= a; b -= _rot_v(a, 25)      # noqa: E702
+    c ^= b; c -= _rot_v(b, 16)      # noqa: E702
+    a ^= c; a -= _rot_v(c, 4)       # noqa: E702
+    b ^= a; b -= _rot_v(a, 14)      # noqa: E702
+    c ^= b; c -= _rot_v(b, 24)      # noqa: E702
+    return a, b, c
+
+
+def _le_word(block: np.ndarray) -> np.ndarray:
+    """Little-endian 32-bit words from the (rows x 1..4) byte columns of a block."""
+    w = np.zeros(block.shape[0], dtype=np.uint32)
+    for j in range(block.shape[1]):
+        w |= block[:, j].astype(np.uint32) << np.uint32(8 * j)
+    return w
+
+
+def hash_bytes_many(values: list[bytes], seed: int = PARTITION_SEED) -> np.ndarray:
+    """:func:`hash_bytes` for many byte strings at once.
+
+    Strings of equal length are hashed together: their bytes form a matrix and every
+    12-byte block is mixed for all rows in one numpy step, so the Python work grows with
+    the number of distinct lengths, not with the number of values.
+    """
+    out = np.zeros(len(values), dtype=np.uint64)
+    if not values:
+        return out
+    lengths = np.fromiter((len(v) for v in values), dtype=np.int64, count=len(values))
+    with np.errstate(over="ignore"):
+        for length in np.unique(lengths):
+            idx = np.flatnonzero(lengths == length)
+            n, size = len(idx), int(length)
+            buf = np.frombuffer(b"".join(values[i] for i in idx), dtype=np.uint8).reshape(n, size)
+            a0, b0, c0 = _start(size, seed)
+            a = np.full(n, a0, dtype=np.uint32)
+            b = np.full(n, b0, dtype=np.uint32)
+            c = np.full(n, c0, dtype=np.uint32)
+            pos = 0
+            while size - pos >= 12:
+                a += _le_word(buf[:, pos:pos + 4])
+                b += _le_word(buf[:, pos + 4:pos + 8])
+                c += _le_word(buf[:, pos + 8:pos + 12])
+                a, b, c = _mix_v(a, b, c)
+                pos += 12
+            tail = buf[:, pos:]
+            if tail.shape[1] > 0:
+                a += _le_word(tail[:, 0:4])
+            if tail.shape[1] > 4:
+                b += _le_word(tail[:, 4:8])
+            if tail.shape[1] > 8:
+                c += _le_word(tail[:, 8:11]) << np.uint32(8)
+            a, b, c = _final_v(a, b, c)
+            out[idx] = (b.astype(np.uint64) << np.uint64(32)) | c.astype(np.uint64)
+    return out
+
+
 def hash_uint32(values: np.ndarray, seed: int = PARTITION_SEED) -> np.ndarray:
     """Vectorised seeded 64-bit hash of 32-bit values."""
     a0, b0, c0 = _start(4, seed)
@@ -143,9 +215,8 @@ def row_buckets(columns: list[pd.Series], kinds: list[str], modulus: int) -> pd.
             strip = kind == "bpchar"
             h = np.zeros(n, dtype=np.uint64)
             idx = np.flatnonzero(valid)
-            h[idx] = np.fromiter(
-                (hash_bytes((str(s.iat[i]).rstrip(" ") if strip else str(s.iat[i])).encode("utf-8")) for i in idx),
-                dtype=np.uint64, count=len(idx))
+            data = [(str(s.iat[i]).rstrip(" ") if strip else str(s.iat[i])).encode("utf-8") for i in idx]
+            h[idx] = hash_bytes_many(data)
         else:
             vals = s.fillna(0).to_numpy(dtype=np.int64)
             h = hash_uint32(vals.astype(np.uint32) if kind == "int32" else fold_int64(vals))

@@ -563,3 +563,13 @@ def test_apply_trigger_spec(spark):
         rewrite.apply_trigger(ch, TriggerSpec("t", "AFTER", ("UPDATE",), for_each_row=False))
     with pytest.raises(ValueError):
         rewrite.parse_events("INSERT OR TRUNCATE")
+
+
+def test_pg_hash_text_vectorised_matches_scalar():
+    import random
+
+    from tableload.functions import pghash as H
+    rnd = random.Random(7)
+    alphabet = "abcXYZ 0129äöü€\t"
+    values = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))).encode("utf-8") for _ in range(500)]
+    assert list(H.hash_bytes_many(values)) == [H.hash_bytes(v) for v in values]
