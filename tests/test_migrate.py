@@ -170,6 +170,8 @@ def test_run_migration_script(spark, tmp_path):
     mod_spec = importlib.util.spec_from_file_location("run_migration", path)
     mod = importlib.util.module_from_spec(mod_spec)
     mod_spec.loader.exec_module(mod)
+    for f in ("multiply", "divide"):                 # other tests may have created them
+        spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {f}")
     target = tmp_path / "target"
     status = mod.main(["--snapshot", str(snap_dir), "--source", str(src) + "/{schema}/{table}.dat",
                        "--format", "copy", "--target", str(target), "--parallelism", "2"])
