@@ -58,7 +58,10 @@ def before_row(changes: DataFrame, events: Sequence[str], assignments: Sequence[
     Only rows whose ``op`` is one of ``events`` and whose ``when`` condition is TRUE are
     touched.  ``assignments`` are applied in order, each seeing the previous ones (as
     ``NEW.a := ...; NEW.b := f(NEW.a)`` would); a NULL ``when`` result leaves the row
-    unchanged.  ``drop_if`` TRUE drops the row (the trigger returned NULL).
+    unchanged.  ``drop_if`` TRUE drops the row (the trigger returned NULL).  Conditions
+    and assignments may use any column of the change set, so an UPDATE change set that
+    carries the previous values in extra columns (say ``old_c1``) supports rules such as
+    ``when="c1 <> old_c1"``.
     """
     evs = _events(events)
     active_col = "_trg_active"
