@@ -4,6 +4,9 @@ All writes are all-or-nothing: the job writes into a fresh staging directory nex
 the target and the staging directory is renamed onto the target only after the job
 committed.  A failed job (bad value, row fitting no partition, lost executors beyond
 the retry budget) leaves no target behind.  The target must not exist beforehand.
+The rename is atomic on HDFS-like file systems; on object stores it is a copy, so there
+a reader can see the target appear gradually (a table format with atomic commits avoids
+that).  Tables are written as Parquet unless another file format is given.
 """
 
 from __future__ import annotations
@@ -63,10 +66,10 @@ def _publish(spark: SparkSession, write: Callable[[str], None], path: str) -> st
 
 # --------------------------------------------------------------------------- S3
 
-def materialize_table(df: DataFrame, path: str, with_data: bool = True) -> str:
-    """S3: copy a whole table to Parquet at ``path`` (or only its shape, ``with_data=False``)."""
+def materialize_table(df: DataFrame, path: str, with_data: bool = True, fmt: str = "parquet") -> str:
+    """S3: copy a whole table to ``path`` (or only its shape, ``with_data=False``)."""
     src = df if with_data else df.limit(0)
-    return _publish(df.sparkSession, lambda p: src.write.parquet(p), path)
+    return _publish(df.sparkSession, lambda p: src.write.format(fmt).save(p), path)
 
 
 # --------------------------------------------------------------------------- S4
@@ -85,7 +88,7 @@ def assert_routed(routed: DataFrame, scheme: PartitionScheme, part: str = "part"
 
 def materialize_partitioned(df: DataFrame, scheme: PartitionScheme | PartitionLevel, path: str,
                             with_data: bool = True, hash_fn: HashFn = xxhash_keys,
-                            part: str = "part", subpart: str = "subpart") -> str:
+                            part: str = "part", subpart: str = "subpart", fmt: str = "parquet") -> str:
     """Route rows to partitions and write them as ``part=/subpart=`` directories.
 
     A single row that fits nowhere fails the whole table.  The ``REBALANCE`` hint lets
@@ -100,13 +103,13 @@ def materialize_partitioned(df: DataFrame, scheme: PartitionScheme | PartitionLe
     cols = [part, subpart] if two else [part]
     src = routed if with_data else routed.limit(0)
     out = src.hint("rebalance", *cols)
-    return _publish(df.sparkSession, lambda p: out.write.partitionBy(*cols).parquet(p), path)
+    return _publish(df.sparkSession, lambda p: out.write.partitionBy(*cols).format(fmt).save(p), path)
 
 
 # --------------------------------------------------------------------------- X1
 
 def clustered_copy(df: DataFrame, keys: Sequence[str | tuple[str, bool]], path: str,
-                   where: str | None = None, num_partitions: int | None = None) -> str:
+                   where: str | None = None, num_partitions: int | None = None, fmt: str = "parquet") -> str:
     """A copy range-clustered and sorted on ``keys`` (Parquet min/max stats then
     skip row groups on selective reads).  ``where`` keeps only the covered rows.
 
@@ -125,7 +128,7 @@ def clustered_copy(df: DataFrame, keys: Sequence[str | tuple[str, bool]], path:
     ranged = src.repartitionByRange(num_partitions, *order, tiebreak) if num_partitions \
         else src.repartitionByRange(*order, tiebreak)
     out = ranged.sortWithinPartitions(*order)
-    return _publish(spark, lambda p: out.write.parquet(p), path)
+    return _publish(spark, lambda p: out.write.format(fmt).save(p), path)
 
 
 # --------------------------------------------------------------------------- S5

@@ -573,3 +573,11 @@ def test_pg_hash_text_vectorised_matches_scalar():
     alphabet = "abcXYZ 0129äöü€\t"
     values = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))).encode("utf-8") for _ in range(500)]
     assert list(H.hash_bytes_many(values)) == [H.hash_bytes(v) for v in values]
+
+
+def test_materialize_as_orc(spark, tmp_target):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, s string")
+    path = mat.materialize_partitioned(df, PartitionLevel("LIST", "k", (Partition("one", ("1",)),
+                                                                        Partition("other", None, True))),
+                                       tmp_target, fmt="orc")
+    assert rows(spark.read.orc(path), "k", "part") == [(1, "one"), (2, "other")]
