@@ -49,7 +49,8 @@ def not_null_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string, nulls bigint")
     wide = df.agg(*[F.count_if(_q(c).isNull()).cast("bigint").alias(f"n{i}") for i, c in enumerate(cols)])
-    pairs = ", ".join(f"'{c}', n{i}" for i, c in enumerate(cols))
+    pairs = ", ".join("'{}', n{}".format(c.replace("\\", "\\\\").replace("'", "\\'"), i)
+                      for i, c in enumerate(cols))
     return wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, nulls)")
 
 

@@ -169,7 +169,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
     for i, f in enumerate(fields):
         prec = f"{f.dataType.precision}L" if isinstance(f.dataType, T.DecimalType) else "CAST(NULL AS BIGINT)"
         scale = f"{f.dataType.scale}L" if isinstance(f.dataType, T.DecimalType) else "CAST(NULL AS BIGINT)"
-        name = f.name.replace("'", "\\'")
+        name = f.name.replace("\\", "\\\\").replace("'", "\\'")
         rows.append(f"{i + 1}L, '{name}', '{_base_type_name(f.dataType)}', l{i}, {prec}, {scale}, n{i}")
     stacked = wide.selectExpr(
         f"stack({len(fields)}, {', '.join(rows)}) AS (position, column_name, type_name, length, precision, scale, nulls)")

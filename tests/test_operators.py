@@ -581,3 +581,12 @@ def test_materialize_as_orc(spark, tmp_target):
                                                                         Partition("other", None, True))),
                                        tmp_target, fmt="orc")
     assert rows(spark.read.orc(path), "k", "part") == [(1, "one"), (2, "other")]
+
+
+def test_not_null_report_odd_column_names(spark):
+    df = spark.createDataFrame([(None, 1)], "`it's` int, `a\\b` int")
+    got = dict(rows(integrity.not_null_report(df, ["it's", "a\\b"])))
+    assert got == {"it's": 1, "a\\b": 0}
+
+    prof = {r["column_name"]: r["nullable"] for r in project.profile_columns(df).collect()}
+    assert prof == {"it's": True, "a\\b": False}
