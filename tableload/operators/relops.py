@@ -56,7 +56,9 @@ def explode_with_position(df: DataFrame, arr: str | Column, pos: str = "pos", va
 def orphans(child: DataFrame, child_cols: Sequence[str], parent: DataFrame,
             parent_cols: Sequence[str]) -> DataFrame:
     """Child rows with no parent (anti join).  Rows with any NULL key part are not
-    orphans (a bare anti join would report them)."""
+    orphans (a bare anti join would report them).  AQE broadcasts the parent keys when
+    they are small; for a count of orphans per key, ``foreign_key_violations`` also
+    avoids shuffling a huge parent for a small child."""
     c = child.filter(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in child_cols)))
     p = parent.select(*[_q(k).alias(f"_p{i}") for i, k in enumerate(parent_cols)])
     cond = [_q(k) == F.col(f"_p{i}") for i, k in enumerate(child_cols)]
