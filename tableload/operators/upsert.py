@@ -25,12 +25,29 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
             .filter(F.col("rows") > 1))
 
 
-def require_unique_source(source: DataFrame, keys: Sequence[str], show: int = 20) -> None:
-    """Raise when a source key occurs twice (an upsert would change a row twice)."""
-    sample = duplicate_keys(source, keys).limit(show).collect()
+# An upsert whose source has at most this many keys broadcasts them (the count is
+# measured first) and leaves the rest of the target unshuffled.
+SMALL_SOURCE_KEYS = 2_000_000
+
+
+def source_key_census(source: DataFrame, keys: Sequence[str], show: int = 20) -> tuple[int, list]:
+    """Number of distinct source keys and up to ``show`` duplicated ones, in one
+    aggregation over the key columns (a second, small job only when duplicates exist)."""
+    g = source.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows"))
+    stats = g.agg(F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("rows") > 1).alias("n_dup")).first()
+    dups = g.filter(F.col("rows") > 1).limit(show).collect() if stats["n_dup"] else []
+    return int(stats["n_keys"]), dups
+
+
+def require_unique_source(source: DataFrame, keys: Sequence[str], show: int = 20) -> int:
+    """Raise when a source key occurs twice (an upsert would change a row twice).
+
+    Returns the number of distinct source keys (measured in the same job)."""
+    n_keys, sample = source_key_census(source, keys, show)
     if sample:
         listed = ", ".join(str(tuple(r[k] for k in keys)) for r in sample)
         raise ValueError(f"source has duplicate keys {tuple(keys)}: {listed}")
+    return n_keys
 
 
 def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -65,12 +82,34 @@ def upsert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   insert_defaults: dict[str, str] | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING`` for whole tables.
 
-    Existing rows win; source rows with new keys are added (one per key); target
-    columns missing from the source take ``insert_defaults`` (SQL text) or NULL.
+    Existing rows win; source rows with new keys are added (one per key, the smallest
+    row); a source row with a NULL key part conflicts with nothing and is added as it
+    is; target columns missing from the source take ``insert_defaults`` (SQL text) or
+    NULL.
     """
     types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
-    fresh = one_row_per_key(source, keys).join(
-        target.select(*[_q(k) for k in keys]), list(keys), "left_anti")
+    others = [c for c in source.columns if c not in keys]
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & _q(k).isNotNull()
+    keyless = source.filter(~has_key)        # a NULL key never conflicts: always inserted
+    source = source.filter(has_key)
+    if others:
+        agg = source.groupBy(*[_q(k) for k in keys]).agg(F.min(F.struct(*[_q(c) for c in others])).alias("_row"))
+        src = agg.select(*[_q(k) for k in keys], *[F.col("_row")[c].alias(c) for c in others])
+        # referencing the aggregated row keeps this use identical to the one above, so the
+        # de-duplication runs once and both read the same exchange
+        used = agg.filter(F.col("_row").isNotNull())
+    else:
+        src = used = source.select(*[_q(k) for k in keys]).distinct()
+    # target keys that the source also has: the target is the streamed side of a semi join
+    # against the source keys, so a small source is broadcast and a huge target is only
+    # scanned
+    probe = used.select(*[_q(k).alias(f"_s{i}") for i, k in enumerate(keys)])
+    taken = target.select(*[_q(k).alias(f"_t{i}") for i, k in enumerate(keys)]).join(
+        probe, [F.col(f"_t{i}") == F.col(f"_s{i}") for i in range(len(keys))], "left_semi")
+    fresh = src.join(taken, [_q(k) == F.col(f"_t{i}") for i, k in enumerate(keys)], "left_anti")
+    fresh = fresh.unionByName(keyless.select(*src.columns))
     return target.unionByName(_fill(fresh, target.columns, types, insert_defaults))
 
 
@@ -102,18 +141,35 @@ def upsert_update(target: DataFrame, source: DataFrame, keys: Sequence[str], upd
     * target-only key: kept unchanged (a refresh never deletes).
 
     Presence of each side is tracked with marker columns, so a NULL value is never
-    mistaken for a missing row.  A duplicated source key is an error.  By default
+    mistaken for a missing row.  When the source has at most ``SMALL_SOURCE_KEYS`` keys
+    (counted by the duplicate check), their keys are broadcast and only the target rows
+    sharing them are merged; the others pass through without being shuffled.  Otherwise
+    both sides meet in one full outer join on the keys.  A duplicated source key is an error.  By default
     (``validate="eager"``) U3 runs first: a partial aggregation over the key columns
     only, safe however skewed the keys are, that lists up to 20 offending keys.
     ``validate="in_job"`` checks inside the upsert's own job instead
     (:func:`fail_on_duplicate_keys`: no extra scan or shuffle, for sources expected to be
     unique); ``validate=False`` trusts the source.
     """
+    n_keys = None
     if validate == "in_job":
         source = fail_on_duplicate_keys(source, keys)
     elif validate:
-        require_unique_source(source, keys)
+        n_keys = require_unique_source(source, keys)
     insert_defaults = insert_defaults or {}
+    if n_keys is not None and n_keys <= SMALL_SOURCE_KEYS:
+        # measured small: only target rows with a source key take part in the merge; the
+        # rest pass through untouched, so the target is scanned but never shuffled
+        skeys = F.broadcast(source.select(*[_q(k) for k in keys]))
+        touched = target.join(skeys, list(keys), "left_semi")
+        untouched = target.join(skeys, list(keys), "left_anti")
+        return untouched.unionByName(_merge(touched, source, keys, update_cols, insert_defaults))
+    return _merge(target, source, keys, update_cols, insert_defaults)
+
+
+def _merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
+           insert_defaults: dict[str, str]) -> DataFrame:
+    """Full outer join on the keys with presence markers (the core of U2)."""
     t = target.select(*[_q(c).alias(f"_t_{c}") for c in target.columns], F.lit(True).alias("_t_in"))
     s = source.select(*[_q(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_s_in"))
     cond = [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in keys]

@@ -590,3 +590,28 @@ def test_not_null_report_odd_column_names(spark):
 
     prof = {r["column_name"]: r["nullable"] for r in project.profile_columns(df).collect()}
     assert prof == {"it's": True, "a\\b": False}
+
+
+def test_upsert_update_small_source_plan_equals_full_join(spark):
+    target = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"),
+                                      F.lit("keep").alias("note"))
+    target = target.unionByName(spark.createDataFrame([(None, -1, "null key")], "k bigint, v bigint, note string"))
+    source = spark.range(1500, 2600, 3).select(F.col("id").alias("k"), F.lit(7).cast("bigint").alias("v"))
+    source = source.unionByName(spark.createDataFrame([(None, 9)], "k bigint, v bigint"))
+    small = upsert.upsert_update(target, source, ["k"], ["v"], insert_defaults={"note": "'new'"})
+    old = upsert.SMALL_SOURCE_KEYS
+    upsert.SMALL_SOURCE_KEYS = 0                       # force one full outer join
+    try:
+        full = upsert.upsert_update(target, source, ["k"], ["v"], insert_defaults={"note": "'new'"})
+        assert rows(small) == rows(full)
+    finally:
+        upsert.SMALL_SOURCE_KEYS = old
+    assert small.count() == 2001 + 200 + 1            # target + new keys (2001..2598 step 3) + NULL-key row
+    ignore = upsert.upsert_ignore(target, source, ["k"], insert_defaults={"note": "'new'"})
+    assert ignore.filter("k >= 2000").count() == 200 and ignore.filter("k = 1500").first()["v"] == 15000
+
+
+def test_upsert_ignore_null_keys_never_conflict(spark):
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    s = spark.createDataFrame([(None, "x"), (None, "y"), (1, "z")], "k int, v string")
+    assert rows(upsert.upsert_ignore(t, s, ["k"])) == [(1, "a"), (None, "x"), (None, "y")]
