@@ -1,10 +1,12 @@
 """Keyed upserts of table snapshots: insert-or-ignore (U1), insert-or-update (U2), and the
 duplicate-source check (U3).
 
-Both upserts are set-based: one shuffle join on the keys, no per-row lookups.  Parquet
-tables have no ``MERGE``; the result is a new DataFrame to be written as the next
-snapshot.  Keys are unique on the target (a primary key) and made unique on the source
-(U1 picks one row per key, U2 refuses duplicates), so a key cannot be hot on either side.
+Both upserts are set-based joins on the keys, no per-row lookups.  Parquet tables have no
+``MERGE``; the result is a new DataFrame to be written as the next snapshot.  Keys are
+unique on the target (a primary key) and made unique on the source (U1 picks one row
+per key, U2 refuses duplicates), so a key cannot be hot on either side.  A small source
+(the common incremental load) never makes the whole target move: its keys are
+broadcast and the target is only scanned.
 """
 
 from __future__ import annotations
