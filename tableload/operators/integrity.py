@@ -96,35 +96,34 @@ def unique_violations(df: DataFrame, key_exprs: Sequence[str] | dict[str, str],
 # --------------------------------------------------------------------------- I4
 
 def foreign_key_violations(child: DataFrame, child_cols: Sequence[str], parent: DataFrame,
-                           parent_cols: Sequence[str]) -> DataFrame:
+                           parent_cols: Sequence[str], reduce_parent: bool = False) -> DataFrame:
     """I4: child keys without a parent row, with how many child rows carry them.
 
     MATCH SIMPLE: a child row with any NULL key part is exempt.  Columns are paired by
     position.  The child side is aggregated to distinct keys first (partial aggregation,
-    so a hot key shrinks to one row per task before anything is shuffled).  The parent is
-    then reduced to the keys the child uses (a semi join with the parent streamed, so
-    AQE can broadcast a small set of child keys and never shuffle a huge parent), and the
-    child keys are looked up in that result with a left outer join keeping the misses (an
-    anti join here would be pushed below the aggregation by the optimizer, shuffling every
-    child row again).  The aggregated child keys are computed once and reused.  For a
-    whole-table check (child at least as large as the parent) the reduction costs one
-    more merge pass over the distinct keys but no extra network; for a small child
-    against a huge parent it saves shuffling the parent's key column.  On tiny tables the
-    extra stages show as fixed overhead (about half a second locally).
+    so a hot key shrinks to one row per task before anything is shuffled), then looked
+    up in the parent keys with a left outer join keeping the misses (an anti join here
+    would be pushed below the aggregation by the optimizer, shuffling every child row
+    again).  AQE broadcasts the parent keys when they turn out small.
+
+    ``reduce_parent=True`` is for checking a small set of child rows (an incremental
+    batch) against a huge parent: the parent is first reduced to the keys the child uses
+    by a semi join with the parent streamed, so the small child keys are broadcast and
+    the parent's key column is scanned instead of shuffled.  For whole-table checks it
+    only adds stages, so it is off by default.
     """
     keys = (child.filter(_all_set(child_cols)).groupBy(*[_q(c) for c in child_cols])
             .agg(F.count(F.lit(1)).alias("rows")))
-    # 1. the parent keys some child uses: the parent is the streamed side, so a small set
-    #    of child keys can be broadcast and a huge parent is only scanned, never shuffled
-    #    (the always-true count test keeps the aggregate identical to the one below, so
-    #    both read the same exchange instead of aggregating the child twice)
-    used = keys.select(*[_q(c).alias(f"_u{i}") for i, c in enumerate(child_cols)], F.col("rows").alias("_urows"))
     p = parent.select(*[_q(c).alias(f"_p{i}") for i, c in enumerate(parent_cols)])
-    on = [F.col(f"_p{i}") == F.col(f"_u{i}") for i in range(len(child_cols))] + [F.col("_urows") > 0]
-    present = p.join(used, on, "left_semi")
-    # 2. child keys without such a parent key (a left join keeping the misses)
+    if reduce_parent:
+        # the always-true count test keeps this aggregate identical to the one used for the
+        # lookup, so both read the same exchange instead of aggregating the child twice
+        used = keys.select(*[_q(c).alias(f"_u{i}") for i, c in enumerate(child_cols)],
+                           F.col("rows").alias("_urows"))
+        on = [F.col(f"_p{i}") == F.col(f"_u{i}") for i in range(len(child_cols))] + [F.col("_urows") > 0]
+        p = p.join(used, on, "left_semi")
     cond = [_q(c) == F.col(f"_p{i}") for i, c in enumerate(child_cols)]
-    hits = keys.join(present, cond, "left")
+    hits = keys.join(p, cond, "left")
     return hits.filter(F.col("_p0").isNull()).select(*[_q(c) for c in child_cols], "rows")
 
 

@@ -81,13 +81,17 @@ def _fill(df: DataFrame, columns: Sequence[str], types: dict[str, str],
 
 
 def upsert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                  insert_defaults: dict[str, str] | None = None) -> DataFrame:
+                  insert_defaults: dict[str, str] | None = None, reduce_target: bool = False) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING`` for whole tables.
 
     Existing rows win; source rows with new keys are added (one per key, the smallest
     row); a source row with a NULL key part conflicts with nothing and is added as it
     is; target columns missing from the source take ``insert_defaults`` (SQL text) or
-    NULL.
+    NULL.  The de-duplicated source is anti-joined to the target keys (AQE broadcasts
+    them when small).  ``reduce_target=True`` is for a small source against a huge target:
+    the target keys are first reduced to those the source has, by a semi join with the
+    target streamed, so the source keys are broadcast and the target's key column is
+    scanned instead of shuffled; for sources of the target's size it only adds stages.
     """
     types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
     others = [c for c in source.columns if c not in keys]
@@ -99,17 +103,18 @@ def upsert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if others:
         agg = source.groupBy(*[_q(k) for k in keys]).agg(F.min(F.struct(*[_q(c) for c in others])).alias("_row"))
         src = agg.select(*[_q(k) for k in keys], *[F.col("_row")[c].alias(c) for c in others])
-        # referencing the aggregated row keeps this use identical to the one above, so the
-        # de-duplication runs once and both read the same exchange
+        # for reduce_target: referencing the aggregated row keeps this use identical to the
+        # one above, so the de-duplication runs once and both read the same exchange
         used = agg.filter(F.col("_row").isNotNull())
     else:
         src = used = source.select(*[_q(k) for k in keys]).distinct()
-    # target keys that the source also has: the target is the streamed side of a semi join
-    # against the source keys, so a small source is broadcast and a huge target is only
-    # scanned
-    probe = used.select(*[_q(k).alias(f"_s{i}") for i, k in enumerate(keys)])
-    taken = target.select(*[_q(k).alias(f"_t{i}") for i, k in enumerate(keys)]).join(
-        probe, [F.col(f"_t{i}") == F.col(f"_s{i}") for i in range(len(keys))], "left_semi")
+    taken = target.select(*[_q(k).alias(f"_t{i}") for i, k in enumerate(keys)])
+    if reduce_target:
+        # target keys that the source also has: the target is the streamed side of a semi
+        # join against the source keys, so a small source is broadcast and a huge target
+        # is only scanned
+        probe = used.select(*[_q(k).alias(f"_s{i}") for i, k in enumerate(keys)])
+        taken = taken.join(probe, [F.col(f"_t{i}") == F.col(f"_s{i}") for i in range(len(keys))], "left_semi")
     fresh = src.join(taken, [_q(k) == F.col(f"_t{i}") for i, k in enumerate(keys)], "left_anti")
     fresh = fresh.unionByName(keyless.select(*src.columns))
     return target.unionByName(_fill(fresh, target.columns, types, insert_defaults))

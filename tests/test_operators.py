@@ -615,3 +615,15 @@ def test_upsert_ignore_null_keys_never_conflict(spark):
     t = spark.createDataFrame([(1, "a")], "k int, v string")
     s = spark.createDataFrame([(None, "x"), (None, "y"), (1, "z")], "k int, v string")
     assert rows(upsert.upsert_ignore(t, s, ["k"])) == [(1, "a"), (None, "x"), (None, "y")]
+
+
+def test_opt_in_reductions_give_the_same_results(spark):
+    child = spark.range(300).select((F.col("id") % 40).alias("k"))
+    parent = spark.range(0, 1000, 3).toDF("pk")
+    plain = integrity.foreign_key_violations(child, ["k"], parent, ["pk"])
+    reduced = integrity.foreign_key_violations(child, ["k"], parent, ["pk"], reduce_parent=True)
+    assert rows(plain) == rows(reduced) and plain.count() == 26
+    target = spark.range(0, 5000, 2).select(F.col("id").alias("k"), F.lit("t").alias("v"))
+    source = spark.range(4990, 5010).select(F.col("id").alias("k"), F.lit("s").alias("v"))
+    assert rows(upsert.upsert_ignore(target, source, ["k"])) == \
+        rows(upsert.upsert_ignore(target, source, ["k"], reduce_target=True))
