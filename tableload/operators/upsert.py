@@ -27,29 +27,35 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
             .filter(F.col("rows") > 1))
 
 
-# An upsert whose source has at most this many keys broadcasts them (the count is
-# measured first) and leaves the rest of the target unshuffled.
+# An upsert whose source keys are at most this many, and this large in total, broadcasts
+# them (both are measured first) and leaves the rest of the target unshuffled.
 SMALL_SOURCE_KEYS = 2_000_000
+SMALL_SOURCE_KEY_BYTES = 256 * 1024 * 1024
 
 
-def source_key_census(source: DataFrame, keys: Sequence[str], show: int = 20) -> tuple[int, list]:
-    """Number of distinct source keys and up to ``show`` duplicated ones, in one
-    aggregation over the key columns (a second, small job only when duplicates exist)."""
+def source_key_census(source: DataFrame, keys: Sequence[str], show: int = 20) -> tuple[int, int, list]:
+    """Number of distinct source keys, their total size in bytes (as text, plus 8 bytes a
+    key) and up to ``show`` duplicated ones, in one aggregation over the key columns (a
+    second, small job only when duplicates exist)."""
     g = source.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows"))
-    stats = g.agg(F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("rows") > 1).alias("n_dup")).first()
+    width = F.lit(8)
+    for k in keys:
+        width = width + F.coalesce(F.octet_length(_q(k).cast("string")), F.lit(0))
+    stats = g.agg(F.count(F.lit(1)).alias("n_keys"), F.coalesce(F.sum(width), F.lit(0)).alias("key_bytes"),
+                  F.count_if(F.col("rows") > 1).alias("n_dup")).first()
     dups = g.filter(F.col("rows") > 1).limit(show).collect() if stats["n_dup"] else []
-    return int(stats["n_keys"]), dups
+    return int(stats["n_keys"]), int(stats["key_bytes"]), dups
 
 
-def require_unique_source(source: DataFrame, keys: Sequence[str], show: int = 20) -> int:
+def require_unique_source(source: DataFrame, keys: Sequence[str], show: int = 20) -> tuple[int, int]:
     """Raise when a source key occurs twice (an upsert would change a row twice).
 
-    Returns the number of distinct source keys (measured in the same job)."""
-    n_keys, sample = source_key_census(source, keys, show)
+    Returns the number of distinct source keys and their size in bytes (same job)."""
+    n_keys, key_bytes, sample = source_key_census(source, keys, show)
     if sample:
         listed = ", ".join(str(tuple(r[k] for k in keys)) for r in sample)
         raise ValueError(f"source has duplicate keys {tuple(keys)}: {listed}")
-    return n_keys
+    return n_keys, key_bytes
 
 
 def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -148,8 +154,9 @@ def upsert_update(target: DataFrame, source: DataFrame, keys: Sequence[str], upd
     * target-only key: kept unchanged (a refresh never deletes).
 
     Presence of each side is tracked with marker columns, so a NULL value is never
-    mistaken for a missing row.  When the source has at most ``SMALL_SOURCE_KEYS`` keys
-    (counted by the duplicate check), their keys are broadcast and only the target rows
+    mistaken for a missing row.  When the source has at most ``SMALL_SOURCE_KEYS`` keys of
+    at most ``SMALL_SOURCE_KEY_BYTES`` in total (both measured by the duplicate check),
+    their keys are broadcast and only the target rows
     sharing them are merged; the others pass through without being shuffled.  Otherwise
     both sides meet in one full outer join on the keys.  A duplicated source key is an error.  By default
     (``validate="eager"``) U3 runs first: a partial aggregation over the key columns
@@ -158,13 +165,13 @@ def upsert_update(target: DataFrame, source: DataFrame, keys: Sequence[str], upd
     (:func:`fail_on_duplicate_keys`: no extra scan or shuffle, for sources expected to be
     unique); ``validate=False`` trusts the source.
     """
-    n_keys = None
+    measured = None
     if validate == "in_job":
         source = fail_on_duplicate_keys(source, keys)
     elif validate:
-        n_keys = require_unique_source(source, keys)
+        measured = require_unique_source(source, keys)
     insert_defaults = insert_defaults or {}
-    if n_keys is not None and n_keys <= SMALL_SOURCE_KEYS:
+    if measured is not None and measured[0] <= SMALL_SOURCE_KEYS and measured[1] <= SMALL_SOURCE_KEY_BYTES:
         # measured small: only target rows with a source key take part in the merge; the
         # rest pass through untouched, so the target is scanned but never shuffled
         skeys = F.broadcast(source.select(*[_q(k) for k in keys]))

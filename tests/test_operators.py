@@ -627,3 +627,9 @@ def test_opt_in_reductions_give_the_same_results(spark):
     source = spark.range(4990, 5010).select(F.col("id").alias("k"), F.lit("s").alias("v"))
     assert rows(upsert.upsert_ignore(target, source, ["k"])) == \
         rows(upsert.upsert_ignore(target, source, ["k"], reduce_target=True))
+
+
+def test_source_key_census(spark):
+    s = spark.createDataFrame([("ab", 1), ("ab", 2), ("xyz", 3), (None, 4)], "k string, v int")
+    n, size, dups = upsert.source_key_census(s, ["k"])
+    assert n == 3 and size == (8 + 2) + (8 + 3) + 8 and [r["k"] for r in dups] == ["ab"]
