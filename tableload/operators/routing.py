@@ -167,7 +167,7 @@ def validate_level(level: PartitionLevel) -> None:
                 raise ValueError(f"partitions {n1} and {n2} overlap")
 
 
-# Above this many range partitions on one key column, routing uses a binary decision
+# Above this many range partitions, routing uses a binary decision
 # tree (about log2(n) comparisons per row) instead of a chain of n range tests.
 RANGE_TREE_MIN = 8
 
@@ -182,30 +182,65 @@ def _literal_values(texts: list[str]) -> list | None:
     return [row[f"v{i}"] for i in range(len(texts))]
 
 
-def _range_tree(level: PartitionLevel, key: Column, fallback: Column) -> Column | None:
-    """Range routing as a balanced tree of ``key < point`` tests over the sorted bounds.
+class _Open:
+    """MINVALUE / MAXVALUE inside a bound tuple: below / above every value."""
+
+    def __init__(self, high: bool):
+        self.high = high
+
+    def __lt__(self, other):
+        return (not self.high) and not (isinstance(other, _Open) and not other.high)
+
+    def __gt__(self, other):
+        return self.high and not (isinstance(other, _Open) and other.high)
+
+    def __eq__(self, other):
+        return isinstance(other, _Open) and other.high == self.high
+
+    def __hash__(self):
+        return hash(self.high)
+
+
+def _range_tree(level: PartitionLevel, keys: list[Column], fallback: Column) -> Column | None:
+    """Range routing as a balanced tree of ``keys < point`` tests over the sorted bounds.
 
     The boundary points cut the key domain into intervals; each interval belongs to at
-    most one partition (ranges do not overlap) or to the fallback.  Returns ``None`` when
-    the bounds cannot be ordered on the driver (the caller then uses the chain).
+    most one partition (ranges do not overlap) or to the fallback.  Composite keys compare
+    lexicographically at every node.  Returns ``None`` when the bounds cannot be ordered
+    on the driver (the caller then uses the chain of range tests).
     """
     parts = [p for p in level.partitions if not p.is_default]
-    texts = sorted({b.strip() for p in parts for b in p.values
-                    if not (_is_open(b, MINVALUE) or _is_open(b, MAXVALUE))})
+    n = len(keys)
+
+    def items(bound: str) -> tuple[str, ...] | None:      # None: a fully open end
+        b = bound.strip()
+        if _is_open(b, MINVALUE) or _is_open(b, MAXVALUE):
+            return None
+        its = tuple(_bound_items(b))
+        return its if len(its) == n else None
+
+    texts = sorted({it for p in parts for b in p.values if items(b) is not None for it in items(b)
+                    if not (_is_open(it, MINVALUE) or _is_open(it, MAXVALUE))})
     try:
-        values = _literal_values(texts)
-        if values is None or any(v is None for v in values):
+        values = dict(zip(texts, _literal_values(texts) or []))
+        if len(values) != len(texts) or any(v is None for v in values.values()):
             return None
-        order = sorted(range(len(texts)), key=lambda i: values[i])
+
+        def sort_key(its: tuple[str, ...]):
+            return tuple(_Open(False) if _is_open(i, MINVALUE) else _Open(True) if _is_open(i, MAXVALUE)
+                         else values[i] for i in its)
+        bounds = {items(b) for p in parts for b in p.values if items(b) is not None}
+        keyed = {sort_key(t): t for t in bounds}              # equal tuples spelled differently
+        order = sorted(keyed)
     except Exception:  # noqa: BLE001 - bounds Spark cannot evaluate or Python cannot order
         return None
-    points = [(texts[i], values[i]) for i in order]
-    rank = {t: r for r, (t, _) in enumerate(points)}
+    points = [keyed[k] for k in order]
+    rank = {sort_key(t): r for r, t in enumerate(points)}
 
     def span(p: Partition) -> tuple[int, int]:      # covered intervals [first, last)
-        lo, hi = (b.strip() for b in p.values)
-        first = 0 if _is_open(lo, MINVALUE) else rank[lo] + 1
-        last = len(points) + 1 if _is_open(hi, MAXVALUE) else rank[hi] + 1
+        lo, hi = (items(b) for b in p.values)
+        first = 0 if lo is None else rank[sort_key(lo)] + 1
+        last = len(points) + 1 if hi is None else rank[sort_key(hi)] + 1
         return first, last
 
     owner: list[Column] = [fallback] * (len(points) + 1)   # interval i: [point i-1, point i)
@@ -218,9 +253,12 @@ def _range_tree(level: PartitionLevel, key: Column, fallback: Column) -> Column
         if hi - lo == 1:
             return owner[lo]
         mid = (lo + hi) // 2                               # interval mid starts at point mid-1
-        return F.when(key < F.expr(points[mid - 1][0]), tree(lo, mid)).otherwise(tree(mid, hi))
+        return F.when(_lt(keys, list(points[mid - 1])), tree(lo, mid)).otherwise(tree(mid, hi))
 
-    return F.when(key.isNull(), fallback).otherwise(tree(0, len(points) + 1))
+    any_null = keys[0].isNull()
+    for k in keys[1:]:
+        any_null = any_null | k.isNull()
+    return F.when(any_null, fallback).otherwise(tree(0, len(points) + 1))
 
 
 def level_expr(level: PartitionLevel, hash_fn: HashFn = xxhash_keys) -> Column:
@@ -228,10 +266,9 @@ def level_expr(level: PartitionLevel, hash_fn: HashFn = xxhash_keys) -> Column:
     validate_level(level)
     keys = key_columns(level.key)
     default = next((p.name for p in level.partitions if p.is_default), None)
-    if level.method == "RANGE" and len(keys) == 1 and \
-            sum(1 for p in level.partitions if not p.is_default) > RANGE_TREE_MIN:
+    if level.method == "RANGE" and sum(1 for p in level.partitions if not p.is_default) > RANGE_TREE_MIN:
         fallback = F.lit(default) if default is not None else F.lit(None).cast("string")
-        routed = _range_tree(level, keys[0], fallback)
+        routed = _range_tree(level, keys, fallback)
         if routed is not None:
             return routed
     expr = None

@@ -74,7 +74,7 @@ def test_range_tree_equals_chain(spark, cuts, drop, with_default):
     if with_default:
         parts.append(Partition("dflt", None, True))
     lvl = PartitionLevel("RANGE", "o_totalprice", tuple(parts))
-    assert routing._range_tree(lvl, F.col("o_totalprice"), F.lit(None)) is not None
+    assert routing._range_tree(lvl, [F.col("o_totalprice")], F.lit(None)) is not None
     tree = routing.route(orders, lvl).select("o_orderkey", F.col("part").alias("t"))
     old = routing.RANGE_TREE_MIN
     routing.RANGE_TREE_MIN = 10 ** 6                    # force the chain of range tests
@@ -94,3 +94,26 @@ def test_declared_csv_enforces_length(spark, tmp_path):
     with pytest.raises(Exception):
         scan_declared(spark, "csv", path, cols).collect()
     assert scan_declared(spark, "csv", path, [cols[0], ColumnSpec("s", "varchar(10)", 2)]).count() == 2
+
+
+@SETTINGS
+@given(cuts=st.lists(st.tuples(st.sampled_from(["F", "O", "P"]), st.integers(min_value=0, max_value=500_000)),
+                     min_size=9, max_size=30, unique=True),
+       with_default=st.booleans(), drop=st.integers(min_value=0, max_value=8))
+def test_composite_range_tree_equals_chain(spark, cuts, with_default, drop):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    pts = ["MINVALUE"] + [f"('{s}', {v})" for s, v in sorted(cuts)] + ["MAXVALUE"]
+    parts = [Partition(f"p{i}", (lo, hi)) for i, (lo, hi) in enumerate(zip(pts, pts[1:]))]
+    del parts[drop]
+    if with_default:
+        parts.append(Partition("dflt", None, True))
+    lvl = PartitionLevel("RANGE", "o_orderstatus, o_totalprice", tuple(parts))
+    assert routing._range_tree(lvl, [F.col("o_orderstatus"), F.col("o_totalprice")], F.lit(None)) is not None
+    tree = routing.route(orders, lvl).select("o_orderkey", F.col("part").alias("t"))
+    old = routing.RANGE_TREE_MIN
+    routing.RANGE_TREE_MIN = 10 ** 6
+    try:
+        chain = routing.route(orders, lvl).select("o_orderkey", F.col("part").alias("c"))
+    finally:
+        routing.RANGE_TREE_MIN = old
+    assert tree.join(chain, "o_orderkey").filter(~F.col("t").eqNullSafe(F.col("c"))).count() == 0
