@@ -3,9 +3,9 @@
 Routing is a classification of each row by literal bounds taken from a spec, evaluated
 inside whole-stage codegen in the same stage as the scan; nothing is joined or shuffled
 to route a row.  Lists are hash-set ``IN`` tests, a few ranges a chain of range tests,
-many ranges a balanced decision tree (log2(n) comparisons per row, also for composite keys), and
-hash partitions one lookup of the partition name by remainder.  Bounds are SQL
-literals, parsed by Spark's own expression parser (``F.expr``).
+many ranges a balanced decision tree (log2(n) comparisons per row, composite keys
+included), and hash partitions one lookup of the partition name by remainder.  Bounds
+are SQL literals, parsed by Spark's own expression parser (``F.expr``).
 
 Rules kept from the source database:
 
