@@ -729,6 +729,23 @@ def q_route_range_many(spark, d):
     return routing.route(table(spark, d, "orders"), MANY_RANGES).select("o_orderkey", "part")
 
 
+# Boundary points of the composite ranges (status, total price).
+COMPOSITE_POINTS = [("F", 100000), ("F", 200000), ("F", 300000), ("O", 100000), ("O", 200000),
+                    ("O", 300000), ("P", 100000), ("P", 200000), ("P", 300000)]
+_CP = ["MINVALUE"] + [f"('{a}', {b})" for a, b in COMPOSITE_POINTS] + ["MAXVALUE"]
+COMPOSITE_RANGES = PartitionLevel("RANGE", "o_orderstatus, o_totalprice", tuple(
+    Partition(f"c_{i:02d}", (lo, hi)) for i, (lo, hi) in enumerate(zip(_CP, _CP[1:]))))
+_COMPOSITE_SQL = "CASE " + " ".join(
+    f"WHEN o_orderstatus < '{a}' OR (o_orderstatus = '{a}' AND o_totalprice < {b}) THEN 'c_{i:02d}'"
+    for i, (a, b) in enumerate(COMPOSITE_POINTS)) + f" ELSE 'c_{len(COMPOSITE_POINTS):02d}' END"
+
+
+@query("route_range_composite", f"SELECT o_orderkey, {_COMPOSITE_SQL} AS part FROM orders")
+def q_route_range_composite(spark, d):
+    # ten ranges on two columns: a decision tree of lexicographic tests
+    return routing.route(table(spark, d, "orders"), COMPOSITE_RANGES).select("o_orderkey", "part")
+
+
 HASH4 = PartitionLevel("HASH", "o_orderkey", tuple(Partition(f"h_{i}", (str(i),)) for i in range(4)))
 
 
