@@ -172,10 +172,10 @@ def validate_level(level: PartitionLevel) -> None:
 RANGE_TREE_MIN = 8
 
 
-def _literal_values(texts: list[str]) -> list | None:
+def _literal_values(texts: list[str], spark=None) -> list | None:
     """Python values of SQL literals, evaluated once by Spark (spec-sized, on the driver)."""
     from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession()
     if spark is None or not texts:
         return None
     row = spark.sql("SELECT " + ", ".join(f"{t} AS v{i}" for i, t in enumerate(texts))).first()
@@ -201,7 +201,7 @@ class _Open:
         return hash(self.high)
 
 
-def _range_tree(level: PartitionLevel, keys: list[Column], fallback: Column) -> Column | None:
+def _range_tree(level: PartitionLevel, keys: list[Column], fallback: Column, spark=None) -> Column | None:
     """Range routing as a balanced tree of ``keys < point`` tests over the sorted bounds.
 
     The boundary points cut the key domain into intervals; each interval belongs to at
@@ -222,7 +222,7 @@ def _range_tree(level: PartitionLevel, keys: list[Column], fallback: Column) ->
     texts = sorted({it for p in parts for b in p.values if items(b) is not None for it in items(b)
                     if not (_is_open(it, MINVALUE) or _is_open(it, MAXVALUE))})
     try:
-        values = dict(zip(texts, _literal_values(texts) or []))
+        values = dict(zip(texts, _literal_values(texts, spark) or []))
         if len(values) != len(texts) or any(v is None for v in values.values()):
             return None
 
@@ -261,14 +261,14 @@ def _range_tree(level: PartitionLevel, keys: list[Column], fallback: Column) ->
     return F.when(any_null, fallback).otherwise(tree(0, len(points) + 1))
 
 
-def level_expr(level: PartitionLevel, hash_fn: HashFn = xxhash_keys) -> Column:
+def level_expr(level: PartitionLevel, hash_fn: HashFn = xxhash_keys, spark=None) -> Column:
     """Partition name of each row for one level (NULL when nothing fits)."""
     validate_level(level)
     keys = key_columns(level.key)
     default = next((p.name for p in level.partitions if p.is_default), None)
     if level.method == "RANGE" and sum(1 for p in level.partitions if not p.is_default) > RANGE_TREE_MIN:
         fallback = F.lit(default) if default is not None else F.lit(None).cast("string")
-        routed = _range_tree(level, keys, fallback)
+        routed = _range_tree(level, keys, fallback, spark)
         if routed is not None:
             return routed
     expr = None
@@ -318,13 +318,14 @@ def route(df: DataFrame, scheme: PartitionScheme | PartitionLevel, part: str = "
     """
     if isinstance(scheme, PartitionLevel):
         scheme = PartitionScheme(scheme)
-    out = df.withColumn(part, level_expr(scheme.top, hash_fn))
+    spark = df.sparkSession
+    out = df.withColumn(part, level_expr(scheme.top, hash_fn, spark))
     subs = {name: lvl for name, lvl in scheme.sub.items() if lvl.partitions}
     if not subs:
         return out
     sub = None
     for name, lvl in subs.items():
-        e = level_expr(lvl, hash_fn)
+        e = level_expr(lvl, hash_fn, spark)
         sub = F.when(F.col(part) == F.lit(name), e) if sub is None else sub.when(F.col(part) == F.lit(name), e)
     return out.withColumn(subpart, sub.otherwise(F.lit(None).cast("string")))
 
