@@ -194,17 +194,21 @@ def migrate(spark: SparkSession, snapshot: dict[str, DataFrame], read_table: Rea
     steps += [Step("define view", f"{r['schema']}.{r['view_name']}",
                    (lambda r=r: define_view(spark, r["view_name"], r["definition"])), r["schema"], r["definition"])
               for r in view_rows]
-    if cluster_root:
+    if steps:                 # in order: functions before the views that use them
+        done, step_log = run_logged(spark, steps)
+        failures += len(steps) - len(done)
+        logs.append(step_log)
+    if cluster_root:          # independent table rewrites: submitted side by side
         croot = cluster_root.rstrip("/")
-        steps += [Step("create index", f"{p.schema}.{name}",
+        copies = [Step("create index", f"{p.schema}.{name}",
                        (lambda p=p, name=name, keys=keys, where=where: clustered_copy(
                            loaded[p.qualified], keys, f"{croot}/{p.schema}/{name}", where=where)),
                        p.schema, f"cluster {p.qualified} on {keys}" + (f" where {where}" if where else ""))
                   for p in plans if p.qualified in loaded for name, keys, where in p.clusterings]
-    if steps:
-        done, step_log = run_logged(spark, steps)
-        failures += len(steps) - len(done)
-        logs.append(step_log)
+        if copies:
+            done, copy_log = run_logged(spark, copies, parallelism)
+            failures += len(copies) - len(done)
+            logs.append(copy_log)
 
     rules = [TableRules(p.qualified, loaded[p.qualified],
                         not_null=tuple(c.name for c in p.columns if not c.nullable),
