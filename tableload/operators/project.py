@@ -66,6 +66,30 @@ def strict_cast(c: Column, type_name: str, label: str | None = None) -> Column:
         .otherwise(converted)
 
 
+_INTEGRAL_RANK = {"tinyint": 1, "smallint": 2, "int": 3, "bigint": 4}
+
+
+def cast_cannot_fail(source: T.DataType, target_ddl: str) -> bool:
+    """True when every value of ``source`` converts to ``target_ddl``: the same type, a
+    widening of integers or floats, or any type to string."""
+    src = source.simpleString()
+    if src == target_ddl or target_ddl == "string":
+        return True
+    if src in _INTEGRAL_RANK and target_ddl in _INTEGRAL_RANK:
+        return _INTEGRAL_RANK[src] <= _INTEGRAL_RANK[target_ddl]
+    return (src, target_ddl) in {("float", "double"), ("tinyint", "double"), ("smallint", "double"),
+                                 ("int", "double"), ("date", "timestamp_ntz"), ("date", "timestamp")}
+
+
+def checked_column(c: Column, source: T.DataType | None, type_name: str) -> Column:
+    """``c`` in the declared type: a plain reference or cast where nothing can fail (so
+    filters on it still reach the scan), else :func:`strict_cast`."""
+    t = spark_type(type_name)
+    if source is not None and max_length(type_name) is None and cast_cannot_fail(source, t):
+        return c if source.simpleString() == t else c.cast(t)
+    return strict_cast(c, type_name)
+
+
 def project_mapped(df: DataFrame, columns: list[ColumnSpec], truncate: bool = True) -> DataFrame:
     """Select, reorder by position, rename and cast by a column spec.
 
@@ -77,7 +101,9 @@ def project_mapped(df: DataFrame, columns: list[ColumnSpec], truncate: bool = Tr
     dup = {n for n in names if names.count(n) > 1}
     if dup:
         raise ValueError(f"columns map to the same target name: {sorted(dup)}")
-    return df.select(*[strict_cast(_q(c.source), c.type_name).alias(n) for c, n in zip(cols, names)])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[checked_column(_q(c.source), types.get(c.source), c.type_name).alias(n)
+                       for c, n in zip(cols, names)])
 
 
 def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str = "fail"):
@@ -98,13 +124,9 @@ def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
     if on_error not in ("fail", "quarantine"):
         raise ValueError("on_error must be 'fail' or 'quarantine'")
     if on_error == "fail":
-        out = []
-        for c in df.columns:
-            if c not in listed:
-                out.append(_q(c))
-                continue
-            out.append(strict_cast(_q(c), listed[c]).alias(c))
-        return df.select(*out)
+        types = {f.name: f.dataType for f in df.schema.fields}
+        return df.select(*[(checked_column(_q(c), types[c], listed[c]) if c in listed else _q(c)).alias(c)
+                           for c in df.columns])
 
     def bad(c: str) -> Column:
         t, n = listed[c], max_length(listed[c])

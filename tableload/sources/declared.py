@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..specs import ColumnSpec, ordered
-from ..operators.project import project_mapped, spark_type, strict_cast
+from ..operators.project import checked_column, project_mapped, spark_type
 
 _SELF_DESCRIBING = {"parquet", "orc", "delta", "avro"}
 
@@ -48,7 +48,8 @@ def scan_declared(spark: SparkSession, fmt: str, path: str | list[str] | None,
         # a malformed record fails the scan (the readers' default would turn it into NULLs)
         reader = reader.option("mode", options.get("mode", "FAILFAST"))
         df = reader.schema(declared_schema(columns)).format(fmt).load(path)
-        # parsed into the declared types already; the checked cast adds the length limits
-        return df.select(*[strict_cast(F.col(f"`{c.source}`"), c.type_name).alias(c.name)
+        # parsed into the declared types already; only length limits still need a check
+        types = {f.name: f.dataType for f in df.schema.fields}
+        return df.select(*[checked_column(F.col(f"`{c.source}`"), types[c.source], c.type_name).alias(c.name)
                            for c in ordered(columns)])
     raise ValueError(f"unsupported source format {fmt!r}")
