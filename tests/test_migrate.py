@@ -182,3 +182,10 @@ def test_run_migration_script(spark, tmp_path):
     report = {r["constraint_name"]: r["violations"] for r in spark.read.parquet(str(target / "_report")).collect()}
     assert report["t2_fk"] == 0 and report["t2_uk"] == 0
     assert rows(spark.read.parquet(str(target / "sch1" / "t2"))) == [(1, 1), (2, None)]
+    # with the functions supplied the whole flow succeeds
+    fn_file = tmp_path / "functions.json"
+    fn_file.write_text('[{"name": "multiply", "args": [["a", "int"], ["b", "int"]], "returns": "int", '
+                       '"body": "a * b"}]')
+    status = mod.main(["--snapshot", str(snap_dir), "--source", str(src) + "/{schema}/{table}.dat",
+                       "--format", "copy", "--target", str(tmp_path / "target2"), "--functions", str(fn_file)])
+    assert status == 0 and rows(spark.table("v1")) == [(10,), (20,), (30,), (40,), (50,)]
