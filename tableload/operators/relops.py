@@ -75,25 +75,37 @@ def matched(child: DataFrame, child_cols: Sequence[str], parent: DataFrame,
 
 # --------------------------------------------------------------------------- aggregations
 
-# Arrays built per group are meant for catalog-sized groups (columns of a table, key
-# parts of a constraint).  Larger groups are refused instead of being built in one task.
+# Arrays built per group are meant for bounded groups (columns of a table, key parts of a
+# constraint, turns of a conversation).  Larger groups are refused instead of being built
+# in one task.
 MAX_GROUP_ELEMENTS = 1_000_000
+MAX_GROUP_BYTES = 256 * 1024 * 1024
 
 
 def ordered_group_collect(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                          cols: Sequence[str], max_elements: int | None = MAX_GROUP_ELEMENTS) -> DataFrame:
+                          cols: Sequence[str], max_elements: int | None = MAX_GROUP_ELEMENTS,
+                          max_bytes: int | None = MAX_GROUP_BYTES) -> DataFrame:
     """A1: several arrays per group, all in the same order, NULL elements kept.
 
     ``collect_list`` of a struct keeps rows whose value is NULL (a bare ``collect_list``
     drops them); sorting the structs by the order columns first aligns every array.
-    Before anything is collected, the largest group size is measured with a partial
-    aggregation over the key columns only; a group above ``max_elements`` raises rather
-    than being materialised in a single task.
+    Before anything is collected, the largest group is measured (rows and bytes, as text)
+    with one partial aggregation; a group above ``max_elements`` rows or ``max_bytes``
+    raises rather than being materialised in a single task.  ``None`` skips a limit; with
+    both ``None`` (groups bounded by construction) no probe runs.
     """
-    if max_elements is not None:
-        biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-        if biggest is not None and biggest > max_elements:
-            raise ValueError(f"a group holds {biggest} rows (> {max_elements}); "
+    if max_elements is not None or max_bytes is not None:
+        size = F.lit(0)
+        for c in list(order) + list(cols):
+            size = size + F.coalesce(F.octet_length(_q(c).cast("string")), F.lit(0))
+        probe = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b"))
+                 .agg(F.max("n"), F.max("b")).first())
+        rows_max, bytes_max = probe[0], probe[1]
+        if max_elements is not None and rows_max is not None and rows_max > max_elements:
+            raise ValueError(f"a group holds {rows_max} rows (> {max_elements}); "
+                             "ordered_group_collect is for bounded groups")
+        if max_bytes is not None and bytes_max is not None and bytes_max > max_bytes:
+            raise ValueError(f"a group holds {bytes_max} bytes (> {max_bytes}); "
                              "ordered_group_collect is for bounded groups")
     packed = F.struct(*[_q(o).alias(f"_o{i}") for i, o in enumerate(order)],
                       *[_q(c).alias(c) for c in cols])

@@ -105,7 +105,8 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
     if snapshot.get("keys") is not None:
         keys = ordered_group_collect(
             _flagged(snapshot["keys"]), ["schema", "table_name", "constraint_name", "is_primary", "deferrable",
-                                        "deferred"], ["position"], ["column_name"], max_elements=None)
+                                        "deferred"], ["position"], ["column_name"],
+            max_elements=None, max_bytes=None)
         for r in keys.collect():
             p = plans.get((r["schema"], r["table_name"]))
             if p is not None:
@@ -118,7 +119,8 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
             idx.select("schema", "index_name", "table_name", "where_clause", "uniqueness"),
             ["schema", "index_name", "table_name"], "inner")
         grouped = ordered_group_collect(cols, ["schema", "table_name", "index_name", "where_clause", "uniqueness"],
-                                        ["position"], ["column_name", "descend"], max_elements=None)
+                                        ["position"], ["column_name", "descend"],
+                                        max_elements=None, max_bytes=None)
         for r in grouped.collect():
             p = plans.get((r["schema"], r["table_name"]))
             if p is None:
@@ -134,7 +136,8 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
         fks = ordered_group_collect(
             _flagged(snapshot["foreign_keys"]),
             ["schema", "table_name", "constraint_name", "remote_schema", "remote_table", "delete_rule", "deferrable",
-             "deferred"], ["position"], ["column_name", "remote_column"], max_elements=None)
+             "deferred"], ["position"], ["column_name", "remote_column"],
+            max_elements=None, max_bytes=None)
         for r in fks.collect():
             p = plans.get((r["schema"], r["table_name"]))
             if p is not None:

@@ -184,8 +184,10 @@ def test_ordered_group_collect_keeps_nulls_and_alignment(spark):
                                "g string, pos int, name string, v int")
     r = relops.ordered_group_collect(df, ["g"], ["pos"], ["name", "v"]).first()
     assert r["name"] == ["a", "b", None] and r["v"] == [1, None, 3]
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="rows"):
         relops.ordered_group_collect(df, ["g"], ["pos"], ["name"], max_elements=2)
+    with pytest.raises(ValueError, match="bytes"):
+        relops.ordered_group_collect(df, ["g"], ["pos"], ["name"], max_bytes=3)
 
 
 def test_sibling_count_and_distinct(spark):
