@@ -183,7 +183,8 @@ def profile_columns(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     aggs = []
     for i, f in enumerate(fields):
-        length = F.max(F.length(_q(f.name))) if isinstance(f.dataType, (T.StringType, T.VarcharType, T.CharType)) else F.lit(0)
+        is_text = isinstance(f.dataType, (T.StringType, T.VarcharType, T.CharType))
+        length = F.max(F.length(_q(f.name))) if is_text else F.lit(0)
         aggs.append(F.coalesce(length, F.lit(0)).cast("bigint").alias(f"l{i}"))
         aggs.append(F.count_if(_q(f.name).isNull()).cast("bigint").alias(f"n{i}"))
     wide = df.agg(*aggs)
@@ -194,7 +195,8 @@ def profile_columns(df: DataFrame) -> DataFrame:
         name = f.name.replace("\\", "\\\\").replace("'", "\\'")
         rows.append(f"{i + 1}L, '{name}', '{_base_type_name(f.dataType)}', l{i}, {prec}, {scale}, n{i}")
     stacked = wide.selectExpr(
-        f"stack({len(fields)}, {', '.join(rows)}) AS (position, column_name, type_name, length, precision, scale, nulls)")
+        f"stack({len(fields)}, {', '.join(rows)}) "
+        "AS (position, column_name, type_name, length, precision, scale, nulls)")
     return stacked.select(
         "position", "column_name", "type_name", "length", "precision", "scale",
         (F.col("nulls") > 0).alias("nullable"),

@@ -386,5 +386,6 @@ def partition_counts(routed: DataFrame, scheme: PartitionScheme | PartitionLevel
         routed = routed.withColumn(subpart, F.lit(None).cast("string"))
     counts = routed.groupBy(F.col(part).alias("_p"), F.col(subpart).alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
     leaves = declared_leaves(routed.sparkSession, scheme, part, subpart)
-    joined = leaves.join(F.broadcast(counts), (F.col("_p") == F.col(part)) & F.col("_s").eqNullSafe(F.col(subpart)), "left")
+    on = (F.col("_p") == F.col(part)) & F.col("_s").eqNullSafe(F.col(subpart))
+    joined = leaves.join(F.broadcast(counts), on, "left")
     return joined.select(part, subpart, F.coalesce("_n", F.lit(0)).cast("bigint").alias("rows"))
