@@ -15,10 +15,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tableload") -> SparkSession:
-    """A local-mode session configured the way the tests and the bench expect."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tableload",
+                  extra: dict[str, str] | None = None) -> SparkSession:
+    """A local-mode session configured the way the tests and the bench expect
+    (``extra``: further settings, e.g. an event log for stage timings)."""
+    builder = SparkSession.builder
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
