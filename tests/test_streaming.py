@@ -1,5 +1,8 @@
 """Streaming variants: micro-batches of a change set flowing into a partitioned table."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from tableload.operators import routing
@@ -47,3 +50,16 @@ def test_rewrite_and_statement_results_stream(spark, tmp_path):
     ins = orders.filter("op = 'INSERT'")
     assert res.filter("op = 'INSERT'").agg(F.sum("n")).first()[0] == ins.count()
     assert res.agg(F.sum("big")).first()[0] == ins.filter("o_totalprice > 100000").count()
+
+
+def test_load_stream_batch_with_reject_commits_nothing(spark, tmp_path):
+    src = str(tmp_path / "incoming")
+    spark.createDataFrame([(1, 5.0), (2, 500000.0)], "o_orderkey bigint, o_totalprice double").write.parquet(src)
+    stream = spark.readStream.schema("o_orderkey bigint, o_totalprice double").parquet(src)
+    only_low = PartitionLevel("RANGE", "o_totalprice", (Partition("lo", ("MINVALUE", "100000")),))
+    out = str(tmp_path / "table")
+    q = load_stream(stream, only_low, out, checkpoint=str(tmp_path / "ckpt"))
+    with pytest.raises(Exception):
+        q.awaitTermination(120)
+    committed = os.path.join(out, "_spark_metadata")
+    assert not os.path.exists(committed) or not [f for f in os.listdir(committed) if not f.startswith(".")]
