@@ -259,7 +259,8 @@ def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: s
                     raise ValueError(f'there is no unique constraint matching given keys for referenced '
                                      f'table "{fk.parent}"')
                 parent = parents[fk.parent]
-                return total(foreign_key_violations(df, fk.columns, parent, fk.parent_columns))()
+                return total(foreign_key_violations(df, fk.columns, parent, fk.parent_columns,
+                                                    reduce_parent=fk.reduce_parent))()
             jobs.append((t.name, [(fk.name, "FOREIGN KEY", timing)], fk_count))
 
         # not-null rules and checks: one scan for the whole table

@@ -114,6 +114,7 @@ class ForeignKeySpec:
     deferrable: bool = False
     deferred: bool = False
     migrate: bool = True
+    reduce_parent: bool = False          # validate a small child batch against a huge parent
 
 
 @dataclass(frozen=True)

@@ -445,6 +445,10 @@ def test_constraint_report_modes_and_isolation(spark):
     keyed = [integrity.TableRules("p", parent, keys=(KeySpec("p_pk", ("x",), primary=True),)), unkeyed[1]]
     got = {r["constraint_name"]: r["violations"] for r in integrity.constraint_report(spark, keyed).collect()}
     assert got == {"p_pk": 0, "fk": 0}
+    reduced = [keyed[0], integrity.TableRules("c", df, foreign_keys=(
+        ForeignKeySpec("fk", ("k",), "p", ("x",), reduce_parent=True),), parents={"p": parent})]
+    got = {r["constraint_name"]: r["violations"] for r in integrity.constraint_report(spark, reduced).collect()}
+    assert got == {"p_pk": 0, "fk": 0}
     deferred = integrity.constraint_report(spark, rules, mode="deferred").collect()
     assert [r["constraint_name"] for r in deferred] == ["uk_def"]
 
