@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, onebit_ann, quality_rules, simhash, suffix_dedup
+from . import lattice, mixing, onebit_ann, pieces, pii, quality_rules, simhash, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +151,30 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents")) \
         .select("_row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                 "kept", "n_removed_words")
+
+
+#: where the public tokenizer's model lies; a parameter of the operators
+PIECE_MODEL = os.environ.get("TABLELOAD_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@query("op1_sentencepiece")
+def op1_sentencepiece(spark, sf_dir):
+    model = pieces.read_model(PIECE_MODEL)
+    coded = lattice.encode(table(spark, sf_dir, "documents"), model)
+    return lattice.decode(coded, model).select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                                               F.col("ids").alias("token_ids"), F.md5("decoded").alias("decoded_md5"))
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), pieces.read_model(PIECE_MODEL))
+
+
+#: stands in for the secret that a user of the operator keeps
+PSEUDONYM_KEY = "key of the registered query"
+
+
+@query("op7_pseudonyms")
+def op7_pseudonyms(spark, sf_dir):
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY) \
+        .select("_row.doc_id", "text", "n_replaced")

@@ -21,7 +21,6 @@ one entry per task.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import target_partitions
+
 LENGTH = 400
 GRAM = 64
 SHARD_BYTES = 1 << 20
@@ -369,11 +370,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     distinct = texts.dropDuplicates(["digest"])
     segments = distinct.join(wanted, "digest").select("digest", "text", "n", "runs") \
         .mapInArrow(_cut_segments(length), _SEGMENTS)
-    spans = segments.repartition("key").sortWithinPartitions("key") \
+    spans = segments.repartition(target_partitions(docs.sparkSession), "key").sortWithinPartitions("key") \
         .mapInArrow(_sort_shards(length, shard_bytes), _SPANS)
     spans = spans.groupBy("digest").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     return distinct.join(spans, "digest", "left").select("digest", "text", "spans").mapInArrow(_remove, _RESULT)
 
-
-def remaining_digest(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()
