@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lattice, mixing, onebit_ann, pieces, pii, quality_rules, simhash, suffix_dedup, token_counts
+from . import html_main, lattice, mixing, onebit_ann, pieces, pii, quality_model, quality_rules, simhash, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,3 +178,13 @@ PSEUDONYM_KEY = "key of the registered query"
 def op7_pseudonyms(spark, sf_dir):
     return pii.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY) \
         .select("_row.doc_id", "text", "n_replaced")
+
+
+@query("op5_html_main")
+def op5_html_main(spark, sf_dir):
+    return html_main.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op8_quality_model")
+def op8_quality_model(spark, sf_dir):
+    return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
