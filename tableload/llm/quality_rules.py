@@ -143,7 +143,10 @@ def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", min
     depleted = (left < MIN_WORDS) | (left < min_left * F.col("n_words"))
     return out.select("_row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed_words"), "removed_lines",
-                      (~F.col("base_failed") & ~depleted).alias("kept"))
+                      # one comparison over both sides: a filter on it stays above the join, so that the
+                      # measures are not computed again inside the condition
+                      (F.least(F.when(F.col("base_failed"), 0).otherwise(1), F.when(depleted, 0).otherwise(1)) == 1)
+                      .alias("kept"))
 
 
 def clean(docs: DataFrame, text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:

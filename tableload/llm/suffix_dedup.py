@@ -360,7 +360,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")) \
-        .select(F.unhex(F.md5("text")).alias("digest"), "text")
+        .select(F.unhex(F.md5("text")).alias("digest"), "text").where("digest IS NOT NULL")
     runs = texts.mapInArrow(_find_runs(length), _RUNS)
     runs = runs.groupBy("key", "digest", "a", "b").agg(F.sum("n").alias("n"), F.max("twice").alias("twice"))
     keys = runs.groupBy("key").agg(F.sum("n").alias("n"), F.max("twice").alias("twice")) \
