@@ -36,7 +36,7 @@ from ..session import target_partitions
 from .pieces import Pieces, pre_tokens, spaces_inside, units
 
 #: UTF-8 bytes of text in a block
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 _WIDE = 1 << 24                                      # key of an edge: start * _WIDE + end
 
 
@@ -53,7 +53,7 @@ class _Blocks:
 
     def add(self, doc_id, text: str):
         words = self.words
-        toks = pre_tokens(text, self.pieces.dummy_prefix)
+        toks = pre_tokens(text)
         self.ids.append(doc_id)
         self.codes.append(np.fromiter((words.setdefault(w, len(words)) for w in toks), np.int32, len(toks)))
         self.held += len(text) + 16
@@ -143,7 +143,7 @@ def fold_viterbi(n: Column, longest: int, unknown: float) -> Column:
 
 
 def encode_units(distinct_units: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, ids) for distinct non-empty units: the lattice, folded."""
+    """``distinct_units`` (non-empty, one row each) with ``ids``: the lattice, folded."""
     spark = distinct_units.sparkSession
     table = spark.createDataFrame([(p, float(pieces.scores[p]), i) for p, i in pieces.ids.items()],
                                   "piece string, score double, id int")
@@ -152,7 +152,7 @@ def encode_units(distinct_units: DataFrame, pieces: Pieces) -> DataFrame:
         fold_viterbi(n, pieces.longest, min(pieces.scores.values(), default=0.0) - 10.0)
     found = edges(distinct_units, table, pieces.longest).withColumnRenamed("unit", "_unit")
     folded = distinct_units.join(found, F.col("unit") == F.col("_unit"), "left") \
-        .select("unit", "edges", "singles", bounds.alias("bounds"))
+        .select(*distinct_units.columns, "edges", "singles", bounds.alias("bounds"))
     zero = pieces.bytes_at[0]
     if any(pieces.bytes_at[b] != zero + b for b in range(256)):
         raise ValueError("byte pieces must have consecutive ids")
@@ -164,7 +164,7 @@ def encode_units(distinct_units: DataFrame, pieces: Pieces) -> DataFrame:
         as_bytes = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)),
                                lambda at: (F.conv(F.substring(code, at, F.lit(2)), 16, 10).cast("int") + zero))
         return F.when(known.isNotNull(), F.array(known)).otherwise(as_bytes)
-    return folded.select("unit", F.flatten(F.transform(
+    return folded.select(*distinct_units.columns, F.flatten(F.transform(
         F.sequence(F.lit(0), F.size("bounds") - 2), piece_ids)).alias("ids"))
 
 
@@ -208,6 +208,7 @@ def _put_together(kind: pa.DataType):
             blocks, numbers, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
             flat = np.array(lists.values, np.int32)
             offsets = np.array(lists.offsets)
+            flat = flat.copy()
             for r in range(batch.num_rows):
                 if numbers[r] < 0:
                     if head is not None:
@@ -266,17 +267,20 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
     arrow_head = to_arrow_schema(head_schema)
     listed = source.mapInArrow(list_units, "block bigint, number int, unit string").repartition(target_partitions(docs.sparkSession), "unit")
-    coded = encode_units(listed.select("unit").distinct(), pieces)
-    entries = listed.join(coded, "unit").select("block", "number", "ids", F.lit(None).cast(head).alias("head"))
+    # both uses of the list need the same columns, so that its exchange is made once
+    distinct = listed.groupBy("unit").agg(F.min(F.struct("block", "number")).alias("first"))
+    coded = encode_units(distinct, pieces)
+    entries = listed.join(coded, "unit").where(F.struct("block", "number") >= F.col("first")) \
+        .select("block", "number", "ids", F.lit(None).cast(head).alias("head"))
     heads = source.mapInArrow(list_documents, head_schema)
     out = T.StructType([source.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return heads.unionByName(entries).repartition("block").sortWithinPartitions("block", "number") \
+    return heads.unionByName(entries).repartition(target_partitions(docs.sparkSession), "block").sortWithinPartitions("block", "number") \
         .mapInArrow(_put_together(to_arrow_type(id_type)), out).withColumnRenamed("id", id_col)
 
 
 def decode_ids(ids: list[int], pieces: Pieces) -> str:
     text = b"".join(map(pieces.surface.__getitem__, ids)).decode("utf-8", "replace")
-    return text[1:] if pieces.dummy_prefix and text.startswith(" ") else text
+    return text[1:] if text.startswith(" ") else text
 
 
 def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -19,7 +19,6 @@ class Pieces:
     scores: dict[str, float]
     bytes_at: dict[int, int]            # byte value -> id
     surface: list[bytes]                # id -> bytes
-    dummy_prefix: bool
 
     def __post_init__(self):
         if len(self.surface) > MAX_PIECES:
@@ -50,6 +49,8 @@ def from_proto(model) -> Pieces:
         raise ValueError("only unigram and BPE models are supported")
     if model.normalizer_spec.precompiled_charsmap or model.normalizer_spec.remove_extra_whitespaces:
         raise ValueError("only models that leave the text as it is are supported")
+    if not model.normalizer_spec.add_dummy_prefix:
+        raise ValueError("only models that put a space before the text are supported")
     normal, unknown, byte = 1, 2, 6
     ids, scores, bytes_at, surface = {}, {}, {}, []
     for i, p in enumerate(model.pieces):
@@ -64,19 +65,20 @@ def from_proto(model) -> Pieces:
             surface.append(" ⁇ ".encode() if p.type == unknown else b"")
     if len(bytes_at) != 256:
         raise ValueError("the model has no byte pieces for unknown characters")
-    return Pieces(kinds[model.trainer_spec.model_type], ids, scores, bytes_at, surface,
-                  model.normalizer_spec.add_dummy_prefix)
+    return Pieces(kinds[model.trainer_spec.model_type], ids, scores, bytes_at, surface)
 
 
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
-def pre_tokens(text: str, dummy_prefix: bool = True) -> list[str]:
-    """The text's words with the spaces before them; no piece spans two of them."""
+def pre_tokens(text: str) -> list[str]:
+    """The text's words, each without the one space that stands before it (the first word's is
+    the dummy prefix); further spaces before a word belong to it.  No piece spans two words."""
     if not text:
         return []
-    text = text.replace(" ", SPACE)
-    return _WORD.findall(SPACE + text if dummy_prefix else text)
+    if "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
+    return [w[1:] for w in _WORD.findall(SPACE + text.replace(" ", SPACE))]
 
 
 def spaces_inside(pieces: Pieces) -> bool:
@@ -84,7 +86,10 @@ def spaces_inside(pieces: Pieces) -> bool:
 
 
 def units(word: str, bigrams: frozenset[str]) -> list[str]:
-    """Cut a word where no piece can span."""
+    """A word with its space, cut where no piece can span."""
+    word = SPACE + word
+    if bigrams.issuperset(map(str.__add__, word, word[1:])):
+        return [word]
     out, start = [], 0
     for i in range(1, len(word)):
         if word[i - 1:i + 1] not in bigrams:

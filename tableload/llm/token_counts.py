@@ -85,18 +85,17 @@ def count_tokens(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, bigrams, known = PrefixCounter(pieces), pieces.bigrams, {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 texts = part.column(1)
-                words = set()
-                for t in texts:
-                    words.update(pre_tokens(t.as_py(), pieces.dummy_prefix))
+                found_in = [pre_tokens(t.as_py()) for t in texts]
+                words = set().union(*found_in)
                 if len(known) > MAX_KNOWN:
                     known.clear()
                 cut = {w: units(w, bigrams) for w in words if w not in known}
                 found = counter.counts({u for us in cut.values() for u in us})
                 known.update((w, sum(map(found.__getitem__, us))) for w, us in cut.items())
-                sums = [sum(map(known.__getitem__, pre_tokens(t.as_py(), pieces.dummy_prefix))) for t in texts]
+                sums = [sum(map(known.__getitem__, t)) for t in found_in]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sums, pa.int64())], ["id", "n_tokens"])
 
     return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
