@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import target_partitions
-from .pieces import Pieces, pre_tokens, spaces_inside, units
+from .pieces import Pieces, bigram_codes, cut_words, pre_tokens, spaces_inside
 
 #: UTF-8 bytes of text in a block
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _WIDE = 1 << 24                                      # key of an edge: start * _WIDE + end
 
 
@@ -44,7 +44,7 @@ class _Blocks:
     """Splits a task's documents into blocks; both passes use it, so they number alike."""
 
     def __init__(self, pieces: Pieces):
-        self.pieces, self.bigrams, self.seq = pieces, pieces.bigrams, 0
+        self.bigrams, self.seq = bigram_codes(pieces), 0
         self.base = TaskContext.get().partitionId() << 24
         self.clear()
 
@@ -59,11 +59,12 @@ class _Blocks:
         self.held += len(text) + 16
 
     def close(self):
-        """(block, distinct units in order, units of each word)"""
+        """(block, distinct units in order, units of all words, units per word)"""
         block, self.seq = self.base | self.seq, self.seq + 1
         numbers: dict[str, int] = {}
-        of_word = [[numbers.setdefault(u, len(numbers)) for u in units(w, self.bigrams)] for w in self.words]
-        return block, list(numbers), of_word
+        flat, sizes = cut_words(list(self.words), self.bigrams)
+        of_word = np.fromiter((numbers.setdefault(u, len(numbers)) for u in flat), np.int32, len(flat))
+        return block, list(numbers), of_word, sizes
 
     def run(self, batches: Iterator[pa.RecordBatch], emit):
         for batch in batches:
@@ -238,7 +239,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     pack = lambda a: zstandard.ZstdCompressor(level=1).compress(np.asarray(a, np.int32).tobytes())
 
     def list_units(batches):
-        def emit(block, names, of_word):
+        def emit(block, names, of_word, word_sizes):
             for at in range(0, len(names), 20_000):
                 part = names[at:at + 20_000]
                 yield pa.RecordBatch.from_arrays(
@@ -256,11 +257,10 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     def list_documents(batches):
         state = _Blocks(pieces)
 
-        def emit(block, names, of_word):
+        def emit(block, names, of_word, word_sizes):
             row = {"block": block, "number": -1, "ids": None, "head": {
                 "ids": [i.as_py() for i in state.ids], "codes": pack(np.concatenate(state.codes)),
-                "sizes": [len(c) for c in state.codes], "of_word": pack([u for us in of_word for u in us]),
-                "word_sizes": pack([len(us) for us in of_word]), "n_units": len(names)}}
+                "sizes": [len(c) for c in state.codes], "of_word": pack(of_word), "word_sizes": pack(word_sizes), "n_units": len(names)}}
             yield pa.RecordBatch.from_pylist([row], schema=arrow_head)
         yield from state.run(batches, emit)
 
@@ -290,7 +290,10 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if x is None else decode_ids(x, pieces) for x in (v.as_py() for v in batch.column(at))]
+            lists = batch.column(at)
+            flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            none = lists.is_null().to_pylist()
+            texts = [None if none[i] else decode_ids(flat[ends[i]:ends[i + 1]].tolist(), pieces) for i in range(len(lists))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              [*batch.schema.names, text_col])
     return encoded.mapInArrow(run, schema)

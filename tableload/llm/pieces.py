@@ -6,6 +6,8 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
+
 SPACE = "▁"
 #: the piece table goes to every task; a model beyond this size is refused
 MAX_PIECES = 1_000_000
@@ -85,18 +87,26 @@ def spaces_inside(pieces: Pieces) -> bool:
     return any(SPACE in p.lstrip(SPACE) for p in pieces.ids)
 
 
-def units(word: str, bigrams: frozenset[str]) -> list[str]:
-    """A word with its space, cut where no piece can span."""
-    word = SPACE + word
-    if bigrams.issuperset(map(str.__add__, word, word[1:])):
-        return [word]
-    out, start = [], 0
-    for i in range(1, len(word)):
-        if word[i - 1:i + 1] not in bigrams:
-            out.append(word[start:i])
-            start = i
-    out.append(word[start:])
-    return out
+def bigram_codes(pieces: Pieces) -> np.ndarray:
+    """The neighbouring characters that some piece holds, packed and sorted."""
+    return np.array(sorted(ord(b[0]) << 32 | ord(b[1]) for b in pieces.bigrams) or [0], np.uint64)
+
+
+def cut_words(words: list[str], codes: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Units of all words (each with its space), one after the other, and how many each word has:
+    words are cut where no piece can span."""
+    if not words:
+        return [], np.empty(0, np.int64)
+    text = "".join(SPACE + w for w in words)
+    chars = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    pairs = chars[:-1] << np.uint64(32) | chars[1:]
+    cut = codes[np.minimum(np.searchsorted(codes, pairs), len(codes) - 1)] != pairs
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    cut[ends[:-1] - 1] = True
+    bounds = np.concatenate(([0], np.flatnonzero(cut) + 1, [len(text)]))
+    at = bounds.tolist()
+    flat = [text[a:b] for a, b in zip(at, at[1:])]
+    return flat, np.diff(np.concatenate(([0], np.searchsorted(bounds, ends))))
 
 
 def merge(text: str, scores: dict[str, float]) -> list[str]:

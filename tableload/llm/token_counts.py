@@ -14,12 +14,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .pieces import Pieces, compatible, pre_tokens, units
+from .pieces import Pieces, bigram_codes, compatible, cut_words, pre_tokens
 
 #: counts kept between batches of a task; the memory of a task stays bounded
 MAX_KNOWN = 200_000
@@ -83,7 +84,7 @@ def count_tokens(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_c
     schema = T.StructType([source.schema["id"], T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, bigrams, known = PrefixCounter(pieces), pieces.bigrams, {}
+        counter, codes, known = PrefixCounter(pieces), bigram_codes(pieces), {}
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -92,9 +93,11 @@ def count_tokens(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_c
                 words = set().union(*found_in)
                 if len(known) > MAX_KNOWN:
                     known.clear()
-                cut = {w: units(w, bigrams) for w in words if w not in known}
-                found = counter.counts({u for us in cut.values() for u in us})
-                known.update((w, sum(map(found.__getitem__, us))) for w, us in cut.items())
+                new = [w for w in words if w not in known]
+                flat, sizes = cut_words(new, codes)
+                found = counter.counts(set(flat))
+                ends = np.concatenate(([0], np.cumsum(np.fromiter(map(found.__getitem__, flat), np.int64, len(flat)))))
+                known.update(zip(new, np.diff(ends[np.concatenate(([0], np.cumsum(sizes)))]).tolist()))
                 sums = [sum(map(known.__getitem__, t)) for t in found_in]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sums, pa.int64())], ["id", "n_tokens"])
 
