@@ -34,9 +34,13 @@ from pyspark.sql import types as T
 
 from ..session import target_partitions
 from .pieces import Pieces, bigram_codes, cut_words, pre_tokens, spaces_inside
+from .token_counts import PrefixCounter
 
 #: UTF-8 bytes of text in a block
 BLOCK_BYTES = 8 << 20
+#: the folds grow with the square of a unit's length (and more); longer units, hardly ever met,
+#: are encoded by the linear forward pass of ``token_counts``, which gives the same ids
+LONG_UNIT = 64
 _WIDE = 1 << 24                                      # key of an edge: start * _WIDE + end
 
 
@@ -82,7 +86,7 @@ def edges(distinct_units: DataFrame, piece_table: DataFrame, longest: int) -> Da
     (start and end, packed) to (score, id) for those of two characters or more, and from the
     start for those of one.  A unit without any edge is absent."""
     n = F.char_length("unit")
-    starts = distinct_units.select("unit", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+    starts = distinct_units.where(n <= LONG_UNIT).select("unit", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
     windows = starts.select("unit", "s", F.substring("unit", F.col("s") + 1, F.lit(longest)).alias("w"))
     exploded = windows.select("unit", "s", "w", F.explode(F.sequence(F.lit(1), F.char_length("w"))).alias("size"))
     exploded = exploded.select("unit", "s", "size", (F.col("s").cast("long") * _WIDE + F.col("s") + F.col("size")).alias("place"),
@@ -144,7 +148,8 @@ def fold_viterbi(n: Column, longest: int, unknown: float) -> Column:
 
 
 def encode_units(distinct_units: DataFrame, pieces: Pieces) -> DataFrame:
-    """``distinct_units`` (non-empty, one row each) with ``ids``: the lattice, folded."""
+    """``distinct_units`` (non-empty, one row each) with ``ids``: the lattice, folded; null for
+    units beyond ``LONG_UNIT`` characters."""
     spark = distinct_units.sparkSession
     table = spark.createDataFrame([(p, float(pieces.scores[p]), i) for p, i in pieces.ids.items()],
                                   "piece string, score double, id int")
@@ -153,7 +158,7 @@ def encode_units(distinct_units: DataFrame, pieces: Pieces) -> DataFrame:
         fold_viterbi(n, pieces.longest, min(pieces.scores.values(), default=0.0) - 10.0)
     found = edges(distinct_units, table, pieces.longest).withColumnRenamed("unit", "_unit")
     folded = distinct_units.join(found, F.col("unit") == F.col("_unit"), "left") \
-        .select(*distinct_units.columns, "edges", "singles", bounds.alias("bounds"))
+        .select(*distinct_units.columns, "edges", "singles", F.when(n <= LONG_UNIT, bounds).alias("bounds"))
     zero = pieces.bytes_at[0]
     if any(pieces.bytes_at[b] != zero + b for b in range(256)):
         raise ValueError("byte pieces must have consecutive ids")
@@ -165,8 +170,8 @@ def encode_units(distinct_units: DataFrame, pieces: Pieces) -> DataFrame:
         as_bytes = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)),
                                lambda at: (F.conv(F.substring(code, at, F.lit(2)), 16, 10).cast("int") + zero))
         return F.when(known.isNotNull(), F.array(known)).otherwise(as_bytes)
-    return folded.select(*distinct_units.columns, F.flatten(F.transform(
-        F.sequence(F.lit(0), F.size("bounds") - 2), piece_ids)).alias("ids"))
+    return folded.select(*distinct_units.columns, F.when(F.col("bounds").isNotNull(), F.flatten(F.transform(
+        F.sequence(F.lit(0), F.size("bounds") - 2), piece_ids))).alias("ids"))
 
 
 def _ragged(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -176,7 +181,7 @@ def _ragged(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
-def _put_together(kind: pa.DataType):
+def _put_together(kind: pa.DataType, pieces: Pieces):
     def expand(head, unit_ids: list):
         ids, codes, sizes, of_word, word_sizes, n_units = head
         if len(unit_ids) != n_units:
@@ -205,22 +210,24 @@ def _put_together(kind: pa.DataType):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, head, found = None, None, []
+        counter = PrefixCounter(pieces)
         for batch in batches:
             blocks, numbers, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
             flat = np.array(lists.values, np.int32)
-            offsets = np.array(lists.offsets)
+            offsets, long = np.array(lists.offsets), batch.column(3)
             flat = flat.copy()
             for r in range(batch.num_rows):
                 if numbers[r] < 0:
                     if head is not None:
                         yield from expand(head, found)
-                    x = batch.column(3)[r].as_py()
+                    x = batch.column(4)[r].as_py()
                     head = (x["ids"], x["codes"], x["sizes"], x["of_word"], x["word_sizes"], x["n_units"])
                     block, found = blocks[r], []
                 else:
                     if blocks[r] != block or numbers[r] != len(found):
                         raise RuntimeError("the two passes over a block differ; encode a stored or checkpointed table")
-                    found.append(flat[offsets[r]:offsets[r + 1]])
+                    found.append(flat[offsets[r]:offsets[r + 1]] if not long[r].is_valid
+                                 else np.array(counter.ids(long[r].as_py()), np.int32))
         if head is not None:
             yield from expand(head, found)
     return run
@@ -252,13 +259,14 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
         T.StructField("sizes", T.ArrayType(T.IntegerType())), T.StructField("of_word", T.BinaryType()),
         T.StructField("word_sizes", T.BinaryType()), T.StructField("n_units", T.IntegerType())])
     head_schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("number", T.IntegerType()),
-                                T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("head", head)])
+                                T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("long", T.StringType()),
+                                T.StructField("head", head)])
 
     def list_documents(batches):
         state = _Blocks(pieces)
 
         def emit(block, names, of_word, word_sizes):
-            row = {"block": block, "number": -1, "ids": None, "head": {
+            row = {"block": block, "number": -1, "ids": None, "long": None, "head": {
                 "ids": [i.as_py() for i in state.ids], "codes": pack(np.concatenate(state.codes)),
                 "sizes": [len(c) for c in state.codes], "of_word": pack(of_word), "word_sizes": pack(word_sizes), "n_units": len(names)}}
             yield pa.RecordBatch.from_pylist([row], schema=arrow_head)
@@ -271,11 +279,12 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     distinct = listed.groupBy("unit").agg(F.min(F.struct("block", "number")).alias("first"))
     coded = encode_units(distinct, pieces)
     entries = listed.join(coded, "unit").where(F.struct("block", "number") >= F.col("first")) \
-        .select("block", "number", "ids", F.lit(None).cast(head).alias("head"))
+        .select("block", "number", "ids", F.when(F.col("ids").isNull(), F.col("unit")).alias("long"),
+                F.lit(None).cast(head).alias("head"))
     heads = source.mapInArrow(list_documents, head_schema)
     out = T.StructType([source.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return heads.unionByName(entries).repartition(target_partitions(docs.sparkSession), "block").sortWithinPartitions("block", "number") \
-        .mapInArrow(_put_together(to_arrow_type(id_type)), out).withColumnRenamed("id", id_col)
+        .mapInArrow(_put_together(to_arrow_type(id_type), pieces), out).withColumnRenamed("id", id_col)
 
 
 def decode_ids(ids: list[int], pieces: Pieces) -> str:

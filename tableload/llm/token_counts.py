@@ -50,17 +50,31 @@ class PrefixCounter:
         for size in range(1, min(depth, self.longest) + 1):
             piece = word[depth - size:depth]
             if piece in self.p.ids:
-                score, count = states[depth - size]
-                found = (score + self.p.scores[piece], count + 1)
+                score, count = states[depth - size][:2]
+                found = (score + self.p.scores[piece], count + 1, size)
             elif size == 1:
-                score, count = states[depth - 1]
-                found = (score + self.lowest, count + len(piece.encode()))
+                score, count = states[depth - 1][:2]
+                found = (score + self.lowest, count + len(piece.encode()), 1)
             else:
                 continue
             if best is None or found[0] > best[0]:
                 best = found
         return best
 
+    def ids(self, word: str) -> list[int]:
+        """Token ids of one word, by the same forward states and the way back."""
+        states = [("", 0) if self.p.kind == "bpe" else (0.0, 0)]
+        for depth in range(1, len(word) + 1):
+            states.append(self._next(word, depth, states))
+        out, end = [], len(word)
+        while end:
+            size = len(states[end][0]) if self.p.kind == "bpe" else states[end][2]
+            piece = word[end - size:end]
+            own = self.p.ids.get(piece)
+            out.append([self.p.bytes_at[b] for b in piece.encode()] if own is None else [own])
+            end -= size
+        return [i for part in reversed(out) for i in part]
+
     def counts(self, words) -> dict[str, int]:
         first = ("", 0) if self.p.kind == "bpe" else (0.0, 0)
         out, before, states = {}, "", [first]
