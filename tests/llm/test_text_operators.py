@@ -260,7 +260,7 @@ TEXT = "Title & more\n\nFirst paragraph with a link and text that is long enough
 
 def test_main_text_of_pages(spark):
     rows = [(i, f"https://a.example/{i}", PAGE.replace("{n}", str(i))) for i in range(6)]
-    short = '<body><div class="post-9"><p>Tiny.</p></div><div class="other"><p>Something longer that would win if this page stood alone.</p></div></body>'
+    short = '<body><div><div class="post-9"><p>Tiny.</p></div><div class="other"><p>Something longer that would win if this page stood alone.</p></div></div></body>'
     rows += [(6, "https://A.example:80/s", short), (7, None, "plain"), (8, "x", None), (9, "https://b.example/", "<p>a<p>b")]
     got = {r["page_id"]: (r["text"], r["n_chars"]) for r in html_main.main_text(
         spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
