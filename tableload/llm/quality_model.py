@@ -234,7 +234,7 @@ def fold_of(id_column: Column) -> Column:
 
 def _sample(rows: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
     got = rows.orderBy(F.xxhash64("id"), "id", "vector").limit(limit).select("vector", "label").collect()
-    x = np.array([np.frombuffer(r["vector"], np.float32) for r in got], np.float64).reshape(len(got), -1)
+    x = np.array([np.frombuffer(r["vector"], np.float32) for r in got], np.float64).reshape(len(got), 4 * DIM + 4)
     return x, np.array([r["label"] for r in got], np.float64)
 
 
