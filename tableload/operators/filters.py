@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Lists longer than this become a broadcast semi join instead of an IN list.  The list
-# is a driver-side Python value, so its size is known before it is broadcast.
-INLIST_MAX = 200
-
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -20,9 +16,9 @@ def keep_members(df: DataFrame, col: str, values: Sequence | DataFrame | None =
     """keep rows whose ``col`` is one of ``values``.
 
     ``None`` keeps everything, an empty list keeps nothing, NULL never matches.
-    A short list is an ``IN`` predicate (pushed to the Parquet scan); a long list is a
-    broadcast semi join; a DataFrame of values is a semi join whose strategy AQE picks
-    from the measured size (no forced broadcast of data of unknown size).
+    A list of any length is an ``IN`` predicate, compared in the column's type; a DataFrame
+    of values is a semi join whose strategy AQE picks from the measured size (no forced
+    broadcast of data of unknown size).
     """
     if values is None:
         return df
@@ -33,12 +29,7 @@ def keep_members(df: DataFrame, col: str, values: Sequence | DataFrame | None =
     values = list(values)
     if not values:
         return df.filter(F.lit(False))
-    if len(values) <= INLIST_MAX:
-        return df.filter(_c(col).isin(values))
-    spark = df.sparkSession
-    dtype = df.schema[col].dataType.simpleString() if isinstance(col, str) else "string"
-    vals = spark.createDataFrame([(v,) for v in values], f"_member {dtype}")
-    return df.join(F.broadcast(vals), _c(col) == F.col("_member"), "left_semi")
+    return df.filter(_c(col).isin(values))
 
 
 def keep_both_ends(df: DataFrame, a: str, b: str, values: Sequence | None = None) -> DataFrame:

@@ -20,6 +20,9 @@ TYPE_ALIASES = {
     "date": "date", "timestamp": "timestamp_ntz", "timestamp without time zone": "timestamp_ntz",
     "timestamptz": "timestamp", "timestamp with time zone": "timestamp", "bytea": "binary",
     "binary": "binary", "numeric": "decimal(38,18)", "decimal": "decimal(38,18)",
+    "varchar": "string", "character varying": "string", "char": "string", "character": "string",
+    "bpchar": "string", "name": "string", "uuid": "string", "json": "string", "jsonb": "string", "time": "string",
+    "time without time zone": "string",
     "timestamp_ntz": "timestamp_ntz", "tinyint": "tinyint", "long": "bigint",
 }
 

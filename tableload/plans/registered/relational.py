@@ -166,8 +166,8 @@ def q_sibling_count(spark, d):
 
 @query("ordered_listing", """
 SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority, o_totalprice FROM orders
-ORDER BY priority DESC NULLS FIRST, o_totalprice ASC NULLS LAST, o_orderkey LIMIT 100""")
+ORDER BY priority DESC NULLS FIRST, o_totalprice ASC NULLS LAST, o_orderkey""")
 def q_ordered_listing(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", F.expr("nullif(o_orderpriority, '5-LOW')").alias("priority"),
                                          "o_totalprice")
-    return relops.ordered_listing(o, [("priority", True), "o_totalprice", "o_orderkey"], limit=100)
+    return relops.ordered_listing(o, [("priority", True), "o_totalprice", "o_orderkey"])

@@ -88,7 +88,7 @@ def append_log(log: DataFrame, path: str) -> None:
 
 
 def failure_tally(log: DataFrame) -> DataFrame:
-    """A5: failures per operation plus a total row (``operation = 'total'``)."""
-    r = log.rollup("operation").agg(F.count(F.lit(1)).alias("failures"))
-    return r.select(F.coalesce("operation", F.lit("total")).alias("operation"),
-                    F.col("failures").cast("bigint").alias("failures"))
+    """A5: failures per operation plus a total row (``operation = 'total'``, 0 for an empty log)."""
+    failures = F.count(F.lit(1)).cast("bigint").alias("failures")
+    total = log.agg(failures).select(F.lit("total").alias("operation"), "failures")
+    return log.groupBy(F.col("operation").cast("string").alias("operation")).agg(failures).unionByName(total)
