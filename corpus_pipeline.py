@@ -47,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every draw, and the digest of the text they decode to."""
     model = pieces.read_model(PIECE_MODEL)
-    coded = lattice.decode(lattice.encode(docs, model), model)
+    coded = lattice.encode(docs, model, decoded_col="decoded")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.col("ids").alias("token_ids"),
                         F.md5("decoded").alias("decoded_md5"))
 

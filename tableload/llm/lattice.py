@@ -38,6 +38,8 @@ from .token_counts import PrefixCounter
 
 #: UTF-8 bytes of text in a block
 BLOCK_BYTES = 8 << 20
+#: documents in an outgoing batch
+DOCUMENTS_OUT = 256
 #: the folds grow with the square of a unit's length (and more); longer units, hardly ever met,
 #: are encoded by the linear forward pass of ``token_counts``, which gives the same ids
 LONG_UNIT = 64
@@ -197,15 +199,15 @@ def _put_together(kind: pa.DataType, pieces: Pieces):
         word_starts, word_lens = word_ends[cuts[:-1]], np.diff(word_ends[cuts])
         codes, sizes = unpack(codes), np.array(sizes, np.int64)
         at = 0
-        for i in range(0, len(sizes), 1024):
-            n = int(sizes[i:i + 1024].sum())
+        for i in range(0, len(sizes), DOCUMENTS_OUT):
+            n = int(sizes[i:i + DOCUMENTS_OUT].sum())
             own = codes[at:at + n]
             at += n
             tokens = word_flat[_ragged(word_lens[own], word_starts[own])]
             per_word = np.concatenate(([0], np.cumsum(word_lens[own])))
-            offsets = per_word[np.concatenate(([0], np.cumsum(sizes[i:i + 1024])))]
+            offsets = per_word[np.concatenate(([0], np.cumsum(sizes[i:i + DOCUMENTS_OUT])))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[i:i + 1024], kind), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tokens, pa.int32()))],
+                [pa.array(ids[i:i + DOCUMENTS_OUT], kind), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tokens, pa.int32()))],
                 ["id", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,11 +235,15 @@ def _put_together(kind: pa.DataType, pieces: Pieces):
     return run
 
 
-def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text",
+           decoded_col: str | None = None) -> DataFrame:
     """One row per input row: its id and ``ids``, the token ids of the whole text.
 
     Null and empty texts have no tokens; repeated rows stay; an empty table gives an empty
     result; other columns are not read.  Equal to the SentencePiece library's encoding.
+    ``decoded_col`` names a further column, the text those ids decode to: the same as
+    :func:`decode` on the result, but in the worker that holds the ids already, so that a
+    task keeps one Python process instead of two.
     """
     if spaces_inside(pieces):
         raise ValueError("a piece holds a space after another character; words cannot be encoded one by one")
@@ -283,8 +289,13 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
                 F.lit(None).cast(head).alias("head"))
     heads = source.mapInArrow(list_documents, head_schema)
     out = T.StructType([source.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    put_together = _put_together(to_arrow_type(id_type), pieces)
+    if decoded_col is not None:
+        out = out.add(decoded_col, T.StringType())
+        encoded, back = put_together, _decoder(pieces, 1, decoded_col)
+        put_together = lambda batches: back(encoded(batches))
     return heads.unionByName(entries).repartition(target_partitions(docs.sparkSession), "block").sortWithinPartitions("block", "number") \
-        .mapInArrow(_put_together(to_arrow_type(id_type), pieces), out).withColumnRenamed("id", id_col)
+        .mapInArrow(put_together, out).withColumnRenamed("id", id_col)
 
 
 def decode_ids(ids: list[int], pieces: Pieces) -> str:
@@ -292,11 +303,7 @@ def decode_ids(ids: list[int], pieces: Pieces) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """All columns and ``text_col``, the text of the token ids (null for null ids)."""
-    schema = T.StructType([*encoded.schema.fields, T.StructField(text_col, T.StringType())])
-    at = encoded.columns.index(ids_col)
-
+def _decoder(pieces: Pieces, at: int, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(at)
@@ -305,5 +312,10 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", text_col: s
             texts = [None if none[i] else decode_ids(flat[ends[i]:ends[i + 1]].tolist(), pieces) for i in range(len(lists))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              [*batch.schema.names, text_col])
-    return encoded.mapInArrow(run, schema)
+    return run
 
+
+def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """All columns and ``text_col``, the text of the token ids (null for null ids)."""
+    schema = T.StructType([*encoded.schema.fields, T.StructField(text_col, T.StringType())])
+    return encoded.mapInArrow(_decoder(pieces, encoded.columns.index(ids_col), text_col), schema)

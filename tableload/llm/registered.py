@@ -160,9 +160,9 @@ PIECE_MODEL = os.environ.get("TABLELOAD_PIECE_MODEL", "/opt/tokenizers/piece_bpe
 @query("op1_sentencepiece")
 def op1_sentencepiece(spark, sf_dir):
     model = pieces.read_model(PIECE_MODEL)
-    coded = lattice.encode(table(spark, sf_dir, "documents"), model)
-    return lattice.decode(coded, model).select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                                               F.col("ids").alias("token_ids"), F.md5("decoded").alias("decoded_md5"))
+    coded = lattice.encode(table(spark, sf_dir, "documents"), model, decoded_col="decoded")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.col("ids").alias("token_ids"), F.md5("decoded").alias("decoded_md5"))
 
 
 @query("op6_token_counts")

@@ -192,6 +192,8 @@ def test_tokens_equal_the_library(spark, model, mixed):
     coded = lattice.encode(docs, model)
     assert {r["doc_id"]: r["ids"] for r in coded.collect()} == want
     back = {r["doc_id"]: r["decoded"] for r in lattice.decode(coded, model).collect()}
+    at_once = {r["doc_id"]: r["back"] for r in lattice.encode(docs, model, decoded_col="back").collect()}
+    assert at_once == back
     assert all(back[i] == lib.decode(want[i]) for i in want)
     assert {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(docs, model).collect()} == {i: len(x) for i, x in want.items()}
 
