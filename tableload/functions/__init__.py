@@ -1,5 +1,5 @@
 """Scalar column functions and SQL function registration."""
 
-from .scalars import at_least, clamp_to_bigint, not_null_column, pg_int_div, truncate_identifier, type_label
+from .scalars import at_least, clamp_to_bigint, not_null_column, truncate_identifier, type_label
 
-__all__ = ["at_least", "clamp_to_bigint", "not_null_column", "pg_int_div", "truncate_identifier", "type_label"]
+__all__ = ["at_least", "clamp_to_bigint", "not_null_column", "truncate_identifier", "type_label"]

@@ -51,17 +51,6 @@ def at_least(c: Column | str, n) -> Column:
     return F.greatest(_col(c), F.lit(n))
 
 
-def pg_int_div(a: Column | str, b: Column | str) -> Column:
-    """Integer division truncating toward zero (``/`` on two integers in the source SQL)."""
-    return F.expr(f"({_sql(a)}) div ({_sql(b)})")
-
-
-def _sql(c: Column | str) -> str:
-    if isinstance(c, str):
-        return c
-    raise TypeError("pass SQL text or a column name")
-
-
 def type_label(type_name: Column | str, length: Column | str, precision: Column | str,
                scale: Column | str) -> Column:
     """Render a catalogued type as ``t``, ``t(len)``, ``t(p)`` or ``t(p,s)`` (used by P5).

@@ -73,10 +73,11 @@ def primary_key_violations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .withColumn("reason", F.when(nul, F.lit("null key")).otherwise(F.lit("duplicate"))))
 
 
-def _key_columns(key_exprs: Sequence[str] | dict[str, str]) -> list[Column]:
+def _key_columns(key_exprs: Sequence[str] | dict[str, str], columns: Sequence[str]) -> list[Column]:
+    """The name of a column is that column, whatever characters it has; else SQL text."""
     if isinstance(key_exprs, dict):
         return [F.expr(e).alias(n) for n, e in key_exprs.items()]
-    return [_q(e) if _IDENT.match(e) else F.expr(e).alias(f"key{i + 1}") for i, e in enumerate(key_exprs)]
+    return [_q(e) if e in columns or _IDENT.match(e) else F.expr(e).alias(f"key{i + 1}") for i, e in enumerate(key_exprs)]
 
 
 def unique_violations(df: DataFrame, key_exprs: Sequence[str] | dict[str, str],
@@ -86,8 +87,7 @@ def unique_violations(df: DataFrame, key_exprs: Sequence[str] | dict[str, str],
     Keys may be expressions (``{"name": "lower(c)"}``); ``where`` restricts the check
     to the rows of a partial rule (only TRUE counts).
     """
-    keys = df.select(*_key_columns(key_exprs)) if where is None else \
-        partial_filter(df, where).select(*_key_columns(key_exprs))
+    keys = (df if where is None else partial_filter(df, where)).select(*_key_columns(key_exprs, df.columns))
     names = keys.columns
     return (keys.filter(_all_set(names)).groupBy(*[_q(c) for c in names])
             .agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1))
@@ -258,6 +258,8 @@ def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: s
                 if fk.parent in unique_sets and frozenset(fk.parent_columns) not in unique_sets[fk.parent]:
                     raise ValueError(f'there is no unique constraint matching given keys for referenced '
                                      f'table "{fk.parent}"')
+                if fk.parent not in parents:
+                    raise ValueError(f'referenced table "{fk.parent}" was not loaded')
                 parent = parents[fk.parent]
                 return total(foreign_key_violations(df, fk.columns, parent, fk.parent_columns,
                                                     reduce_parent=fk.reduce_parent))()
@@ -301,7 +303,7 @@ def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: s
             values = fn()
         except Exception as exc:  # noqa: BLE001 - one failure must not stop the report
             values = [exc] * len(meta)
-        return [(table, n, kind, timing, None, _first_line(v)) if isinstance(v, Exception)
+        return [(table, n, kind, timing, None, str(v).strip() or v.__class__.__name__) if isinstance(v, Exception)
                 else (table, n, kind, timing, int(v), None)
                 for (n, kind, timing), v in zip(meta, values)]
 
@@ -309,11 +311,6 @@ def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: s
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
-def _first_line(exc: Exception) -> str:
-    lines = str(exc).strip().splitlines()
-    return (lines[0] if lines else exc.__class__.__name__)[:500]
-
-
 def _map(fn, items: list, parallelism: int) -> list:
     if parallelism <= 1 or len(items) <= 1:
         return [fn(x) for x in items]

@@ -52,14 +52,25 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def strict_cast(c: Column, type_name: str, label: str | None = None) -> Column:
+def _rounded(c: Column, source: T.DataType | None, target_ddl: str) -> Column:
+    """A number on its way to an integer type rounds, as assignments in the source database
+    do: decimals half away from zero, floats half to even."""
+    if target_ddl in _INTEGRAL_RANK and isinstance(source, T.DecimalType):
+        return F.round(c, 0)
+    if target_ddl in _INTEGRAL_RANK and isinstance(source, (T.FloatType, T.DoubleType)):
+        return F.rint(c)
+    return c
+
+
+def strict_cast(c: Column, type_name: str, label: str | None = None, source: T.DataType | None = None) -> Column:
     """Cast that fails the job on a value that does not convert (NULL stays NULL).
 
     The check is explicit, so it holds whether or not the session runs in ANSI mode; a
-    ``varchar(n)``/``char(n)`` target also fails on values longer than ``n``.
+    ``varchar(n)``/``char(n)`` target also fails on values longer than ``n``.  Fractions round
+    for an integer type when the ``source`` type is known to be a number's.
     """
     t = spark_type(type_name)
-    converted = c.try_cast(t)
+    converted = _rounded(c, source, t).try_cast(t)
     what = label or type_name
     bad = c.isNotNull() & converted.isNull()
     n = max_length(type_name)
@@ -90,7 +101,16 @@ def checked_column(c: Column, source: T.DataType | None, type_name: str) -> Colu
     t = spark_type(type_name)
     if source is not None and max_length(type_name) is None and cast_cannot_fail(source, t):
         return c if source.simpleString() == t else c.cast(t)
-    return strict_cast(c, type_name)
+    return strict_cast(c, type_name, source=source)
+
+
+def target_names(columns: list[ColumnSpec], truncate: bool = True) -> list[str]:
+    """Target names by position, cut to 63 bytes; two columns with one target name raise."""
+    names = [truncate_identifier(c.name) if truncate else c.name for c in ordered(columns)]
+    dup = {n for n in names if names.count(n) > 1}
+    if dup:
+        raise ValueError(f"columns map to the same target name: {sorted(dup)}")
+    return names
 
 
 def project_mapped(df: DataFrame, columns: list[ColumnSpec], truncate: bool = True) -> DataFrame:
@@ -100,10 +120,7 @@ def project_mapped(df: DataFrame, columns: list[ColumnSpec], truncate: bool = Tr
     to one target name raise, as a duplicate catalog key would.
     """
     cols = ordered(columns)
-    names = [truncate_identifier(c.name) if truncate else c.name for c in cols]
-    dup = {n for n in names if names.count(n) > 1}
-    if dup:
-        raise ValueError(f"columns map to the same target name: {sorted(dup)}")
+    names = target_names(columns, truncate)
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.select(*[checked_column(_q(c.source), types.get(c.source), c.type_name).alias(n)
                        for c, n in zip(cols, names)])
@@ -126,14 +143,18 @@ def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
     listed = dict(columns)
     if on_error not in ("fail", "quarantine"):
         raise ValueError("on_error must be 'fail' or 'quarantine'")
+    types = {f.name: f.dataType for f in df.schema.fields}
     if on_error == "fail":
-        types = {f.name: f.dataType for f in df.schema.fields}
         return df.select(*[(checked_column(_q(c), types[c], listed[c]) if c in listed else _q(c)).alias(c)
                            for c in df.columns])
 
+    def convert(c: str) -> Column:
+        t = spark_type(listed[c])
+        return _rounded(_q(c), types[c], t).try_cast(t)
+
     def bad(c: str) -> Column:
-        t, n = listed[c], max_length(listed[c])
-        cond = _q(c).isNotNull() & _q(c).try_cast(spark_type(t)).isNull() if n is None \
+        n = max_length(listed[c])
+        cond = _q(c).isNotNull() & convert(c).isNull() if n is None \
             else _q(c).isNotNull() & (F.length(_q(c).cast("string")) > n)
         return cond
 
@@ -145,7 +166,7 @@ def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
     problems = F.filter(problems, lambda x: x.isNotNull())
     flagged = df.withColumn("_problems", problems)
     good = flagged.filter(F.size("_problems") == 0).select(*[
-        (_q(c).try_cast(spark_type(listed[c])) if c in listed else _q(c)).alias(c) for c in df.columns])
+        (convert(c) if c in listed else _q(c)).alias(c) for c in df.columns])
     rejected = (flagged.filter(F.size("_problems") > 0)
                 .select(*[_q(c) for c in df.columns], F.explode("_problems").alias("_p"))
                 .select(*[_q(c) for c in df.columns], "_p.error_column", "_p.error_value", "_p.error_type"))

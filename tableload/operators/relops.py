@@ -75,38 +75,16 @@ def matched(child: DataFrame, child_cols: Sequence[str], parent: DataFrame,
 
 # --------------------------------------------------------------------------- aggregations
 
-# Arrays built per group are meant for bounded groups (columns of a table, key parts of a
-# constraint, turns of a conversation).  Larger groups are refused instead of being built
-# in one task.
-MAX_GROUP_ELEMENTS = 1_000_000
-MAX_GROUP_BYTES = 256 * 1024 * 1024
-
-
 def ordered_group_collect(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                          cols: Sequence[str], max_elements: int | None = MAX_GROUP_ELEMENTS,
-                          max_bytes: int | None = MAX_GROUP_BYTES) -> DataFrame:
+                          cols: Sequence[str]) -> DataFrame:
     """A1: several arrays per group, all in the same order, NULL elements kept.
 
     ``collect_list`` of a struct keeps rows whose value is NULL (a bare ``collect_list``
     drops them); sorting the structs by the order columns first aligns every array.
-    Before anything is collected, the largest group is measured (rows and bytes, as text)
-    with one partial aggregation; a group above ``max_elements`` rows or ``max_bytes``
-    raises rather than being materialised in a single task.  ``None`` skips a limit; with
-    both ``None`` (groups bounded by construction) no probe runs.
+    An array is one value of one row, so this is for groups bounded by what they are
+    (columns of a table, key parts of a constraint, turns of a conversation); for groups
+    that grow with the data use :func:`tableload.operators.sequences.ordered_group_rows`.
     """
-    if max_elements is not None or max_bytes is not None:
-        size = F.lit(0)
-        for c in list(order) + list(cols):
-            size = size + F.coalesce(F.octet_length(_q(c).cast("string")), F.lit(0))
-        probe = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b"))
-                 .agg(F.max("n"), F.max("b")).first())
-        rows_max, bytes_max = probe[0], probe[1]
-        if max_elements is not None and rows_max is not None and rows_max > max_elements:
-            raise ValueError(f"a group holds {rows_max} rows (> {max_elements}); "
-                             "ordered_group_collect is for bounded groups")
-        if max_bytes is not None and bytes_max is not None and bytes_max > max_bytes:
-            raise ValueError(f"a group holds {bytes_max} bytes (> {max_bytes}); "
-                             "ordered_group_collect is for bounded groups")
     packed = F.struct(*[_q(o).alias(f"_o{i}") for i, o in enumerate(order)],
                       *[_q(c).alias(c) for c in cols])
     g = df.groupBy(*keys).agg(F.array_sort(F.collect_list(packed)).alias("_items"))
@@ -162,16 +140,17 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*cols) if cols else F.lit(0).cast("bigint")
 
 
-def sort_columns(keys: Sequence[str | tuple[str, bool] | Column]) -> list[Column]:
+def sort_columns(keys: Sequence[str | tuple[str, bool] | Column], df: DataFrame | None = None) -> list[Column]:
     """Sort expressions with the SQL-standard null placement of the source database:
-    NULLs last when ascending, first when descending.  ``(name, True)`` means DESC."""
+    NULLs last when ascending, first when descending.  ``(name, True)`` means DESC.  A key that is the name of a column of
+    ``df`` is that column, whatever characters it has; others are SQL expressions."""
     out = []
     for k in keys:
         if isinstance(k, Column):
             out.append(k)
             continue
         name, desc = (k, False) if isinstance(k, str) else k
-        c = F.expr(name)
+        c = _q(name) if df is not None and name in df.columns else F.expr(name)
         out.append(c.desc_nulls_first() if desc else c.asc_nulls_last())
     return out
 
@@ -179,5 +158,5 @@ def sort_columns(keys: Sequence[str | tuple[str, bool] | Column]) -> list[Column
 def ordered_listing(df: DataFrame, keys: Sequence[str | tuple[str, bool]], limit: int | None = None) -> DataFrame:
     """L1: global order with source null placement; with ``limit`` a top-k (per-task
     top-k then merge, no full sort)."""
-    out = df.orderBy(*sort_columns(keys))
+    out = df.orderBy(*sort_columns(keys, df))
     return out.limit(limit) if limit is not None else out

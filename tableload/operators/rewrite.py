@@ -85,13 +85,16 @@ def apply_trigger(changes: DataFrame, trigger: TriggerSpec, op: str = "op") -> D
     return before_row(changes, trigger.events, trigger.assignments, trigger.when, trigger.drop_if, op)
 
 
-def instead_of_insert(rows: DataFrame, mapping: dict[str, str | Column], base: DataFrame) -> DataFrame:
+def instead_of_insert(rows: DataFrame, mapping: dict[str, str | Column], base: DataFrame,
+                      defaults: dict[str, str] | None = None) -> DataFrame:
     """Inserts aimed at a view become base-table rows.
 
     ``mapping`` gives each base column as an expression over the inserted view row
-    (e.g. ``{"c1": "c1 div 10"}`` for a view that shows ``c1 * 10``).  Returns the base
+    (e.g. ``{"c1": "c1 div 10"}`` for a view that shows ``c1 * 10``).  A base column without one
+    takes its default (``defaults``: SQL text by column), else NULL.  Returns the base
     table with the new rows appended.
     """
+    mapping = mapping | {c: e for c, e in (defaults or {}).items() if c not in mapping}
     new = rows.select(*[(F.expr(e) if isinstance(e, str) else e).cast(base.schema[c].dataType).alias(c)
                         for c, e in mapping.items()])
     return base.unionByName(new, allowMissingColumns=True)

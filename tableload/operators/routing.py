@@ -2,10 +2,10 @@
 
 Routing is a classification of each row by literal bounds taken from a spec, evaluated
 inside whole-stage codegen in the same stage as the scan; nothing is joined or shuffled
-to route a row.  Lists are hash-set ``IN`` tests, a few ranges a chain of range tests,
-many ranges a balanced decision tree (log2(n) comparisons per row, composite keys
-included), and hash partitions one lookup of the partition name by remainder.  Bounds
-are SQL literals, parsed by Spark's own expression parser (``F.expr``).
+to route a row.  Lists are hash-set ``IN`` tests, ranges a balanced decision tree (log2(n)
+comparisons per row, composite keys included), and hash partitions one lookup of the
+partition name by remainder.  Bounds are SQL literals, which Spark converts to the key's
+own type before they are ordered, so their spelling (``100`` or ``'100'``) is no matter.
 
 Rules kept from the source database:
 
@@ -14,25 +14,24 @@ Rules kept from the source database:
   error.
 * RANGE: ``[lower, upper)``; ``MINVALUE``/``MAXVALUE`` are open ends; composite keys
   compare lexicographically; a NULL key part only fits the default partition;
-  overlapping literal ranges are an error.  Strings compare by code point (the "C"
+  overlapping or empty ranges are an error, whatever the type and the number of keys.  Strings compare by code point (the "C"
   collation); a source column with a linguistic collation may order non-ASCII text
   differently.
 * HASH: the modulus is the number of sibling partitions and the remainder is the
   partition's value; there is no default partition.  The default placement uses Spark's
   ``xxhash64`` (JVM-side): every key lands in exactly one bucket, but not in the bucket
-  the source database would pick.  ``hash_fn=pg_hash(<key types>)``
-  (:mod:`tableload.functions.pghash`) reproduces the source database's placement on the
-  slower pandas-UDF path; ``identity_hash`` uses an integer key as its own hash.
+  the source database would pick; ``identity_hash`` uses an integer key as its own hash.
 * A row that fits no partition is rejected (``part`` is NULL); see :func:`route_or_reject`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from decimal import Decimal, InvalidOperation
+from functools import total_ordering
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..specs import MAXVALUE, MINVALUE, Partition, PartitionLevel, PartitionScheme
 
@@ -93,37 +92,17 @@ def _is_null_literal(item: str) -> bool:
     return item.strip().upper() == "NULL"
 
 
-def _ge(keys: list[Column], bound: list[str]) -> Column:
-    """Lexicographic ``keys >= bound``; a MINVALUE item makes the rest irrelevant."""
-    k, b = keys[0], bound[0]
-    if _is_open(b, MINVALUE):
-        return F.lit(True)
-    if _is_open(b, MAXVALUE):
-        return F.lit(False)
-    lit = F.expr(b)
-    if len(keys) == 1:
-        return k >= lit
-    return (k > lit) | ((k == lit) & _ge(keys[1:], bound[1:]))
-
-
-def _lt(keys: list[Column], bound: list[str]) -> Column:
+def _lt(keys: list[Column], bound: Sequence[str], types: Sequence[T.DataType]) -> Column:
     """Lexicographic ``keys < bound``; a MAXVALUE item makes the rest irrelevant."""
     k, b = keys[0], bound[0]
     if _is_open(b, MAXVALUE):
         return F.lit(True)
     if _is_open(b, MINVALUE):
         return F.lit(False)
-    lit = F.expr(b)
+    lit = F.expr(_typed(b, types[0]))
     if len(keys) == 1:
         return k < lit
-    return (k < lit) | ((k == lit) & _lt(keys[1:], bound[1:]))
-
-
-def _number(text: str) -> Decimal | None:
-    try:
-        return Decimal(text.strip())
-    except (InvalidOperation, ValueError):
-        return None
+    return (k < lit) | ((k == lit) & _lt(keys[1:], bound[1:], types[1:]))
 
 
 def validate_level(level: PartitionLevel) -> None:
@@ -147,113 +126,92 @@ def validate_level(level: PartitionLevel) -> None:
                     raise ValueError(f"value {norm} is listed in {seen[norm]} and {p.name}")
                 seen[norm] = p.name
     else:
-        spans = []
         for p in level.partitions:
-            if p.is_default:
-                continue
-            if not p.values or len(p.values) != 2:
+            if not p.is_default and (not p.values or len(p.values) != 2):
                 raise ValueError(f"range partition {p.name} needs a lower and an upper bound")
-            lo, hi = (_bound_items(v) for v in p.values)
-            if len(lo) == 1 and len(hi) == 1:
-                a = Decimal("-Infinity") if _is_open(lo[0], MINVALUE) else _number(lo[0])
-                b = Decimal("Infinity") if _is_open(hi[0], MAXVALUE) else _number(hi[0])
-                if a is not None and b is not None:
-                    if a >= b:
-                        raise ValueError(f"empty range for partition {p.name}")
-                    spans.append((a, b, p.name))
-        spans.sort()
-        for (a1, b1, n1), (a2, b2, n2) in zip(spans, spans[1:]):
-            if a2 < b1:
-                raise ValueError(f"partitions {n1} and {n2} overlap")
-
 
-# Above this many range partitions, routing uses a binary decision
-# tree (about log2(n) comparisons per row) instead of a chain of n range tests.
-RANGE_TREE_MIN = 8
 
+def _typed(literal: str, key_type: T.DataType) -> str:
+    """A bound as SQL text in the key's type (a fraction rounds for an integer key)."""
+    if isinstance(key_type, T.IntegralType):
+        literal = f"round(CAST({literal} AS DECIMAL(38,10)))"
+    return f"CAST({literal} AS {key_type.simpleString()})"
 
-def _literal_values(texts: list[str], spark=None) -> list | None:
-    """Python values of SQL literals, evaluated once by Spark (spec-sized, on the driver)."""
-    from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
-    if spark is None or not texts:
-        return None
-    row = spark.sql("SELECT " + ", ".join(f"{t} AS v{i}" for i, t in enumerate(texts))).first()
-    return [row[f"v{i}"] for i in range(len(texts))]
 
+@total_ordering
+class _Edge:
+    """One item of a bound: MINVALUE (-1) and MAXVALUE (1) lie beyond every value (0)."""
 
-class _Open:
-    """MINVALUE / MAXVALUE inside a bound tuple: below / above every value."""
+    def __init__(self, side: int, value=None):
+        self.at = (side, value) if side == 0 else (side,)
 
-    def __init__(self, high: bool):
-        self.high = high
+    def __eq__(self, other):
+        return self.at == other.at
 
     def __lt__(self, other):
-        return (not self.high) and not (isinstance(other, _Open) and not other.high)
-
-    def __gt__(self, other):
-        return self.high and not (isinstance(other, _Open) and other.high)
-
-    def __eq__(self, other):
-        return isinstance(other, _Open) and other.high == self.high
+        return self.at < other.at if self.at[0] == other.at[0] == 0 else self.at[0] < other.at[0]
 
     def __hash__(self):
-        return hash(self.high)
-
-
-def _range_tree(level: PartitionLevel, keys: list[Column], fallback: Column, spark=None) -> Column | None:
+        return hash(self.at)
+
+
+def _range_bounds(level: PartitionLevel, types: Sequence[T.DataType], spark: SparkSession) -> dict[str, tuple]:
+    """Every bound text of the level as a comparable tuple of values in the keys' types.
+
+    Spark evaluates the literals (spec-sized, one row on the driver).  After an open item the
+    rest of a bound is irrelevant, so it is cut there."""
+    items: dict[str, list[str]] = {}
+    for p in level.partitions:
+        for text in p.values or () if not p.is_default else ():
+            its = _bound_items(text)
+            ends = [i for i, x in enumerate(its) if _is_open(x, MINVALUE) or _is_open(x, MAXVALUE)]
+            if len(its) != len(types) and not ends:
+                raise ValueError(f"bound {text} needs {len(types)} values")
+            items[text] = its[:ends[0] + 1] if ends else its
+    wanted = sorted({(x, i) for its in items.values() for i, x in enumerate(its)
+                     if not (_is_open(x, MINVALUE) or _is_open(x, MAXVALUE))})
+    row = spark.sql("SELECT " + ", ".join(f"{_typed(x, types[i])} AS v{n}"
+                                          for n, (x, i) in enumerate(wanted))).first() if wanted else ()
+    values = dict(zip(wanted, row))
+    missing = [x for (x, _), v in values.items() if v is None]
+    if missing:
+        raise ValueError(f"bounds that are NULL or no value of the key's type: {missing}")
+
+    def edge(x: str, i: int) -> _Edge:
+        return _Edge(-1) if _is_open(x, MINVALUE) else _Edge(1) if _is_open(x, MAXVALUE) else _Edge(0, values[x, i])
+    return {text: tuple(edge(x, i) for i, x in enumerate(its)) for text, its in items.items()}
+
+
+def _range_tree(level: PartitionLevel, keys: list[Column], types: Sequence[T.DataType], fallback: Column,
+                spark: SparkSession) -> Column:
     """Range routing as a balanced tree of ``keys < point`` tests over the sorted bounds.
 
     The boundary points cut the key domain into intervals; each interval belongs to at
     most one partition (ranges do not overlap) or to the fallback.  Composite keys compare
-    lexicographically at every node.  Returns ``None`` when the bounds cannot be ordered
-    on the driver (the caller then uses the chain of range tests).
+    lexicographically at every node.
     """
-    parts = [p for p in level.partitions if not p.is_default]
-    n = len(keys)
-
-    def items(bound: str) -> tuple[str, ...] | None:      # None: a fully open end
-        b = bound.strip()
-        if _is_open(b, MINVALUE) or _is_open(b, MAXVALUE):
-            return None
-        its = tuple(_bound_items(b))
-        return its if len(its) == n else None
-
-    texts = sorted({it for p in parts for b in p.values if items(b) is not None for it in items(b)
-                    if not (_is_open(it, MINVALUE) or _is_open(it, MAXVALUE))})
-    try:
-        values = dict(zip(texts, _literal_values(texts, spark) or []))
-        if len(values) != len(texts) or any(v is None for v in values.values()):
-            return None
-
-        def sort_key(its: tuple[str, ...]):
-            return tuple(_Open(False) if _is_open(i, MINVALUE) else _Open(True) if _is_open(i, MAXVALUE)
-                         else values[i] for i in its)
-        bounds = {items(b) for p in parts for b in p.values if items(b) is not None}
-        keyed = {sort_key(t): t for t in bounds}              # equal tuples spelled differently
-        order = sorted(keyed)
-    except Exception:  # noqa: BLE001 - bounds Spark cannot evaluate or Python cannot order
-        return None
-    points = [keyed[k] for k in order]
-    rank = {sort_key(t): r for r, t in enumerate(points)}
-
-    def span(p: Partition) -> tuple[int, int]:      # covered intervals [first, last)
-        lo, hi = (items(b) for b in p.values)
-        first = 0 if lo is None else rank[sort_key(lo)] + 1
-        last = len(points) + 1 if hi is None else rank[sort_key(hi)] + 1
-        return first, last
-
-    owner: list[Column] = [fallback] * (len(points) + 1)   # interval i: [point i-1, point i)
+    at = _range_bounds(level, types, spark)
+    parts = sorted((p for p in level.partitions if not p.is_default), key=lambda p: at[p.values[0]])
     for p in parts:
-        first, last = span(p)
-        for i in range(first, last):
+        if not at[p.values[0]] < at[p.values[1]]:
+            raise ValueError(f"empty range for partition {p.name}")
+    for a, b in zip(parts, parts[1:]):
+        if at[b.values[0]] < at[a.values[1]]:
+            raise ValueError(f"partitions {a.name} and {b.name} overlap")
+    spelled = {at[text]: text for p in parts for text in p.values}       # one text per point
+    points = sorted(spelled)
+    rank = {point: i + 1 for i, point in enumerate(points)}              # interval i starts at point i-1
+    owner: list[Column] = [fallback] * (len(points) + 1)
+    for p in parts:
+        for i in range(rank[at[p.values[0]]], rank[at[p.values[1]]]):
             owner[i] = F.lit(p.name)
 
     def tree(lo: int, hi: int) -> Column:                 # intervals lo .. hi-1
         if hi - lo == 1:
             return owner[lo]
-        mid = (lo + hi) // 2                               # interval mid starts at point mid-1
-        return F.when(_lt(keys, list(points[mid - 1])), tree(lo, mid)).otherwise(tree(mid, hi))
+        mid = (lo + hi) // 2
+        bound = _bound_items(spelled[points[mid - 1]])
+        return F.when(_lt(keys, bound, types), tree(lo, mid)).otherwise(tree(mid, hi))
 
     any_null = keys[0].isNull()
     for k in keys[1:]:
@@ -261,16 +219,15 @@ def _range_tree(level: PartitionLevel, keys: list[Column], fallback: Column, spa
     return F.when(any_null, fallback).otherwise(tree(0, len(points) + 1))
 
 
-def level_expr(level: PartitionLevel, hash_fn: HashFn = xxhash_keys, spark=None) -> Column:
-    """Partition name of each row for one level (NULL when nothing fits)."""
+def level_expr(level: PartitionLevel, df: DataFrame, hash_fn: HashFn = xxhash_keys) -> Column:
+    """Partition name of each row of ``df`` for one level (NULL when nothing fits)."""
     validate_level(level)
     keys = key_columns(level.key)
     default = next((p.name for p in level.partitions if p.is_default), None)
-    if level.method == "RANGE" and sum(1 for p in level.partitions if not p.is_default) > RANGE_TREE_MIN:
-        fallback = F.lit(default) if default is not None else F.lit(None).cast("string")
-        routed = _range_tree(level, keys, fallback, spark)
-        if routed is not None:
-            return routed
+    fallback = F.lit(default) if default is not None else F.lit(None).cast("string")
+    if level.method == "RANGE":
+        types = [f.dataType for f in df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).schema.fields]
+        return _range_tree(level, keys, types, fallback, df.sparkSession)
     expr = None
 
     def add(cond: Column, name: str):
@@ -287,15 +244,6 @@ def level_expr(level: PartitionLevel, hash_fn: HashFn = xxhash_keys, spark=None)
             if any(_is_null_literal(v) for v in p.values):
                 cond = cond | k.isNull()
             add(cond, p.name)
-    elif level.method == "RANGE":
-        not_null = keys[0].isNotNull()
-        for k in keys[1:]:
-            not_null = not_null & k.isNotNull()
-        for p in level.partitions:
-            if p.is_default or not p.values:
-                continue
-            lo, hi = (_bound_items(v) for v in p.values)
-            add(not_null & _ge(keys, lo) & _lt(keys, hi), p.name)
     else:
         # one lookup: the partition names indexed by remainder (NULL where none is declared)
         n = len(level.partitions)
@@ -305,7 +253,6 @@ def level_expr(level: PartitionLevel, hash_fn: HashFn = xxhash_keys, spark=None)
                 by_remainder[int(p.values[0])] = p.name
         names = F.array(*[F.lit(x).cast("string") for x in by_remainder])
         return F.try_element_at(names, hash_fn(keys, n).cast("int") + F.lit(1))
-    fallback = F.lit(default) if default is not None else F.lit(None).cast("string")
     return fallback if expr is None else expr.otherwise(fallback)
 
 
@@ -318,14 +265,16 @@ def route(df: DataFrame, scheme: PartitionScheme | PartitionLevel, part: str = "
     """
     if isinstance(scheme, PartitionLevel):
         scheme = PartitionScheme(scheme)
-    spark = df.sparkSession
-    out = df.withColumn(part, level_expr(scheme.top, hash_fn, spark))
     subs = {name: lvl for name, lvl in scheme.sub.items() if lvl.partitions}
+    taken = {c.lower() for c in df.columns} & ({part.lower(), subpart.lower()} if subs else {part.lower()})
+    if taken:
+        raise ValueError(f"the table has columns named {sorted(taken)}; choose other names for the routing columns")
+    out = df.withColumn(part, level_expr(scheme.top, df, hash_fn))
     if not subs:
         return out
     sub = None
     for name, lvl in subs.items():
-        e = level_expr(lvl, hash_fn, spark)
+        e = level_expr(lvl, df, hash_fn)
         sub = F.when(F.col(part) == F.lit(name), e) if sub is None else sub.when(F.col(part) == F.lit(name), e)
     return out.withColumn(subpart, sub.otherwise(F.lit(None).cast("string")))
 

@@ -14,12 +14,15 @@ pull all rows into one task):
    of the whole row is the last range key, so a hot key still spreads out) and sort
    each partition;
 2. ``monotonically_increasing_id`` gives (partition index, position in partition);
-3. rows per partition are counted -- a result with one row per partition -- and turned
+3. the rows with those positions are written once to the shared scratch folder
+   (``spark.checkpoint.dir``): the bounds of a range exchange are sampled, so counting and
+   numbering must read one and the same outcome of it, not two runs of the plan;
+4. rows per partition are counted -- a result with one row per partition -- and turned
    into prefix offsets on that tiny table, which is broadcast back (its size is bounded
    by the partition count).
 
 The range exchange uses an explicit partition number, so adaptive execution neither
-coalesces nor splits it and both uses of it see the same partitions.
+coalesces nor splits it.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clamp_to_bigint_py
-from ..session import target_partitions
+from ..session import scratch_path, target_partitions
 from ..specs import BIGINT_MAX, BIGINT_MIN, SequenceSpec
 from .relops import row_hash, sort_columns
 
@@ -41,20 +44,37 @@ def dense_ordinal(df: DataFrame, order: Sequence[str | tuple[str, bool] | Column
                   num_partitions: int | None = None) -> DataFrame:
     """Add ``out``: 0, 1, 2, ... in the given order (ties broken arbitrarily but densely)."""
     n = num_partitions or target_partitions(df.sparkSession)
-    keys = sort_columns(order)
+    keys = sort_columns(order, df)
     tiebreak = row_hash(df)
     ranged = df.repartitionByRange(n, *keys, tiebreak).sortWithinPartitions(*keys, tiebreak)
     mid = F.monotonically_increasing_id()
     tagged = ranged.withColumn("_mid", mid).select(
         "*", F.shiftright("_mid", _POS_BITS).alias("_pid"),
-        F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"))
+        F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos")).drop("_mid")
+    path = scratch_path(df.sparkSession, "ordinal")
+    tagged.write.parquet(path)
+    tagged = df.sparkSession.read.schema(tagged.schema).parquet(path)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid", F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                            F.lit(0)).alias("_off"))
     return (tagged.join(F.broadcast(offsets), "_pid")
             .withColumn(out, F.col("_off") + F.col("_pos"))
-            .drop("_mid", "_pid", "_pos", "_off"))
+            .drop("_pid", "_pos", "_off"))
+
+
+def ordered_group_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[str, bool] | Column],
+                       out: str = "ordinal", num_partitions: int | None = None) -> DataFrame:
+    """A1 for groups of any size: every row with its 0-based place ``out`` in its group.
+
+    No group is gathered: rows are numbered over the whole table by (keys, order), and each
+    group's first number, a partial aggregate, is taken off again.  NULL keys form a group.
+    """
+    ranked = dense_ordinal(df, [*keys, *order], "_all", num_partitions)
+    first = ranked.groupBy(*[F.col(f"`{k}`").alias(f"_g{i}") for i, k in enumerate(keys)]).agg(F.min("_all").alias("_first"))
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)]
+    return ranked.join(first, same).withColumn(out, F.col("_all") - F.col("_first")) \
+        .drop("_all", "_first", *[f"_g{i}" for i in range(len(keys))])
 
 
 def sequence_bounds(seq: SequenceSpec) -> tuple[int, int, int, int]:

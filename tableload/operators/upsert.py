@@ -4,9 +4,9 @@ duplicate-source check (U3).
 Both upserts are set-based joins on the keys, no per-row lookups.  Parquet tables have no
 ``MERGE``; the result is a new DataFrame to be written as the next snapshot.  Keys are
 unique on the target (a primary key) and made unique on the source (U1 picks one row
-per key, U2 refuses duplicates), so a key cannot be hot on either side.  A small source
-(the common incremental load) never makes the whole target move: its keys are
-broadcast and the target is only scanned.
+per key, U2 refuses duplicates), so a key cannot be hot on either side.  The target is
+always the streamed side of a join with the source, so a source that AQE measures to be
+small is broadcast and the target only scanned.  A NULL key part conflicts with nothing.
 """
 
 from __future__ import annotations
@@ -21,41 +21,28 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys present more than once, with their row count (a partial aggregation)."""
-    return (source.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows"))
-            .filter(F.col("rows") > 1))
-
-
-# An upsert whose source keys are at most this many, and this large in total, broadcasts
-# them (both are measured first) and leaves the rest of the target unshuffled.
-SMALL_SOURCE_KEYS = 2_000_000
-SMALL_SOURCE_KEY_BYTES = 256 * 1024 * 1024
+def _has_key(keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & _q(k).isNotNull()
+    return cond
 
 
-def source_key_census(source: DataFrame, keys: Sequence[str], show: int = 20) -> tuple[int, int, list]:
-    """Number of distinct source keys, their total size in bytes (as text, plus 8 bytes a
-    key) and up to ``show`` duplicated ones, in one aggregation over the key columns (a
-    second, small job only when duplicates exist)."""
-    g = source.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows"))
-    width = F.lit(8)
-    for k in keys:
-        width = width + F.coalesce(F.octet_length(_q(k).cast("string")), F.lit(0))
-    stats = g.agg(F.count(F.lit(1)).alias("n_keys"), F.coalesce(F.sum(width), F.lit(0)).alias("key_bytes"),
-                  F.count_if(F.col("rows") > 1).alias("n_dup")).first()
-    dups = g.filter(F.col("rows") > 1).limit(show).collect() if stats["n_dup"] else []
-    return int(stats["n_keys"]), int(stats["key_bytes"]), dups
+def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys present more than once, with their row count (a partial aggregation).  Keys with
+    a NULL part differ from all others."""
+    return (source.filter(_has_key(keys)).groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows"))
+            .filter(F.col("rows") > 1))
 
 
-def require_unique_source(source: DataFrame, keys: Sequence[str], show: int = 20) -> tuple[int, int]:
+def require_unique_source(source: DataFrame, keys: Sequence[str], show: int = 20) -> None:
     """Raise when a source key occurs twice (an upsert would change a row twice).
 
-    Returns the number of distinct source keys and their size in bytes (same job)."""
-    n_keys, key_bytes, sample = source_key_census(source, keys, show)
+    The message lists up to ``show`` of the keys."""
+    sample = duplicate_keys(source, keys).limit(show).collect()
     if sample:
         listed = ", ".join(str(tuple(r[k] for k in keys)) for r in sample)
         raise ValueError(f"source has duplicate keys {tuple(keys)}: {listed}")
-    return n_keys, key_bytes
 
 
 def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -87,40 +74,32 @@ def _fill(df: DataFrame, columns: Sequence[str], types: dict[str, str],
 
 
 def upsert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                  insert_defaults: dict[str, str] | None = None, reduce_target: bool = False) -> DataFrame:
+                  insert_defaults: dict[str, str] | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING`` for whole tables.
 
     Existing rows win; source rows with new keys are added (one per key, the smallest
     row); a source row with a NULL key part conflicts with nothing and is added as it
     is; target columns missing from the source take ``insert_defaults`` (SQL text) or
-    NULL.  The de-duplicated source is anti-joined to the target keys (AQE broadcasts
-    them when small).  ``reduce_target=True`` is for a small source against a huge target:
-    the target keys are first reduced to those the source has, by a semi join with the
-    target streamed, so the source keys are broadcast and the target's key column is
-    scanned instead of shuffled; for sources of the target's size it only adds stages.
+    NULL.  The target keys are first reduced to those the source has, by a semi join with
+    the target streamed (a small source is broadcast, the target's key column scanned), and
+    the de-duplicated source is anti-joined to what is left.
     """
     types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
     others = [c for c in source.columns if c not in keys]
-    has_key = F.lit(True)
-    for k in keys:
-        has_key = has_key & _q(k).isNotNull()
+    has_key = _has_key(keys)
     keyless = source.filter(~has_key)        # a NULL key never conflicts: always inserted
     source = source.filter(has_key)
     if others:
         agg = source.groupBy(*[_q(k) for k in keys]).agg(F.min(F.struct(*[_q(c) for c in others])).alias("_row"))
         src = agg.select(*[_q(k) for k in keys], *[F.col("_row")[c].alias(c) for c in others])
-        # for reduce_target: referencing the aggregated row keeps this use identical to the
+        # referencing the aggregated row keeps this use identical to the
         # one above, so the de-duplication runs once and both read the same exchange
         used = agg.filter(F.col("_row").isNotNull())
     else:
         src = used = source.select(*[_q(k) for k in keys]).distinct()
     taken = target.select(*[_q(k).alias(f"_t{i}") for i, k in enumerate(keys)])
-    if reduce_target:
-        # target keys that the source also has: the target is the streamed side of a semi
-        # join against the source keys, so a small source is broadcast and a huge target
-        # is only scanned
-        probe = used.select(*[_q(k).alias(f"_s{i}") for i, k in enumerate(keys)])
-        taken = taken.join(probe, [F.col(f"_t{i}") == F.col(f"_s{i}") for i in range(len(keys))], "left_semi")
+    probe = used.select(*[_q(k).alias(f"_s{i}") for i, k in enumerate(keys)])
+    taken = taken.join(probe, [F.col(f"_t{i}") == F.col(f"_s{i}") for i in range(len(keys))], "left_semi")
     fresh = src.join(taken, [_q(k) == F.col(f"_t{i}") for i, k in enumerate(keys)], "left_anti")
     fresh = fresh.unionByName(keyless.select(*src.columns))
     return target.unionByName(_fill(fresh, target.columns, types, insert_defaults))
@@ -139,7 +118,7 @@ def fail_on_duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     key_text = F.concat_ws(", ", *[F.coalesce(_q(k).cast("string"), F.lit("NULL")) for k in keys])
     message = F.concat(F.lit(f"source has duplicate keys {tuple(keys)}: "), key_text)
     return (source.withColumn("_key_rows", F.count(F.lit(1)).over(w))
-            .filter(F.when(F.col("_key_rows") > 1, F.raise_error(message)).otherwise(F.lit(True)))
+            .filter(F.when((F.col("_key_rows") > 1) & _has_key(keys), F.raise_error(message)).otherwise(F.lit(True)))
             .drop("_key_rows"))
 
 
@@ -153,57 +132,35 @@ def upsert_update(target: DataFrame, source: DataFrame, keys: Sequence[str], upd
       ``insert_defaults`` or NULL;
     * target-only key: kept unchanged (a refresh never deletes).
 
-    Presence of each side is tracked with marker columns, so a NULL value is never
-    mistaken for a missing row.  When the source has at most ``SMALL_SOURCE_KEYS`` keys of
-    at most ``SMALL_SOURCE_KEY_BYTES`` in total (both measured by the duplicate check),
-    their keys are broadcast and only the target rows
-    sharing them are merged; the others pass through without being shuffled.  Otherwise
-    both sides meet in one full outer join on the keys.  A duplicated source key is an error.  By default
+    A marker column tracks whether a source row was found, so a NULL value is never mistaken
+    for a missing row.  The updates are target left join source; the inserts are the source
+    anti joined to the target keys it shares.  A duplicated source key is an error.  By default
     (``validate="eager"``) U3 runs first: a partial aggregation over the key columns
     only, safe however skewed the keys are, that lists up to 20 offending keys.
     ``validate="in_job"`` checks inside the upsert's own job instead
-    (:func:`fail_on_duplicate_keys`: no extra scan or shuffle, for sources expected to be
+    (:func:`fail_on_duplicate_keys`: for sources expected to be
     unique); ``validate=False`` trusts the source.
     """
-    measured = None
     if validate == "in_job":
         source = fail_on_duplicate_keys(source, keys)
     elif validate:
-        measured = require_unique_source(source, keys)
-    insert_defaults = insert_defaults or {}
-    if measured is not None and measured[0] <= SMALL_SOURCE_KEYS and measured[1] <= SMALL_SOURCE_KEY_BYTES:
-        # measured small: only target rows with a source key take part in the merge; the
-        # rest pass through untouched, so the target is scanned but never shuffled
-        skeys = F.broadcast(source.select(*[_q(k) for k in keys]))
-        touched = target.join(skeys, list(keys), "left_semi")
-        untouched = target.join(skeys, list(keys), "left_anti")
-        return untouched.unionByName(_merge(touched, source, keys, update_cols, insert_defaults))
-    return _merge(target, source, keys, update_cols, insert_defaults)
-
-
-def _merge(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
-           insert_defaults: dict[str, str]) -> DataFrame:
-    """Full outer join on the keys with presence markers (the core of U2)."""
-    t = target.select(*[_q(c).alias(f"_t_{c}") for c in target.columns], F.lit(True).alias("_t_in"))
-    s = source.select(*[_q(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_s_in"))
-    cond = [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in keys]
-    j = t.join(s, cond, "full_outer")
-    t_in, s_in = F.col("_t_in").isNotNull(), F.col("_s_in").isNotNull()
-    out = []
-    for f in target.schema.fields:
-        c, typ = f.name, f.dataType.simpleString()
-        tv = F.col(f"_t_{c}")
-        if c in source.columns:
-            sv = F.col(f"_s_{c}").cast(typ)
-        elif c in insert_defaults:
-            sv = F.expr(insert_defaults[c]).cast(typ)
-        else:
-            sv = F.lit(None).cast(typ)
-        if c in keys:
-            v = F.when(t_in, tv).otherwise(sv)
-        elif c in update_cols:
-            v = F.when(s_in, sv).otherwise(tv)
-        else:
-            v = F.when(t_in, tv).otherwise(sv)
-        out.append(v.alias(c))
-    return j.select(*out)
+        require_unique_source(source, keys)
+    types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
+    n = range(len(keys))
+    new = source.filter(_has_key(keys)).select(*[_q(k).alias(f"_s{i}") for i, k in enumerate(keys)],
+                                               *[_q(c).alias(f"_new_{c}") for c in update_cols if c in source.columns],
+                                               F.lit(True).alias("_found"))
+    joined = target.join(new, [_q(k) == F.col(f"_s{i}") for i, k in enumerate(keys)], "left")
+
+    def value(c: str) -> Column:
+        if c not in update_cols or c in keys:
+            return _q(c)
+        given = F.col(f"`_new_{c}`") if c in source.columns else \
+            F.expr(insert_defaults[c]) if c in (insert_defaults or {}) else F.lit(None)
+        return F.when(F.col("_found"), given.cast(types[c])).otherwise(_q(c)).alias(c)
+    merged = joined.select(*[value(c) for c in target.columns])
+    probe = source.select(*[_q(k).alias(f"_s{i}") for i, k in enumerate(keys)])
+    hit = target.select(*[_q(k).alias(f"_t{i}") for i, k in enumerate(keys)]).join(
+        probe, [F.col(f"_t{i}") == F.col(f"_s{i}") for i in n], "left_semi")
+    fresh = source.join(hit, [_q(k) == F.col(f"_t{i}") for i, k in enumerate(keys)], "left_anti")
+    return merged.unionByName(_fill(fresh, target.columns, types, insert_defaults))

@@ -120,7 +120,7 @@ def clustered_copy(df: DataFrame, keys: Sequence[str | tuple[str, bool]], path:
     """
     spark = df.sparkSession
     src = partial_filter(df, where)
-    order = sort_columns(keys)
+    order = sort_columns(keys, src)
     tiebreak = row_hash(src)
     # without an explicit count the range exchange starts from the adaptive initial
     # partition number and AQE merges neighbouring ranges up to the advisory size, so the

@@ -8,8 +8,8 @@ put in order with ``ordered_group_collect`` first).  The run then
 1. loads every flagged table from its source through the declared columns, routed into
    its partitions when it has any, all-or-nothing per table (S5);
 2. creates the given SQL functions (UF1), defines the flagged views (V1), whose
-   definitions are Spark SQL over the loaded tables (registered as temp views under
-   their table names when there are views to define), and optionally writes a clustered
+   definitions are Spark SQL over the loaded tables of their schema (registered as temp
+   views under their table names before each definition, which is resolved at once), and optionally writes a clustered
    copy per plain index (X1);
 3. validates keys, unique indexes (also partial ones), foreign keys, not-null rules and
    checks on the loaded tables (I7).
@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.sqlfuncs import FunctionSpec, register_sql_function
 from ..operators.integrity import TableRules, constraint_report
@@ -64,14 +65,18 @@ def _flagged(df: DataFrame | None) -> DataFrame | None:
 def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
     """Driver-side specs for every flagged table (the snapshot is catalog-sized).
 
-    Key, index and foreign-key columns are put in order by ``ordered_group_collect``
-    without its group-size probe: a group is the column list of one constraint.
+    Key, index and foreign-key columns are put in order by ``ordered_group_collect``:
+    a group is the column list of one constraint.
     """
-    tables = _flagged(snapshot["tables"]).select("schema", "table_name", "orig_table").collect()
+    flagged = _flagged(snapshot["tables"])
+    tables = flagged.select("schema", "table_name", "orig_table").collect()
+
+    def of_tables(df: DataFrame) -> DataFrame:
+        return df.join(flagged.select("schema", "table_name"), ["schema", "table_name"], "left_semi")
     plans = {(r["schema"], r["table_name"]): TablePlan(r["schema"], r["table_name"], r["orig_table"], [])
              for r in tables}
 
-    for r in snapshot["columns"].collect():
+    for r in of_tables(snapshot["columns"]).collect():
         p = plans.get((r["schema"], r["table_name"]))
         if p is not None:
             p.columns.append(ColumnSpec(r["column_name"], r["type_name"], r["position"], r["orig_column"],
@@ -84,10 +89,10 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
     if parts is not None:
         sub_levels: dict[tuple, list] = {}
         if subs is not None:
-            for r in subs.collect():
+            for r in of_tables(subs).collect():
                 sub_levels.setdefault((r["schema"], r["table_name"], r["partition_name"]), []).append(r)
         top: dict[tuple, list] = {}
-        for r in parts.collect():
+        for r in of_tables(parts).collect():
             top.setdefault((r["schema"], r["table_name"]), []).append(r)
         for key, rows in top.items():
             if key not in plans:
@@ -105,8 +110,7 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
     if snapshot.get("keys") is not None:
         keys = ordered_group_collect(
             _flagged(snapshot["keys"]), ["schema", "table_name", "constraint_name", "is_primary", "deferrable",
-                                        "deferred"], ["position"], ["column_name"],
-            max_elements=None, max_bytes=None)
+                                        "deferred"], ["position"], ["column_name"])
         for r in keys.collect():
             p = plans.get((r["schema"], r["table_name"]))
             if p is not None:
@@ -119,8 +123,7 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
             idx.select("schema", "index_name", "table_name", "where_clause", "uniqueness"),
             ["schema", "index_name", "table_name"], "inner")
         grouped = ordered_group_collect(cols, ["schema", "table_name", "index_name", "where_clause", "uniqueness"],
-                                        ["position"], ["column_name", "descend"],
-                                        max_elements=None, max_bytes=None)
+                                        ["position"], ["column_name", "descend"])
         for r in grouped.collect():
             p = plans.get((r["schema"], r["table_name"]))
             if p is None:
@@ -136,11 +139,10 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
         fks = ordered_group_collect(
             _flagged(snapshot["foreign_keys"]),
             ["schema", "table_name", "constraint_name", "remote_schema", "remote_table", "delete_rule", "deferrable",
-             "deferred"], ["position"], ["column_name", "remote_column"],
-            max_elements=None, max_bytes=None)
+             "deferred"], ["position"], ["column_name", "remote_column"])
         for r in fks.collect():
             p = plans.get((r["schema"], r["table_name"]))
-            if p is not None:
+            if p is not None and (r["remote_schema"], r["remote_table"]) in plans:    # both ends are flagged
                 p.foreign_keys.append(ForeignKeySpec(
                     r["constraint_name"], tuple(r["column_name"]), f"{r['remote_schema']}.{r['remote_table']}",
                     tuple(r["remote_column"]), r["delete_rule"], bool(r["deferrable"]), bool(r["deferred"])))
@@ -180,22 +182,46 @@ def migrate(spark: SparkSession, snapshot: dict[str, DataFrame], read_table: Rea
     """
     plans = plan_from_snapshot(snapshot)
     root = target_root.rstrip("/")
-    loads = [TableLoad(p.qualified, (lambda p=p: read_table(p.schema, p.source, p.columns)),
+    shapes: dict[str, StructType] = {}
+
+    def build(p: TablePlan) -> DataFrame:
+        df = read_table(p.schema, p.source, p.columns)
+        shapes[p.qualified] = df.schema
+        return df
+
+    def read_back(name: str, path: str) -> DataFrame:
+        # with the known schema, as an empty table has no file to infer one from; the
+        # columns that partitions are routed by are not the table's own
+        return spark.read.schema(shapes[name]).parquet(path).select(*[F.col(f"`{c}`") for c in shapes[name].names])
+    loads = [TableLoad(p.qualified, (lambda p=p: build(p)),
                        f"{root}/{p.schema}/{p.name}", p.scheme, True, with_data, p.schema) for p in plans]
     failures, written, load_log = materialize_many(spark, loads, parallelism)
-    loaded = {name: spark.read.parquet(path) for name, path in written.items()}
+    reads = [Step("read table", name, (lambda name=name, path=path: read_back(name, path)), name.split(".", 1)[0],
+                  f"read {path}") for name, path in written.items()]
+    loaded, read_log = run_logged(spark, reads)
+    failures += len(reads) - len(loaded)
 
-    logs = [load_log]
+    logs = [load_log, read_log]
     views = _flagged(snapshot.get("views"))
     view_rows = views.collect() if views is not None else []
-    if view_rows:   # view definitions name the loaded tables; register them only when needed
-        for name, df in loaded.items():
-            df.createOrReplaceTempView(name.split(".", 1)[1])
+    view_columns: dict[tuple, list[str]] = {}
+    if view_rows:
+        listed = snapshot["columns"].join(views.select("schema", F.col("view_name").alias("table_name")),
+                                          ["schema", "table_name"], "left_semi")
+        for r in sorted(listed.collect(), key=lambda r: r["position"]):
+            view_columns.setdefault((r["schema"], r["table_name"]), []).append(r["column_name"])
+
+    def view(r) -> DataFrame:
+        for p in plans:                # the names of the view's own schema
+            if p.schema == r["schema"] and p.qualified in loaded:
+                loaded[p.qualified].createOrReplaceTempView(p.name)
+        return define_view(spark, r["view_name"], spark.sql(r["definition"]),
+                           view_columns.get((r["schema"], r["view_name"])))
     steps = [Step("create function", f.name, (lambda f=f: register_sql_function(spark, f.name, f.args, f.returns,
                                                                                  f.body) or True), None, f.body)
              for f in functions or () if f.migrate]
     steps += [Step("define view", f"{r['schema']}.{r['view_name']}",
-                   (lambda r=r: define_view(spark, r["view_name"], r["definition"])), r["schema"], r["definition"])
+                   (lambda r=r: view(r)), r["schema"], r["definition"])
               for r in view_rows]
     if steps:                 # in order: functions before the views that use them
         done, step_log = run_logged(spark, steps)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import at_least, clamp_to_bigint, type_label
-from ..operators.filters import keep_members
+from ..operators.filters import keep_both_ends, keep_members
 from ..operators.integrity import unique_violations
 from ..operators.project import profile_columns
 from ..operators.upsert import upsert_ignore, upsert_update
@@ -149,12 +149,16 @@ def refresh_table(name: str, current: DataFrame | None, remote: DataFrame,
                   translate_expression: Translate = _ident, translate_type: Translate = _ident) -> DataFrame:
     """Refresh one snapshot table; ``current=None`` builds it from scratch."""
     rule = SNAPSHOT_TABLES[name]
-    remote = keep_members(remote, "schema", only_schemas)
+    remote = keep_both_ends(remote, "schema", "remote_schema", only_schemas) if name == "foreign_keys" \
+        else keep_members(remote, "schema", only_schemas)
     shaped = shape_remote(name, remote, translate_identifier, translate_expression, translate_type)
     defaults = dict(rule.defaults)
     if current is None:
         extra = [F.expr(e).alias(c) for c, e in rule.defaults if c not in shaped.columns]
         return shaped.select("*", *extra)
+    # catalog-sized, but perhaps a profile of whole tables, and read several times below
+    checkpoint_root(shaped.sparkSession)
+    shaped = shaped.checkpoint()
     if rule.update is None:
         merged = upsert_ignore(current, shaped, rule.keys, insert_defaults=defaults)
     else:

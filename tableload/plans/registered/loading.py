@@ -144,6 +144,14 @@ def q_failure_tally(spark, d):
 
 # =========================================================================== projections
 
+@query("project_rounded", """
+SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS BIGINT) AS price FROM lineitem""")
+def q_project_rounded(spark, d):
+    return project.project_mapped(table(spark, d, "lineitem"), [
+        ColumnSpec("l_orderkey", "bigint", 1), ColumnSpec("l_linenumber", "int", 2),
+        ColumnSpec("price", "bigint", 3, "l_extendedprice")])
+
+
 _PART_TEXT = """
 SELECT p_partkey,
        CASE WHEN p_size > 40 THEN CAST(p_size AS VARCHAR) || 'x' ELSE CAST(p_size AS VARCHAR) END AS size_txt,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ...operators import routing, sequences
 from ...session import scratch_path
 from ...specs import Partition, PartitionLevel, PartitionScheme, SequenceSpec
@@ -78,12 +80,28 @@ def q_route_hash(spark, d):
     return routing.route(table(spark, d, "orders"), HASH4, hash_fn=routing.identity_hash).select("o_orderkey", "part")
 
 
-@query("route_hash_compatible")
-def q_route_hash_compatible(spark, d):
-    # placement as the source database would choose it; no SQL oracle can express the hash
-    from ...functions.pghash import pg_hash
-    r = routing.route(table(spark, d, "orders"), HASH4, hash_fn=pg_hash("bigint"))
-    return routing.partition_counts(r, HASH4)
+QUOTED_RANGES = PartitionLevel("RANGE", "o_orderkey", tuple(
+    Partition(f"q_{i:02d}", (f"'{i * 700}'", f"'{(i + 1) * 700}'")) for i in range(12)) + (Partition("q_rest", None, True),))
+
+
+@query("route_range_quoted", """
+SELECT o_orderkey, CASE WHEN o_orderkey >= 0 AND o_orderkey < 8400
+       THEN 'q_' || lpad(CAST(o_orderkey // 700 AS VARCHAR), 2, '0') ELSE 'q_rest' END AS part FROM orders""")
+def q_route_range_quoted(spark, d):
+    # an integer key with quoted bounds: ordered as integers
+    return routing.route(table(spark, d, "orders"), QUOTED_RANGES).select("o_orderkey", "part")
+
+
+DATE_RANGES = PartitionLevel("RANGE", "o_orderdate", tuple(
+    Partition(f"y_{y}", (f"DATE '{y}-01-01'", f"DATE '{y + 1}-01-01'")) for y in range(1988, 2000)))
+
+
+@query("route_range_dates", """
+SELECT o_orderkey, CASE WHEN year(o_orderdate) BETWEEN 1988 AND 1999
+       THEN 'y_' || CAST(year(o_orderdate) AS VARCHAR) END AS part FROM orders""")
+def q_route_range_dates(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    return routing.route(o, DATE_RANGES).select("o_orderkey", "part")
 
 
 TWO_LEVEL = PartitionScheme(

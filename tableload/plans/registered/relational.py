@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...operators import filters, relops
+from ...operators import filters, relops, sequences
 from .base import query, table
 
 
@@ -142,6 +142,14 @@ def q_ordered_collect(spark, d):
                     F.array_join("text", "|").alias("texts"))
 
 
+@query("ordered_group_rows", """
+SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS ordinal
+FROM orders""")
+def q_ordered_group_rows(spark, d):
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey")
+    return sequences.ordered_group_rows(o, ["o_custkey"], ["o_orderkey"])
+
+
 @query("array_map", """
 SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x)), ' ') AS upper_name
 FROM part""")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import threading
 import uuid
+from collections import Counter
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -33,9 +34,8 @@ class Step:
 
 
 def error_text(exc: BaseException) -> str:
-    """``message: detail`` -- first line of the error, then its class or error condition."""
-    lines = [ln for ln in str(exc).strip().splitlines() if ln.strip()]
-    message = lines[0].strip() if lines else exc.__class__.__name__
+    """``message: detail`` -- the error's whole text, then its class or error condition."""
+    message = str(exc).strip() or exc.__class__.__name__
     detail = None
     get_cond = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass", None)
     if callable(get_cond):
@@ -50,6 +50,9 @@ def run_logged(spark: SparkSession, steps: Sequence[Step], parallelism: int = 1,
                run_id: str | None = None) -> tuple[dict[str, Any], DataFrame]:
     """Run every step; return ``(results by object name, log DataFrame)``.
 
+    An object name that several steps share is keyed as (schema, name), and as (schema,
+    name, place in the list) if that is not unique either.
+
     A failing step (``None`` results count as failures too) adds a log row and does not
     stop the others.  ``parallelism > 1`` submits steps from driver threads, so Spark
     runs their jobs side by side.
@@ -58,6 +61,14 @@ def run_logged(spark: SparkSession, steps: Sequence[Step], parallelism: int = 1,
     results: dict[str, Any] = {}
     rows: list[tuple] = []
     lock = threading.Lock()
+    names = Counter(s.object_name for s in steps)
+    full = Counter((s.schema_name, s.object_name) for s in steps)
+
+    def key(i: int, s: Step):
+        if names[s.object_name] == 1:
+            return s.object_name
+        both = (s.schema_name, s.object_name)
+        return both if full[both] == 1 else (*both, i)
 
     def one(i: int, step: Step):
         try:
@@ -65,7 +76,7 @@ def run_logged(spark: SparkSession, steps: Sequence[Step], parallelism: int = 1,
             if out is None:
                 raise RuntimeError("step returned no result")
             with lock:
-                results[step.object_name] = out
+                results[key(i, step)] = out
         except Exception as exc:  # noqa: BLE001 - every failure is logged, none stops the run
             with lock:
                 rows.append((run_id, i, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),

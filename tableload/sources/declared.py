@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..specs import ColumnSpec, ordered
-from ..operators.project import checked_column, project_mapped, spark_type
+from ..operators.project import checked_column, project_mapped, spark_type, target_names
 
 _SELF_DESCRIBING = {"parquet", "orc", "delta", "avro"}
 
@@ -45,11 +45,12 @@ def scan_declared(spark: SparkSession, fmt: str, path: str | list[str] | None,
         df = reader.format(fmt).load(path) if path is not None else reader.format(fmt).load()
         return project_mapped(df, columns)
     if fmt in ("csv", "json"):
+        target_names(columns)
         # a malformed record fails the scan (the readers' default would turn it into NULLs)
         reader = reader.option("mode", options.get("mode", "FAILFAST"))
         df = reader.schema(declared_schema(columns)).format(fmt).load(path)
         # parsed into the declared types already; only length limits still need a check
         types = {f.name: f.dataType for f in df.schema.fields}
-        return df.select(*[checked_column(F.col(f"`{c.source}`"), types[c.source], c.type_name).alias(c.name)
-                           for c in ordered(columns)])
+        return df.select(*[checked_column(F.col(f"`{c.source}`"), types[c.source], c.type_name).alias(name)
+                           for c, name in zip(ordered(columns), target_names(columns))])
     raise ValueError(f"unsupported source format {fmt!r}")

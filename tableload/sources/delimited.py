@@ -2,9 +2,10 @@
 
 Format: one row per line, fields separated by a tab, ``\\N`` is NULL, an empty field is
 an empty string, and a backslash starts an escape (``\\\\``, ``\\t``, ``\\n``, ``\\r``,
-``\\b``, ``\\f``, ``\\v``; a backslash before any other character stands for that
-character).  Spark's CSV reader cannot be used: it turns empty fields into NULL and
-leaves escapes undecoded.  Octal and hex byte escapes are not decoded.
+``\\b``, ``\\f``, ``\\v``; ``\\101`` and ``\\x41`` are bytes of the UTF-8 text, octal and hex; a
+backslash before any other character stands for that character).  The line ``\\.`` marks the
+end of the data and is no row; it is expected to be a file's last line.  Spark's CSV reader
+cannot be used: it turns empty fields into NULL and leaves escapes undecoded.
 
 The whole decode is a chain of built-in string expressions, evaluated per row inside
 whole-stage codegen; files are split across tasks by the text reader as usual.
@@ -21,9 +22,31 @@ from ..operators.project import cast_checked
 # Escape letters of the text format and the characters they stand for.
 ESCAPES = (("t", "\t"), ("n", "\n"), ("r", "\r"), ("b", "\b"), ("f", "\f"), ("v", "\v"))
 NULL_MARKER = "\\N"
+END_MARKER = "\\."
 _HOLD = "\u0000"   # text values cannot contain NUL, so it can stand in for an escaped backslash
 
 
+_TOKEN = r"(?s)\\x[0-9A-Fa-f]{1,2}|\\[0-7]{1,3}|\\.|\\|[^\\]+"
+_BYTE_ESCAPE = r"\\(x[0-9A-Fa-f]|[0-7])"
+
+
+def _token_bytes(token: Column) -> Column:
+    """Hex digits of the bytes one token (an escape, or text without a backslash) stands for."""
+    octal = F.conv(F.substring(token, 2, 3), 8, 10).cast("int").bitwiseAND(255)
+    out = F.when(~token.startswith("\\") | (token == "\\"), F.hex(token)) \
+        .when(token.rlike(r"^\\x[0-9A-Fa-f]"), F.lpad(F.substring(token, 3, 2), 2, "0")) \
+        .when(token.rlike(r"^\\[0-7]"), F.lpad(F.hex(octal), 2, "0"))
+    for letter, char in ESCAPES:
+        out = out.when(token == "\\" + letter, F.lit(f"{ord(char):02X}"))
+    return out.otherwise(F.hex(F.substring(token, 2, 2)))
+
+
+def _decode_bytes(raw: Column) -> Column:
+    """Decode a field with byte escapes; bytes that are no UTF-8 text fail the job."""
+    tokens = F.regexp_extract_all(raw, F.lit(_TOKEN), F.lit(0))
+    return F.validate_utf8(F.unhex(F.array_join(F.transform(tokens, _token_bytes), "")).cast("string"))
+
+
 def decode_text_field(raw: Column) -> Column:
     """Decode one raw field; ``\\N`` becomes NULL, an empty field stays ``''``.
 
@@ -37,6 +60,7 @@ def decode_text_field(raw: Column) -> Column:
     v = F.when(F.instr(v, "\\") > 0, F.regexp_replace(v, r"\\(.)", "$1")).otherwise(v)
     v = F.replace(v, F.lit(_HOLD), F.lit("\\"))
     return (F.when(raw == F.lit(NULL_MARKER), F.lit(None).cast("string"))
+            .when(raw.rlike(_BYTE_ESCAPE), _decode_bytes(raw))
             .when(F.instr(raw, "\\") > 0, v)
             .otherwise(raw))
 
@@ -72,7 +96,7 @@ def scan_delimited(spark: SparkSession, path: str | list[str], columns: list[Col
     """
     cols = ordered(columns)
     n = len(cols)
-    lines = spark.read.text(path)
+    lines = spark.read.text(path).filter(F.col("value") != END_MARKER)
     parts = F.split(F.col("value"), "\t", -1)
     fields = lines.select(F.col("value").alias("_line"), parts.alias("_f"))
     width_ok = F.size("_f") == F.lit(n)

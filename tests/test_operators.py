@@ -184,10 +184,6 @@ def test_ordered_group_collect_keeps_nulls_and_alignment(spark):
                                "g string, pos int, name string, v int")
     r = relops.ordered_group_collect(df, ["g"], ["pos"], ["name", "v"]).first()
     assert r["name"] == ["a", "b", None] and r["v"] == [1, None, 3]
-    with pytest.raises(ValueError, match="rows"):
-        relops.ordered_group_collect(df, ["g"], ["pos"], ["name"], max_elements=2)
-    with pytest.raises(ValueError, match="bytes"):
-        relops.ordered_group_collect(df, ["g"], ["pos"], ["name"], max_bytes=3)
 
 
 def test_sibling_count_and_distinct(spark):
@@ -245,12 +241,12 @@ def test_range_composite_lexicographic(spark):
                                                                 (2, 50, "hi")]
 
 
-def test_spec_errors():
+def test_spec_errors(spark):
     with pytest.raises(ValueError):
         routing.validate_level(PartitionLevel("LIST", "k", (Partition("a", ("1",)), Partition("b", ("1",)))))
     with pytest.raises(ValueError):
-        routing.validate_level(PartitionLevel("RANGE", "k", (Partition("a", ("MINVALUE", "10")),
-                                                             Partition("b", ("5", "20")))))
+        routing.route(spark.range(1).toDF("k"), PartitionLevel("RANGE", "k", (
+            Partition("a", ("MINVALUE", "10")), Partition("b", ("5", "20")))))
     with pytest.raises(ValueError):
         routing.validate_level(PartitionLevel("HASH", "k", (Partition("a", ("0",)), Partition("b", ("0",)))))
     with pytest.raises(ValueError):
@@ -434,8 +430,10 @@ def test_constraint_report_modes_and_isolation(spark):
     assert rep["fk_missing_parent"]["error"] is not None
     assert rep["bad_expr"]["error"] is not None and rep["v_pos"]["violations"] == 0
     assert rep["v_not_null"]["violations"] == 1 and "nn" not in rep
-    assert rows(integrity.constraint_report(spark, rules, parallelism=4)) == \
-        rows(integrity.constraint_report(spark, rules))
+    # an error's text goes on with the plan, whose expression ids differ between runs
+    def brief(report):
+        return rows(report.withColumn("error", F.substring_index("error", "\n", 1)))
+    assert brief(integrity.constraint_report(spark, rules, parallelism=4)) == brief(integrity.constraint_report(spark, rules))
     parent = spark.createDataFrame([(1,)], "x int")
     unkeyed = [integrity.TableRules("p", parent),
                integrity.TableRules("c", df, foreign_keys=(ForeignKeySpec("fk", ("k",), "p", ("x",)),),
@@ -517,36 +515,6 @@ def test_define_view_arity(spark):
     assert rewrite.define_view(spark, "tv_ok", "SELECT id FROM tv_src", ["x"]).columns == ["x"]
 
 
-# --------------------------------------------------------------------------- compatible hash placement
-
-def test_pg_hash_vectorised_ints_match_scalar_definition():
-    import numpy as np
-
-    from tableload.functions import pghash as H
-    vals = np.array([0, 1, -1, 2 ** 31 - 1, -(2 ** 31), 123456], dtype=np.int64)
-    vec = H.hash_uint32(vals.astype(np.uint32))
-    for v, h in zip(vals, vec):
-        a, b, c = H._start(4, H.PARTITION_SEED)
-        a, b, c = H._final((a + (int(v) & 0xFFFFFFFF)) & 0xFFFFFFFF, b, c)
-        assert int(h) == (b << 32) | c
-    folded = H.fold_int64(np.array([5, -5, 2 ** 40 + 7], dtype=np.int64))
-    assert list(folded) == [5, (0xFFFFFFFB ^ 0), (7 ^ 256)]
-
-
-def test_pg_hash_routing_on_spark(spark):
-    import pandas as pd
-
-    from tableload.functions.pghash import pg_hash, row_buckets
-    df = spark.createDataFrame([(1, "a ", "x"), (2, "b", None), (None, "a", "y")], "i int, c string, t string")
-    lvl = PartitionLevel("HASH", "i, c", tuple(Partition(f"h{r}", (str(r),)) for r in range(3)))
-    got = dict(rows(routing.route(df, lvl, hash_fn=pg_hash("integer", "char(2)")), "t", "part"))
-    local = row_buckets([pd.Series([1, 2, None]), pd.Series(["a ", "b", "a"])], ["int32", "bpchar"], 3)
-    assert got == {"x": f"h{local[0]}", None: f"h{local[1]}", "y": f"h{local[2]}"}
-    # blank padding does not change a char key's bucket
-    assert list(row_buckets([pd.Series(["a", "a   "])], ["bpchar"], 7)) == \
-        list(row_buckets([pd.Series(["a", "a"])], ["bpchar"], 7))
-
-
 def test_log_appends_across_runs(spark, tmp_path):
     from tableload.plans.runlog import append_log
     path = str(tmp_path / "log")
@@ -571,16 +539,6 @@ def test_apply_trigger_spec(spark):
         rewrite.parse_events("INSERT OR TRUNCATE")
 
 
-def test_pg_hash_text_vectorised_matches_scalar():
-    import random
-
-    from tableload.functions import pghash as H
-    rnd = random.Random(7)
-    alphabet = "abcXYZ 0129äöü€\t"
-    values = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))).encode("utf-8") for _ in range(500)]
-    assert list(H.hash_bytes_many(values)) == [H.hash_bytes(v) for v in values]
-
-
 def test_materialize_as_orc(spark, tmp_target):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, s string")
     path = mat.materialize_partitioned(df, PartitionLevel("LIST", "k", (Partition("one", ("1",)),
@@ -598,21 +556,17 @@ def test_not_null_report_odd_column_names(spark):
     assert prof == {"it's": True, "a\\b": False}
 
 
-def test_upsert_update_small_source_plan_equals_full_join(spark):
+def test_upsert_update_against_a_dictionary(spark):
     target = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"),
                                       F.lit("keep").alias("note"))
     target = target.unionByName(spark.createDataFrame([(None, -1, "null key")], "k bigint, v bigint, note string"))
     source = spark.range(1500, 2600, 3).select(F.col("id").alias("k"), F.lit(7).cast("bigint").alias("v"))
     source = source.unionByName(spark.createDataFrame([(None, 9)], "k bigint, v bigint"))
-    small = upsert.upsert_update(target, source, ["k"], ["v"], insert_defaults={"note": "'new'"})
-    old = upsert.SMALL_SOURCE_KEYS
-    upsert.SMALL_SOURCE_KEYS = 0                       # force one full outer join
-    try:
-        full = upsert.upsert_update(target, source, ["k"], ["v"], insert_defaults={"note": "'new'"})
-        assert rows(small) == rows(full)
-    finally:
-        upsert.SMALL_SOURCE_KEYS = old
-    assert small.count() == 2001 + 200 + 1            # target + new keys (2001..2598 step 3) + NULL-key row
+    merged = upsert.upsert_update(target, source, ["k"], ["v"], insert_defaults={"note": "'new'"})
+    want = {r["k"]: (r["v"], r["note"]) for r in target.collect() if r["k"] is not None}
+    want |= {r["k"]: (7, want.get(r["k"], (0, "new"))[1]) for r in source.collect() if r["k"] is not None}
+    assert {r["k"]: (r["v"], r["note"]) for r in merged.collect() if r["k"] is not None} == want
+    assert merged.count() == 2001 + 200 + 1            # target + new keys (2001..2598 step 3) + NULL-key row
     ignore = upsert.upsert_ignore(target, source, ["k"], insert_defaults={"note": "'new'"})
     assert ignore.filter("k >= 2000").count() == 200 and ignore.filter("k = 1500").first()["v"] == 15000
 
@@ -629,13 +583,4 @@ def test_opt_in_reductions_give_the_same_results(spark):
     plain = integrity.foreign_key_violations(child, ["k"], parent, ["pk"])
     reduced = integrity.foreign_key_violations(child, ["k"], parent, ["pk"], reduce_parent=True)
     assert rows(plain) == rows(reduced) and plain.count() == 26
-    target = spark.range(0, 5000, 2).select(F.col("id").alias("k"), F.lit("t").alias("v"))
-    source = spark.range(4990, 5010).select(F.col("id").alias("k"), F.lit("s").alias("v"))
-    assert rows(upsert.upsert_ignore(target, source, ["k"])) == \
-        rows(upsert.upsert_ignore(target, source, ["k"], reduce_target=True))
-
 
-def test_source_key_census(spark):
-    s = spark.createDataFrame([("ab", 1), ("ab", 2), ("xyz", 3), (None, 4)], "k string, v int")
-    n, size, dups = upsert.source_key_census(s, ["k"])
-    assert n == 3 and size == (8 + 2) + (8 + 3) + 8 and [r["k"] for r in dups] == ["ab"]

@@ -1,5 +1,7 @@
 """Invariants checked over generated specs (few examples each: every example runs Spark jobs)."""
 
+import bisect
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -66,7 +68,7 @@ def test_declared_scan_of_orc_and_json(spark, tmp_path):
 @SETTINGS
 @given(cuts=st.lists(st.integers(min_value=1_000, max_value=500_000), min_size=9, max_size=40, unique=True),
        drop=st.integers(min_value=0, max_value=8), with_default=st.booleans())
-def test_range_tree_equals_chain(spark, cuts, drop, with_default):
+def test_range_tree_against_bisection(spark, cuts, drop, with_default):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_totalprice")
     bounds = ["MINVALUE"] + [str(c) for c in sorted(cuts)] + ["MAXVALUE"]
     parts = [Partition(f"p{i}", (lo, hi)) for i, (lo, hi) in enumerate(zip(bounds, bounds[1:]))]
@@ -74,16 +76,10 @@ def test_range_tree_equals_chain(spark, cuts, drop, with_default):
     if with_default:
         parts.append(Partition("dflt", None, True))
     lvl = PartitionLevel("RANGE", "o_totalprice", tuple(parts))
-    assert routing._range_tree(lvl, [F.col("o_totalprice")], F.lit(None)) is not None
-    tree = routing.route(orders, lvl).select("o_orderkey", F.col("part").alias("t"))
-    old = routing.RANGE_TREE_MIN
-    routing.RANGE_TREE_MIN = 10 ** 6                    # force the chain of range tests
-    try:
-        chain = routing.route(orders, lvl).select("o_orderkey", F.col("part").alias("c"))
-    finally:
-        routing.RANGE_TREE_MIN = old
-    diff = tree.join(chain, "o_orderkey").filter(~F.col("t").eqNullSafe(F.col("c")))
-    assert diff.count() == 0
+    at = [float("-inf")] + sorted(cuts) + [float("inf")]
+    for r in routing.route(orders, lvl).collect():
+        i = bisect.bisect_right(at, r["o_totalprice"]) - 1
+        assert r["part"] == (f"p{i}" if i != drop else "dflt" if with_default else None)
 
 
 def test_declared_csv_enforces_length(spark, tmp_path):
@@ -100,7 +96,7 @@ def test_declared_csv_enforces_length(spark, tmp_path):
 @given(cuts=st.lists(st.tuples(st.sampled_from(["F", "O", "P"]), st.integers(min_value=0, max_value=500_000)),
                      min_size=9, max_size=30, unique=True),
        with_default=st.booleans(), drop=st.integers(min_value=0, max_value=8))
-def test_composite_range_tree_equals_chain(spark, cuts, with_default, drop):
+def test_composite_range_tree_against_bisection(spark, cuts, with_default, drop):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_totalprice")
     pts = ["MINVALUE"] + [f"('{s}', {v})" for s, v in sorted(cuts)] + ["MAXVALUE"]
     parts = [Partition(f"p{i}", (lo, hi)) for i, (lo, hi) in enumerate(zip(pts, pts[1:]))]
@@ -108,12 +104,7 @@ def test_composite_range_tree_equals_chain(spark, cuts, with_default, drop):
     if with_default:
         parts.append(Partition("dflt", None, True))
     lvl = PartitionLevel("RANGE", "o_orderstatus, o_totalprice", tuple(parts))
-    assert routing._range_tree(lvl, [F.col("o_orderstatus"), F.col("o_totalprice")], F.lit(None)) is not None
-    tree = routing.route(orders, lvl).select("o_orderkey", F.col("part").alias("t"))
-    old = routing.RANGE_TREE_MIN
-    routing.RANGE_TREE_MIN = 10 ** 6
-    try:
-        chain = routing.route(orders, lvl).select("o_orderkey", F.col("part").alias("c"))
-    finally:
-        routing.RANGE_TREE_MIN = old
-    assert tree.join(chain, "o_orderkey").filter(~F.col("t").eqNullSafe(F.col("c"))).count() == 0
+    at = sorted(cuts)
+    for r in routing.route(orders, lvl).collect():
+        i = bisect.bisect_right(at, (r["o_orderstatus"], r["o_totalprice"]))
+        assert r["part"] == (f"p{i}" if i != drop else "dflt" if with_default else None)

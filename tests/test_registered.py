@@ -55,24 +55,12 @@ def test_entry_smoke(spark):
     assert df.columns == ["part", "subpart", "rows"] and len(out) == 5
 
 
-# queries whose result no SQL engine can compute (checked here against a local twin)
-WITHOUT_ORACLE = {"route_hash_compatible"}
-
-
 def test_every_query_has_an_oracle():
-    assert set(registered.QUERIES) - set(registered.ORACLES) == WITHOUT_ORACLE
+    assert set(registered.QUERIES) == set(registered.ORACLES)
     assert set(registered.QUERIES) <= set(entry.queries())
 
 
-def test_route_hash_compatible_against_local_twin(spark):
-    from tableload.functions.pghash import row_buckets
-    got = {r["part"]: r["rows"] for r in entry.queries()["route_hash_compatible"](spark, SF_SMALL).collect()}
-    keys = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey").toPandas()["o_orderkey"]
-    local = row_buckets([keys], ["int64"], 4).value_counts()
-    assert got == {f"h_{b}": int(local.get(b, 0)) for b in range(4)}
-
-
-@pytest.mark.parametrize("name", sorted(set(registered.QUERIES) - WITHOUT_ORACLE))
+@pytest.mark.parametrize("name", sorted(registered.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     s = entry.queries()[name](spark, SF_SMALL).toPandas()
     o = duck.sql(entry.oracle_sql()[name]).df()
