@@ -9,7 +9,8 @@ A string of ``length`` bytes that starts at two places is found as follows.
    repeat.  The segments of all other keys are dealt to shards by key.
 3. Each shard sorts the suffixes of its segments (Larsson-Sadakane refinement of equal
    prefixes in numpy), takes the common prefixes of neighbours (Kasai's rule that the value
-   at i + 1 is the value at i less one unless the neighbour changes), and marks windows that
+   at i + 1 is the value at i less one unless the neighbour changes or the value at i is 0), and
+   marks windows that
    agree with another over ``length`` bytes.  A key too large for one shard is spread over
    several; windows are then looked up in the other shards' arrays by binary search.
 4. Marked windows go back to their texts, where overlapping ones are joined.
@@ -118,7 +119,8 @@ def common_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     before[order[1:]] = order[:-1]
     anew = np.empty(n, bool)
     anew[0] = True
-    anew[1:] = (before[1:] != before[:-1] + 1) | (before[:-1] < 0)
+    # a neighbour that shares no byte says nothing about the suffix after it
+    anew[1:] = (before[1:] != before[:-1] + 1) | (before[:-1] < 0) | (data[:-1] != data[before[:-1]])
     padded = np.concatenate((data, np.zeros(8, np.uint8))).tobytes()
     eight = np.ndarray((n,), "<u8", padded, strides=(1,))
     lcp = np.zeros(n, np.int64)

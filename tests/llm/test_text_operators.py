@@ -70,6 +70,20 @@ def test_suffix_arrays_and_prefixes():
         assert lcp[k] == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
+def test_prefixes_start_anew_after_a_neighbour_that_shares_nothing():
+    rng = random.Random(8)
+    passage = bytes(rng.randrange(ord("c"), 256) for _ in range(500))
+    raw = b"a" + passage + b"m" + b"b" + passage + b"n"
+    data = np.frombuffer(raw, np.uint8)
+    order = suffix_dedup.suffix_array(data, 400)
+    lcp = suffix_dedup.common_prefixes(data, order)
+    for k in range(1, len(order)):
+        a, b = raw[order[k - 1]:], raw[order[k]:]
+        assert lcp[k] == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    shard = suffix_dedup.Shard([(b"a" + passage + b"m", 1), (b"b" + passage + b"n", 1)], 400)
+    assert [shard.spans(0), shard.spans(1)] == [[(1, 501)], [(1, 501)]]
+
+
 def test_simhash_fingerprints_and_groups(spark, mixed):
     def brute(t):
         ws = bytes(c + 32 if 65 <= c <= 90 else c for c in (t or "").encode()).split()
