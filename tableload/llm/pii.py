@@ -23,15 +23,33 @@ DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFG
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 ACCESS_KEY = r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])"
 SECRET = r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api_?key)[ \t]{0,4}[=:][ \t]{0,4}[\"']?[A-Za-z0-9+/_.-]{8,128}+[\"']?"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: length of an account number by country
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+                22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+                25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+                29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+# the known length first, so that a word or number after the account number is not taken in
+IBAN = "(?<![A-Za-z0-9])(?:" + "|".join(
+    f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    + "(?![A-Za-z0-9])" for n, countries in IBAN_LENGTHS.items()) \
+    + "|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
 ISO_DATE = r"(?<![0-9A-Za-z./-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z/-]|\.[0-9])"
 DATE = r"(?<![0-9A-Za-z./-])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9A-Za-z/-]|\.[0-9])"
 IPV4 = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
-PHONE = (r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)[ .-]?)?[0-9]{2,5}(?:[ .-]?[0-9]{2,5}){1,4}(?![0-9A-Za-z])"
+#: a value of its own after a space, which a number before the space does not take in
+OTHER = (r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9])|[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9])"
+         r"|[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])|[2-9][0-9]{2}-[2-9][0-9]{2}-[0-9]{4}(?![0-9]|-[0-9]))")
+_CARD_LAYOUT = r"[0-9]{4}[ -](?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{6}[ -][0-9]{4,5})(?![0-9])"
+PHONE = (r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)[ .-]?)?[0-9]{2,5}"
+         rf"(?:(?:[.-]| (?!{OTHER}|{_CARD_LAYOUT}))?[0-9]{{2,5}}){{1,4}}(?![0-9A-Za-z])"
          r"|(?<![0-9A-Za-z(])\([2-9][0-9]{2}\) ?[2-9][0-9]{2}-[0-9]{4}(?![0-9A-Za-z])"
          r"|(?<![0-9A-Za-z.-])[2-9][0-9]{2}[.-][2-9][0-9]{2}[.-][0-9]{4}(?![0-9A-Za-z]|[.-][0-9])")
+#: digits of an international number by country code, where the numbering plan has one length
+PHONE_LENGTHS = {"45|47": 10, "1|7|31|33|34|41|48|61": 11, "30|44|91": 12}
 SSN = r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|[.-][0-9])"
-CARD = r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[.-][0-9])"
+_GROUP = r"[0-9]++(?![A-Za-z]|\.[0-9])"
+# a whole run of digit groups; the card numbers in it are found by ``_cards``
+CARD = rf"(?<![0-9A-Za-z.-])(?=(?:[0-9][ -]?){{12}}[0-9]){_GROUP}(?:(?:-| (?!{OTHER})){_GROUP})*+(?!-[0-9])"
 ANY = "|".join((EMAIL, ACCESS_KEY, SECRET, IBAN, ISO_DATE, DATE, IPV4, SSN, PHONE, CARD))
 #: without one of these there is nothing to find
 MAYBE = r"[0-9@]|(?i:pass|pwd|secret|token|key)|A[KS]IA"
@@ -102,6 +120,48 @@ def _card(m: Column, key: Column) -> Column:
     return _let(body, lambda b: F.concat(b, ((10 - _luhn_rest(_only_digits(b), False)) % 10).cast("string")))
 
 
+def _is_card(text: Column) -> Column:
+    return _let(_only_digits(text), lambda d: F.when(F.length(d).between(13, 19), _luhn_rest(d, True) == 0).otherwise(False))
+
+
+def _cards(run: Column, key: Column) -> Column:
+    """(text, n) of a run of digit groups with the card numbers in it replaced; n is their number.
+
+    A card number is a part of the run between group borders, 13 to 19 digits, of valid check
+    digit, in groups of four or more (the last may be shorter); the shortest counts, so that a
+    security code, an expiry or a year after it is not taken in.  One that starts like a
+    network's number goes before one that overlaps it and does not.  A run without one may be
+    a number as a whole, in any groups.
+    """
+    def replaced(parts: Column) -> Column:
+        part = lambda i, n: F.regexp_replace(F.array_join(F.slice(parts, i + 1, n), ""), "[ -]$", "")
+
+        def best(first: Column, i: Column) -> Column:
+            lengths = F.filter(F.sequence(F.lit(1), F.least(F.lit(5), F.size(parts) - i)), lambda n: part(i, n).rlike(
+                "^(?:[0-9]{4,}[ -])*[0-9]+$") & _is_card(part(i, n)))
+            return F.when(first.rlike("^[0-9]{4}"), F.struct(F.get(lengths, F.lit(0)).alias("n"),
+                                                             first.rlike("^(?:[3-6]|2[2-7])").alias("network")))
+
+        def walk(found: Column) -> Column:
+            def step(s: Column, i: Column) -> Column:
+                n = F.get(found, i)["n"]
+                weaker = ~F.get(found, i)["network"] & F.exists(F.slice(found, i + 2, F.greatest(n - 1, F.lit(0))),
+                                                               lambda x: F.coalesce(x["network"] & x["n"].isNotNull(), F.lit(False)))
+                taken = F.coalesce(n.isNotNull() & ~weaker, F.lit(False))
+                rest = lambda at: F.regexp_extract(F.get(parts, at), "[ -]$", 0)
+                return F.when(i < s["until"], s).when(taken, F.struct(
+                    F.concat(s["text"], _card(part(i, n), key), rest(i + n - 1)).alias("text"), (s["n"] + 1).alias("n"),
+                    (i + n).alias("until"))) \
+                    .otherwise(F.struct(F.concat(s["text"], F.get(parts, i)).alias("text"), s["n"].alias("n"), (i + 1).alias("until")))
+            start = F.struct(F.lit("").alias("text"), F.lit(0).alias("n"), F.lit(0).alias("until"))
+            return F.aggregate(F.sequence(F.lit(0), F.size(parts) - 1), start, step)
+        return _let(F.transform(parts, best), walk)
+    inner = _let(F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), F.lit(0)), replaced)
+    return _let(inner, lambda x: F.when(x["n"] > 0, F.struct(x["text"].alias("text"), x["n"].alias("n")))
+                .when(_is_card(run), F.struct(_card(run, key).alias("text"), F.lit(1).alias("n")))
+                .otherwise(F.struct(F.lit(None).cast("string").alias("text"), F.lit(0).alias("n"))))
+
+
 def _mod97(text: Column) -> Column:
     """Letters as 10 .. 35, the whole as a number modulo 97."""
     values = F.transform(F.split(text, ""), lambda c: F.instr(F.lit(DIGITS + UPPER), c) - 1)
@@ -156,8 +216,25 @@ def _phone(m: Column, key: Column) -> Column:
                          .when(c.rlike("[2-9]") & ((i == 0) | first(i)), "23456789").otherwise(DIGITS), key)
 
 
+def _phone_within(m: Column, key: Column) -> Column:
+    """The number at the start of ``m`` replaced: up to the group border that its country's length
+    names, or else the last one within 15 digits; null if there is none from 7 digits on."""
+    heads = lambda parts: F.filter(F.transform(
+        parts, lambda p, i: F.array_join(F.slice(parts, F.lit(1), i + 1), "")),
+        lambda h: F.length(_only_digits(h)).between(7, 15))
+
+    def replaced(found: Column) -> Column:
+        named = F.filter(found, lambda h: F.exists(
+            F.array(*[F.struct(F.lit(f"^\\+(?:{c})").alias("code"), F.lit(n).alias("n")) for c, n in PHONE_LENGTHS.items()]),
+            lambda x: F.regexp_like(h, x["code"]) & (F.length(_only_digits(h)) == x["n"])))
+        return _let(F.coalesce(F.get(named, F.lit(0)), F.get(found, F.size(found) - 1)),
+                    lambda h: F.concat(_phone(h, key), F.substring(m, F.length(h) + 1, F.length(m))))
+    return _let(F.regexp_extract_all(m, F.lit("[^0-9]*[0-9]+"), F.lit(0)), lambda parts: _let(heads(parts), replaced))
+
+
 def pseudonym(m: Column, key: Column) -> Column:
-    """The pseudonym of one match, or null if it fails the validation of its kind."""
+    """(text, n): the match with the values in it replaced, null if none passes the validation of
+    its kind, and their number."""
     k = lambda kind: F.concat_ws("|", key, F.lit(kind))
     whole = lambda p: m.rlike(f"^(?:{p})$")
     iso = F.try_to_date(m, "yyyy-MM-dd")
@@ -171,10 +248,8 @@ def pseudonym(m: Column, key: Column) -> Column:
     secret = F.concat(prefix, F.when(value.rlike("^[0-9a-f]+[\"']?$"), _permute_text(
         value, lambda c, i: F.when(c.rlike("[0-9a-f]"), HEX).otherwise(""), k("secret")))
         .otherwise(_permute_text(value, lambda c, i: _by_class(c), k("secret"))))
-    luhn = (F.length(_only_digits(m)).between(13, 19)) & (_luhn_rest(_only_digits(m), True) == 0)
-    as_card = F.when(luhn, _card(m, k("card")))
     as_phone = F.when(F.length(_only_digits(m)).between(7, 15), _phone(m, k("phone")))
-    return F.when(F.instr(m, "@") > 0, email) \
+    single = F.when(F.instr(m, "@") > 0, email) \
         .when(whole(ACCESS_KEY), _permute_text(m, lambda c, i: F.when(i < 4, "").otherwise(DIGITS + UPPER), k("access"))) \
         .when(whole(SECRET), secret) \
         .when(whole(IBAN), F.when(_iban_valid(m), _iban(m, k("iban")))) \
@@ -186,8 +261,10 @@ def pseudonym(m: Column, key: Column) -> Column:
             ~F.exists(F.split(m, "\\."), lambda x: x.cast("int") > 255), _ip(m, k("ip")))) \
         .when(whole("[0-9]{3}-[0-9]{2}-[0-9]{4}"), F.when(
             ~m.rlike("^(?:000|666|9)|-00-|-0000$"), _permute_text(m, _ssn_alphabet, k("ssn")))) \
-        .when(m.startswith("+"), as_phone) \
-        .otherwise(F.coalesce(as_card, F.when(whole(PHONE), as_phone)))
+        .when(m.startswith("+"), _phone_within(m, k("phone"))) \
+        .when(whole(PHONE), as_phone)
+    as_one = _let(single, lambda p: F.struct(p.alias("text"), F.when(p.isNotNull(), 1).otherwise(0).alias("n")))
+    return F.when(m.rlike("^[0-9](?:[ -]?[0-9]){12}[0-9 -]*+$"), _cards(m, k("card"))).otherwise(as_one)
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -206,7 +283,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     named = found.withColumn("_names", F.transform("_found", lambda m: pseudonym(m, F.lit(key))))
     pieces = F.split("_text", ANY, -1)
     joined = F.array_join(F.flatten(F.zip_with(pieces, F.zip_with(
-        "_found", "_names", lambda m, p: F.coalesce(p, m)), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
-    count = F.size(F.filter("_names", lambda x: x.isNotNull())).cast("long")
+        "_found", "_names", lambda m, p: F.coalesce(p["text"], m)), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    count = F.aggregate("_names", F.lit(0).cast("long"), lambda n, x: n + x["n"])
     done = named.withColumn("n_replaced", F.coalesce(count, F.lit(0).cast("long")))
     return done.select("_row", F.when(F.col("n_replaced") > 0, joined).otherwise(F.col("_text")).alias("text"), "n_replaced")

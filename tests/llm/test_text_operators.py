@@ -258,6 +258,22 @@ def test_pseudonyms_keep_their_format(spark):
     assert all(got[8 + i] == (t, 0) for i, t in enumerate(ODD))
 
 
+def test_numbers_are_found_beside_others(spark):
+    card, iban, phone = "4111 1111 1111 1111", "BE68 5390 0754 7034", "+1 212 555 2485"
+    texts = [card, iban, phone, f"{card} 123", f"{card} 12/25", f"item 3 {card}", f"2020 {card}", f"{card} 5500 0000 0000 0004",
+             f"{iban} BIC", f"{iban} 2020", f"{iban} {card}", f"{phone} 2020", f"{phone} 123-45-6789", f"{card} 2020-03-07",
+             "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16"]
+    got = [(r["text"], r["n_replaced"]) for r in sorted(pii.pseudonymise(documents(spark, texts), "k").collect(),
+                                                        key=lambda r: r["_row"]["doc_id"])]
+    (c, _), (i, _), (p, _) = got[:3]
+    assert c != card and i != iban and p != phone and _luhn(c.replace(" ", ""))
+    assert got[3:7] == [(f"{c} 123", 1), (f"{c} 12/25", 1), (f"item 3 {c}", 1), (f"2020 {c}", 1)]
+    assert got[7][1] == 2 and got[7][0].startswith(c) and _luhn(got[7][0][20:].replace(" ", "")) and "5500" not in got[7][0]
+    assert got[8:12] == [(f"{i} BIC", 1), (f"{i} 2020", 1), (f"{i} {c}", 2), (f"{p} 2020", 1)]
+    assert got[12][1] == got[13][1] == 2 and got[12][0].startswith(p) and got[13][0].startswith(c)
+    assert got[14] == (texts[14], 0)
+
+
 def test_feistel_is_a_permutation(spark):
     all_pairs = spark.range(6 * 7).select((F.col("id") % 6).cast("int").alias("a"), (F.col("id") / 6).cast("int").alias("b"))
     got = all_pairs.select(pii.feistel(F.array("a", "b"), F.array(F.lit(6), F.lit(7)), F.lit("key")).alias("x")).collect()
