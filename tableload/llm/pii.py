@@ -22,7 +22,7 @@ DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFG
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 ACCESS_KEY = r"(?<![A-Za-z0-9])A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9])"
-SECRET = r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api_?key)[ \t]{0,4}[=:][ \t]{0,4}[\"']?[A-Za-z0-9+/_.-]{8,128}+[\"']?"
+SECRET = r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|secret|token|api_?key)[ \t]{0,4}[=:][ \t]{0,4}[\"']?[A-Za-z0-9+/_.-]{8,}+[\"']?"
 #: length of an account number by country
 IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
                 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
@@ -33,11 +33,12 @@ IBAN = "(?<![A-Za-z0-9])(?:" + "|".join(
     f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
     + "(?![A-Za-z0-9])" for n, countries in IBAN_LENGTHS.items()) \
     + "|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
-ISO_DATE = r"(?<![0-9A-Za-z./-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z/-]|\.[0-9])"
-DATE = r"(?<![0-9A-Za-z./-])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9A-Za-z/-]|\.[0-9])"
+# a time may follow an ISO date
+ISO_DATE = r"(?<![0-9A-Za-z./-])[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:(?=[Tt][0-9]{2})|(?![0-9A-Za-z/-]|\.[0-9]))"
+DATE = r"(?<![0-9A-Za-z./-])(?:[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2})(?![0-9A-Za-z/-]|\.[0-9])"
 IPV4 = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
 #: a value of its own after a space, which a number before the space does not take in
-OTHER = (r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9])|[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9])"
+OTHER = (r"(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?![0-9]|-[0-9])|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}(?![0-9])|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}(?![0-9])"
          r"|[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])|[2-9][0-9]{2}-[2-9][0-9]{2}-[0-9]{4}(?![0-9]|-[0-9]))")
 _CARD_LAYOUT = r"[0-9]{4}[ -](?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{6}[ -][0-9]{4,5})(?![0-9])"
 PHONE = (r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)[ .-]?)?[0-9]{2,5}"
@@ -96,6 +97,18 @@ def _permute_text(text: Column, alphabet, key: Column) -> Column:
     return _let(chars, rebuilt)
 
 
+def _permute_long(text: Column, alphabet, key: Column) -> Column:
+    """``_permute_text`` in time linear in the length: kept characters take part with radix 1."""
+    chars = F.transform(F.split(text, ""), lambda c, i: F.struct(c.alias("c"), alphabet(c, i).alias("abc")))
+
+    def rebuilt(cs: Column) -> Column:
+        mixed = feistel(F.transform(cs, lambda x: F.when(x["abc"] == "", 0).otherwise(F.instr(x["abc"], x["c"]) - 1)),
+                        F.transform(cs, lambda x: F.greatest(F.length(x["abc"]), F.lit(1))), key)
+        return F.array_join(F.zip_with(cs, mixed, lambda x, m: F.when(x["abc"] == "", x["c"])
+                                       .otherwise(F.substring(x["abc"], m + 1, F.lit(1)))), "")
+    return _let(chars, rebuilt)
+
+
 def _by_class(c: Column) -> Column:
     return F.when(c.rlike("[0-9]"), DIGITS).when(c.rlike("[a-z]"), LOWER).when(c.rlike("[A-Z]"), UPPER).otherwise("")
 
@@ -237,26 +250,29 @@ def pseudonym(m: Column, key: Column) -> Column:
     its kind, and their number."""
     k = lambda kind: F.concat_ws("|", key, F.lit(kind))
     whole = lambda p: m.rlike(f"^(?:{p})$")
-    iso = F.try_to_date(m, "yyyy-MM-dd")
-    dotted, slashed = F.try_to_date(m, "dd.MM.yyyy"), F.try_to_date(m, "MM/dd/yyyy")
-    british = F.try_to_date(m, "dd/MM/yyyy")
+    # two digits for day and month, or as many as they have
+    dates = [(f"^{form}$".replace("D", "[0-9]{2}" if padded else "[0-9]{1,2}"), parse if padded else parse.replace("dd", "d").replace("MM", "M"))
+             for padded in (True, False) for form, parse in ((r"[0-9]{4}-D-D", "yyyy-MM-dd"), (r"D\.D\.[0-9]{4}", "dd.MM.yyyy"),
+                                                             (r"D/D/[0-9]{4}", "MM/dd/yyyy"), (r"D/D/[0-9]{4}", "dd/MM/yyyy"),
+                                                             (r"[0-9]{4}/D/D", "yyyy/MM/dd"))]
+    as_date = F.coalesce(*[F.when(m.rlike(form), _let(F.try_to_date(m, parse), lambda day: F.when(
+        _in_cycle(day), F.date_format(_date(day, k("date")), parse)))) for form, parse in dates])
     prefix = F.regexp_extract(m, "^[^=:]*[=:][ \\t]*[\"']?", 0)
     value = F.substring(m, F.length(prefix) + 1, F.length(m))
     at = F.instr(m, "@")
     domain_end = F.length(m) - F.length(F.substring_index(m, ".", -1)) - 1
     email = _permute_text(m, lambda c, i: F.when((i == at - 1) | (i >= domain_end), "").otherwise(_by_class(c)), k("email"))
-    secret = F.concat(prefix, F.when(value.rlike("^[0-9a-f]+[\"']?$"), _permute_text(
-        value, lambda c, i: F.when(c.rlike("[0-9a-f]"), HEX).otherwise(""), k("secret")))
-        .otherwise(_permute_text(value, lambda c, i: _by_class(c), k("secret"))))
+    hexadecimal = value.rlike("^[0-9a-f]+[\"']?$")
+    by_kind = lambda c, i: F.when(hexadecimal, F.when(c.rlike("[0-9a-f]"), HEX).otherwise("")).otherwise(_by_class(c))
+    secret = F.concat(prefix, F.when(F.length(value) > 128, _permute_long(value, by_kind, k("secret")))
+                      .when(hexadecimal, _permute_text(value, lambda c, i: F.when(c.rlike("[0-9a-f]"), HEX).otherwise(""), k("secret")))
+                      .otherwise(_permute_text(value, lambda c, i: _by_class(c), k("secret"))))
     as_phone = F.when(F.length(_only_digits(m)).between(7, 15), _phone(m, k("phone")))
     single = F.when(F.instr(m, "@") > 0, email) \
         .when(whole(ACCESS_KEY), _permute_text(m, lambda c, i: F.when(i < 4, "").otherwise(DIGITS + UPPER), k("access"))) \
         .when(whole(SECRET), secret) \
         .when(whole(IBAN), F.when(_iban_valid(m), _iban(m, k("iban")))) \
-        .when(whole("[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.when(_in_cycle(iso), F.date_format(_date(iso, k("date")), "yyyy-MM-dd"))) \
-        .when(whole(r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}"), F.when(_in_cycle(dotted), F.date_format(_date(dotted, k("date")), "dd.MM.yyyy"))) \
-        .when(whole("[0-9]{2}/[0-9]{2}/[0-9]{4}"), F.when(_in_cycle(slashed), F.date_format(_date(slashed, k("date")), "MM/dd/yyyy"))
-              .when(_in_cycle(british), F.date_format(_date(british, k("date")), "dd/MM/yyyy"))) \
+        .when(m.rlike("^(?:[0-9]{4}([/-])[0-9]{1,2}\\1[0-9]{1,2}|[0-9]{1,2}([./])[0-9]{1,2}\\2[0-9]{4})$"), as_date) \
         .when(whole(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"), F.when(
             ~F.exists(F.split(m, "\\."), lambda x: x.cast("int") > 255), _ip(m, k("ip")))) \
         .when(whole("[0-9]{3}-[0-9]{2}-[0-9]{4}"), F.when(

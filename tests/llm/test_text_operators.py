@@ -274,6 +274,23 @@ def test_numbers_are_found_beside_others(spark):
     assert got[14] == (texts[14], 0)
 
 
+def test_dates_of_all_forms_and_whole_secrets(spark):
+    rng = random.Random(6)
+    jwt = "eyJ" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._-") for _ in range(700))
+    texts = ["1985-03-07", "1985-03-07T10:22:00Z", "7.3.1985", "3/7/1985", "1985/03/07", "1985/3/7", "1985-3-7", "31.2.1985 1985/13/45 1985-03-07x",
+             f"token={jwt}", f'secret: "{"0123456789abcdef" * 20}"', "token=" + "a1/" * 7000]
+    got = [(r["text"], r["n_replaced"]) for r in sorted(pii.pseudonymise(documents(spark, texts), "k").collect(),
+                                                        key=lambda r: r["_row"]["doc_id"])]
+    year, month, day = got[0][0].split("-")
+    short = str(int(month)), str(int(day))
+    assert got[1] == (f"{year}-{month}-{day}T10:22:00Z", 1) and got[2] == (f"{short[1]}.{short[0]}.{year}", 1)
+    assert got[3] == (f"{short[0]}/{short[1]}/{year}", 1) and got[4] == (f"{year}/{month}/{day}", 1)
+    assert got[5] == (f"{year}/{short[0]}/{short[1]}", 1) and got[6] == (f"{year}-{short[0]}-{short[1]}", 1) and got[7] == (texts[7], 0)
+    for (text, n), old in zip(got[8:], texts[8:]):
+        assert n == 1 and len(text) == len(old) and not any(old[i:i + 12] in text for i in range(10, len(old) - 13, 6))
+    assert all(a == b or a.isalnum() for a, b in zip(jwt, got[8][0][6:])) and set(got[9][0][9:-1]) <= set("0123456789abcdef")
+
+
 def test_feistel_is_a_permutation(spark):
     all_pairs = spark.range(6 * 7).select((F.col("id") % 6).cast("int").alias("a"), (F.col("id") / 6).cast("int").alias("b"))
     got = all_pairs.select(pii.feistel(F.array("a", "b"), F.array(F.lit(6), F.lit(7)), F.lit("key")).alias("x")).collect()
