@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import md5
 from html import unescape
 
 import pyarrow as pa
@@ -20,6 +21,9 @@ from pyspark.sql import types as T
 
 #: a path wins if it has this share of its host's votes
 MIN_VOTE_SHARE = 0.05
+#: a link list is a menu if that share of its host's pages, and so many different ones, have it
+MIN_LIST_PAGES = 3
+_LIST = "link list "
 
 # fixed values: the elements of HTML by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -199,18 +203,24 @@ def blocks(html: str) -> list[tuple[str, Node, list[Node], float]]:
     return out
 
 
-def _content(found: list) -> list:
-    """Blocks without menus: lists in which almost all text is links."""
+def _link_lists(found: list) -> dict[int, str]:
+    """Lists in which almost all text is links, by element, with a digest of their text."""
     lists: dict[int, list] = {}
     for text, _, chain, linked in found:
         for node in reversed(chain):
             if node.name in ("ul", "ol"):
-                seen = lists.setdefault(id(node), [0, 0, 0.0])
+                seen = lists.setdefault(id(node), [0, 0, 0.0, []])
                 seen[0] += 1
                 seen[1] += len(text)
                 seen[2] += linked * len(text)
+                seen[3].append(text)
                 break
-    menus = {k for k, (items, size, linked) in lists.items() if items >= 3 and linked >= 0.9 * size}
+    return {k: _LIST + md5("\n".join(texts).encode(errors="replace")).hexdigest()
+            for k, (items, size, linked, texts) in lists.items() if items >= 3 and linked >= 0.9 * size}
+
+
+def _content(found: list, menus) -> list:
+    """Blocks outside the given lists."""
     return [b for b in found if not menus or not any(id(x) in menus for x in b[2])]
 
 
@@ -233,15 +243,28 @@ def best_path(found: list) -> tuple[str, float] | None:
     return (top.path, top.score) if top.score > 0 else (top.path, 1e-9)
 
 
-def extract(html: str, winners: list[str]) -> str:
-    """Text of the elements at the first winning path the page has, blocks joined by blank lines."""
-    found = _content(blocks(html))
+def extract(html: str, winners: list[str], menus: list[str] | None = None) -> str:
+    """Text of the elements at the first winning path the page has, blocks joined by blank lines.
+
+    ``menus`` are the link lists that many pages of the host repeat; they are dropped, other
+    link lists inside the element are part of it.  None: the host has too few pages to tell,
+    and the link lists before the element's first other block are dropped.
+    """
+    every = blocks(html)
+    lists = _link_lists(every)
+    found = _content(every, lists)
     paths = {node.path for _, _, chain, _ in found for node in chain}
     path = next((p for p in winners if p in paths), None)
     if path is None:
         top = best_path(found)
         path = top[0] if top else None
-    return "\n\n".join(text for text, _, chain, _ in found if any(node.path == path for node in chain))
+    inside = [b for b in every if any(node.path == path for node in b[2])]
+    if menus is None:
+        first = next((k for k, b in enumerate(inside) if not any(id(x) in lists for x in b[2])), len(inside))
+        gone = {id(x) for b in inside[:first] for x in b[2] if id(x) in lists}
+    else:
+        gone = {k for k, digest in lists.items() if digest in menus}
+    return "\n\n".join(b[0] for b in _content(inside, gone))
 
 
 def host_of(url: Column) -> Column:
@@ -250,30 +273,45 @@ def host_of(url: Column) -> Column:
 
 
 def votes(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, path, votes): each page's vote for its best container, added up."""
+    """(host, path, votes): each page's vote for its best container, added up, and (host, digest,
+    different pages) of the link lists."""
     source = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ballots: dict = {}
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1)):
-                top = best_path(_content(blocks(html.as_py() or "")))
+                html = html.as_py() or ""
+                found = blocks(html)
+                lists = _link_lists(found)
+                top = best_path(_content(found, lists))
                 if top:
-                    ballots[host, top[0]] = ballots.get((host, top[0]), 0) + 1
-            keys = list(ballots)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                                              pa.array(list(ballots.values()), pa.int64())], ["host", "path", "votes"])
-    return source.mapInArrow(run, "host string, path string, votes bigint") \
-        .groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+                    ballots[host, top[0], None] = ballots.get((host, top[0], None), 0) + 1
+                if lists:
+                    page = md5(html.encode(errors="replace")).digest()
+                    ballots.update({(host, digest, page): 1 for digest in lists.values()})
+            columns = list(zip(*ballots)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
+                                              pa.array(columns[2], pa.binary()), pa.array(list(ballots.values()), pa.int64())],
+                                             ["host", "path", "page", "votes"])
+    return source.mapInArrow(run, "host string, path string, page binary, votes bigint") \
+        .groupBy("host", "path", "page").agg(F.sum("votes").alias("votes")) \
+        .groupBy("host", "path").agg(F.sum(F.when(F.col("page").isNull(), F.col("votes")).otherwise(1)).alias("votes"))
 
 
 def winning_paths(ballots: DataFrame, min_share: float = MIN_VOTE_SHARE) -> DataFrame:
-    """(host, winners): paths with at least ``min_share`` of their host's votes, most votes
-    first, ties by path.  There are at most 1 / ``min_share`` of them."""
-    total = ballots.groupBy("host").agg(F.sum("votes").alias("total")).withColumnRenamed("host", "_host")
-    won = ballots.join(total, F.col("host").eqNullSafe(F.col("_host"))).where(F.col("votes") >= min_share * F.col("total"))
-    return won.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), "path"))).alias("w")) \
-        .select("host", F.col("w.path").alias("winners"))
+    """(host, winners, menus): paths with at least ``min_share`` of their host's votes, most votes
+    first, ties by path, at most 1 / ``min_share`` of them; and the link lists on as large a
+    share of pages and ``MIN_LIST_PAGES`` or more, null on hosts with fewer pages."""
+    is_list = F.col("path").startswith(_LIST)
+    total = ballots.groupBy("host").agg(F.sum(F.when(~is_list, F.col("votes"))).alias("total")).withColumnRenamed("host", "_host")
+    won = ballots.join(total, F.col("host").eqNullSafe(F.col("_host"))).where(F.col("votes") >= min_share * F.col("total")) \
+        .where(~is_list | (F.col("votes") >= MIN_LIST_PAGES))
+    entry = F.struct((-F.col("votes")).alias("v"), "path")
+    return won.groupBy("host").agg(F.sort_array(F.collect_list(F.when(~is_list, entry))).alias("w"),
+                                   F.sort_array(F.collect_list(F.when(is_list, F.col("path")))).alias("menus"),
+                                   F.max("total").alias("total")) \
+        .select("host", F.col("w.path").alias("winners"), F.when(F.col("total") >= MIN_LIST_PAGES, F.col("menus")).alias("menus"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -283,19 +321,22 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     Character references are decoded, white space inside a block becomes one space, blocks
     are joined in page order by two line feeds.  Null html counts as empty; pages without a
     host vote together; repeated rows stay; an empty table gives an empty result; other
-    columns are not read.  A host with a third of all pages is split by the engine's skew
+    columns are not read.  Lists of links do not score; those inside the main element stay
+    unless many pages of the host repeat them (on hosts of one or two pages: unless they
+    stand before the element's other text).  A host with a third of all pages is split by the engine's skew
     join (its few paths are copied to every part).
     """
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     won = winning_paths(votes(pages, url_col, html_col), min_share) \
-        .select(F.coalesce("host", F.lit("")).alias("host"), "winners")
+        .select(F.coalesce("host", F.lit("")).alias("host"), "winners", "menus")
     both = source.withColumn("host", F.coalesce(host_of(F.col("url")), F.lit(""))).join(won, "host", "left") \
-        .select("id", "url", "html", "winners")
+        .select("id", "url", "html", "winners", "menus")
     schema = T.StructType([source.schema["id"], T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(html.as_py() or "", won.as_py() or []) for html, won in zip(batch.column(2), batch.column(3))]
+            texts = [extract(html.as_py() or "", won.as_py() or [], menus.as_py())
+                     for html, won, menus in zip(batch.column(2), batch.column(3), batch.column(4))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["id", "url", "text"])
     out = both.mapInArrow(run, schema)
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",

@@ -317,6 +317,20 @@ def test_main_text_of_pages(spark):
     assert got[6] == ("Tiny.", 5) and got[7] == ("plain", 5) and got[8] == ("", 0) and got[9] == ("a\n\nb", 4)
 
 
+def test_link_lists_of_the_article_stay_and_menus_go(spark):
+    menu = "<ul><li><a href=/h>Home page</a><li><a href=/n>All news</a><li><a href=/c>Contact us</a></ul>"
+    body = "<p>Paragraph {i} of an article that is long enough to win the vote of its page.</p>"
+    refs = "<h3>Sources</h3><ol><li><a href=x>Source {i} one</a><li><a href=y>Source {i} two</a><li><a href=z>Source {i} three</a></ol>"
+    page = "<body>" + menu + '<div class="post">' + menu + body + refs + "</div></body>"
+    want = "Paragraph {i} of an article that is long enough to win the vote of its page.\n\nSources\n\n" \
+           "Source {i} one\n\nSource {i} two\n\nSource {i} three"
+    rows = [(i, "https://a.example/x", page.replace("{i}", str(i))) for i in range(5)]
+    rows += [(i, "https://a.example/copy", page.replace("{i}", "0")) for i in range(5, 9)] + [(9, "https://b.example/", page.replace("{i}", "9"))]
+    got = {r["page_id"]: r["text"] for r in html_main.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: want.replace("{i}", str(0 if 5 <= i < 9 else i)) for i in range(10)}
+
+
 def test_quality_model_learns_without_held_out_labels(spark):
     rng = random.Random(2)
     words = [f"w{i}" for i in range(200)]
