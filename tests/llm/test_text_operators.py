@@ -162,6 +162,17 @@ def test_mix_takes_what_it_should(spark, mixed):
     assert sorted(map(repr, rows)) == sorted(map(repr, mixing.mix(docs.repartition(3), buckets=16).collect()))
 
 
+def test_training_order_passes_targets_by_less_than_a_document(spark, mixed):
+    docs = documents(spark, mixed)
+    words, longest, target = Counter(), Counter(), {}
+    for r in mixing.training_order(docs, buckets=16).collect():
+        words[r["source"]] += len((r["text"] or "").encode().split())
+    for r in mixing.mix(docs, buckets=16).collect():
+        s = r["_row"]["source"]
+        target[s], longest[s] = r["target"], max(longest[s], r["size"])
+    assert all(-1 <= words[s] - target[s] < longest[s] + 1 for s in target)
+
+
 def test_demand_is_inverted(spark):
     knots = mixing.CURRICULUM[2]
     part = [i / 20 for i in range(21)]
