@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_main, lattice, mixing, onebit_ann, pieces, pii, quality_model, quality_rules, simhash, suffix_dedup, token_counts
+from . import (decontaminate, filter_audit, hard_negatives, html_main, lattice, mixing, onebit_ann, pieces, pii,
+               quality_model, quality_rules, simhash, suffix_dedup, token_counts)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -188,3 +189,114 @@ def op5_html_main(spark, sf_dir):
 @query("op8_quality_model")
 def op8_quality_model(spark, sf_dir):
     return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_hard_negatives", """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM usable a JOIN usable r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+""")
+def op11_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=moved)
+
+
+@query("op12_winnowing", """
+WITH worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+  FROM documents),
+items AS (
+  SELECT item_id, ws, least(10, len(ws)) AS n FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+    FROM benchmark) WHERE len(ws) > 0),
+spans AS (
+  SELECT DISTINCT item_id, n, array_to_string(list_slice(ws, i, i + n - 1), ' ') AS span
+  FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM items)),
+texts AS (SELECT DISTINCT ws FROM worded WHERE len(ws) > 0),
+found AS (
+  SELECT ws, n, i, array_to_string(list_slice(ws, i, i + n - 1), ' ') AS span
+  FROM (SELECT ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+        FROM texts JOIN (SELECT DISTINCT n FROM spans) ON len(ws) >= n)),
+hits AS (SELECT * FROM found WHERE EXISTS (SELECT 1 FROM spans s WHERE s.span = found.span AND s.n = found.n)),
+words_hit AS (
+  SELECT ws, count(DISTINCT p) AS n_hit FROM (SELECT ws, unnest(range(i, i + n)) AS p FROM hits) GROUP BY ws),
+items_hit AS (
+  SELECT ws, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT h.ws, CAST(s.item_id AS VARCHAR) AS item FROM hits h JOIN spans s ON h.span = s.span AND h.n = s.n
+        WHERE s.item_id IS NOT NULL)
+  GROUP BY ws)
+SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(i.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(i.names, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM worded w LEFT JOIN words_hit h ON w.ws = h.ws LEFT JOIN items_hit i ON w.ws = i.ws
+""")
+def op12_winnowing(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "_row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op13_filter_audit", """
+WITH worded AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT w.part, coalesce(m.good, 0) AS good, coalesce(m.toxic, 0) AS toxic, [
+           len(ws) < 200,
+           100 * len(list_distinct(ws)) < 50 * len(ws),
+           100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t),
+           regexp_matches(t, '[#$%&*|]'),
+           coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false)] AS fails
+  FROM worded w LEFT JOIN marks m ON w.doc_id = m.doc_id),
+masks AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, fails),
+letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS f),
+orders AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM orders),
+first_fail AS (
+  SELECT part, o, step, fails[o[step]] AS hit,
+         len(list_filter(list_slice(o, 1, step - 1), lambda x: fails[x])) = 0 AS reached,
+         len(list_filter(fails, lambda x: x)) AS all_fails, n, good, toxic
+  FROM masks CROSS JOIN steps),
+counted AS (
+  SELECT part, o, step,
+         sum(CASE WHEN reached AND NOT hit THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN reached AND hit THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN NOT reached AND hit THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN hit AND all_fails = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN reached AND hit THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN reached AND hit THEN toxic ELSE 0 END) AS toxic_lost
+  FROM first_fail GROUP BY part, o, step)
+SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order,
+       CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, o[step]) AS BIGINT) AS shapley
+FROM counted
+""")
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(filter_audit.mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
