@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...operators import integrity, upsert
+from ...operators import cascade, integrity, upsert
 from ...specs import CheckSpec, ForeignKeySpec, KeySpec
 from .base import as_text, query, table
 
@@ -174,6 +174,61 @@ def q_delete_blocked(spark, d):
     return integrity.delete_blocked(table(spark, d, "orders"), ["o_custkey"], _deleted(spark, d), ["c_custkey"])
 
 
+_CASCADE_KEYS = [
+    ("nation", ForeignKeySpec("nation_region_fk", ("n_regionkey",), "region", ("r_regionkey",), "CASCADE")),
+    ("customer", ForeignKeySpec("customer_nation_fk", ("c_nationkey",), "nation", ("n_nationkey",), "CASCADE")),
+    ("supplier", ForeignKeySpec("supplier_nation_fk", ("s_nationkey",), "nation", ("n_nationkey",), "SET NULL")),
+    ("orders", ForeignKeySpec("orders_customer_fk", ("o_custkey",), "customer", ("c_custkey",), "CASCADE")),
+    ("lineitem", ForeignKeySpec("lineitem_order_fk", ("l_orderkey",), "orders", ("o_orderkey",), "CASCADE")),
+    ("lineitem", ForeignKeySpec("lineitem_supplier_fk", ("l_suppkey",), "supplier", ("s_suppkey",), "NO ACTION"))]
+
+_CASCADE_LEFT = {
+    "region": ("r_regionkey", "r_name"), "nation": ("n_nationkey", "n_regionkey"), "customer": ("c_custkey", "c_nationkey"),
+    "supplier": ("s_suppkey", "s_nationkey"), "orders": ("o_orderkey", "o_custkey"), "lineitem": ("l_orderkey", "l_linenumber")}
+
+_CASCADE_SQL = """
+WITH region_ AS (SELECT * FROM region WHERE NOT (r_name = 'ASIA')),
+nation_ AS (SELECT * FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region_)),
+customer_ AS (SELECT * FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation_)),
+supplier_ AS (SELECT s_suppkey, CASE WHEN s_nationkey IN (SELECT n_nationkey FROM nation_) THEN s_nationkey END AS s_nationkey
+              FROM supplier),
+orders_ AS (SELECT * FROM orders WHERE NOT (o_totalprice > 300000) AND o_custkey IN (SELECT c_custkey FROM customer_)),
+lineitem_ AS (SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders_))
+"""
+
+
+def _cascade(spark, d) -> cascade.CascadeResult:
+    return cascade.cascade_delete({t: table(spark, d, t) for t in _CASCADE_LEFT}, _CASCADE_KEYS,
+                                  {"region": "r_name = 'ASIA'", "orders": "o_totalprice > 300000"})
+
+
+@query("delete_graph", _CASCADE_SQL + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST({a} AS VARCHAR) AS own_key, CAST({b} AS VARCHAR) AS other FROM {t}_"
+    for t, (a, b) in _CASCADE_LEFT.items()))
+def q_delete_graph(spark, d):
+    left = _cascade(spark, d).tables
+    out = None
+    for t, (a, b) in _CASCADE_LEFT.items():
+        part = left[t].select(F.lit(t).alias("table_name"), F.col(a).cast("string").alias("own_key"),
+                              F.col(b).cast("string").alias("other"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("delete_graph_report", _CASCADE_SQL + """
+SELECT 'region' AS table_name, CAST(NULL AS VARCHAR) AS foreign_key, 'DELETE' AS action,
+       (SELECT count(*) FROM region WHERE r_name = 'ASIA') AS rows
+UNION ALL SELECT 'orders', NULL, 'DELETE', (SELECT count(*) FROM orders WHERE o_totalprice > 300000)
+UNION ALL SELECT 'nation', 'nation_region_fk', 'CASCADE', (SELECT count(*) FROM nation) - (SELECT count(*) FROM nation_)
+UNION ALL SELECT 'customer', 'customer_nation_fk', 'CASCADE', (SELECT count(*) FROM customer) - (SELECT count(*) FROM customer_)
+UNION ALL SELECT 'supplier', 'supplier_nation_fk', 'SET NULL', (SELECT count(*) FROM supplier_ WHERE s_nationkey IS NULL)
+UNION ALL SELECT 'orders', 'orders_customer_fk', 'CASCADE',
+       (SELECT count(*) FROM orders WHERE NOT (o_totalprice > 300000) AND o_custkey NOT IN (SELECT c_custkey FROM customer_))
+UNION ALL SELECT 'lineitem', 'lineitem_order_fk', 'CASCADE', (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM lineitem_)""")
+def q_delete_graph_report(spark, d):
+    return _cascade(spark, d).report
+
+
 def report_rules(spark, d) -> list[integrity.TableRules]:
     orders, lineitem = table(spark, d, "orders"), table(spark, d, "lineitem")
     customer, part = table(spark, d, "customer"), table(spark, d, "part")
