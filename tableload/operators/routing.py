@@ -1,17 +1,19 @@
 """Partition routing: list (R1), range (R2), hash (R3), two levels (R4), rejects (R5), counts.
 
 Routing is a classification of each row by literal bounds taken from a spec, evaluated
-inside whole-stage codegen in the same stage as the scan; nothing is joined or shuffled
-to route a row.  Lists are hash-set ``IN`` tests, ranges a balanced decision tree (log2(n)
-comparisons per row, composite keys included), and hash partitions one lookup of the
-partition name by remainder.  Bounds are SQL literals, which Spark converts to the key's
-own type before they are ordered, so their spelling (``100`` or ``'100'``) is no matter.
+in the same stage as the scan; nothing is joined or shuffled to route a row.  Lists are
+hash-set ``IN`` tests, ranges a balanced decision tree (log2(n) comparisons per row,
+composite keys included), and hash partitions one lookup of the partition name by
+remainder.  A spec with more than ``TREE_POINTS`` bounds or values becomes one sorted array
+literal that is searched by bisection: a plan of constant size, however many partitions, with
+the same result.  Bounds and values are SQL literals, which Spark converts to the key's own
+type before they are ordered or compared, so their spelling (``100`` or ``'100'``) is no matter.
 
 Rules kept from the source database:
 
 * LIST: a key equal to a listed value goes to that partition, other keys (and NULL
-  unless ``NULL`` is listed) go to the default partition; a value listed twice is an
-  error.
+  unless ``NULL`` is listed) go to the default partition; a value listed twice, in
+  whatever spelling, is an error, as is one that is no value of the key's type.
 * RANGE: ``[lower, upper)``; ``MINVALUE``/``MAXVALUE`` are open ends; composite keys
   compare lexicographically; a NULL key part only fits the default partition;
   overlapping or empty ranges are an error, whatever the type and the number of keys.  Strings compare by code point (the "C"
@@ -26,7 +28,9 @@ Rules kept from the source database:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+import re
+from collections.abc import Callable, Iterable, Sequence
 from functools import total_ordering
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +43,10 @@ from ..specs import MAXVALUE, MINVALUE, Partition, PartitionLevel, PartitionSche
 HashFn = Callable[[list[Column], int], Column]
 
 
+#: specs up to this many points are compiled to comparisons, larger ones searched in an array
+TREE_POINTS = 64
+
+
 def xxhash_keys(keys: list[Column], modulus: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(modulus))
 
@@ -118,13 +126,9 @@ def validate_level(level: PartitionLevel) -> None:
         if len(set(rems)) != len(rems) or any(not 0 <= r < n for r in rems):
             raise ValueError(f"hash remainders {rems} do not fit modulus {n}")
     elif level.method == "LIST":
-        seen: dict[str, str] = {}
-        for p in level.partitions:
-            for v in p.values or ():
-                norm = v.strip()
-                if norm in seen:
-                    raise ValueError(f"value {norm} is listed in {seen[norm]} and {p.name}")
-                seen[norm] = p.name
+        nulls = [p.name for p in level.partitions for v in p.values or () if _is_null_literal(v)]
+        if len(nulls) > 1:
+            raise ValueError(f"value NULL is listed in {nulls[0]} and {nulls[1]}")
     else:
         for p in level.partitions:
             if not p.is_default and (not p.values or len(p.values) != 2):
@@ -138,6 +142,42 @@ def _typed(literal: str, key_type: T.DataType) -> str:
     return f"CAST({literal} AS {key_type.simpleString()})"
 
 
+_NUMBER = re.compile(r"-?(?:0|[1-9]\d{0,17})(?:\.\d+)?")
+_QUOTED = re.compile(r"'([^'\\]*)'")
+
+
+def _plain(literal: str, key_type: T.DataType) -> str | None:
+    """The text of a number or a quoted string without escapes, where casting that text to the
+    key's type gives what casting the literal gives; else None."""
+    quoted = _QUOTED.fullmatch(literal)
+    if quoted:
+        return quoted.group(1)
+    numeric = isinstance(key_type, (T.NumericType, T.StringType))
+    return literal if numeric and _NUMBER.fullmatch(literal) else None
+
+
+def _literal_values(wanted: Iterable[tuple[str, T.DataType]], spark: SparkSession) -> dict[tuple[str, str], object]:
+    """Values of SQL literals in the keys' types, keyed by (literal, type name); None where a
+    literal is NULL or no value of the type.  Spark evaluates them, plain ones as the rows of a
+    table, so that a spec of many thousand bounds is one small job."""
+    wanted = {(x, t.simpleString()): t for x, t in wanted}
+    out: dict[tuple[str, str], object] = {}
+    for name in sorted({n for _, n in wanted}):
+        t = next(t for (_, n), t in wanted.items() if n == name)
+        texts = [x for x, n in wanted if n == name]
+        plain = [(x, _plain(x, t)) for x in texts]
+        rows = [(x, p) for x, p in plain if p is not None]
+        if rows:
+            value = F.round(F.col("p").try_cast("decimal(38,10)")) if isinstance(t, T.IntegralType) else F.col("p")
+            found = spark.createDataFrame(rows, "x string, p string").select("x", value.try_cast(t).alias("v")).collect()
+            out.update({(r["x"], name): r["v"] for r in found})
+        other = [x for x, p in plain if p is None]
+        if other:
+            row = spark.sql("SELECT " + ", ".join(f"{_typed(x, t)} AS v{i}" for i, x in enumerate(other))).first()
+            out.update({(x, name): v for x, v in zip(other, row)})
+    return out
+
+
 @total_ordering
 class _Edge:
     """One item of a bound: MINVALUE (-1) and MAXVALUE (1) lie beyond every value (0)."""
@@ -168,12 +208,11 @@ def _range_bounds(level: PartitionLevel, types: Sequence[T.DataType], spark: Spa
             if len(its) != len(types) and not ends:
                 raise ValueError(f"bound {text} needs {len(types)} values")
             items[text] = its[:ends[0] + 1] if ends else its
-    wanted = sorted({(x, i) for its in items.values() for i, x in enumerate(its)
-                     if not (_is_open(x, MINVALUE) or _is_open(x, MAXVALUE))})
-    row = spark.sql("SELECT " + ", ".join(f"{_typed(x, types[i])} AS v{n}"
-                                          for n, (x, i) in enumerate(wanted))).first() if wanted else ()
-    values = dict(zip(wanted, row))
-    missing = [x for (x, _), v in values.items() if v is None]
+    wanted = {(x, i) for its in items.values() for i, x in enumerate(its)
+              if not (_is_open(x, MINVALUE) or _is_open(x, MAXVALUE))}
+    found = _literal_values([(x, types[i]) for x, i in wanted], spark)
+    values = {(x, i): found[x, types[i].simpleString()] for x, i in wanted}
+    missing = sorted(x for (x, _), v in values.items() if v is None)
     if missing:
         raise ValueError(f"bounds that are NULL or no value of the key's type: {missing}")
 
@@ -184,11 +223,12 @@ def _range_bounds(level: PartitionLevel, types: Sequence[T.DataType], spark: Spa
 
 def _range_tree(level: PartitionLevel, keys: list[Column], types: Sequence[T.DataType], fallback: Column,
                 spark: SparkSession) -> Column:
-    """Range routing as a balanced tree of ``keys < point`` tests over the sorted bounds.
+    """Range routing over the sorted bounds: a balanced tree of ``keys < point`` tests, or for
+    many bounds a bisection of their array.
 
     The boundary points cut the key domain into intervals; each interval belongs to at
     most one partition (ranges do not overlap) or to the fallback.  Composite keys compare
-    lexicographically at every node.
+    lexicographically.
     """
     at = _range_bounds(level, types, spark)
     parts = sorted((p for p in level.partitions if not p.is_default), key=lambda p: at[p.values[0]])
@@ -201,59 +241,115 @@ def _range_tree(level: PartitionLevel, keys: list[Column], types: Sequence[T.Dat
     spelled = {at[text]: text for p in parts for text in p.values}       # one text per point
     points = sorted(spelled)
     rank = {point: i + 1 for i, point in enumerate(points)}              # interval i starts at point i-1
-    owner: list[Column] = [fallback] * (len(points) + 1)
+    owner: list[str | None] = [None] * (len(points) + 1)
     for p in parts:
         for i in range(rank[at[p.values[0]]], rank[at[p.values[1]]]):
-            owner[i] = F.lit(p.name)
+            owner[i] = p.name
+    any_null = keys[0].isNull()
+    for k in keys[1:]:
+        any_null = any_null | k.isNull()
+    if len(points) > TREE_POINTS and all(_searchable(t) for t in types):
+        name = F.get(_array(owner, T.StringType()), _bisect(keys, points, types))
+        return F.when(any_null, fallback).otherwise(F.coalesce(name, fallback))
 
     def tree(lo: int, hi: int) -> Column:                 # intervals lo .. hi-1
         if hi - lo == 1:
-            return owner[lo]
+            return fallback if owner[lo] is None else F.lit(owner[lo])
         mid = (lo + hi) // 2
         bound = _bound_items(spelled[points[mid - 1]])
         return F.when(_lt(keys, bound, types), tree(lo, mid)).otherwise(tree(mid, hi))
 
-    any_null = keys[0].isNull()
-    for k in keys[1:]:
-        any_null = any_null | k.isNull()
     return F.when(any_null, fallback).otherwise(tree(0, len(points) + 1))
 
 
+def _searchable(key_type: T.DataType) -> bool:
+    """Types whose values survive the text of an array literal unchanged."""
+    return isinstance(key_type, (T.IntegralType, T.DecimalType, T.StringType, T.DateType, T.TimestampNTZType,
+                                 T.FloatType, T.DoubleType))
+
+
+def _text(value) -> str | None:
+    return None if value is None else repr(value) if isinstance(value, float) else str(value)
+
+
+def _array(values: Sequence[str | None], element: T.DataType) -> Column:
+    """An array literal of any length as one expression (folded to a constant by the optimizer)."""
+    return F.from_json(F.lit(json.dumps(values)), "array<string>").cast(T.ArrayType(element))
+
+
+def _bisect(keys: list[Column], points: Sequence[tuple], types: Sequence[T.DataType]) -> Column:
+    """How many of the sorted points are at most the key, found by halving steps.
+
+    Several keys compare item by item; an open item is told from a value by its side."""
+    if len(keys) == 1 and all(p[0].at[0] == 0 for p in points[1:-1]):
+        low = 1 if points[0][0].at[0] < 0 else 0                # MINVALUE is at most every key
+        high = len(points) - (1 if points[-1][0].at[0] > 0 else 0)
+        table, key = _array([_text(p[0].at[1]) for p in points[low:high]], types[0]), keys[0]
+    else:
+        low, high = 0, len(points)
+        entries, key = [], F.struct(*[c.alias(n) for i, k in enumerate(keys)
+                                      for n, c in ((f"s{i}", F.lit(0)), (f"v{i}", k))])
+        for p in points:                                        # beyond an open item nothing matters
+            items = [p[i].at if i < len(p) else (0,) for i in range(len(types))]
+            entries.append({n: v for i, x in enumerate(items)
+                            for n, v in ((f"s{i}", x[0]), (f"v{i}", _text(x[1]) if len(x) > 1 else None))})
+        raw = ", ".join(f"s{i}: int, v{i}: string" for i in range(len(types)))
+        fields = ", ".join(f"s{i}: int, v{i}: {t.simpleString()}" for i, t in enumerate(types))
+        table = F.from_json(F.lit(json.dumps(entries)), f"array<struct<{raw}>>").cast(f"array<struct<{fields}>>")
+    n = high - low
+    steps = F.array(*[F.lit(1 << b) for b in range(max(n, 1).bit_length() - 1, -1, -1)])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= n) & (F.get(table, at + step - 1) <= key), at + step).otherwise(at))
+    return found + low
+
+
+def _list_lookup(level: PartitionLevel, key: Column, key_type: T.DataType, fallback: Column, spark: SparkSession) -> Column:
+    """List routing by the listed values in the key's own type."""
+    texts = [(v, p.name) for p in level.partitions if not p.is_default for v in p.values or () if not _is_null_literal(v)]
+    found = _literal_values([(v, key_type) for v, _ in texts], spark)
+    owner: dict[object, str] = {}
+    for v, name in texts:
+        value = found[v, key_type.simpleString()]
+        if value is None:
+            raise ValueError(f"value {v} of partition {name} is no value of the key's type")
+        if value in owner:
+            raise ValueError(f"value {v} is listed in {owner[value]} and {name}")
+        owner[value] = name
+    null_part = next((F.lit(p.name) for p in level.partitions for v in p.values or ()
+                      if not p.is_default and _is_null_literal(v)), fallback)
+    out = F.when(key.isNull(), null_part)
+    if len(owner) > TREE_POINTS and _searchable(key_type):
+        values = sorted(owner)
+        at = _bisect([key], [(_Edge(0, v),) for v in values], [key_type]) - 1
+        hit = F.get(_array([_text(v) for v in values], key_type), at) == key
+        return out.when(hit, F.get(_array([owner[v] for v in values], T.StringType()), at)).otherwise(fallback)
+    spelled = {found[v, key_type.simpleString()]: v for v, _ in texts}
+    for p in level.partitions:
+        own = [F.expr(_typed(spelled[v], key_type)) for v, name in owner.items() if name == p.name]
+        if own:
+            out = out.when(key.isin(*own), F.lit(p.name))
+    return out.otherwise(fallback)
+
+
 def level_expr(level: PartitionLevel, df: DataFrame, hash_fn: HashFn = xxhash_keys) -> Column:
     """Partition name of each row of ``df`` for one level (NULL when nothing fits)."""
     validate_level(level)
     keys = key_columns(level.key)
     default = next((p.name for p in level.partitions if p.is_default), None)
     fallback = F.lit(default) if default is not None else F.lit(None).cast("string")
-    if level.method == "RANGE":
-        types = [f.dataType for f in df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).schema.fields]
-        return _range_tree(level, keys, types, fallback, df.sparkSession)
-    expr = None
-
-    def add(cond: Column, name: str):
-        nonlocal expr
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-
-    if level.method == "LIST":
-        (k,) = keys
-        for p in level.partitions:
-            if p.is_default or not p.values:
-                continue
-            lits = [F.expr(v) for v in p.values if not _is_null_literal(v)]
-            cond = k.isin(*lits) if lits else F.lit(False)
-            if any(_is_null_literal(v) for v in p.values):
-                cond = cond | k.isNull()
-            add(cond, p.name)
-    else:
+    if level.method == "HASH":
         # one lookup: the partition names indexed by remainder (NULL where none is declared)
         n = len(level.partitions)
         by_remainder: list[str | None] = [None] * n
         for p in level.partitions:
             if p.values:
                 by_remainder[int(p.values[0])] = p.name
-        names = F.array(*[F.lit(x).cast("string") for x in by_remainder])
-        return F.try_element_at(names, hash_fn(keys, n).cast("int") + F.lit(1))
-    return fallback if expr is None else expr.otherwise(fallback)
+        return F.get(_array(by_remainder, T.StringType()), hash_fn(keys, n).cast("int"))
+    types = [f.dataType for f in df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).schema.fields]
+    if level.method == "RANGE":
+        return _range_tree(level, keys, types, fallback, df.sparkSession)
+    (k,) = keys
+    return _list_lookup(level, k, types[0], fallback, df.sparkSession)
 
 
 def route(df: DataFrame, scheme: PartitionScheme | PartitionLevel, part: str = "part",

@@ -196,3 +196,37 @@ def q_assign_sequence_desc(spark, d):
     seq = SequenceSpec("desc", increment_by=-3, last_value=-1, min_value=-1000, max_value=-1, cyclical=True)
     return sequences.assign_sequence(table(spark, d, "orders").select("o_orderkey", "o_orderdate"),
                                      [("o_orderdate", True), "o_orderkey"], seq).select("o_orderkey", "id")
+
+
+# --- specs of many thousand partitions: one array literal each, whatever their number
+
+_MANY = 10_000
+
+
+@query("route_range_large", f"""
+SELECT o_orderkey, CASE WHEN o_orderkey < {13 * _MANY} THEN 'p' || (o_orderkey // 13) ELSE 'rest' END AS part
+FROM orders""")
+def q_route_range_large(spark, d):
+    level = PartitionLevel("RANGE", "o_orderkey", tuple(
+        Partition(f"p{i}", (str(13 * i), f"'{13 * i + 13}'")) for i in range(_MANY)) + (Partition("rest", None, True),))
+    return routing.route(table(spark, d, "orders").select("o_orderkey"), level)
+
+
+@query("route_list_large", f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 AND o_orderkey < {7 * _MANY} THEN 'l' || ((o_orderkey // 7) % 50)
+                        ELSE 'other' END AS part
+FROM orders""")
+def q_route_list_large(spark, d):
+    level = PartitionLevel("LIST", "o_orderkey", tuple(
+        Partition(f"l{i}", tuple(str(7 * v) if v % 2 else f"'{7 * v}'" for v in range(i, _MANY, 50))) for i in range(50))
+        + (Partition("other", None, True),))
+    return routing.route(table(spark, d, "orders").select("o_orderkey"), level)
+
+
+@query("route_list_typed", """
+SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 'first' WHEN 2 THEN 'first' WHEN 3 THEN 'third' ELSE 'rest' END AS part
+FROM lineitem""")
+def q_route_list_typed(spark, d):
+    level = PartitionLevel("LIST", "l_linenumber", (Partition("first", ("1", "'2'")), Partition("third", ("3.0",)),
+                                                    Partition("rest", None, True)))
+    return routing.route(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), level)

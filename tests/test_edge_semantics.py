@@ -170,3 +170,58 @@ def test_one_shot_run_of_two_schemas_with_one_table_name(spark, tmp_path, with_d
     assert failures == 0 and log.count() == 0 and report.count() == 0
     assert spark.table("v").columns == ["shown"] and spark.table("w").columns == ["k"]
     assert (rows(spark.table("v")), rows(spark.table("w"))) == (([(1,)], [(2,)]) if with_data else ([], []))
+
+
+# --------------------------------------------------------------------------- list values and large specs
+
+def test_list_values_are_compared_in_the_keys_type(spark):
+    numbers = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    with pytest.raises(ValueError, match="listed in a and b"):
+        routing.route(numbers, PartitionLevel("LIST", "k", (Partition("a", ("1",)), Partition("b", ("'1'",)))))
+    with pytest.raises(ValueError, match="no value"):
+        routing.route(numbers, PartitionLevel("LIST", "k", (Partition("a", ("'abc'",)),)))
+    with pytest.raises(ValueError, match="NULL"):
+        routing.route(numbers, PartitionLevel("LIST", "k", (Partition("a", ("NULL",)), Partition("b", ("null",)))))
+    texts = spark.createDataFrame([("1",), ("abc",), ("it's",), ("a,b",), (None,)], "k string")
+    level = PartitionLevel("LIST", "k", (Partition("one", ("1",)), Partition("quote", ("'it\\'s'", "'a,b'")),
+                                         Partition("none", ("NULL",))))
+    assert dict(rows(routing.route(texts, level))) == {"1": "one", "abc": None, "it's": "quote", "a,b": "quote", None: "none"}
+
+
+@pytest.mark.parametrize("kind, spell", [
+    ("int", str), ("bigint", lambda i: f"'{i}'"), ("decimal(12,2)", lambda i: f"{i}.50"), ("double", lambda i: f"{i}.25"),
+    ("string", lambda i: f"'{i:03d}'"), ("date", lambda i: f"'2020-01-01'::date + {i}"),
+    ("timestamp_ntz", lambda i: f"TIMESTAMP_NTZ'2020-01-01 00:00:{i % 60:02d}' + INTERVAL {i} DAYS")])
+def test_array_search_and_comparisons_route_alike(spark, monkeypatch, kind, spell):
+    base = {"string": "lpad(cast(id as string), 3, '0')", "date": "date_add(DATE'2020-01-01', cast(id as int))",
+            "timestamp_ntz": "TIMESTAMP_NTZ'2020-01-01 00:00:00' + make_dt_interval(cast(id as int), 0, 0, id % 60)"}
+    df = spark.range(0, 200).selectExpr(f"CASE WHEN id % 50 = 7 THEN NULL ELSE CAST({base.get(kind, 'id')} AS {kind}) END AS k", "id")
+    level = PartitionLevel("RANGE", "k", (Partition("low", ("MINVALUE", spell(10))),) + tuple(
+        Partition(f"r{i}", (spell(i), spell(i + 5))) for i in range(20, 120, 10)) + (Partition("high", (spell(150), "MAXVALUE")),))
+    listed = PartitionLevel("LIST", "k", tuple(Partition(f"v{i}", (spell(i), spell(i + 1))) for i in range(0, 60, 4))
+                            + (Partition("none", ("NULL",)), Partition("rest", None, True)))
+    for spec in (level, listed):
+        by_tests = rows(routing.route(df, spec), "id", "part")
+        monkeypatch.setattr(routing, "TREE_POINTS", 1)
+        assert rows(routing.route(df, spec), "id", "part") == by_tests
+        monkeypatch.undo()
+        assert len({p for _, p in by_tests}) > 5 or kind in ("double", "decimal(12,2)")
+
+
+def test_composite_array_search_routes_like_comparisons(spark, monkeypatch):
+    df = spark.range(0, 400).selectExpr("CASE WHEN id = 3 THEN NULL ELSE CAST(id DIV 20 AS int) END AS a",
+                                        "concat('x', lpad(cast(id % 20 as string), 2, '0')) AS b", "id")
+    level = PartitionLevel("RANGE", "a, b", (Partition("start", ("(MINVALUE, MINVALUE)", "(0, 'x05')")),) + tuple(
+        Partition(f"p{i}", (f"({i}, 'x05')", f"({i + 1}, 'x02')")) for i in range(0, 15)) + (
+        Partition("end", ("(17, MINVALUE)", "(MAXVALUE, 'x00')")), Partition("rest", None, True)))
+    by_tests = rows(routing.route(df, level), "id", "part")
+    monkeypatch.setattr(routing, "TREE_POINTS", 1)
+    assert rows(routing.route(df, level), "id", "part") == by_tests and len({p for _, p in by_tests}) == 18
+
+
+def test_plan_of_a_large_spec_has_constant_size(spark):
+    def size(n):
+        level = PartitionLevel("RANGE", "id", tuple(Partition(f"p{i}", (str(i), str(i + 1))) for i in range(n)))
+        plan = routing.route(spark.range(10), level)._jdf.queryExecution().optimizedPlan()
+        return plan.expressions().mkString().count("when") + plan.expressions().mkString().count("CASE")
+    assert size(100) == size(5000)
