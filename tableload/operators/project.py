@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,18 +67,33 @@ def strict_cast(c: Column, type_name: str, label: str | None = None, source: T.D
     """Cast that fails the job on a value that does not convert (NULL stays NULL).
 
     The check is explicit, so it holds whether or not the session runs in ANSI mode; a
-    ``varchar(n)``/``char(n)`` target also fails on values longer than ``n``.  Fractions round
-    for an integer type when the ``source`` type is known to be a number's.
+    ``varchar(n)``/``char(n)`` target also fails on values longer than ``n``, unless all that is
+    too much are spaces, which are cut.  Fractions round for an integer type when the
+    ``source`` type is known to be a number's.
     """
-    t = spark_type(type_name)
-    converted = _rounded(c, source, t).try_cast(t)
-    what = label or type_name
-    bad = c.isNotNull() & converted.isNull()
+    return F.when(does_not_fit(c, source, type_name), F.raise_error(
+        F.concat(F.lit(f"invalid input for type {label or type_name}: "), c.cast("string")))) \
+        .otherwise(converted_column(c, source, type_name))
+
+
+def converted_column(c: Column, source: T.DataType | None, type_name: str) -> Column:
+    """``c`` in the declared type, NULL where it does not convert; excess trailing spaces of a
+    ``varchar(n)``/``char(n)`` are cut."""
+    t, n = spark_type(type_name), max_length(type_name)
+    if n is None:
+        return _rounded(c, source, t).try_cast(t)
+    text = c.cast("string")
+    return F.when(F.length(text) > n, F.substring(text, 1, n)).otherwise(text)
+
+
+def does_not_fit(c: Column, source: T.DataType | None, type_name: str) -> Column:
+    """TRUE for a value that the declared type cannot hold (never for NULL)."""
     n = max_length(type_name)
-    if n is not None:
-        bad = bad | (F.length(c.cast("string")) > n)
-    return F.when(bad, F.raise_error(F.concat(F.lit(f"invalid input for type {what}: "), c.cast("string")))) \
-        .otherwise(converted)
+    if n is None:
+        return c.isNotNull() & converted_column(c, source, type_name).isNull()
+    text = c.cast("string")
+    # the text after the limit holds something else than spaces
+    return F.coalesce((F.length(text) > n) & (F.length(F.rtrim(text)) > n), F.lit(False))
 
 
 _INTEGRAL_RANK = {"tinyint": 1, "smallint": 2, "int": 3, "bigint": 4}
@@ -126,6 +142,17 @@ def project_mapped(df: DataFrame, columns: list[ColumnSpec], truncate: bool = Tr
                        for c, n in zip(cols, names)])
 
 
+def cast_problems(df: DataFrame, columns: Sequence[tuple[str, str]]) -> Column:
+    """Array of (error_column, error_value, error_type) of the values that do not fit the
+    declared types of ``columns`` (name, type); empty for a good row."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    found = F.array(*[
+        F.when(does_not_fit(_q(c), types[c], t), F.struct(
+            F.lit(c).alias("error_column"), _q(c).cast("string").alias("error_value"), F.lit(t).alias("error_type")))
+        for c, t in columns])
+    return F.filter(found, lambda x: x.isNotNull())
+
+
 def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str = "fail"):
     """Convert string (or any) columns to declared types.
 
@@ -136,9 +163,8 @@ def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
     every value converted, cast to the declared types.  ``rejected`` holds one row per
     bad cell: the row's raw columns plus ``error_column``, ``error_value``, ``error_type``.
     A NULL input is never an error.  Columns not listed pass through unchanged.
-    ``good`` and ``rejected`` are two plans over the same input; when both are written,
-    checkpoint the input first (or accept a second scan) -- the rejected side is usually
-    tiny, so its write mostly re-reads and filters.
+    ``good`` and ``rejected`` are two plans over the same input; to load both in one pass use
+    ``plans.incremental.load_checked``.
     """
     listed = dict(columns)
     if on_error not in ("fail", "quarantine"):
@@ -148,25 +174,9 @@ def cast_checked(df: DataFrame, columns: list[tuple[str, str]], on_error: str =
         return df.select(*[(checked_column(_q(c), types[c], listed[c]) if c in listed else _q(c)).alias(c)
                            for c in df.columns])
 
-    def convert(c: str) -> Column:
-        t = spark_type(listed[c])
-        return _rounded(_q(c), types[c], t).try_cast(t)
-
-    def bad(c: str) -> Column:
-        n = max_length(listed[c])
-        cond = _q(c).isNotNull() & convert(c).isNull() if n is None \
-            else _q(c).isNotNull() & (F.length(_q(c).cast("string")) > n)
-        return cond
-
-    problems = F.array(*[
-        F.when(bad(c), F.struct(F.lit(c).alias("error_column"), _q(c).cast("string").alias("error_value"),
-                                F.lit(t).alias("error_type")))
-        for c, t in columns
-    ])
-    problems = F.filter(problems, lambda x: x.isNotNull())
-    flagged = df.withColumn("_problems", problems)
+    flagged = df.withColumn("_problems", cast_problems(df, columns))
     good = flagged.filter(F.size("_problems") == 0).select(*[
-        (convert(c) if c in listed else _q(c)).alias(c) for c in df.columns])
+        (converted_column(_q(c), types[c], listed[c]) if c in listed else _q(c)).alias(c) for c in df.columns])
     rejected = (flagged.filter(F.size("_problems") > 0)
                 .select(*[_q(c) for c in df.columns], F.explode("_problems").alias("_p"))
                 .select(*[_q(c) for c in df.columns], "_p.error_column", "_p.error_value", "_p.error_type"))

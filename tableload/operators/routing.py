@@ -126,9 +126,13 @@ def validate_level(level: PartitionLevel) -> None:
         if len(set(rems)) != len(rems) or any(not 0 <= r < n for r in rems):
             raise ValueError(f"hash remainders {rems} do not fit modulus {n}")
     elif level.method == "LIST":
-        nulls = [p.name for p in level.partitions for v in p.values or () if _is_null_literal(v)]
-        if len(nulls) > 1:
-            raise ValueError(f"value NULL is listed in {nulls[0]} and {nulls[1]}")
+        seen: dict[str, str] = {}                       # other spellings need the key's type
+        for p in level.partitions:
+            for v in p.values or ():
+                same = "NULL" if _is_null_literal(v) else v.strip()
+                if same in seen:
+                    raise ValueError(f"value {same} is listed in {seen[same]} and {p.name}")
+                seen[same] = p.name
     else:
         for p in level.partitions:
             if not p.is_default and (not p.values or len(p.values) != 2):

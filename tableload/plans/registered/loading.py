@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ...functions.scalars import at_least, clamp_to_bigint
 from ...operators import project, routing
 from ...session import scratch_path
 from ...sources import scan_declared, scan_delimited, to_text_lines
+from ...sources.delimited import encode_text_field
 from ...specs import ColumnSpec, Partition, PartitionLevel, PartitionScheme
 from .. import materialize as mat
-from ..runlog import failure_tally
+from ..incremental import load_checked, load_delimited, upsert_partitioned
+from ..runlog import Step, failure_tally, run_logged
 from .base import as_text, query, table
 
 
@@ -60,6 +63,36 @@ def q_scan_delimited(spark, d):
     return scan_delimited(spark, path, DOC_COLUMNS)
 
 
+def _text_with_breaks(spark, d) -> str:
+    """The documents in the text format, line breaks of a text written as backslash and line break."""
+    whole = F.array_join(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), encode_text_field), "\\\n")
+    docs = table(spark, d, "documents")
+    path = scratch_path(spark, "copylines")
+    docs.select(F.concat_ws("\t", F.col("doc_id").cast("string"), whole, encode_text_field(F.expr("nullif(lang, 'en')")),
+                            encode_text_field(F.col("source")), F.col("n_chars").cast("string"))).write.text(path)
+    return path
+
+
+@query("scan_delimited_lines", """
+SELECT doc_id, text, nullif(lang, 'en') AS lang, source, n_chars FROM documents""")
+def q_scan_delimited_lines(spark, d):
+    return scan_delimited(spark, _text_with_breaks(spark, d), DOC_COLUMNS)
+
+
+@query("load_delimited", """
+SELECT 'good' AS outcome, doc_id, length(text) AS n, CAST(NULL AS VARCHAR) AS error FROM documents WHERE length(text) <= 2000
+UNION ALL
+SELECT 'rejected', doc_id, length(text), 'text: varchar(2000)' FROM documents WHERE length(text) > 2000""")
+def q_load_delimited(spark, d):
+    columns = [ColumnSpec(c.name, "varchar(2000)" if c.name == "text" else c.type_name, c.position) for c in DOC_COLUMNS]
+    done = load_delimited(spark, _text_with_breaks(spark, d), columns, scratch_path(spark, "s2good"), scratch_path(spark, "s2bad"))
+    good = done.good.select(F.lit("good").alias("outcome"), "doc_id", F.length("text").cast("bigint").alias("n"),
+                            F.lit(None).cast("string").alias("error"))
+    return good.unionByName(done.rejected.select(
+        F.lit("rejected").alias("outcome"), F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.length("text").cast("bigint").alias("n"), F.concat_ws(": ", "error_column", "error_type").alias("error")))
+
+
 # =========================================================================== materialization
 
 @query("materialize_table", "SELECT * FROM supplier")
@@ -98,6 +131,85 @@ def q_materialize_partitioned(spark, d):
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
+@query("materialize_partitioned_rows", """
+SELECT o_orderkey, o_custkey, o_totalprice,
+       CASE WHEN o_totalprice < 50000 THEN 'low' WHEN o_totalprice < 150000 THEN 'mid' ELSE 'high' END AS part,
+       CASE WHEN o_totalprice < 50000 THEN 'low_' || CAST(o_orderkey % 3 AS VARCHAR)
+            WHEN o_totalprice < 150000 THEN CASE o_orderstatus WHEN 'F' THEN 'mid_f' WHEN 'O' THEN 'mid_o'
+                                                               ELSE 'mid_rest' END END AS subpart
+FROM orders""")
+def q_materialize_partitioned_rows(spark, d):
+    path = mat.materialize_partitioned(table(spark, d, "orders"), ORDERS_SCHEME, scratch_path(spark, "s4rows"),
+                                       hash_fn=routing.identity_hash)
+    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice", "part", "subpart")
+
+
+BY_KEY = PartitionLevel("RANGE", "o_orderkey", tuple(
+    Partition(f"k{i:02d}", (str(i * 10000), str(i * 10000 + 10000))) for i in range(100)) + (Partition("k_rest", None, True),))
+
+
+def _orders_part(spark, d):
+    path = mat.materialize_partitioned(table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"),
+                                       BY_KEY, scratch_path(spark, "orders-by-key"))
+    # changed prices of two key ranges, and keys that the table does not have yet
+    some = table(spark, d, "orders").filter("o_orderkey < 700 AND o_orderkey % 5 = 0")
+    return path, some.select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice")).unionByName(
+        some.select((F.col("o_orderkey") + 2000000).alias("o_orderkey"), "o_totalprice"))
+
+
+_PART_OF_KEY = """CASE WHEN o_orderkey < 1000000 THEN 'k' || lpad(CAST(o_orderkey // 10000 AS VARCHAR), 2, '0') ELSE 'k_rest' END AS part"""
+
+
+@query("upsert_partitions_update", f"""
+SELECT o_orderkey, CASE WHEN o_orderkey < 700 AND o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       o_orderstatus, {_PART_OF_KEY} FROM orders
+UNION ALL
+SELECT o_orderkey + 2000000, o_totalprice, 'N', 'k_rest' FROM orders WHERE o_orderkey < 700 AND o_orderkey % 5 = 0""")
+def q_upsert_partitions_update(spark, d):
+    path, source = _orders_part(spark, d)
+    upsert_partitioned(spark, path, source, ["o_orderkey"], BY_KEY, ["o_totalprice"], {"o_orderstatus": "'N'"})
+    return spark.read.parquet(path)
+
+
+@query("upsert_partitions_ignore", f"""
+SELECT o_orderkey, o_totalprice, o_orderstatus, {_PART_OF_KEY} FROM orders
+UNION ALL
+SELECT o_orderkey + 2000000, o_totalprice, 'N', 'k_rest' FROM orders WHERE o_orderkey < 700 AND o_orderkey % 5 = 0""")
+def q_upsert_partitions_ignore(spark, d):
+    path, source = _orders_part(spark, d)
+    upsert_partitioned(spark, path, source, ["o_orderkey"], BY_KEY, None, {"o_orderstatus": "'N'"})
+    return spark.read.parquet(path)
+
+
+@query("run_log", """
+SELECT CAST(row_number() OVER (ORDER BY r_regionkey) AS INTEGER) AS place, 'check balances' AS operation,
+       'sales' AS schema_name, r_name AS object_name, 'customers of region ' || r_regionkey AS failed_sql,
+       r_name || ': ' || n || ' customers below zero' AS error, true AS timed, CAST(1 AS BIGINT) AS runs
+FROM (SELECT r_regionkey, r_name, count(*) FILTER (WHERE c_acctbal < 0) AS n, count(*) AS all_of_it
+      FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey
+      GROUP BY r_regionkey, r_name)
+WHERE 11 * n > all_of_it""")
+def q_run_log(spark, d):
+    # the steps whose region has more than one customer in eleven below zero fail
+    nations, customers = table(spark, d, "nation"), table(spark, d, "customer")
+
+    def step(r):
+        def run():
+            rows = nations.filter(F.col("n_regionkey") == r["r_regionkey"]).join(customers, F.col("c_nationkey") == F.col("n_nationkey"))
+            seen = rows.agg(F.count_if(F.col("c_acctbal") < 0).alias("n"), F.count(F.lit(1)).alias("m"))
+            text = F.concat(F.lit(r["r_name"] + ": "), F.col("n").cast("string"), F.lit(" customers below zero"))
+            return seen.select(F.when(11 * F.col("n") > F.col("m"), F.raise_error(text)).otherwise(F.lit("fine"))).first()
+        return Step("check balances", r["r_name"], run, "sales", f"customers of region {r['r_regionkey']}")
+
+    regions = table(spark, d, "region").orderBy("r_regionkey").collect()
+    _, log = run_logged(spark, [step(r) for r in regions])
+    order = Window.orderBy("ordinal")                                # the log: one row per failed step
+    runs = log.select("run_id").distinct().agg(F.count(F.lit(1)).alias("runs"))
+    return log.select(F.row_number().over(order).alias("place"), "operation", "schema_name", "object_name", "failed_sql",
+                      F.regexp_extract("error_message", r"[A-Z][A-Z ]+: \d+ customers below zero", 0).alias("error"),
+                      F.col("log_time").isNotNull().alias("timed")).join(F.broadcast(runs), F.lit(True))
+
+
 BAD_PART_COLUMNS = [ColumnSpec("p_partkey", "bigint", 1), ColumnSpec("p_brand", "int", 2)]
 
 
@@ -170,6 +282,34 @@ def _part_text(spark, d):
 PART_CASTS = [("size_txt", "int"), ("brand_no", "integer"), ("name", "varchar(10)")]
 
 
+@query("cast_fail_mode", """
+SELECT p_partkey, p_brand AS brand, CAST(p_size AS INTEGER) AS size, CAST(round(p_retailprice, 1) AS DOUBLE) AS price FROM part""")
+def q_cast_fail_mode(spark, d):
+    # spaces beyond the declared length are cut, anything else there would fail the job
+    raw = table(spark, d, "part").select(
+        "p_partkey", F.rpad(F.concat("p_brand", F.lit(" ")), 30, " ").alias("brand"),
+        F.col("p_size").cast("string").alias("size"), F.round("p_retailprice", 1).cast("string").alias("price"))
+    longest = raw.agg(F.max(F.length(F.rtrim("brand")))).first()[0] or 1
+    done = project.cast_checked(raw, [("brand", f"varchar({longest})"), ("size", "integer"), ("price", "double precision")])
+    return done.withColumn("brand", F.rtrim("brand"))
+
+
+@query("load_checked", f"""
+WITH p AS ({_PART_TEXT}),
+good AS (SELECT p_partkey, TRY_CAST(size_txt AS INTEGER) AS size FROM p
+         WHERE TRY_CAST(size_txt AS INTEGER) IS NOT NULL AND TRY_CAST(brand_no AS INTEGER) IS NOT NULL AND length(name) <= 10)
+SELECT p_partkey, CASE WHEN size < 20 THEN 'small' ELSE 'large' END AS part, CAST(NULL AS VARCHAR) AS error_column FROM good WHERE size >= 5
+UNION ALL SELECT p_partkey, NULL, '<partition>' FROM good WHERE size < 5
+UNION ALL SELECT p_partkey, NULL, 'size_txt' FROM p WHERE TRY_CAST(size_txt AS INTEGER) IS NULL
+UNION ALL SELECT p_partkey, NULL, 'brand_no' FROM p WHERE TRY_CAST(brand_no AS INTEGER) IS NULL
+UNION ALL SELECT p_partkey, NULL, 'name' FROM p WHERE length(name) > 10""")
+def q_load_checked(spark, d):
+    sizes = PartitionLevel("RANGE", "size_txt", (Partition("small", ("5", "20")), Partition("large", ("20", "MAXVALUE"))))
+    done = load_checked(_part_text(spark, d), PART_CASTS, scratch_path(spark, "good"), scratch_path(spark, "bad"), sizes)
+    return done.good.select("p_partkey", "part", F.lit(None).cast("string").alias("error_column")).unionByName(
+        done.rejected.select("p_partkey", F.lit(None).cast("string").alias("part"), "error_column"))
+
+
 @query("cast_quarantine", f"""
 WITH p AS ({_PART_TEXT})
 SELECT p_partkey, 'size_txt' AS error_column, size_txt AS error_value, 'int' AS error_type

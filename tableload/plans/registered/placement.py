@@ -230,3 +230,14 @@ def q_route_list_typed(spark, d):
     level = PartitionLevel("LIST", "l_linenumber", (Partition("first", ("1", "'2'")), Partition("third", ("3.0",)),
                                                     Partition("rest", None, True)))
     return routing.route(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), level)
+
+
+@query("route_hash_default", """
+SELECT l_orderkey, CAST(count(*) AS BIGINT) AS rows, CAST(1 AS BIGINT) AS buckets, true AS declared
+FROM lineitem GROUP BY l_orderkey""")
+def q_route_hash_default(spark, d):
+    # the default hash places keys its own way: every key in one bucket, and none lost
+    level = PartitionLevel("HASH", "l_orderkey", tuple(Partition(f"h_{i}", (str(i),)) for i in range(16)))
+    return routing.route(table(spark, d, "lineitem"), level).groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("part").alias("buckets"),
+        F.every(F.col("part").isin(level.names)).alias("declared"))
