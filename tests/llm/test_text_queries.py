@@ -14,7 +14,7 @@ from ..test_registered import _multiset
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     yield con
     con.close()
@@ -22,8 +22,9 @@ def duck():
 
 def test_all_operators_are_registered():
     names = set(registered.QUERIES) | {"pipeline"}
-    assert names <= set(entry.queries()) and {n.split("_")[0] for n in registered.QUERIES} == {f"op{i}" for i in range(1, 11)}
-    assert set(registered.ORACLES) == {"op4_source_mixing", "op9_onebit_ann", "op10_quality_rules"}
+    assert names <= set(entry.queries()) and {n.split("_")[0] for n in registered.QUERIES} == {f"op{i}" for i in range(1, 14)}
+    assert set(registered.ORACLES) == {"op4_source_mixing", "op9_onebit_ann", "op10_quality_rules", "op11_hard_negatives",
+                                       "op12_winnowing", "op13_filter_audit"}
 
 
 @pytest.mark.parametrize("name", sorted(registered.ORACLES))
