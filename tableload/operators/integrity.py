@@ -10,6 +10,7 @@ one shuffled row per task, not a third of the table in one task.
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -191,16 +192,20 @@ def apply_delete_rule(child: DataFrame, child_cols: Sequence[str], deleted: Data
 
 @dataclass
 class TableRules:
-    """The constraints declared for one loaded table."""
+    """The constraints declared for one table; ``df`` may be a function that returns it, for a
+    table that is not loaded yet."""
 
     name: str
-    df: DataFrame
+    df: DataFrame | Callable[[], DataFrame]
     not_null: tuple[str, ...] = ()
     keys: tuple[KeySpec, ...] = ()
     foreign_keys: tuple[ForeignKeySpec, ...] = ()
     checks: tuple[CheckSpec, ...] = ()
     parents: dict[str, DataFrame] = field(default_factory=dict)
 
+    def frame(self) -> DataFrame:
+        return self.df if isinstance(self.df, DataFrame) else self.df()
+
 
 REPORT_SCHEMA = ("table_name string, constraint_name string, constraint_type string, timing string, "
                  "violations bigint, error string")
@@ -210,60 +215,105 @@ def _timing(deferrable: bool, deferred: bool) -> str:
     return "deferred" if deferrable and deferred else "immediate"
 
 
-def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: str = "all",
-                      parallelism: int = 1) -> DataFrame:
-    """Run many constraints; one report row each.
+@dataclass(frozen=True)
+class ConstraintJob:
+    """Rules checked by one Spark job: ``rules`` are (name, type, timing), ``run`` returns one
+    count (or exception) each.  It can run once the tables it ``needs`` are loaded."""
 
-    Order: keys, foreign keys, then not-null rules and checks.  A check whose condition
-    only says ``x IS NOT NULL`` is treated as a not-null rule on ``x``.  Not-null rules
-    and checks of one table are evaluated together in one scan.  ``mode`` selects
-    ``"immediate"`` or ``"deferred"`` constraints (checks and not-null rules are always
-    immediate; deferrable-but-not-deferred keys are immediate) or ``"all"``.  A failing
-    constraint (bad expression, missing parent, runtime error) becomes a row with its
-    ``error`` and does not stop the others.  Each constraint's result is one small row.
-    A foreign key whose parent table is part of the report must reference columns that
-    carry a declared primary key or (non-partial) unique key there, else it is an error
-    -- a metadata check, no data is read for it.
-    ``parallelism > 1`` submits the independent jobs from driver threads so that Spark
-    runs them side by side.
-    """
-    if mode not in ("all", "immediate", "deferred"):
-        raise ValueError("mode must be all, immediate or deferred")
-    want = (lambda t: True) if mode == "all" else (lambda t: t == mode)
+    table: str
+    needs: frozenset[str]
+    rules: tuple[tuple[str, str, str], ...]
+    run: Callable[[], list]
+
+    def rows(self) -> list[tuple]:
+        """The report rows of the job; a failure becomes the error of its rules."""
+        try:
+            values = self.run()
+        except Exception as exc:  # noqa: BLE001 - one failure must not stop the report
+            values = [exc] * len(self.rules)
+        return [(self.table, n, kind, timing, None, str(v).strip() or v.__class__.__name__) if isinstance(v, Exception)
+                else (self.table, n, kind, timing, int(v), None)
+                for (n, kind, timing), v in zip(self.rules, values)]
+
+
+def _one_by_one(together: Callable[[], list], alone: Sequence[Callable[[], object]]) -> list:
+    """The values of one job for all rules, or if it fails of one job each, so that only the
+    rules at fault fail."""
+    try:
+        return together()
+    except Exception:  # noqa: BLE001
+        out = []
+        for fn in alone:
+            try:
+                out.append(fn())
+            except Exception as exc:  # noqa: BLE001
+                out.append(exc)
+        return out
+
+
+def _key_counts(df: DataFrame, keys: Sequence[KeySpec]) -> list:
+    """Violating rows of several key rules on the same columns: the rows are grouped once."""
+    names = [f"_k{i}" for i in range(len(keys[0].columns))]
+    if all(k.primary for k in keys):
+        columns = [_q(c) for c in keys[0].columns]
+    else:
+        columns = _key_columns(keys[0].columns, df.columns)
+    covered = [F.lit(True) if k.where is None or not k.where.strip() else F.coalesce(F.expr(k.where), F.lit(False)) for k in keys]
+    rows = df.select(*[c.alias(n) for c, n in zip(columns, names)], *[c.alias(f"_w{i}") for i, c in enumerate(covered)])
+    groups = rows.groupBy(*names).agg(*[F.count_if(F.col(f"_w{i}")).alias(f"_n{i}") for i in range(len(keys))])
+    nul = _any_null(names)
+    sums = []
+    for i, k in enumerate(keys):
+        bad = nul | (F.col(f"_n{i}") > 1) if k.primary else ~nul & (F.col(f"_n{i}") > 1)
+        sums.append(F.coalesce(F.sum(F.when(bad, F.col(f"_n{i}"))), F.lit(0)).alias(f"v{i}"))
+    return list(groups.agg(*sums).first())
+
+
+def constraint_jobs(tables: Sequence[TableRules], mode: str = "all") -> list[ConstraintJob]:
+    """The jobs that check the rules of ``tables``: one per set of key columns (PRIMARY KEY,
+    UNIQUE and partial rules on it together), one per foreign key, and one per table for
+    its not-null rules and checks.  With ``mode="timed"`` a job holds rules of one timing."""
+    if mode not in ("all", "timed", "immediate", "deferred"):
+        raise ValueError("mode must be all, timed, immediate or deferred")
+    want = (lambda t: t == mode) if mode in ("immediate", "deferred") else (lambda t: True)
     # declared unique column sets per reported table: a foreign key must reference one
     unique_sets = {t.name: {frozenset(k.columns) for k in t.keys if k.migrate and k.where is None}
                    for t in tables}
-    # each job: (table, [(name, kind, timing)], fn returning one count per listed item)
-    jobs: list[tuple[str, list[tuple[str, str, str]], Callable[[], list]]] = []
+    jobs: list[ConstraintJob] = []
+
+    def total(df: DataFrame) -> int:
+        return df.agg(F.sum("rows")).first()[0] or 0
 
-    def total(df: DataFrame) -> Callable[[], list]:
-        return lambda: [df.agg(F.sum("rows")).first()[0] or 0]
+    def key_total(df: DataFrame, k: KeySpec) -> int:
+        return total(primary_key_violations(df, k.columns) if k.primary else unique_violations(df, list(k.columns), k.where))
 
     for t in tables:
+        own = frozenset([t.name])
+        by_columns: dict[tuple, list[KeySpec]] = {}
         for k in t.keys:
             timing = _timing(k.deferrable, k.deferred)
-            if not k.migrate or not want(timing):
-                continue
-            if k.primary:
-                fn = (lambda df=t.df, k=k: total(primary_key_violations(df, k.columns))())
-            else:
-                fn = (lambda df=t.df, k=k: total(unique_violations(df, list(k.columns), k.where))())
-            jobs.append((t.name, [(k.name, "PRIMARY KEY" if k.primary else "UNIQUE", timing)], fn))
+            if k.migrate and want(timing):
+                by_columns.setdefault((k.columns, timing if mode == "timed" else None), []).append(k)
+        for group in by_columns.values():
+            jobs.append(ConstraintJob(
+                t.name, own, tuple((k.name, "PRIMARY KEY" if k.primary else "UNIQUE", _timing(k.deferrable, k.deferred))
+                                   for k in group),
+                lambda t=t, group=group: _one_by_one(
+                    lambda: _key_counts(t.frame(), group), [lambda k=k: key_total(t.frame(), k) for k in group])))
         for fk in t.foreign_keys:
             timing = _timing(fk.deferrable, fk.deferred)
             if not fk.migrate or not want(timing):
                 continue
 
-            def fk_count(df=t.df, parents=t.parents, fk=fk):
+            def fk_count(t=t, fk=fk):
                 if fk.parent in unique_sets and frozenset(fk.parent_columns) not in unique_sets[fk.parent]:
                     raise ValueError(f'there is no unique constraint matching given keys for referenced '
                                      f'table "{fk.parent}"')
-                if fk.parent not in parents:
+                if fk.parent not in t.parents:
                     raise ValueError(f'referenced table "{fk.parent}" was not loaded')
-                parent = parents[fk.parent]
-                return total(foreign_key_violations(df, fk.columns, parent, fk.parent_columns,
-                                                    reduce_parent=fk.reduce_parent))()
-            jobs.append((t.name, [(fk.name, "FOREIGN KEY", timing)], fk_count))
+                return [total(foreign_key_violations(t.frame(), fk.columns, t.parents[fk.parent], fk.parent_columns,
+                                                     reduce_parent=fk.reduce_parent))]
+            jobs.append(ConstraintJob(t.name, own | {fk.parent}, ((fk.name, "FOREIGN KEY", timing),), fk_count))
 
         # not-null rules and checks: one scan for the whole table
         nn = list(t.not_null)
@@ -281,36 +331,88 @@ def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: s
         items = [(f"{c}_not_null", "NOT NULL", c, None) for c in dict.fromkeys(nn)]
         items += [(ck.name, "CHECK", None, ck.condition) for ck in checks]
 
-        def scan(df=t.df, items=items):
-            def count_expr(c, cond):
-                return F.count_if(_q(c).isNull()) if c is not None else F.count_if(~F.expr(cond))
-            try:
-                exprs = [count_expr(c, cond).alias(f"v{i}") for i, (_, _, c, cond) in enumerate(items)]
-                return list(df.agg(*exprs).first())
-            except Exception:  # noqa: BLE001 - isolate the failing item(s) with one scan each
-                out = []
-                for _, _, c, cond in items:
-                    try:
-                        out.append(df.agg(count_expr(c, cond)).first()[0])
-                    except Exception as exc:  # noqa: BLE001
-                        out.append(exc)
-                return out
-        jobs.append((t.name, [(n, kind, "immediate") for n, kind, _, _ in items], scan))
-
-    def run(job) -> list[tuple]:
-        table, meta, fn = job
-        try:
-            values = fn()
-        except Exception as exc:  # noqa: BLE001 - one failure must not stop the report
-            values = [exc] * len(meta)
-        return [(table, n, kind, timing, None, str(v).strip() or v.__class__.__name__) if isinstance(v, Exception)
-                else (table, n, kind, timing, int(v), None)
-                for (n, kind, timing), v in zip(meta, values)]
+        def count_expr(c, cond):
+            return F.count_if(_q(c).isNull()) if c is not None else F.count_if(~F.expr(cond))
 
-    rows = [r for res in _map(run, jobs, parallelism) for r in res]
+        jobs.append(ConstraintJob(
+            t.name, own, tuple((n, kind, "immediate") for n, kind, _, _ in items),
+            lambda t=t, items=items: _one_by_one(
+                lambda: list(t.frame().agg(*[count_expr(c, cond).alias(f"v{i}")
+                                             for i, (_, _, c, cond) in enumerate(items)]).first()),
+                [lambda c=c, cond=cond: t.frame().agg(count_expr(c, cond)).first()[0] for _, _, c, cond in items])))
+    return jobs
+
+
+def constraint_report(spark: SparkSession, tables: Sequence[TableRules], mode: str = "all",
+                      parallelism: int = 1) -> DataFrame:
+    """Run many constraints; one report row each.
+
+    Order: keys, foreign keys, then not-null rules and checks.  A check whose condition
+    only says ``x IS NOT NULL`` is treated as a not-null rule on ``x``.  Not-null rules
+    and checks of one table are evaluated together in one scan, and so are key rules on the
+    same columns.  ``mode`` selects ``"immediate"`` or ``"deferred"`` constraints (checks and
+    not-null rules are always immediate; deferrable-but-not-deferred keys are immediate) or
+    ``"all"``.  A failing
+    constraint (bad expression, missing parent, runtime error) becomes a row with its
+    ``error`` and does not stop the others.  Each constraint's result is one small row.
+    A foreign key whose parent table is part of the report must reference columns that
+    carry a declared primary key or (non-partial) unique key there, else it is an error
+    -- a metadata check, no data is read for it.
+    ``parallelism > 1`` submits the independent jobs from driver threads so that Spark
+    runs them side by side.
+    """
+    jobs = constraint_jobs(tables, mode)
+    rows = [r for res in _map(ConstraintJob.rows, jobs, parallelism) for r in res]
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+def load_order(tables: Sequence[str], foreign_keys: Sequence[tuple[str, str]]) -> list[str]:
+    """Tables with referenced ones (``(table, parent)`` pairs) before those that refer to them,
+    else as given; the tables of a cycle, and what hangs on it, come last."""
+    parents = {t: {p for c, p in foreign_keys if c == t and p != t and p in set(tables)} for t in tables}
+    out: list[str] = []
+    while len(out) < len(parents):
+        ready = [t for t in parents if t not in out and parents[t] <= set(out)]
+        if not ready:
+            return out + [t for t in parents if t not in out]
+        out += ready
+    return out
+
+
+class RulesOnLoad:
+    """Checks rules as their tables arrive: immediate ones as soon as all tables they need
+    are loaded, deferred ones (and those whose tables never came) at the end.
+
+    ``loaded(name)`` may be called from several load threads; it runs the jobs that became
+    ready in the caller's thread, each job once."""
+
+    def __init__(self, tables: Sequence[TableRules]):
+        self._waiting = constraint_jobs(tables, "timed")
+        self._order = {id(j): i for i, j in enumerate(self._waiting)}
+        self._seen: set[str] = set()
+        self._rows: list[tuple[int, list[tuple]]] = []
+        self._lock = threading.Lock()
+
+    def _run(self, jobs: list[ConstraintJob]) -> None:
+        for job in jobs:
+            rows = job.rows()
+            with self._lock:
+                self._rows.append((self._order[id(job)], rows))
+
+    def loaded(self, name: str) -> None:
+        with self._lock:
+            self._seen.add(name)
+            ready = [j for j in self._waiting if j.needs <= self._seen and j.rules[0][2] == "immediate"]
+            self._waiting = [j for j in self._waiting if j not in ready]
+        self._run(ready)
+
+    def finish(self, spark: SparkSession, parallelism: int = 1) -> DataFrame:
+        """Run what is left of the loaded tables; the whole report in declaration order."""
+        rest, self._waiting = [j for j in self._waiting if j.table in self._seen], []
+        _map(lambda j: self._run([j]), rest, parallelism)
+        return spark.createDataFrame([r for _, rows in sorted(self._rows, key=lambda x: x[0]) for r in rows], REPORT_SCHEMA)
+
+
 def _map(fn, items: list, parallelism: int) -> list:
     if parallelism <= 1 or len(items) <= 1:
         return [fn(x) for x in items]

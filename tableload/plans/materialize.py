@@ -144,11 +144,15 @@ class TableLoad:
     migrate: bool = True
     with_data: bool = True
     schema_name: str | None = None
+    after: Callable[[str], None] | None = None      # called with the path once the table is there
 
 
 def materialize_many(spark: SparkSession, tables: Sequence[TableLoad], parallelism: int = 1):
     """Load every flagged table; a failing table leaves no target and is logged.
 
+    What a table's ``after`` does follows its load at once, in the same thread; if it raises,
+    the step counts as failed, but the table stays.
+
     Returns ``(failures, written paths by table, log DataFrame)``.
     """
 
@@ -156,8 +160,12 @@ def materialize_many(spark: SparkSession, tables: Sequence[TableLoad], paralleli
         def run():
             df = t.build()
             if t.scheme is None:
-                return materialize_table(df, t.path, t.with_data)
-            return materialize_partitioned(df, t.scheme, t.path, t.with_data)
+                path = materialize_table(df, t.path, t.with_data)
+            else:
+                path = materialize_partitioned(df, t.scheme, t.path, t.with_data)
+            if t.after is not None:
+                t.after(path)
+            return path
         return run
 
     steps = [Step("materialize table", t.name, action(t), t.schema_name, f"load {t.name} into {t.path}")

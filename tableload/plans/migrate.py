@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.sqlfuncs import FunctionSpec, register_sql_function
-from ..operators.integrity import TableRules, constraint_report
+from ..operators.integrity import RulesOnLoad, TableRules, load_order
 from ..operators.relops import ordered_group_collect
 from ..operators.rewrite import define_view
 from ..specs import (CheckSpec, ColumnSpec, ForeignKeySpec, KeySpec, Partition, PartitionLevel, PartitionScheme,
@@ -176,6 +176,11 @@ def migrate(spark: SparkSession, snapshot: dict[str, DataFrame], read_table: Rea
             cluster_root: str | None = None):
     """Run the whole load; returns ``(failures, log DataFrame, constraint report)``.
 
+    Tables load parents first, side by side up to ``parallelism``; a table's immediate rules
+    are checked right after its load (a foreign key once both of its tables are there), the
+    deferred ones after all loads.  Views that share a name are registered as
+    ```schema.name```.
+
     With ``cluster_root`` every flagged non-unique index of a loaded table is written as
     a clustered copy below it (``<cluster_root>/<schema>/<index name>``); each copy is a
     full rewrite of the table, so this is opt-in.
@@ -193,17 +198,36 @@ def migrate(spark: SparkSession, snapshot: dict[str, DataFrame], read_table: Rea
         # with the known schema, as an empty table has no file to infer one from; the
         # columns that partitions are routed by are not the table's own
         return spark.read.schema(shapes[name]).parquet(path).select(*[F.col(f"`{c}`") for c in shapes[name].names])
-    loads = [TableLoad(p.qualified, (lambda p=p: build(p)),
-                       f"{root}/{p.schema}/{p.name}", p.scheme, True, with_data, p.schema) for p in plans]
-    failures, written, load_log = materialize_many(spark, loads, parallelism)
-    reads = [Step("read table", name, (lambda name=name, path=path: read_back(name, path)), name.split(".", 1)[0],
-                  f"read {path}") for name, path in written.items()]
-    loaded, read_log = run_logged(spark, reads)
-    failures += len(reads) - len(loaded)
-
-    logs = [load_log, read_log]
+    logs = []
+    failures = 0
+    # functions first: checks and views may use them
+    steps = [Step("create function", f.name, (lambda f=f: register_sql_function(spark, f.name, f.args, f.returns,
+                                                                                 f.body) or True), None, f.body)
+             for f in functions or () if f.migrate]
+    if steps:
+        done, step_log = run_logged(spark, steps)
+        failures += len(steps) - len(done)
+        logs.append(step_log)
+
+    loaded: dict[str, DataFrame] = {}
+    rules = RulesOnLoad([TableRules(p.qualified, (lambda p=p: loaded[p.qualified]),
+                                    not_null=tuple(c.name for c in p.columns if not c.nullable),
+                                    keys=tuple(p.keys), foreign_keys=tuple(p.foreign_keys), checks=tuple(p.checks),
+                                    parents=loaded) for p in plans])
+
+    def arrived(p: TablePlan, path: str) -> None:
+        loaded[p.qualified] = read_back(p.qualified, path)
+        rules.loaded(p.qualified)
+    by_name = {p.qualified: p for p in plans}
+    order = load_order(list(by_name), [(p.qualified, fk.parent) for p in plans for fk in p.foreign_keys])
+    loads = [TableLoad(p.qualified, (lambda p=p: build(p)), f"{root}/{p.schema}/{p.name}", p.scheme, True, with_data,
+                       p.schema, (lambda path, p=p: arrived(p, path))) for p in (by_name[n] for n in order)]
+    missed, _, load_log = materialize_many(spark, loads, parallelism)
+    failures += missed
+    logs.append(load_log)
     views = _flagged(snapshot.get("views"))
     view_rows = views.collect() if views is not None else []
+    view_names = [r["view_name"] for r in view_rows]
     view_columns: dict[tuple, list[str]] = {}
     if view_rows:
         listed = snapshot["columns"].join(views.select("schema", F.col("view_name").alias("table_name")),
@@ -215,15 +239,14 @@ def migrate(spark: SparkSession, snapshot: dict[str, DataFrame], read_table: Rea
         for p in plans:                # the names of the view's own schema
             if p.schema == r["schema"] and p.qualified in loaded:
                 loaded[p.qualified].createOrReplaceTempView(p.name)
-        return define_view(spark, r["view_name"], spark.sql(r["definition"]),
-                           view_columns.get((r["schema"], r["view_name"])))
-    steps = [Step("create function", f.name, (lambda f=f: register_sql_function(spark, f.name, f.args, f.returns,
-                                                                                 f.body) or True), None, f.body)
-             for f in functions or () if f.migrate]
-    steps += [Step("define view", f"{r['schema']}.{r['view_name']}",
+        name = r["view_name"]
+        if view_names.count(name) > 1:          # one name in several schemas: each keeps its own
+            name = f"`{r['schema']}.{name}`"
+        return define_view(spark, name, spark.sql(r["definition"]), view_columns.get((r["schema"], r["view_name"])))
+    steps = [Step("define view", f"{r['schema']}.{r['view_name']}",
                    (lambda r=r: view(r)), r["schema"], r["definition"])
               for r in view_rows]
-    if steps:                 # in order: functions before the views that use them
+    if steps:
         done, step_log = run_logged(spark, steps)
         failures += len(steps) - len(done)
         logs.append(step_log)
@@ -239,12 +262,7 @@ def migrate(spark: SparkSession, snapshot: dict[str, DataFrame], read_table: Rea
             failures += len(copies) - len(done)
             logs.append(copy_log)
 
-    rules = [TableRules(p.qualified, loaded[p.qualified],
-                        not_null=tuple(c.name for c in p.columns if not c.nullable),
-                        keys=tuple(p.keys), foreign_keys=tuple(p.foreign_keys), checks=tuple(p.checks),
-                        parents=loaded)
-             for p in plans if p.qualified in loaded]
-    report = constraint_report(spark, rules, parallelism=parallelism)
+    report = rules.finish(spark, parallelism)
     bad = report.filter(F.col("error").isNotNull() | (F.col("violations") > 0)).collect()
     failures += len(bad)
     rule_rows = [(None, i, None, "validate constraint", r["table_name"].split(".")[0], r["table_name"],
