@@ -254,10 +254,11 @@ def _one_by_one(together: Callable[[], list], alone: Sequence[Callable[[], objec
 def _key_counts(df: DataFrame, keys: Sequence[KeySpec]) -> list:
     """Violating rows of several key rules on the same columns: the rows are grouped once."""
     names = [f"_k{i}" for i in range(len(keys[0].columns))]
-    if all(k.primary for k in keys):
-        columns = [_q(c) for c in keys[0].columns]
+    first = keys[0]
+    if first.expressions:
+        columns = [F.expr(c) if text else _q(c) for c, text in zip(first.columns, first.expressions)]
     else:
-        columns = _key_columns(keys[0].columns, df.columns)
+        columns = [_q(c) for c in first.columns] if all(k.primary for k in keys) else _key_columns(first.columns, df.columns)
     covered = [F.lit(True) if k.where is None or not k.where.strip() else F.coalesce(F.expr(k.where), F.lit(False)) for k in keys]
     rows = df.select(*[c.alias(n) for c, n in zip(columns, names)], *[c.alias(f"_w{i}") for i, c in enumerate(covered)])
     groups = rows.groupBy(*names).agg(*[F.count_if(F.col(f"_w{i}")).alias(f"_n{i}") for i in range(len(keys))])
@@ -284,22 +285,19 @@ def constraint_jobs(tables: Sequence[TableRules], mode: str = "all") -> list[Con
     def total(df: DataFrame) -> int:
         return df.agg(F.sum("rows")).first()[0] or 0
 
-    def key_total(df: DataFrame, k: KeySpec) -> int:
-        return total(primary_key_violations(df, k.columns) if k.primary else unique_violations(df, list(k.columns), k.where))
-
     for t in tables:
         own = frozenset([t.name])
         by_columns: dict[tuple, list[KeySpec]] = {}
         for k in t.keys:
             timing = _timing(k.deferrable, k.deferred)
             if k.migrate and want(timing):
-                by_columns.setdefault((k.columns, timing if mode == "timed" else None), []).append(k)
+                by_columns.setdefault((k.columns, k.expressions, timing if mode == "timed" else None), []).append(k)
         for group in by_columns.values():
             jobs.append(ConstraintJob(
                 t.name, own, tuple((k.name, "PRIMARY KEY" if k.primary else "UNIQUE", _timing(k.deferrable, k.deferred))
                                    for k in group),
                 lambda t=t, group=group: _one_by_one(
-                    lambda: _key_counts(t.frame(), group), [lambda k=k: key_total(t.frame(), k) for k in group])))
+                    lambda: _key_counts(t.frame(), group), [lambda k=k: _key_counts(t.frame(), [k])[0] for k in group])))
         for fk in t.foreign_keys:
             timing = _timing(fk.deferrable, fk.deferred)
             if not fk.migrate or not want(timing):

@@ -100,6 +100,38 @@ def instead_of_insert(rows: DataFrame, mapping: dict[str, str | Column], base: D
     return base.unionByName(new, allowMissingColumns=True)
 
 
+def instead_of_changes(changes: DataFrame, mapping: dict[str, str | Column], base: DataFrame, keys: Sequence[str],
+                       old_keys: dict[str, str] | None = None, events: Sequence[str] = TRIGGER_EVENTS,
+                       defaults: dict[str, str] | None = None, op: str = "op") -> DataFrame:
+    """T2 for every event: changes aimed at a view act on its base table.
+
+    ``mapping`` gives base columns as expressions over a row of the view, ``keys`` the base
+    columns that identify a row.  An UPDATE or DELETE finds its base row by ``old_keys`` (SQL
+    text per key column over the change row; default: the mapped keys): UPDATE sets the
+    mapped columns, keys included, DELETE removes the row; one that finds no row does nothing.
+    INSERT appends as :func:`instead_of_insert` does.  Events not listed are ignored.
+
+    A change set is one statement: every change sees the base as it was, and a base row that
+    two changes hit is an error.  The base is streamed past the changes, never sorted for them.
+    """
+    evs = _events(events)
+    acting = changes.filter(F.col(op).isin(evs))
+    value = {c: F.expr(e) if isinstance(e, str) else e for c, e in mapping.items()}
+    found = {k: F.expr((old_keys or {})[k]) if k in (old_keys or {}) else value[k] for k in keys}
+    edits = acting.filter(F.col(op) != "INSERT").select(
+        *[found[k].cast(base.schema[k].dataType).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(op).alias("_op"),
+        F.struct(*[v.cast(base.schema[c].dataType).alias(c) for c, v in value.items()]).alias("_new"))
+    # one change per base row: partial aggregates, so that a repeated key fails without being gathered
+    edits = edits.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(
+        F.count(F.lit(1)).alias("_n"), F.first("_op").alias("_op"), F.first("_new").alias("_new"))
+    hit = base.join(edits, [F.col(f"`{k}`") == F.col(f"_k{i}") for i, k in enumerate(keys)], "left")
+    twice = F.when(F.col("_n") > 1, F.raise_error(F.lit("a base row is changed twice by one statement"))).otherwise(F.lit(True))
+    left = hit.filter(twice & (F.col("_op").isNull() | (F.col("_op") != "DELETE"))).select(*[
+        (F.when(F.col("_op") == "UPDATE", F.col("_new")[c]).otherwise(F.col(f"`{c}`")) if c in value else F.col(f"`{c}`")).alias(c)
+        for c in base.columns])
+    return instead_of_insert(acting.filter(F.col(op) == "INSERT"), mapping, left, defaults)
+
+
 def after_statement(changes: DataFrame, batches: DataFrame, events: Sequence[str],
                     aggregates: dict[str, Column], batch: str = "batch", op: str = "op") -> DataFrame:
     """One result per (batch, event) -- also for a batch with no such rows.

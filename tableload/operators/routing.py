@@ -51,6 +51,11 @@ def xxhash_keys(keys: list[Column], modulus: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(modulus))
 
 
+def bucket_hash(keys: list[Column], modulus: int) -> Column:
+    """The bucket in which a table bucketed on the keys files a row (``materialize_bucketed``)."""
+    return F.pmod(F.hash(*keys), F.lit(modulus))
+
+
 def identity_hash(keys: list[Column], modulus: int) -> Column:
     """Integer key as its own hash (lets a SQL oracle reproduce the placement)."""
     (k,) = keys

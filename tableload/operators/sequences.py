@@ -40,27 +40,41 @@ from .relops import row_hash, sort_columns
 _POS_BITS = 33   # monotonically_increasing_id puts the partition index above bit 33
 
 
+def _fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns that ``df`` does not have (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def dense_ordinal(df: DataFrame, order: Sequence[str | tuple[str, bool] | Column], out: str = "_ord",
                   num_partitions: int | None = None) -> DataFrame:
-    """Add ``out``: 0, 1, 2, ... in the given order (ties broken arbitrarily but densely)."""
+    """Add ``out``: 0, 1, 2, ... in the given order (ties broken arbitrarily but densely).
+
+    The written copy stays below ``spark.checkpoint.dir``, where the result reads it."""
     n = num_partitions or target_partitions(df.sparkSession)
     keys = sort_columns(order, df)
     tiebreak = row_hash(df)
     ranged = df.repartitionByRange(n, *keys, tiebreak).sortWithinPartitions(*keys, tiebreak)
-    mid = F.monotonically_increasing_id()
-    tagged = ranged.withColumn("_mid", mid).select(
-        "*", F.shiftright("_mid", _POS_BITS).alias("_pid"),
-        F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos")).drop("_mid")
+    if out in df.columns:
+        raise ValueError(f"the table already has a column {out}")
+    pid, pos, at, cnt, off = _fresh(df, "_pid", "_pos", "_mid", "_cnt", "_off")
+    tagged = ranged.withColumn(at, F.monotonically_increasing_id()).select(
+        *[F.col(f"`{c}`") for c in df.columns], F.shiftright(at, _POS_BITS).alias(pid),
+        F.col(at).bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias(pos))
     path = scratch_path(df.sparkSession, "ordinal")
     tagged.write.parquet(path)
     tagged = df.sparkSession.read.schema(tagged.schema).parquet(path)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = tagged.groupBy(pid).agg(F.count(F.lit(1)).alias(cnt))
     offsets = counts.select(
-        "_pid", F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, F.col("_off") + F.col("_pos"))
-            .drop("_pid", "_pos", "_off"))
+        pid, F.coalesce(F.sum(cnt).over(Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)),
+                        F.lit(0)).alias(off))
+    return tagged.join(F.broadcast(offsets), pid).select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col(off) + F.col(pos)).alias(out))
 
 
 def ordered_group_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[str, bool] | Column],
@@ -70,11 +84,14 @@ def ordered_group_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str |
     No group is gathered: rows are numbered over the whole table by (keys, order), and each
     group's first number, a partial aggregate, is taken off again.  NULL keys form a group.
     """
-    ranked = dense_ordinal(df, [*keys, *order], "_all", num_partitions)
-    first = ranked.groupBy(*[F.col(f"`{k}`").alias(f"_g{i}") for i, k in enumerate(keys)]).agg(F.min("_all").alias("_first"))
-    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)]
-    return ranked.join(first, same).withColumn(out, F.col("_all") - F.col("_first")) \
-        .drop("_all", "_first", *[f"_g{i}" for i in range(len(keys))])
+    if out in df.columns:
+        raise ValueError(f"the table already has a column {out}")
+    whole, first, *group = _fresh(df, "_all", "_first", *[f"_g{i}" for i in range(len(keys))])
+    ranked = dense_ordinal(df, [*keys, *order], whole, num_partitions)
+    starts = ranked.groupBy(*[F.col(f"`{k}`").alias(g) for k, g in zip(keys, group)]).agg(F.min(whole).alias(first))
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(g)) for k, g in zip(keys, group)]
+    return ranked.join(starts, same).select(*[F.col(f"`{c}`") for c in df.columns],
+                                            (F.col(whole) - F.col(first)).alias(out))
 
 
 def sequence_bounds(seq: SequenceSpec) -> tuple[int, int, int, int]:
@@ -128,5 +145,38 @@ def assign_sequence(df: DataFrame, order: Sequence[str | tuple[str, bool] | Colu
                     out: str = "id", num_partitions: int | None = None) -> DataFrame:
     """Q1: add column ``out`` with the sequence values, handed out in ``order``."""
     sequence_bounds(seq)     # fail early on a bad spec
-    ranked = dense_ordinal(df, order, "_seq_ord", num_partitions)
-    return ranked.withColumn(out, sequence_value(F.col("_seq_ord"), seq)).drop("_seq_ord")
+    (at,) = _fresh(df, "_seq_ord")
+    ranked = dense_ordinal(df, order, at, num_partitions)
+    return ranked.withColumn(out, sequence_value(F.col(at), seq)).drop(at)
+
+
+def assign_sequence_blocks(df: DataFrame, seq: SequenceSpec, out: str = "id", writers: int | None = None) -> DataFrame:
+    """Q1 with ``seq.cache_size``: unique numbers in blocks, as sessions with a cache draw them.
+
+    Every task takes blocks of ``cache_size`` numbers in turn with the other tasks (its k-th
+    block is number k * writers + its own place), so no row is moved, sorted or counted first.
+    Numbers are unique, rise within a task and lie in the sequence's range; blocks that are
+    not used up leave gaps, and nothing is said about the order of the rows.  A task run again
+    draws the same numbers.  ``writers`` is the number of tasks that draw; without it one small
+    job finds how many there are.  More tasks than that fail the job, as does the end of the
+    sequence, which gaps bring nearer; a cyclical sequence would repeat numbers and is refused.
+    """
+    if seq.cyclical:
+        raise ValueError(f"sequence {seq.name} cycles: numbers in blocks would not stay unique")
+    sequence_bounds(seq)
+    if seq.cache_size < 1:
+        raise ValueError(f"sequence {seq.name}: CACHE ({seq.cache_size}) must be greater than zero")
+    if out in df.columns:
+        raise ValueError(f"the table already has a column {out}")
+    if writers is None:
+        last = df.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0]
+        writers = (0 if last is None else last) + 1
+    (at,) = _fresh(df, "_mid")
+    tagged = df.withColumn(at, F.monotonically_increasing_id())
+    task, place = F.shiftright(at, _POS_BITS), F.col(at).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    cache = F.lit(seq.cache_size).cast("long")
+    block = F.floor(place.cast("decimal(20,0)") / cache).cast("long") * F.lit(writers) + task
+    ordinal = F.when(task < writers, block * cache + place % cache).otherwise(
+        F.raise_error(F.concat(F.lit(f"sequence {seq.name}: more than {writers} tasks draw numbers, task "),
+                               task.cast("string"))).cast("long"))
+    return tagged.withColumn(out, sequence_value(ordinal, seq)).drop(at)

@@ -106,6 +106,33 @@ def materialize_partitioned(df: DataFrame, scheme: PartitionScheme | PartitionLe
     return _publish(df.sparkSession, lambda p: out.write.partitionBy(*cols).format(fmt).save(p), path)
 
 
+# --------------------------------------------------------------------------- R3 as buckets
+
+def materialize_bucketed(df: DataFrame, keys: Sequence[str], buckets: int, path: str, table: str) -> str:
+    """Hash partitions as the buckets of a catalogued table: joins and aggregates on the
+    keys of tables with equal bucket counts need no exchange.
+
+    Rows are shuffled once, here, so that every bucket is one sorted file.  A bucket is one
+    task wherever the table is read by key: choose ``buckets`` so that one fits a task (bytes
+    / 256 MB, say), and do not bucket on a key of which one value holds a large share.  The
+    table is external: dropping it leaves the files.  If the write fails, nothing of the table
+    is left.  A row's bucket is ``bucket_hash`` of its keys.
+    """
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        raise FileExistsError(f"target {path} already exists")
+    if spark.catalog.tableExists(table):
+        raise FileExistsError(f"table {table} already exists")
+    placed = df.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
+    try:
+        placed.write.format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        _discard(spark, path)
+        raise
+    return table
+
+
 # --------------------------------------------------------------------------- X1
 
 def clustered_copy(df: DataFrame, keys: Sequence[str | tuple[str, bool]], path: str,

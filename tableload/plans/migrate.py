@@ -123,17 +123,20 @@ def plan_from_snapshot(snapshot: dict[str, DataFrame]) -> list[TablePlan]:
             idx.select("schema", "index_name", "table_name", "where_clause", "uniqueness"),
             ["schema", "index_name", "table_name"], "inner")
         grouped = ordered_group_collect(cols, ["schema", "table_name", "index_name", "where_clause", "uniqueness"],
-                                        ["position"], ["column_name", "descend"])
+                                        ["position"], ["column_name", "descend", "is_expression"])
         for r in grouped.collect():
             p = plans.get((r["schema"], r["table_name"]))
             if p is None:
                 continue
             where = r["where_clause"] if r["where_clause"] and r["where_clause"].strip() else None
             if r["uniqueness"]:          # a unique index is a uniqueness rule (I3)
-                p.keys.append(KeySpec(r["index_name"], tuple(r["column_name"]), False, where=where))
+                p.keys.append(KeySpec(r["index_name"], tuple(r["column_name"]), False, where=where,
+                                      expressions=tuple(bool(x) for x in r["is_expression"])))
             else:                        # a plain index becomes a clustered copy (X1)
-                p.clusterings.append((r["index_name"], [(c, bool(d)) for c, d in zip(r["column_name"], r["descend"])],
-                                      where))
+                # in parentheses an expression is no column's name
+                p.clusterings.append((r["index_name"], [
+                    (f"({c})" if text else c, bool(d))
+                    for c, d, text in zip(r["column_name"], r["descend"], r["is_expression"])], where))
 
     if snapshot.get("foreign_keys") is not None:
         fks = ordered_group_collect(

@@ -145,3 +145,141 @@ def q_migrate_run(spark, d):
         return scan_declared(spark, "parquet", f"{d}/{source}.parquet", columns)
     _, _, report = migrate(spark, _migration_snapshot(spark, d), read, scratch_path(spark, "migrate"), parallelism=4)
     return report
+
+
+@query("migrate_rows", """
+SELECT 'orders' AS table_name, CAST(o_orderkey AS VARCHAR) AS own_key, CAST(o_custkey AS VARCHAR) AS other,
+       CASE WHEN o_totalprice < 100000 THEN 'o_low' ELSE 'o_high' END AS part FROM orders
+UNION ALL SELECT 'customer', CAST(c_custkey AS VARCHAR), CAST(c_nationkey AS VARCHAR), NULL FROM customer
+UNION ALL SELECT 'nation', CAST(n_nationkey AS VARCHAR), n_name, NULL FROM nation""")
+def q_migrate_rows(spark, d):
+    from ..migrate import migrate
+    root = scratch_path(spark, "migrated")
+    migrate(spark, _migration_snapshot(spark, d),
+            lambda schema, source, columns: scan_declared(spark, "parquet", f"{d}/{source}.parquet", columns), root, parallelism=4)
+    out = None
+    for name, key, other, part in (("orders", "o_orderkey", "o_custkey", F.col("part")), ("customer", "c_custkey", "c_nationkey", None),
+                                   ("nation", "n_nationkey", "n_name", None)):
+        rows = spark.read.parquet(f"{root}/tpch/{name}").select(
+            F.lit(name).alias("table_name"), F.col(key).cast("string").alias("own_key"), F.col(other).cast("string").alias("other"),
+            (F.lit(None) if part is None else part).cast("string").alias("part"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# =========================================================================== refresh of the other snapshot tables
+#
+# A catalog of many objects is derived from a table: the objects known before (keys not divisible
+# by 3) are edited by the user, then refreshed from the objects that exist now (not divisible by 5).
+
+_OLD, _NEW = "{k} % 3 <> 0", "{k} % 5 <> 0"
+
+
+def _refreshed(name, objects, key, before, now, edits):
+    """Snapshot table ``name``: built from ``before``, edited, refreshed from ``now`` (SQL per column)."""
+    from ..refresh import refresh_table
+
+    def catalog(columns, which):
+        return objects.filter(which.format(k=key)).selectExpr(*[f"{e} AS `{c}`" for c, e in columns.items()])
+    edited = refresh_table(name, None, catalog(before, _OLD))
+    for column, expression in edits.items():
+        edited = edited.withColumn(column, F.expr(expression))
+    return refresh_table(name, edited, catalog(now, _NEW))
+
+
+def _merged_sql(table_name, key, columns):
+    """Rows known before or now; in the column texts {old} and {new} say where a row comes from."""
+    return f"WITH b AS (SELECT *, {_OLD.format(k=key)} AS old, {_NEW.format(k=key)} AS new FROM {table_name}) SELECT " + \
+        ", ".join(f"{e} AS {c}" for c, e in columns.items()) + " FROM b WHERE (old OR new)"
+
+
+@query("refresh_tables", _merged_sql("customer", "c_custkey", {
+    "schema": "c_mktsegment", "table_name": "c_name", "orig_table": "c_name",
+    "migrate": "CASE WHEN old THEN c_acctbal > 0 ELSE true END"}))
+def q_refresh_tables(spark, d):
+    from ..refresh import refresh_table
+    customer = table(spark, d, "customer")
+
+    def listed(which):
+        return customer.filter(which.format(k="c_custkey")).selectExpr("c_mktsegment AS schema", "c_name AS table_name")
+    old = refresh_table("tables", None, listed(_OLD))
+    # the user unflags tables by a list of names
+    poor = customer.filter("c_acctbal <= 0").selectExpr("c_name AS table_name", "true AS poor")
+    edited = old.join(poor, "table_name", "left").withColumn("migrate", F.col("poor").isNull()).select(*old.columns)
+    return refresh_table("tables", edited, listed(_NEW)).select("schema", "table_name", "orig_table", "migrate")
+
+
+@query("refresh_checks", _merged_sql("orders", "o_orderkey", {
+    "schema": "'s'", "table_name": "'t' || (o_custkey % 50)", "constraint_name": "'ck' || o_orderkey",
+    "deferrable": "CASE WHEN new THEN o_orderkey % 2 = 0 ELSE false END", "deferred": "false",
+    "condition": "CASE WHEN new THEN 'total < ' || o_custkey ELSE 'total > ' || o_custkey END",
+    "orig_name": "'ck' || o_orderkey", "migrate": "CASE WHEN old THEN false ELSE true END"})
+    + " AND NOT (o_orderkey % 7 = 0)")
+def q_refresh_checks(spark, d):
+    def columns(condition, deferrable):
+        # every seventh condition only says that a column is not null, which the catalog leaves to the columns
+        return {"schema": "'s'", "table_name": "concat('t', o_custkey % 50)", "constraint_name": "concat('ck', o_orderkey)",
+                "deferrable": deferrable, "deferred": "false",
+                "condition": f"CASE WHEN o_orderkey % 7 = 0 THEN 'Total IS NOT NULL' ELSE concat('{condition} ', o_custkey) END"}
+    return _refreshed("checks", table(spark, d, "orders"), "o_orderkey", columns("total >", "false"),
+                      columns("total <", "o_orderkey % 2 = 0"), {"migrate": "false"})
+
+
+@query("refresh_foreign_keys", _merged_sql("orders", "o_orderkey", {
+    "schema": "'s'", "table_name": "'t'", "constraint_name": "'fk' || o_orderkey", "position": "1",
+    "deferrable": "CASE WHEN new THEN true ELSE false END", "deferred": "false",
+    "delete_rule": "CASE WHEN new THEN 'CASCADE' ELSE 'NO ACTION' END", "column_name": "'c' || o_custkey",
+    "remote_schema": "'s'", "remote_table": "'r'", "remote_column": "'id'", "orig_name": "'fk' || o_orderkey",
+    "migrate": "CASE WHEN old THEN false ELSE true END"}))
+def q_refresh_foreign_keys(spark, d):
+    def columns(deferrable, rule):
+        return {"schema": "'s'", "table_name": "'t'", "constraint_name": "concat('fk', o_orderkey)", "position": "1",
+                "deferrable": deferrable, "deferred": "false", "delete_rule": f"'{rule}'", "column_name": "concat('c', o_custkey)",
+                "remote_schema": "'s'", "remote_table": "'r'", "remote_column": "'id'"}
+    return _refreshed("foreign_keys", table(spark, d, "orders"), "o_orderkey", columns("false", "NO ACTION"),
+                      columns("true", "CASCADE"), {"migrate": "false"})
+
+
+@query("refresh_sequences", _merged_sql("part", "p_partkey", {
+    "schema": "'s'", "sequence_name": "'seq' || p_partkey", "min_value": "CAST(CASE WHEN p_size % 2 = 0 THEN 1 ELSE -9223372036854775808 END AS BIGINT)",
+    "max_value": "CAST(9223372036854775807 AS BIGINT)", "increment_by": "CAST(CASE WHEN new THEN p_size ELSE 1 END AS BIGINT)",
+    "cyclical": "false", "cache_size": "CASE WHEN new THEN greatest(p_size - 20, 1) ELSE 1 END",
+    "last_value": "CAST(CASE WHEN old THEN 77 ELSE p_size END AS BIGINT)", "orig_value": "CAST(p_size AS BIGINT)"}))
+def q_refresh_sequences(spark, d):
+    def columns(increment, cache):
+        # bounds of another system, far beyond bigint
+        return {"schema": "'s'", "sequence_name": "concat('seq', p_partkey)",
+                "min_value": "CAST(CASE WHEN p_size % 2 = 0 THEN 1 ELSE -1e30 END AS decimal(38,0))",
+                "max_value": "CAST(9999999999999999999999999999 AS decimal(38,0))", "increment_by": f"CAST({increment} AS decimal(38,0))",
+                "cyclical": "false", "cache_size": cache, "last_value": "CAST(p_size AS decimal(38,0))"}
+    return _refreshed("sequences", table(spark, d, "part"), "p_partkey", columns("1", "0"), columns("p_size", "p_size - 20"),
+                      {"last_value": "CAST(77 AS bigint)"})
+
+
+@query("refresh_indexes", _merged_sql("part", "p_partkey", {
+    "schema": "'s'", "table_name": "p_brand", "index_name": "'ix' || p_partkey", "uniqueness": "CASE WHEN new THEN true ELSE false END",
+    "where_clause": "CASE WHEN old THEN 'size > 1' ELSE 'size > ' || p_size END", "orig_name": "'ix' || p_partkey",
+    "migrate": "true"}))
+def q_refresh_indexes(spark, d):
+    part = table(spark, d, "part")
+
+    def columns(unique):
+        return {"schema": "'s'", "table_name": "p_brand", "index_name": "concat('ix', p_partkey)", "uniqueness": unique,
+                "where_clause": "concat('size > ', p_size)"}
+    # a catalog may list an index once per column: equal rows count once
+    return _refreshed("indexes", part.unionByName(part), "p_partkey", columns("false"), columns("true"),
+                      {"where_clause": "'size > 1'"})
+
+
+@query("refresh_partitions", _merged_sql("part", "p_partkey", {
+    "schema": "'s'", "table_name": "p_brand", "partition_name": "'p' || p_partkey", "type": "CASE WHEN new THEN 'LIST' ELSE 'RANGE' END",
+    "key": "'size'", "is_default": "p_size = 1",
+    "listed": "CASE WHEN p_size = 1 THEN NULL WHEN new THEN '1,' || p_size ELSE '0,' || p_size END", "orig_name": "'p' || p_partkey"}))
+def q_refresh_partitions(spark, d):
+    def columns(kind, first):
+        # a default partition has no values and must survive the refresh
+        return {"schema": "'s'", "table_name": "p_brand", "partition_name": "concat('p', p_partkey)", "type": f"'{kind}'", "key": "'size'",
+                "is_default": "p_size = 1",
+                "values": f"CASE WHEN p_size <> 1 THEN array('{first}', CAST(p_size AS string)) END"}
+    out = _refreshed("partitions", table(spark, d, "part"), "p_partkey", columns("RANGE", "0"), columns("LIST", "1"), {})
+    return out.withColumn("listed", F.array_join("values", ",")).drop("values")

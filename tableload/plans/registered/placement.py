@@ -241,3 +241,35 @@ def q_route_hash_default(spark, d):
     return routing.route(table(spark, d, "lineitem"), level).groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("part").alias("buckets"),
         F.every(F.col("part").isin(level.names)).alias("declared"))
+
+
+# =========================================================================== buckets, numbers in blocks
+
+@query("bucketed_join", """
+SELECT o_custkey, CAST(count(*) AS BIGINT) AS lines, CAST(sum(l_quantity) AS BIGINT) AS quantity
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey""")
+def q_bucketed_join(spark, d):
+    orders, lines = _bucketed(spark, d)
+    joined = spark.table(orders).join(spark.table(lines), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").cast("bigint").alias("quantity"))
+
+
+def _bucketed(spark, d, buckets=16):
+    """Both tables in equal buckets of the order key, in the shared folder."""
+    out = []
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        path = scratch_path(spark, name)
+        out.append(mat.materialize_bucketed(table(spark, d, name), [key], buckets, path, path.rsplit("/", 1)[1].replace("-", "_")))
+    return out
+
+
+@query("sequence_blocks", """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS numbers, true AS in_range,
+       CAST(sum(l_orderkey) AS BIGINT) AS order_keys FROM lineitem""")
+def q_sequence_blocks(spark, d):
+    # no order and no dense run to compare: every row has its own number, on the sequence's steps
+    seq = SequenceSpec("line_seq", increment_by=5, last_value=100, cache_size=32)
+    numbered = sequences.assign_sequence_blocks(table(spark, d, "lineitem").select("l_orderkey"), seq)
+    return numbered.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("numbers"),
+                        F.every((F.col("id") >= 105) & (F.col("id") % 5 == 0)).alias("in_range"),
+                        F.sum("l_orderkey").alias("order_keys"))

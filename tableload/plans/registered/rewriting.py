@@ -66,6 +66,24 @@ def q_instead_of_insert(spark, d):
     return rewrite.define_view(spark, "tl_v1", "SELECT c1 * 10 FROM tl_t1", ["c1"])
 
 
+@query("instead_of_changes", """
+WITH ch AS (SELECT o_custkey AS k, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders),
+c AS (SELECT k, CASE WHEN o_orderkey % 3 = 0 THEN 'DELETE' ELSE 'UPDATE' END AS op, o_orderkey FROM ch WHERE n = 1)
+SELECT c_custkey, CASE WHEN op = 'UPDATE' THEN 'order ' || o_orderkey ELSE c_name END AS c_name, c_mktsegment
+FROM customer LEFT JOIN c ON k = c_custkey WHERE op IS NULL OR op <> 'DELETE'
+UNION ALL
+SELECT p_partkey + 10000000, p_name, 'PART' FROM part""")
+def q_instead_of_changes(spark, d):
+    # a view shows the customers with their key times ten; changes to the view reach the table
+    base = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    first = table(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("o"))
+    edits = first.selectExpr("o_custkey * 10 AS key10", "concat('order ', o) AS name",
+                             "CASE WHEN o % 3 = 0 THEN 'DELETE' ELSE 'UPDATE' END AS op")
+    added = table(spark, d, "part").selectExpr("(p_partkey + 10000000) * 10 AS key10", "p_name AS name", "'INSERT' AS op")
+    return rewrite.instead_of_changes(edits.unionByName(added), {"c_custkey": "key10 div 10", "c_name": "name"}, base,
+                                      ["c_custkey"], defaults={"c_mktsegment": "'PART'"})
+
+
 @query("after_statement", """
 WITH ch AS (SELECT strftime(ts, '%Y-%m-%d %H') AS batch,
                    CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'purchase' THEN 'UPDATE' ELSE 'OTHER' END AS op,

@@ -93,7 +93,10 @@ class PartitionScheme:
 
 @dataclass(frozen=True)
 class KeySpec:
-    """Primary key or unique constraint (``where`` makes it partial)."""
+    """Primary key or unique constraint (``where`` makes it partial).
+
+    ``expressions`` tells for each of ``columns`` whether it is SQL text; where it is empty, a
+    name of a column is that column and everything else SQL text."""
 
     name: str
     columns: tuple[str, ...]
@@ -102,6 +105,7 @@ class KeySpec:
     deferrable: bool = False
     deferred: bool = False
     migrate: bool = True
+    expressions: tuple[bool, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -134,6 +138,7 @@ class SequenceSpec:
     min_value: int | float | None = None
     max_value: int | float | None = None
     cyclical: bool = False
+    cache_size: int = 1                  # numbers drawn at a time (assign_sequence_blocks)
 
 
 @dataclass(frozen=True)
