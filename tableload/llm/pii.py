@@ -222,11 +222,12 @@ def _ssn_alphabet(c: Column, i: Column) -> Column:
 
 
 def _phone(m: Column, key: Column) -> Column:
-    # the country code stays; first digits of three- and four-digit groups stay dialable
+    # the country code stays; a group's first digit stays dialable (2 to 9) or not (0 and 1), so that
+    # the numbers of one such form are permuted among themselves and no two of them meet
     open_at = F.when(m.startswith("+"), F.length(F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[ .(-])|^\+[0-9]", 0))).otherwise(0)
     first = lambda i: F.substring(m, i, F.lit(1)).rlike("[ .(+-]")  # noqa: E731 - the character before position i
     return _permute_text(m, lambda c, i: F.when(i < open_at, "").when(~c.rlike("[0-9]"), "")
-                         .when(c.rlike("[2-9]") & ((i == 0) | first(i)), "23456789").otherwise(DIGITS), key)
+                         .when((i == 0) | first(i), F.when(c.rlike("[2-9]"), "23456789").otherwise("01")).otherwise(DIGITS), key)
 
 
 def _phone_within(m: Column, key: Column) -> Column:
@@ -263,10 +264,12 @@ def pseudonym(m: Column, key: Column) -> Column:
     domain_end = F.length(m) - F.length(F.substring_index(m, ".", -1)) - 1
     email = _permute_text(m, lambda c, i: F.when((i == at - 1) | (i >= domain_end), "").otherwise(_by_class(c)), k("email"))
     hexadecimal = value.rlike("^[0-9a-f]+[\"']?$")
-    by_kind = lambda c, i: F.when(hexadecimal, F.when(c.rlike("[0-9a-f]"), HEX).otherwise("")).otherwise(_by_class(c))
-    secret = F.concat(prefix, F.when(F.length(value) > 128, _permute_long(value, by_kind, k("secret")))
-                      .when(hexadecimal, _permute_text(value, lambda c, i: F.when(c.rlike("[0-9a-f]"), HEX).otherwise(""), k("secret")))
-                      .otherwise(_permute_text(value, lambda c, i: _by_class(c), k("secret"))))
+    in_hex = lambda c: F.when(c.rlike("[0-9a-f]"), HEX).otherwise("")
+    # whether the whole value is hexadecimal is found once, not at every character
+    secret = F.concat(prefix, _let(hexadecimal, lambda hexed: F.when(F.length(value) > 128, _permute_long(
+        value, lambda c, i: F.when(hexed, in_hex(c)).otherwise(_by_class(c)), k("secret")))
+        .when(hexed, _permute_text(value, lambda c, i: in_hex(c), k("secret")))
+        .otherwise(_permute_text(value, lambda c, i: _by_class(c), k("secret")))))
     as_phone = F.when(F.length(_only_digits(m)).between(7, 15), _phone(m, k("phone")))
     single = F.when(F.instr(m, "@") > 0, email) \
         .when(whole(ACCESS_KEY), _permute_text(m, lambda c, i: F.when(i < 4, "").otherwise(DIGITS + UPPER), k("access"))) \
