@@ -27,7 +27,9 @@ _LIST = "link list "
 
 # fixed values: the elements of HTML by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas audio video".split())
+#: left out with all they hold; of these, text elements go on to the end of the page if unclosed
+RAW = frozenset("script style noscript template textarea title iframe svg canvas audio video".split())
+TEXT_ONLY = frozenset("script style textarea title iframe".split())
 BOILERPLATE = frozenset("head nav header footer aside form button select menu dialog fieldset label noframes".split())
 BLOCKS = frozenset(("address article aside blockquote body caption center dd details div dl dt fieldset figcaption "
                     "figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead "
@@ -194,12 +196,15 @@ def blocks(html: str) -> list[tuple[str, Node, list[Node], float]]:
             close(1)
         if name in RAW:
             end = re.compile(f"</{name}\\s*>", re.I).search(html, at) if not m["attrs"].endswith("/") else m
-            at = end.end() if end else n
-            continue
+            if end:
+                at = end.end()
+            elif name in TEXT_ONLY:
+                at = n
+            continue                                     # else the tag alone is passed over
         opened(name, m["attrs"])
         if m["attrs"].endswith("/") and name not in BLOCKS:
             close(len(stack) - 1)
-    close(0) if False else flush()
+    flush()
     return out
 
 
