@@ -128,13 +128,14 @@ def search(index: DataFrame, parameters: dict, queries: DataFrame, k: int = 10,
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest rows of the index other than
     the query's own id, nearest first, ties to the smaller id (all of them if there are fewer).
 
-    ``queries`` has vec_id and vector.  They are a stated set: blocks of at most
+    ``queries`` has vec_id and vector; of rows that repeat an id the smallest vector counts, so
+    that every query has one list.  They are a stated set: blocks of at most
     ``query_block`` of them are handed to the tasks, and every index row is compared with
     every block.  A task returns its k best per query; equal (id, distance) rows that repeat
     in the index count as one candidate each.  No queries or no rows give an empty result.
     """
     spark = index.sparkSession
-    names = queries.select("vec_id", "vector").orderBy("vec_id")
+    names = queries.groupBy("vec_id").agg(F.min("vector").alias("vector")).orderBy("vec_id")
     parts, block = [], []
     for row in names.toLocalIterator():
         block.append((row["vec_id"], row["vector"]))
