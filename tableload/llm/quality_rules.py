@@ -14,15 +14,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, SPACES, words_of
+from .common import SPACE_RUN, SPACES, cut_lineage, words_of
 
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 SYMBOLS = "#*$%&|<>"
-#: a line is boilerplate if more different texts of its host hold it than both bounds allow
+#: a line is boilerplate if more different texts of its host hold it than the first bound, and
+#: than the share of the host's texts or the last bound, whichever is less: the limit of a host
+#: never grows beyond the last
 MIN_LINE_DOCS = 20
 MAX_LINE_SHARE = 0.1
+MAX_LINE_DOCS = 1000
 #: a document is depleted if fewer words than this share (or MIN_WORDS) are left
 MIN_LEFT_SHARE = 0.5
 
@@ -102,13 +105,14 @@ def line_counts(docs: DataFrame, text_col: str = "text", host_col: str = "source
         .agg(F.count(F.lit(1)).alias("times"), F.max("x.words").alias("words"))
 
 
-def frequent_lines(counts: DataFrame, min_docs: int = MIN_LINE_DOCS, max_share: float = MAX_LINE_SHARE) -> DataFrame:
+def frequent_lines(counts: DataFrame, min_docs: int = MIN_LINE_DOCS, max_share: float = MAX_LINE_SHARE,
+                   max_docs: int = MAX_LINE_DOCS) -> DataFrame:
     """(host, line) of the lines that too many different texts of their host hold."""
     docs_with = counts.groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
     hosts = docs_with.where("line IS NULL").select(F.col("host").alias("_host"), F.col("docs").alias("all_docs"))
     return docs_with.where("line IS NOT NULL").where(F.col("docs") > min_docs) \
         .join(hosts, F.col("host").eqNullSafe(F.col("_host"))) \
-        .where(F.col("docs") > max_share * F.col("all_docs")).select("host", "line")
+        .where(F.col("docs") > F.least(max_share * F.col("all_docs"), F.lit(float(max_docs)))).select("host", "line")
 
 
 def removed_words(counts: DataFrame, lines: DataFrame) -> DataFrame:
@@ -125,7 +129,8 @@ def removed_words(counts: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", min_docs: int = MIN_LINE_DOCS,
-          max_share: float = MAX_LINE_SHARE, min_left: float = MIN_LEFT_SHARE) -> DataFrame:
+          max_share: float = MAX_LINE_SHARE, max_docs: int = MAX_LINE_DOCS,
+          min_left: float = MIN_LEFT_SHARE) -> DataFrame:
     """Each row (struct ``_row``) with its measures, ``n_removed_words`` (in boilerplate
     lines), ``removed_lines`` (their hashes) and ``kept``.
 
@@ -134,8 +139,8 @@ def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", min
     lines; an empty table gives an empty result; input columns live in ``_row`` and cannot
     clash.
     """
-    counts = line_counts(docs, text_col, host_col)
-    lost = removed_words(counts, frequent_lines(counts, min_docs, max_share))
+    counts = cut_lineage(line_counts(docs, text_col, host_col))      # read three times
+    lost = removed_words(counts, frequent_lines(counts, min_docs, max_share, max_docs))
     seen = measures(docs, text_col).withColumns({
         "_host": F.col(f"_row.`{host_col}`"), "_key": text_key(F.col("_text"))}).drop("_text")
     out = seen.join(lost, F.col("_host").eqNullSafe(F.col("host")) & (F.col("_key") == F.col("key")), "left")

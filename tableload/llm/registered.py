@@ -128,7 +128,8 @@ hosts AS (SELECT source, count(DISTINCT t) AS n FROM docs GROUP BY source),
 frequent AS (
   SELECT l.source, l.line FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
   GROUP BY l.source, l.line, h.n
-  HAVING count(*) > {quality_rules.MIN_LINE_DOCS} AND count(*) > {quality_rules.MAX_LINE_SHARE} * h.n),
+  HAVING count(*) > {quality_rules.MIN_LINE_DOCS}
+     AND count(*) > least({quality_rules.MAX_LINE_SHARE}::DOUBLE * h.n, {quality_rules.MAX_LINE_DOCS}::DOUBLE)),
 lost AS (
   SELECT l.source, l.t, sum(l.times * l.words) AS removed FROM lines l
   JOIN frequent f ON l.source IS NOT DISTINCT FROM f.source AND l.line = f.line GROUP BY l.source, l.t),
