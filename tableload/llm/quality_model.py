@@ -12,6 +12,7 @@ output into calibrated probabilities.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,12 +48,18 @@ def shape(word: str) -> str:
 
 
 def _hash(word: str) -> int:
-    h = 2166136261
-    for b in word.encode():
-        h = (h ^ b) * 16777619 & 0xFFFFFFFF
+    h = zlib.crc32(word.encode())
     return (h ^ h >> 15) & _MASK
 
 
+class _Known(dict):
+    """Bucket and shape bucket of words, packed into one number, made when first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = _hash(word) * BUCKETS + _hash("\x00" + shape(word))
+        return code
+
+
 class Space:
     """Index vectors, and word numbers of texts."""
 
@@ -63,21 +70,16 @@ class Space:
         self.index = np.zeros((BUCKETS, DIM), np.float32)
         for k in range(NONZERO):
             np.add.at(self.index, (np.arange(BUCKETS), self.at[:, k]), self.sign[:, k])
-        self.known: dict[str, tuple[int, int]] = {}
+        self.known = _Known()
 
     def numbers(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Bucket and shape bucket of every word of a text."""
         known = self.known
         if len(known) > MAX_KNOWN:
             known.clear()
-        out = []
-        for w in (text or "").split():
-            pair = known.get(w)
-            if pair is None:
-                pair = known[w] = (_hash(w), _hash("\x00" + shape(w)))
-            out.append(pair)
-        both = np.array(out, np.int64).reshape(-1, 2)
-        return both[:, 0], both[:, 1]
+        words = (text or "").split()
+        codes = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        return codes // BUCKETS, codes % BUCKETS
 
     def add_neighbours(self, sums: np.ndarray, words: np.ndarray) -> None:
         """Add to each word's row the index vectors of the words before and after it."""
@@ -233,6 +235,15 @@ def fold_of(id_column: Column) -> Column:
 
 
 def _sample(rows: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``limit`` rows of the smallest hashes of the id.  A bound on the hash is found by
+    counting first, so that the tasks do not send ``limit`` rows each."""
+    total, share = rows.count(), 1.0
+    if total > limit:
+        share = 1.1 * limit / total
+        below = lambda s: rows.where(F.xxhash64("id") < F.lit(-(1 << 63) + int(s * (1 << 64))))
+        while share < 1 and below(share).count() < limit:
+            share *= 2
+        rows = below(share) if share < 1 else rows
     got = rows.orderBy(F.xxhash64("id"), "id", "vector").limit(limit).select("vector", "label").collect()
     x = np.array([np.frombuffer(r["vector"], np.float32) for r in got], np.float64).reshape(len(got), 4 * DIM + 4)
     return x, np.array([r["label"] for r in got], np.float64)
