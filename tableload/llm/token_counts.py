@@ -98,7 +98,7 @@ def count_tokens(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_c
     schema = T.StructType([source.schema["id"], T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, codes, known = PrefixCounter(pieces), bigram_codes(pieces), {}
+        counter, codes, known, found = PrefixCounter(pieces), bigram_codes(pieces), {}, {}
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -107,9 +107,12 @@ def count_tokens(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_c
                 words = set().union(*found_in)
                 if len(known) > MAX_KNOWN:
                     known.clear()
+                if len(found) > MAX_KNOWN:
+                    found.clear()
                 new = [w for w in words if w not in known]
                 flat, sizes = cut_words(new, codes)
-                found = counter.counts(set(flat))
+                # new words are mostly made of units that were counted before
+                found.update(counter.counts({u for u in flat if u not in found}))
                 ends = np.concatenate(([0], np.cumsum(np.fromiter(map(found.__getitem__, flat), np.int64, len(flat)))))
                 known.update(zip(new, np.diff(ends[np.concatenate(([0], np.cumsum(sizes)))]).tolist()))
                 sums = [sum(map(known.__getitem__, t)) for t in found_in]
