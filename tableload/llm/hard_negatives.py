@@ -242,18 +242,19 @@ def _above(share: Column) -> Column:
 def fill_windows(index: DataFrame, parameters: dict, queries: DataFrame, windows: DataFrame, same: bool,
                  k: int) -> DataFrame:
     """``threshold_join`` with thresholds that fall, round by round, until every window
-    (query_id, window_id, floor, high) holds ``k`` rows or its threshold is its floor.
+    (query_id, window_id, floor, high, pool) holds ``k`` rows or its threshold is its floor.
 
     A window that holds ``k`` rows above a threshold holds its first ``k`` rows, so its result
-    is final.  Only the number of open windows reaches the driver.
+    is final.  ``pool``, the rows of a fitting label, only guides the thresholds.  Only whether
+    windows are open reaches the driver.
     """
-    n = max(parameters["rows"], 1)
     open_ = cut_lineage(windows.join(cut_lineage(_expected(parameters, queries)), "query_id"))
     done, aim = None, AIM * k
     while True:
-        share = F.least(_tail((F.col("high") - F.col("mean")) / F.col("deviation")) + aim / n, F.lit(1.0))
+        wanted = F.lit(float(aim)) / F.greatest(F.col("pool"), F.lit(1))
+        share = F.least(_tail((F.col("high") - F.col("mean")) / F.col("deviation")) + wanted, F.lit(1.0))
         guess = F.floor(F.col("mean") + F.col("deviation") * _above(share))
-        low = F.lit(None).cast("long") if aim >= n else F.when(share < 0.5, F.least(guess, F.col("high")))
+        low = F.when(share < 0.5, F.least(guess, F.col("high")))
         asked = cut_lineage(open_.withColumn("low", F.greatest(F.col("floor"), F.coalesce(low, F.col("floor")))))
         found = cut_lineage(threshold_join(index, parameters, queries, asked, same, k))
         full = found.groupBy("query_id", "window_id").agg(F.count(F.lit(1)).alias("n"))
@@ -295,13 +296,16 @@ def mine(vectors: DataFrame, is_query: Column | None = None, label: Column | Non
     index, parameters = build_index(rows, shard_rows)
     chosen = F.col("id") % 100 == 0 if is_query is None else is_query
     queries = cut_lineage(index.where(chosen).select("id", "label", "v"))
+    sizes = index.groupBy(F.col("label").alias("_label")).agg(F.count(F.lit(1)).alias("alike"))
+    pools = cut_lineage(queries.join(sizes, F.col("label") == F.col("_label")).select(F.col("id").alias("query_id"), "alike"))
     limit = (1 << 63) - 1
-    same = fill_windows(index, parameters, queries, queries.select(
-        F.col("id").alias("query_id"), F.lit(0).cast("long").alias("window_id"), F.lit(0).cast("long").alias("floor"),
-        F.lit(limit).alias("high")), True, positives)
+    same = fill_windows(index, parameters, queries, pools.select(
+        "query_id", F.lit(0).cast("long").alias("window_id"), F.lit(0).cast("long").alias("floor"),
+        F.lit(limit).alias("high"), F.col("alike").alias("pool")), True, positives)
     pairs = cut_lineage(same.select("query_id", F.col("id").alias("window_id"), F.col("score").alias("positive_score")))
-    windows = pairs.select("query_id", "window_id", _percent(F.col("positive_score"), low_percent, 99).alias("floor"),
-                           _percent(F.col("positive_score"), high_percent, 0).alias("high"))
+    windows = pairs.join(pools, "query_id").select(
+        "query_id", "window_id", _percent(F.col("positive_score"), low_percent, 99).alias("floor"),
+        _percent(F.col("positive_score"), high_percent, 0).alias("high"), (F.lit(parameters["rows"]) - F.col("alike")).alias("pool"))
     found = fill_windows(index, parameters, queries, windows, False, negatives)
     return found.join(pairs, ["query_id", "window_id"]).select(
         F.col("query_id").alias("anchor_id"), F.col("window_id").alias("positive_id"), "rank",
