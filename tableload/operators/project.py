@@ -142,6 +142,43 @@ def project_mapped(df: DataFrame, columns: list[ColumnSpec], truncate: bool = Tr
                        for c, n in zip(cols, names)])
 
 
+_UNBOUNDED = ("numeric", "decimal")
+_MAX_DIGITS = 38
+_NUMBER = r"^\s*[+-]?0*([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,6}))?\s*$"
+
+
+def sized_numerics(df: DataFrame, columns: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+    """``columns`` (name, declared type) with every unbounded ``numeric`` sized by the data:
+    ``numeric(p,s)`` with the digits that its longest values need before and after the point.
+
+    The source database holds any number of digits; a Spark decimal holds 38, split once for
+    the whole column, and the default split (20 and 18) fails on longer integers.  One pass
+    finds the sizes of all columns.  Values that are no numbers do not count (the cast reports
+    them).  A column that needs more than 38 digits in all raises: declare it as ``text``.
+    """
+    wide = [c for c, t in columns if t.strip().lower() in _UNBOUNDED]
+    if not wide:
+        return list(columns)
+    sizes = []
+    for i, c in enumerate(wide):
+        text = _q(c).cast("string")
+        part = lambda k, text=text: F.regexp_extract(text, _NUMBER, k)
+        power = F.coalesce(part(3).try_cast("int"), F.lit(0))
+        number = text.rlike(_NUMBER) & text.rlike("[0-9]")
+        before, after = F.length(part(1)), F.length(part(2))
+        sizes += [F.max(F.when(number, F.greatest(before + power, F.lit(0)))).alias(f"b{i}"),
+                  F.max(F.when(number, F.greatest(after - power, F.lit(0)))).alias(f"a{i}")]
+    found = df.agg(*sizes).first()
+    out = dict(columns)
+    for i, c in enumerate(wide):
+        before, after = found[f"b{i}"] or 0, found[f"a{i}"] or 0
+        if before + after > _MAX_DIGITS:
+            raise ValueError(f"column {c} needs {before} digits before and {after} after the point, a decimal holds "
+                             f"{_MAX_DIGITS}; declare it as text")
+        out[c] = f"numeric({max(before + after, 1)},{after})"
+    return [(c, out[c]) for c, _ in columns]
+
+
 def cast_problems(df: DataFrame, columns: Sequence[tuple[str, str]]) -> Column:
     """Array of (error_column, error_value, error_type) of the values that do not fit the
     declared types of ``columns`` (name, type); empty for a good row."""

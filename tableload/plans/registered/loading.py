@@ -59,8 +59,8 @@ def q_scan_delimited(spark, d):
     docs = table(spark, d, "documents").select(
         "doc_id", "text", F.expr("nullif(lang, 'en')").alias("lang"), "source", "n_chars")
     path = scratch_path(spark, "copytext")
-    to_text_lines(docs).write.text(path)
-    return scan_delimited(spark, path, DOC_COLUMNS)
+    to_text_lines(docs).write.text(path)                 # escapes line breaks and writes no end marker
+    return scan_delimited(spark, path, DOC_COLUMNS, plain=True)
 
 
 def _text_with_breaks(spark, d) -> str:
@@ -190,7 +190,16 @@ FROM (SELECT r_regionkey, r_name, count(*) FILTER (WHERE c_acctbal < 0) AS n, co
       GROUP BY r_regionkey, r_name)
 WHERE 11 * n > all_of_it""")
 def q_run_log(spark, d):
-    # the steps whose region has more than one customer in eleven below zero fail
+    log = _balance_log(spark, d)
+    order = Window.orderBy("ordinal")                                # the log: one row per failed step
+    runs = log.select("run_id").distinct().agg(F.count(F.lit(1)).alias("runs"))
+    return log.select(F.row_number().over(order).alias("place"), "operation", "schema_name", "object_name", "failed_sql",
+                      F.regexp_extract("error_message", r"[A-Z][A-Z ]+: \d+ customers below zero", 0).alias("error"),
+                      F.col("log_time").isNotNull().alias("timed")).join(F.broadcast(runs), F.lit(True))
+
+
+def _balance_log(spark, d):
+    """Log of one step per region; those with more than one customer in eleven below zero fail."""
     nations, customers = table(spark, d, "nation"), table(spark, d, "customer")
 
     def step(r):
@@ -202,12 +211,7 @@ def q_run_log(spark, d):
         return Step("check balances", r["r_name"], run, "sales", f"customers of region {r['r_regionkey']}")
 
     regions = table(spark, d, "region").orderBy("r_regionkey").collect()
-    _, log = run_logged(spark, [step(r) for r in regions])
-    order = Window.orderBy("ordinal")                                # the log: one row per failed step
-    runs = log.select("run_id").distinct().agg(F.count(F.lit(1)).alias("runs"))
-    return log.select(F.row_number().over(order).alias("place"), "operation", "schema_name", "object_name", "failed_sql",
-                      F.regexp_extract("error_message", r"[A-Z][A-Z ]+: \d+ customers below zero", 0).alias("error"),
-                      F.col("log_time").isNotNull().alias("timed")).join(F.broadcast(runs), F.lit(True))
+    return run_logged(spark, [step(r) for r in regions])[1]
 
 
 BAD_PART_COLUMNS = [ColumnSpec("p_partkey", "bigint", 1), ColumnSpec("p_brand", "int", 2)]
@@ -246,6 +250,18 @@ def q_materialize_many(spark, d):
     return out
 
 
+@query("failure_tally_regions", """
+SELECT 'check balances' AS operation, CAST(count(*) AS BIGINT) AS failures FROM (
+  SELECT r_regionkey FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey
+  GROUP BY r_regionkey HAVING 11 * count(*) FILTER (WHERE c_acctbal < 0) > count(*)) HAVING count(*) > 0
+UNION ALL
+SELECT 'total', CAST(count(*) AS BIGINT) FROM (
+  SELECT r_regionkey FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey
+  GROUP BY r_regionkey HAVING 11 * count(*) FILTER (WHERE c_acctbal < 0) > count(*))""")
+def q_failure_tally_regions(spark, d):
+    return failure_tally(_balance_log(spark, d))
+
+
 @query("failure_tally", """
 SELECT 'materialize table' AS operation, CAST(1 AS BIGINT) AS failures
 UNION ALL SELECT 'total', CAST(1 AS BIGINT)""")
@@ -282,6 +298,21 @@ def _part_text(spark, d):
 PART_CASTS = [("size_txt", "int"), ("brand_no", "integer"), ("name", "varchar(10)")]
 
 
+@query("cast_sized_numeric", """
+SELECT l_orderkey, l_linenumber, CAST(CAST(CAST(l_orderkey AS VARCHAR) || repeat('7', 24) AS DECIMAL(38,0)) AS VARCHAR) AS wide,
+       CAST(CAST('-0.' || l_linenumber || repeat('0', 24) || '5' AS DECIMAL(38,26)) AS VARCHAR) AS fine
+FROM lineitem""")
+def q_cast_sized_numeric(spark, d):
+    # numbers that the default split of an unbounded numeric cannot hold
+    raw = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.concat(F.col("l_orderkey").cast("string"), F.repeat(F.lit("7"), 24)).alias("wide"),
+        F.concat(F.lit("-0."), F.col("l_linenumber").cast("string"), F.lit("0" * 24 + "5")).alias("fine"))
+    sized = project.sized_numerics(raw, [("wide", "numeric"), ("fine", "decimal")])
+    done = project.cast_checked(raw, sized)
+    return done.select("l_orderkey", "l_linenumber", F.col("wide").cast("string").alias("wide"),
+                       F.col("fine").cast("string").alias("fine"))
+
+
 @query("cast_fail_mode", """
 SELECT p_partkey, p_brand AS brand, CAST(p_size AS INTEGER) AS size, CAST(round(p_retailprice, 1) AS DOUBLE) AS price FROM part""")
 def q_cast_fail_mode(spark, d):

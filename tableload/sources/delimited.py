@@ -66,10 +66,10 @@ def decode_text_field(raw: Column) -> Column:
     # rare, so the regular expression only runs where a backslash is left
     v = F.when(F.instr(v, "\\") > 0, F.regexp_replace(v, r"(?s)\\(.)", "$1")).otherwise(v)
     v = F.replace(v, F.lit(_HOLD), F.lit("\\"))
-    return (F.when(raw == F.lit(NULL_MARKER), F.lit(None).cast("string"))
+    return (F.when(F.instr(raw, "\\") == 0, raw)                 # most fields: no regular expression runs
+            .when(raw == F.lit(NULL_MARKER), F.lit(None).cast("string"))
             .when(raw.rlike(_BYTE_ESCAPE), _decode_bytes(raw))
-            .when(F.instr(raw, "\\") > 0, v)
-            .otherwise(raw))
+            .otherwise(v))
 
 
 _SPECIAL = "[\\\\" + "".join(c for _, c in ESCAPES) + "]"

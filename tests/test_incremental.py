@@ -158,3 +158,20 @@ def test_excess_spaces_are_cut_and_nothing_else(spark):
     assert rows(fine) == rows(good)
     with pytest.raises(Exception, match="invalid input"):
         project.cast_checked(df, [("v", "varchar(3)")]).collect()
+
+
+def test_unbounded_numerics_are_sized_by_the_data(spark):
+    texts = ["123456789012345678901234567890", "-0.00000001", "1e3", "12.5e-3", None, "+007", ".5", "5."]
+    df = spark.createDataFrame([(t, "x") for t in texts], "v string, w string")
+    sized = project.sized_numerics(df, [("v", "numeric"), ("w", "text")])
+    assert sized == [("v", "numeric(38,8)"), ("w", "text")]
+    got = [r["v"] for r in project.cast_checked(df, sized).collect()]
+    assert [None if x is None else format(x, "f").rstrip("0").rstrip(".") for x in got] == \
+        ["123456789012345678901234567890", "-0.00000001", "1000", "0.0125", None, "7", "0.5", "5"]
+    with pytest.raises(Exception, match="invalid input"):
+        project.cast_checked(df, [("v", "numeric")]).collect()
+    assert project.sized_numerics(df.limit(0), [("v", "numeric")]) == [("v", "numeric(1,0)")]
+    good, bad = project.cast_checked(df, project.sized_numerics(df, [("w", "numeric")]), on_error="quarantine")
+    assert good.count() == 0 and bad.count() == len(texts)
+    with pytest.raises(ValueError, match="31 digits before and 8"):
+        project.sized_numerics(df.unionByName(df.selectExpr("concat('1', v) AS v", "w").filter("length(v) > 20")), [("v", "numeric")])
