@@ -144,7 +144,6 @@ def project_mapped(df: DataFrame, columns: list[ColumnSpec], truncate: bool = Tr
 
 _UNBOUNDED = ("numeric", "decimal")
 _MAX_DIGITS = 38
-_NUMBER = r"^\s*[+-]?0*([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,6}))?\s*$"
 
 
 def sized_numerics(df: DataFrame, columns: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
@@ -162,10 +161,15 @@ def sized_numerics(df: DataFrame, columns: Sequence[tuple[str, str]]) -> list[tu
     sizes = []
     for i, c in enumerate(wide):
         text = _q(c).cast("string")
-        part = lambda k, text=text: F.regexp_extract(text, _NUMBER, k)
-        power = F.coalesce(part(3).try_cast("int"), F.lit(0))
-        number = text.rlike(_NUMBER) & text.rlike("[0-9]")
-        before, after = F.length(part(1)), F.length(part(2))
+        number = F.abs(text.try_cast("double")) < float("inf")
+        digits = F.lower(F.ltrim(F.trim(text), F.lit("+-0")))           # sign and leading zeros need no digit
+        power_at = F.instr(digits, "e")
+        power = F.when(power_at > 0, F.coalesce(F.substring(digits, power_at + 1, F.length(digits)).try_cast("int"), F.lit(0))) \
+            .otherwise(0)
+        mantissa = F.when(power_at > 0, F.substring(digits, F.lit(1), power_at - 1)).otherwise(digits)
+        point = F.instr(mantissa, ".")
+        before = F.when(point > 0, point - 1).otherwise(F.length(mantissa))
+        after = F.when(point > 0, F.length(mantissa) - point).otherwise(0)
         sizes += [F.max(F.when(number, F.greatest(before + power, F.lit(0)))).alias(f"b{i}"),
                   F.max(F.when(number, F.greatest(after - power, F.lit(0)))).alias(f"a{i}")]
     found = df.agg(*sizes).first()
