@@ -9,6 +9,8 @@ asked for more than it has starts over, up to ``max_epochs`` times.  Built-in fu
 The stretch of a document needs a running sum per source.  A source may hold a third of all
 rows, so it is summed in two steps: per (source, bucket of the shuffled order), then over the
 few buckets, then within each bucket.
+
+The mix is range-sorted by the positions: documents by their first draw, draws each by its own.
 """
 
 from __future__ import annotations
@@ -85,18 +87,9 @@ def targets(sizes: DataFrame, weights: list[float], share: float = MIX_SHARE, ma
         .select("source", "source_size", "kind", "target")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        curriculum=CURRICULUM, share: float = MIX_SHARE, max_epochs: int = MAX_EPOCHS, buckets: int = BUCKETS,
-        keep_rows: bool = True) -> DataFrame:
-    """Every row (struct ``_row`` of all its columns, or only its id) with size, source_size,
-    target, taken (words drawn, repeats counted) and ``positions`` (training position of each
-    draw, in 0 to 1).
-
-    Defined results: null and blank texts have size 0, are never drawn and have no position;
-    a null source is a source of its own; documents are drawn in an order fixed by a digest
-    of the id, so reruns agree (repeated rows are drawn one after the other); an empty table
-    gives an empty result.
-    """
+def _draws(docs: DataFrame, id_col: str, text_col: str, source_col: str, curriculum, share: float, max_epochs: int,
+           buckets: int, keep_rows: bool) -> DataFrame:
+    """Every row with ``draws``, an array of (training position, words drawn)."""
     weights = [integral(k) for k in curriculum]
     carried = docs.columns if keep_rows else [id_col]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("_row"),
@@ -117,26 +110,45 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     placed = rows.withColumn("offset", F.coalesce(F.sum("size").over(within), F.lit(0)))
     placed = placed.join(starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket")))
     demand = F.round("target").cast("long")
-    begin = lambda epoch: F.col("start") + F.col("offset") + epoch * F.col("source_size")
-    drawn = lambda epoch: F.greatest(F.lit(0), F.least(F.col("size"), demand - begin(epoch)))
-    taken, positions = F.lit(0).cast("long"), []
+    draws = []
     for epoch in range(max_epochs):
-        taken = taken + drawn(epoch)
-        part = begin(epoch).cast("double") / demand
+        begin = F.col("start") + F.col("offset") + epoch * F.col("source_size")
+        part = begin.cast("double") / demand
         time = invert_demand(curriculum[-1], part)
         for k, knots in reversed(list(enumerate(curriculum[:-1]))):
             time = F.when(F.col("kind") == k, invert_demand(knots, part)).otherwise(time)
-        positions.append(F.when(drawn(epoch) > 0, time))
-    return placed.select("_row", "size", "source_size", "target", taken.alias("taken"),
-                         F.filter(F.array(*positions), lambda p: p.isNotNull()).alias("positions"))
+        words = F.greatest(F.lit(0), F.least(F.col("size"), demand - begin))
+        draws.append(F.when(words > 0, F.struct(time.alias("position"), words.cast("long").alias("words"))))
+    return placed.select("_row", "size", "source_size", "target", F.filter(F.array(*draws), lambda d: d.isNotNull()).alias("draws"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        curriculum=CURRICULUM, share: float = MIX_SHARE, max_epochs: int = MAX_EPOCHS, buckets: int = BUCKETS,
+        keep_rows: bool = True) -> DataFrame:
+    """Every row (struct ``_row`` of all its columns, or only its id) with size, source_size,
+    target, taken (words drawn, repeats counted) and ``positions`` (training position of each
+    draw, in 0 to 1), range-sorted by the first position; rows that are not drawn come last.
+
+    Defined results: null and blank texts have size 0, are never drawn and have no position;
+    a null source is a source of its own; documents are drawn in an order fixed by a digest
+    of the id, so reruns agree (repeated rows are drawn one after the other); an empty table
+    gives an empty result.
+    """
+    drawn = _draws(docs, id_col, text_col, source_col, curriculum, share, max_epochs, buckets, keep_rows)
+    drawn = drawn.orderBy(F.get(F.col("draws"), F.lit(0))["position"].asc_nulls_last(), F.col(f"_row.`{id_col}`"))
+    return drawn.select("_row", "size", "source_size", "target",
+                        F.aggregate("draws", F.lit(0).cast("long"), lambda sum_, d: sum_ + d["words"]).alias("taken"),
+                        F.col("draws.position").alias("positions"))
 
 
 def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                   **options) -> DataFrame:
+                   curriculum=CURRICULUM, share: float = MIX_SHARE, max_epochs: int = MAX_EPOCHS, buckets: int = BUCKETS,
+                   keep_rows: bool = True) -> DataFrame:
     """The mix itself: one row per draw (all columns of ``docs``), range-sorted by training
     position.  Documents that are not drawn are absent; one drawn twice appears twice.
 
     Rows are whole documents: a source passes its target by the rest of its last document,
     of which ``taken`` counts only the words within the target."""
-    drawn = mix(docs, id_col, text_col, source_col, **options).select("_row", F.explode("positions").alias("_position"))
+    drawn = _draws(docs, id_col, text_col, source_col, curriculum, share, max_epochs, buckets, keep_rows)
+    drawn = drawn.select("_row", F.explode("draws.position").alias("_position"))
     return drawn.orderBy("_position", F.col(f"_row.`{id_col}`")).select("_row.*")

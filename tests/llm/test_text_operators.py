@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tableload.llm import (components, html_main, lattice, mixing, onebit_ann, pieces, pii, quality_model, quality_rules,
+from tableload.llm import (components, html_main, lattice, mixing, onebit_ann, pieces, pii, quality_model, quality_rules, registered,
                            simhash, suffix_dedup, token_counts)
 from tableload.llm.registered import PIECE_MODEL
 
@@ -173,6 +173,16 @@ def test_training_order_passes_targets_by_less_than_a_document(spark, mixed):
     assert all(-1 <= words[s] - target[s] < longest[s] + 1 for s in target)
 
 
+def test_mix_is_sorted_by_the_inverted_demand(spark, mixed, tmp_path):
+    docs = documents(spark, mixed).repartition(5)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    first = [r["positions"][0] if r["positions"] else 2.0 for r in mixing.mix(docs, buckets=16).collect()]
+    assert first == sorted(first) and len(set(first)) > 10
+    # the query makes the positions too and returns its rows in their order
+    wanted = [r[0] for r in mixing.mix(docs).select("_row.doc_id").collect()]
+    assert [r["doc_id"] for r in registered.QUERIES["op4_source_mixing"](spark, str(tmp_path)).collect()] == wanted
+
+
 def test_demand_is_inverted(spark):
     knots = mixing.CURRICULUM[2]
     part = [i / 20 for i in range(21)]
