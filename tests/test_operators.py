@@ -375,6 +375,21 @@ def test_upsert_refuses_duplicate_source_keys(spark):
 
 # --------------------------------------------------------------------------- integrity
 
+def test_unique_source_keys_are_checked_by_hash(spark, monkeypatch):
+    def keyed(*ks):
+        return spark.createDataFrame([(k, d) for k, d in ks], "k string, d double")
+    whole, seen = upsert.duplicate_keys, []
+    monkeypatch.setattr(upsert, "duplicate_keys", lambda *a: seen.append(1) or whole(*a))
+    # keys that differ are never grouped whole; a NULL part is no key
+    upsert.require_unique_source(keyed(("a", 1.0), ("a", 2.0), ("b", 1.0), (None, 1.0), (None, 1.0)), ["k", "d"])
+    upsert.require_unique_source(keyed(), ["k", "d"])
+    assert not seen
+    for twice in ([("a", 1.0)] * 2, [("a", 0.0), ("a", -0.0)], [("a", float("nan"))] * 2):
+        with pytest.raises(ValueError, match="duplicate"):
+            upsert.require_unique_source(keyed(("b", 1.0), *twice), ["k", "d"])
+    assert len(seen) == 3
+
+
 def test_primary_key_nulls_and_duplicates(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (2, None), (3, 1)], "a int, b int")
     got = rows(integrity.primary_key_violations(df, ["a", "b"]), "a", "b", "rows", "reason")
