@@ -23,6 +23,7 @@ input has to be a stored table (or checkpointed); a block whose halves differ is
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ from .token_counts import PrefixCounter
 
 #: UTF-8 bytes of text in a block
 BLOCK_BYTES = 8 << 20
+#: words of a block that are cut into units at a time
+WORDS_CUT = 20_000
 #: documents in an outgoing batch
 DOCUMENTS_OUT = 256
 #: the folds grow with the square of a unit's length (and more); longer units, hardly ever met,
@@ -68,9 +71,13 @@ class _Blocks:
         """(block, distinct units in order, units of all words, units per word)"""
         block, self.seq = self.base | self.seq, self.seq + 1
         numbers: dict[str, int] = {}
-        flat, sizes = cut_words(list(self.words), self.bigrams)
-        of_word = np.fromiter((numbers.setdefault(u, len(numbers)) for u in flat), np.int32, len(flat))
-        return block, list(numbers), of_word, sizes
+        words, of_word, sizes = iter(self.words), [], []
+        while part := list(islice(words, WORDS_CUT)):
+            flat, n = cut_words(part, self.bigrams)
+            of_word.append(np.fromiter((numbers.setdefault(u, len(numbers)) for u in flat), np.int32, len(flat)))
+            sizes.append(n)
+        none = [np.empty(0, np.int32)]
+        return block, list(numbers), np.concatenate(of_word or none), np.concatenate(sizes or none)
 
     def run(self, batches: Iterator[pa.RecordBatch], emit):
         for batch in batches:
@@ -88,7 +95,9 @@ def edges(distinct_units: DataFrame, piece_table: DataFrame, longest: int) -> Da
     (start and end, packed) to (score, id) for those of two characters or more, and from the
     start for those of one.  A unit without any edge is absent."""
     n = F.char_length("unit")
-    starts = distinct_units.where(n <= LONG_UNIT).select("unit", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+    # no filter on the unit: it would move below the units' exchange, which could then not be shared
+    places = F.when(n <= LONG_UNIT, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    starts = distinct_units.select("unit", F.explode(places).alias("s"))
     windows = starts.select("unit", "s", F.substring("unit", F.col("s") + 1, F.lit(longest)).alias("w"))
     exploded = windows.select("unit", "s", "w", F.explode(F.sequence(F.lit(1), F.char_length("w"))).alias("size"))
     exploded = exploded.select("unit", "s", "size", (F.col("s").cast("long") * _WIDE + F.col("s") + F.col("size")).alias("place"),
@@ -217,7 +226,7 @@ def _put_together(kind: pa.DataType, pieces: Pieces):
             blocks, numbers, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
             flat = np.array(lists.values, np.int32)
             offsets, long = np.array(lists.offsets), batch.column(3)
-            flat = flat.copy()
+            is_long = long.is_valid().to_numpy(zero_copy_only=False)
             for r in range(batch.num_rows):
                 if numbers[r] < 0:
                     if head is not None:
@@ -228,7 +237,7 @@ def _put_together(kind: pa.DataType, pieces: Pieces):
                 else:
                     if blocks[r] != block or numbers[r] != len(found):
                         raise RuntimeError("the two passes over a block differ; encode a stored or checkpointed table")
-                    found.append(flat[offsets[r]:offsets[r + 1]] if not long[r].is_valid
+                    found.append(flat[offsets[r]:offsets[r + 1]] if not is_long[r]
                                  else np.array(counter.ids(long[r].as_py()), np.int32))
         if head is not None:
             yield from expand(head, found)
@@ -280,11 +289,14 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
 
     from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
     arrow_head = to_arrow_schema(head_schema)
-    listed = source.mapInArrow(list_units, "block bigint, number int, unit string").repartition(target_partitions(docs.sparkSession), "unit")
-    # both uses of the list need the same columns, so that its exchange is made once
-    distinct = listed.groupBy("unit").agg(F.min(F.struct("block", "number")).alias("first"))
+    unit_schema = T.StructType([T.StructField("block", T.LongType(), False), T.StructField("number", T.IntegerType(), False),
+                                T.StructField("unit", T.StringType(), False)])
+    listed = source.mapInArrow(list_units, unit_schema).repartition(target_partitions(docs.sparkSession), "unit")
+    # all uses of the list need the same columns and no filter below it, so that its exchange is made once
+    distinct = listed.groupBy("unit").agg(F.min("block").alias("block_0"), F.min("number").alias("number_0")) \
+        .where((F.col("block_0") >= 0) & (F.col("number_0") >= 0))
     coded = encode_units(distinct, pieces)
-    entries = listed.join(coded, "unit").where(F.struct("block", "number") >= F.col("first")) \
+    entries = listed.join(coded, "unit") \
         .select("block", "number", "ids", F.when(F.col("ids").isNull(), F.col("unit")).alias("long"),
                 F.lit(None).cast(head).alias("head"))
     heads = source.mapInArrow(list_documents, head_schema)

@@ -233,6 +233,24 @@ def test_tokens_equal_the_library(spark, model, mixed):
     assert {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(docs, model).collect()} == {i: len(x) for i, x in want.items()}
 
 
+def test_units_are_listed_once_and_cut_in_parts(spark, model, mixed, monkeypatch):
+    out = lattice.encode(documents(spark, mixed), model)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final and final.count("MapInArrow list_units") == 1
+    # words of a block are cut in parts without changing the units
+    closed = []
+    for part in (lattice.WORDS_CUT, 7):
+        monkeypatch.setattr(lattice, "WORDS_CUT", part)
+        blocks = lattice._Blocks.__new__(lattice._Blocks)
+        blocks.bigrams, blocks.seq, blocks.base = pieces.bigram_codes(model), 0, 0
+        blocks.clear()
+        for i, text in enumerate(mixed):
+            blocks.add(i, text or "")
+        closed.append([x.tolist() if hasattr(x, "tolist") else x for x in blocks.close()[1:]])
+    assert closed[0] == closed[1] and len(closed[0][0]) > 7
+
+
 def test_unigram_models_fold_by_viterbi(spark):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as pb
