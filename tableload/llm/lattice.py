@@ -10,10 +10,12 @@ distinct, and each is encoded once:
 * a higher-order aggregate folds them.  For a unigram model the fold is Viterbi: the best
   score of every prefix, then the path back.  For a BPE model the sum of scores does not give
   the model's segmentation, so the fold joins the best-scored edge that bridges two
-  neighbouring symbols, leftmost first, until there is none.
+  neighbouring symbols, leftmost first, until there is none.  Edges come in the order of score
+  and place; unless a piece of the unit is merged from worse-scored ones, one walk does it.
 
-The unit's ids go back to its blocks, where documents are put together.  Characters without a
-piece become byte pieces.
+A unit carries its places (block and number) along; its ids go back to them packed, one row
+per block and task, and the documents are put together there.  Characters without a piece
+become byte pieces.
 
 A document's words never travel one by one: a block's documents are word numbers, packed,
 and its units are rows.  Both passes over the documents must see the same blocks, so the
@@ -23,10 +25,10 @@ input has to be a stored table (or checkpointed); a block whose halves differ is
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -34,13 +36,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import target_partitions
-from .pieces import Pieces, bigram_codes, cut_words, pre_tokens, spaces_inside
+from .pieces import Pieces, bigram_codes, cut_array, plain, pre_tokens, spaces_inside, unordered
 from .token_counts import PrefixCounter
 
 #: UTF-8 bytes of text in a block
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 #: words of a block that are cut into units at a time
 WORDS_CUT = 20_000
+#: places of units whose ids are packed at a time
+PLACES_PACKED = 400_000
+#: units in an outgoing batch
+UNITS_OUT = 20_000
 #: documents in an outgoing batch
 DOCUMENTS_OUT = 256
 #: the folds grow with the square of a unit's length (and more); longer units, hardly ever met,
@@ -58,56 +64,63 @@ class _Blocks:
         self.clear()
 
     def clear(self):
-        self.words, self.ids, self.codes, self.held = {}, [], [], 0
+        self.ids, self.texts, self.held = [], [], 0
 
     def add(self, doc_id, text: str):
-        words = self.words
-        toks = pre_tokens(text)
         self.ids.append(doc_id)
-        self.codes.append(np.fromiter((words.setdefault(w, len(words)) for w in toks), np.int32, len(toks)))
+        # split at spaces, this gives the text's words; null has none
+        self.texts.append(None if not text else text if plain(text) else " ".join(pre_tokens(text)))
         self.held += len(text) + 16
 
     def close(self):
-        """(block, distinct units in order, units of all words, units per word)"""
+        """(block, distinct units in order, units of all words, units per word); ``codes`` are the
+        words of the documents, numbered as they come, and ``sizes`` their counts"""
         block, self.seq = self.base | self.seq, self.seq + 1
-        numbers: dict[str, int] = {}
-        words, of_word, sizes = iter(self.words), [], []
-        while part := list(islice(words, WORDS_CUT)):
-            flat, n = cut_words(part, self.bigrams)
-            of_word.append(np.fromiter((numbers.setdefault(u, len(numbers)) for u in flat), np.int32, len(flat)))
-            sizes.append(n)
-        none = [np.empty(0, np.int32)]
-        return block, list(numbers), np.concatenate(of_word or none), np.concatenate(sizes or none)
+        texts, self.texts = pa.array(self.texts, pa.string()), []
+        split = pc.split_pattern(texts, " ")
+        self.sizes = pc.fill_null(pc.list_value_length(split), 0).to_pylist()
+        words = pc.list_flatten(split)
+        del texts, split                                 # a block's copies are the task's memory
+        words = words.dictionary_encode()
+        self.codes, words = words.indices.to_numpy(), words.dictionary
+        cut = [cut_array(words.slice(at, WORDS_CUT), self.bigrams) for at in range(0, len(words), WORDS_CUT)]
+        units = pa.concat_arrays([flat for flat, _ in cut] or [words]).dictionary_encode()
+        return block, units.dictionary, units.indices.to_numpy(), np.concatenate([n for _, n in cut] or [self.codes])
 
     def run(self, batches: Iterator[pa.RecordBatch], emit):
         for batch in batches:
+            doc_id = text = None
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 self.add(doc_id, text.as_py())
                 if self.held >= BLOCK_BYTES:
                     yield from emit(*self.close())
                     self.clear()
+                    pa.default_memory_pool().release_unused()
+            del batch, doc_id, text                      # or they stay while the next batch is read
         if self.ids:
             yield from emit(*self.close())
 
 
-def edges(distinct_units: DataFrame, piece_table: DataFrame, longest: int) -> DataFrame:
-    """(unit, edges, singles) over all substrings of the unit that are pieces: maps from a place
-    (start and end, packed) to (score, id) for those of two characters or more, and from the
-    start for those of one.  A unit without any edge is absent."""
-    n = F.char_length("unit")
-    # no filter on the unit: it would move below the units' exchange, which could then not be shared
-    places = F.when(n <= LONG_UNIT, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    starts = distinct_units.select("unit", F.explode(places).alias("s"))
-    windows = starts.select("unit", "s", F.substring("unit", F.col("s") + 1, F.lit(longest)).alias("w"))
-    exploded = windows.select("unit", "s", "w", F.explode(F.sequence(F.lit(1), F.char_length("w"))).alias("size"))
-    exploded = exploded.select("unit", "s", "size", (F.col("s").cast("long") * _WIDE + F.col("s") + F.col("size")).alias("place"),
-                               F.substring("w", F.lit(1), F.col("size")).alias("piece"))
+def edges(distinct_units: DataFrame, piece_table: DataFrame, longest: int, edge: Column) -> DataFrame:
+    """The units' rows with ``found``, the list of ``edge`` (of s, the start, size and the piece's
+    columns) over all substrings of the unit that are pieces, and ``odd``: is one of them odd?
+    The piece table has a row for the empty string, which brings the unit's other columns."""
+    unit, others = "unit", [c for c in distinct_units.columns if c != "unit"]
+    n = F.char_length(unit)
+    places = F.when(n <= LONG_UNIT, F.sequence(F.lit(0), n)).otherwise(F.array(n))
+    starts = distinct_units.select("*", F.xxhash64(unit).alias("_hash"), F.explode(places).alias("s"))
+    windows = starts.select("*", F.substring(unit, F.col("s") + 1, F.lit(longest)).alias("w"))
+    exploded = windows.select("*", F.explode(F.sequence(F.lit(1), F.greatest(F.char_length("w"), F.lit(1)))).alias("size"))
+    exploded = exploded.select(unit, *others, "_hash", "s", "size", F.substring("w", F.lit(1), F.col("size")).alias("piece"))
     found = exploded.join(F.broadcast(piece_table), "piece")       # bounded by the model's size
-    return found.groupBy("unit").agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("size") > 1, F.struct(
-            "place", F.struct("score", "id").alias("edge"))))).alias("edges"),
-        F.map_from_entries(F.collect_list(F.when(F.col("size") == 1, F.struct(
-            "s", F.struct("score", "id").alias("edge"))))).alias("singles"))
+    at_end = F.col("piece") == ""
+    # the other columns in one row of a unit only
+    found = found.select("_hash", unit, *[F.when(at_end, F.col(c)).alias(c) for c in others],
+                         F.when(~at_end, edge).alias("edge"), "odd")
+    # by hash first: rows come in this order, and whole strings are hardly compared
+    return found.groupBy("_hash", unit).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in others],
+        F.collect_list("edge").alias("found"), F.max("odd").alias("odd"))
 
 
 def _edge(start: Column, end: Column) -> Column:
@@ -123,16 +136,66 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _bits(low: Column, size: Column) -> Column:
+    """A long with ``size`` bits from bit ``low`` on; bit 64 is bit 0."""
+    one = lambda by: F.call_function("shiftleft", F.lit(1).cast("long"), by.cast("int"))
+    return F.call_function("shiftleft", one(size) - 1, low.cast("int"))
+
+
+class _Merge:
+    """A BPE edge, packed into a long that sorts by rank (of the score), then start: 20 bits of
+    rank, 6 of start, 6 of the size less one, 20 of the id.  ``gone`` has a bit for every place
+    between characters (from 1 on) that lies inside a symbol."""
+
+    def __init__(self, code: Column):
+        self.start, more = _field(code, 26, 63), _field(code, 20, 63)
+        self.id = _field(code, 0, (1 << 20) - 1)
+        self.inside, self.more = _bits(self.start + 1, more), more
+        self.ends = _bits(self.start, F.lit(1)).bitwiseOR(_bits(self.start + more + 1, F.lit(1)))
+
+    @staticmethod
+    def packed() -> Column:
+        s, more = F.col("s").cast("long"), F.col("size").cast("long") - 1
+        return F.col("rank") * (1 << 32) + s * (1 << 26) + more * (1 << 20) + F.col("id")
+
+    def bridges(self, gone: Column) -> Column:
+        return (gone.bitwiseAND(self.ends) == 0) & (F.bit_count(gone.bitwiseAND(self.inside)) == self.more - 1)
+
+    def stands(self, gone: Column) -> Column:
+        return (gone.bitwiseAND(self.ends) == 0) & (gone.bitwiseAND(self.inside) == self.inside)
+
+
+def _field(code: Column, at: int, mask: int) -> Column:
+    return (F.shiftright(code, at) if at else code).bitwiseAND(F.lit(mask).cast("long"))
+
+
 def fold_merges(n: Column) -> Column:
-    """BPE: bounds of the symbols left when no edge bridges two neighbours any more."""
-    def step(bounds: Column, _: Column) -> Column:
-        bridges = F.transform(F.sequence(F.lit(0), F.greatest(F.size(bounds) - 3, F.lit(0))), lambda i: F.struct(
-            _edge(F.get(bounds, i), F.get(bounds, i + 2))["score"].alias("score"), (-i).alias("at")))
-        return _let(F.array_max(bridges), lambda best: F.when(best["score"].isNull(), bounds).otherwise(
-            F.concat(F.slice(bounds, F.lit(1), 1 - best["at"]),
-                     F.slice(bounds, 3 - best["at"], F.size(bounds)))))
-    start = F.sequence(F.lit(0), n)
-    return F.when(n > 1, F.aggregate(F.sequence(F.lit(2), n), start, step)).otherwise(start)
+    """BPE: the places that are gone when no edge bridges two neighbouring symbols any more."""
+    none = F.lit(0).cast("long")
+
+    def walk(gone: Column, code: Column) -> Column:
+        edge = _Merge(code)
+        return F.when(edge.bridges(gone), gone.bitwiseOR(edge.inside)).otherwise(gone)
+
+    def best(gone: Column, _: Column) -> Column:
+        first = F.get(F.filter("found", lambda code: _Merge(code).bridges(gone)), F.lit(0))
+        return F.coalesce(_let(first, lambda code: gone.bitwiseOR(_Merge(code).inside)), gone)
+    return F.when(F.col("odd"), F.aggregate(F.sequence(F.lit(1), n), none, best)) \
+        .otherwise(F.aggregate("found", none, walk))
+
+
+def merged_ids(n: Column, as_bytes) -> Column:
+    """BPE: ids of the symbols that ``gone`` leaves."""
+    symbols = F.filter("found", lambda code: _Merge(code).stands(F.col("gone")))
+    symbols = F.array_sort(F.transform(symbols, lambda code: _field(code, 0, (1 << 32) - 1)))
+    ids = lambda codes: F.transform(codes, lambda code: _Merge(code).id.cast("int"))
+
+    def at(i: Column, codes: Column) -> Column:
+        own = ids(F.filter(codes, lambda code: _Merge(code).start == i))
+        return F.when(F.col("gone").bitwiseAND(_bits(i, F.lit(1))) != 0, F.array().cast("array<int>")) \
+            .when(F.size(own) > 0, own).otherwise(as_bytes(i, F.lit(1)))
+    return _let(symbols, lambda codes: F.when(F.size(codes) == n - F.bit_count("gone"), ids(codes))
+                .otherwise(F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: at(i, codes)))))
 
 
 def fold_viterbi(n: Column, longest: int, unknown: float) -> Column:
@@ -162,25 +225,41 @@ def encode_units(distinct_units: DataFrame, pieces: Pieces) -> DataFrame:
     """``distinct_units`` (non-empty, one row each) with ``ids``: the lattice, folded; null for
     units beyond ``LONG_UNIT`` characters."""
     spark = distinct_units.sparkSession
-    table = spark.createDataFrame([(p, float(pieces.scores[p]), i) for p, i in pieces.ids.items()],
-                                  "piece string, score double, id int")
-    n = F.char_length("unit")
-    bounds = fold_merges(n) if pieces.kind == "bpe" else \
-        fold_viterbi(n, pieces.longest, min(pieces.scores.values(), default=0.0) - 10.0)
-    found = edges(distinct_units, table, pieces.longest).withColumnRenamed("unit", "_unit")
-    folded = distinct_units.join(found, F.col("unit") == F.col("_unit"), "left") \
-        .select(*distinct_units.columns, "edges", "singles", F.when(n <= LONG_UNIT, bounds).alias("bounds"))
     zero = pieces.bytes_at[0]
     if any(pieces.bytes_at[b] != zero + b for b in range(256)):
         raise ValueError("byte pieces must have consecutive ids")
+    bpe = pieces.kind == "bpe"
+    odd = unordered(pieces.scores) if bpe else set()
+    ranks = {score: i for i, score in enumerate(sorted({s for p, s in pieces.scores.items() if len(p) > 1}, reverse=True))}
+    rank = lambda p: ranks[pieces.scores[p]] if len(p) > 1 else len(ranks)
+    table = spark.createDataFrame([("", None, None, None, None)] + [(p, float(pieces.scores[p]), i, rank(p), p in odd)
+                                                                    for p, i in pieces.ids.items() if p],
+                                  "piece string, score double, id int, rank long, odd boolean")
+    n = F.char_length("unit")
+
+    def as_bytes(start: Column, size: Column) -> Column:
+        code = F.hex(F.encode(F.substring("unit", start + 1, size), "UTF-8"))
+        return F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)),
+                           lambda at: (F.conv(F.substring(code, at, F.lit(2)), 16, 10).cast("int") + zero))
+    short = n <= LONG_UNIT
+    if bpe:
+        found = edges(distinct_units, table, pieces.longest, _Merge.packed()) \
+            .withColumns({"found": F.sort_array("found"), "odd": F.coalesce("odd", F.lit(False))}) \
+            .withColumn("gone", F.when(short, fold_merges(n)))
+        return found.select(*distinct_units.columns, F.when(F.col("gone").isNotNull(), merged_ids(n, as_bytes)).alias("ids"))
+    place = F.col("s").cast("long") * _WIDE + F.col("s") + F.col("size")
+    listed = edges(distinct_units, table, pieces.longest, F.struct(place.alias("place"), "s", "size", "score", "id"))
+
+    def table_of(where, key: str) -> Column:
+        return F.map_from_entries(F.transform(F.filter("found", where), lambda e: F.struct(
+            e[key].alias("key"), F.struct(e["score"].alias("score"), e["id"].alias("id")).alias("edge"))))
+    folded = listed.withColumns({"edges": table_of(lambda e: e["size"] > 1, "place"), "singles": table_of(lambda e: e["size"] == 1, "s")}) \
+        .withColumn("bounds", F.when(short, fold_viterbi(n, pieces.longest, min(pieces.scores.values(), default=0.0) - 10.0)))
 
     def piece_ids(i: Column) -> Column:
         start, end = F.get(F.col("bounds"), i), F.get(F.col("bounds"), i + 1)
         known = F.when(end == start + 1, _single(start)["id"]).otherwise(_edge(start, end)["id"])
-        code = F.hex(F.encode(F.substring("unit", start + 1, end - start), "UTF-8"))
-        as_bytes = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)),
-                               lambda at: (F.conv(F.substring(code, at, F.lit(2)), 16, 10).cast("int") + zero))
-        return F.when(known.isNotNull(), F.array(known)).otherwise(as_bytes)
+        return F.when(known.isNotNull(), F.array(known)).otherwise(as_bytes(start, end - start))
     return folded.select(*distinct_units.columns, F.when(F.col("bounds").isNotNull(), F.flatten(F.transform(
         F.sequence(F.lit(0), F.size("bounds") - 2), piece_ids))).alias("ids"))
 
@@ -192,21 +271,86 @@ def _ragged(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def _first_seen(numbers: np.ndarray) -> np.ndarray:
+    """Numbers given in the order of first sight, with 0 for a new one."""
+    numbers = numbers.astype(np.int64)
+    before = np.maximum.accumulate(np.concatenate(([-1], numbers)))[:-1]
+    return np.where(numbers > before, 0, numbers + 1)
+
+
+def _seen_first(coded: np.ndarray) -> np.ndarray:
+    new = coded == 0
+    return np.where(new, np.cumsum(new) - 1, coded - 1).astype(np.int32)
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Compressed, byte by byte: the upper ones are mostly zero."""
+    planes = np.asarray(numbers, np.int32).view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.int32).ravel()
+
+
+def _pack_ids(pieces: Pieces):
+    """Rows of units with their places and ids -> a row per block: how many units, their numbers
+    (differences), how many ids each has, and the ids, packed."""
+    def out(blocks, numbers, lens, starts, flat):
+        order = np.lexsort((numbers, blocks))
+        blocks, numbers, lens, starts = blocks[order], numbers[order], lens[order], starts[order]
+        heads = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1])))
+        packed = []
+        for a, b in zip(heads.tolist(), np.append(heads[1:], len(blocks)).tolist()):
+            ids = flat[_ragged(lens[a:b], starts[a:b])]
+            packed.append(_pack(np.concatenate(([b - a], np.diff(numbers[a:b], prepend=0), lens[a:b], ids))))
+        return pa.RecordBatch.from_arrays([pa.array(blocks[heads], pa.int64()), pa.array(packed, pa.binary())], ["block", "units"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, held, n_held, n_ids = PrefixCounter(pieces), [], 0, 0
+        for batch in batches:
+            lists = batch.column(1)
+            if lists.null_count:
+                lists = pa.array([counter.ids(u.as_py()) if u.is_valid else own.as_py()
+                                  for own, u in zip(lists, batch.column(2))], pa.list_(pa.int32()))
+            offsets, places = lists.offsets.to_numpy(), batch.column(0)
+            times = np.diff(places.offsets.to_numpy())
+            where = places.flatten()
+            held.append((where.field(0).to_numpy(), where.field(1).to_numpy(), np.repeat(np.diff(offsets), times).astype(np.int64),
+                         np.repeat(offsets[:-1] + n_ids, times).astype(np.int64), lists.values.to_numpy()))
+            n_held, n_ids = n_held + len(where), n_ids + len(lists.values)
+            if n_held >= PLACES_PACKED:
+                yield out(*map(np.concatenate, zip(*held)))
+                held, n_held, n_ids = [], 0, 0
+        if n_held:
+            yield out(*map(np.concatenate, zip(*held)))
+    return run
+
+
 def _put_together(kind: pa.DataType, pieces: Pieces):
-    def expand(head, unit_ids: list):
+    def expand(head, packed: list):
         ids, codes, sizes, of_word, word_sizes, n_units = head
-        if len(unit_ids) != n_units:
+        lens, starts, flat, at = np.full(n_units, -1, np.int64), np.zeros(n_units, np.int64), [np.empty(0, np.int32)], 0
+        n_found = 0
+        for units in map(_unpack, packed):
+            n = int(units[0])
+            numbers, own = np.cumsum(units[1:n + 1]), units[n + 1:2 * n + 1].astype(np.int64)
+            n_found += n
+            if n_found > n_units or n and numbers[-1] >= n_units:
+                break
+            lens[numbers], starts[numbers] = own, np.cumsum(own) - own + at
+            flat.append(units[2 * n + 1:])
+            at += len(flat[-1])
+        if n_found != n_units or (lens < 0).any():
             raise RuntimeError("the two passes over a block differ; encode a stored or checkpointed table")
-        flat = np.concatenate(unit_ids) if unit_ids else np.empty(0, np.int32)
-        lens = np.array([len(u) for u in unit_ids], np.int64)
-        starts = np.cumsum(lens) - lens
-        unpack = lambda b: np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.int32)
-        of_word, word_sizes = unpack(of_word), unpack(word_sizes).astype(np.int64)
+        flat = np.concatenate(flat)
+        of_word, word_sizes = _seen_first(_unpack(of_word)), _unpack(word_sizes).astype(np.int64)
         word_flat = flat[_ragged(lens[of_word], starts[of_word])]
         word_ends = np.concatenate(([0], np.cumsum(lens[of_word])))
         cuts = np.concatenate(([0], np.cumsum(word_sizes)))
         word_starts, word_lens = word_ends[cuts[:-1]], np.diff(word_ends[cuts])
-        codes, sizes = unpack(codes), np.array(sizes, np.int64)
+        codes, sizes = _seen_first(_unpack(codes)), np.array(sizes, np.int64)
         at = 0
         for i in range(0, len(sizes), DOCUMENTS_OUT):
             n = int(sizes[i:i + DOCUMENTS_OUT].sum())
@@ -221,24 +365,18 @@ def _put_together(kind: pa.DataType, pieces: Pieces):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, head, found = None, None, []
-        counter = PrefixCounter(pieces)
         for batch in batches:
-            blocks, numbers, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
-            flat = np.array(lists.values, np.int32)
-            offsets, long = np.array(lists.offsets), batch.column(3)
-            is_long = long.is_valid().to_numpy(zero_copy_only=False)
-            for r in range(batch.num_rows):
-                if numbers[r] < 0:
+            for at, units, x in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
+                if x.is_valid:
                     if head is not None:
                         yield from expand(head, found)
-                    x = batch.column(4)[r].as_py()
+                    x = x.as_py()
                     head = (x["ids"], x["codes"], x["sizes"], x["of_word"], x["word_sizes"], x["n_units"])
-                    block, found = blocks[r], []
+                    block, found = at, []
+                elif at != block:
+                    raise RuntimeError("the two passes over a block differ; encode a stored or checkpointed table")
                 else:
-                    if blocks[r] != block or numbers[r] != len(found):
-                        raise RuntimeError("the two passes over a block differ; encode a stored or checkpointed table")
-                    found.append(flat[offsets[r]:offsets[r + 1]] if not is_long[r]
-                                 else np.array(counter.ids(long[r].as_py()), np.int32))
+                    found.append(units.as_py())
         if head is not None:
             yield from expand(head, found)
     return run
@@ -258,14 +396,13 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
         raise ValueError("a piece holds a space after another character; words cannot be encoded one by one")
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = source.schema["id"].dataType
-    pack = lambda a: zstandard.ZstdCompressor(level=1).compress(np.asarray(a, np.int32).tobytes())
 
     def list_units(batches):
         def emit(block, names, of_word, word_sizes):
-            for at in range(0, len(names), 20_000):
-                part = names[at:at + 20_000]
+            for at in range(0, len(names), UNITS_OUT):
+                part = names.slice(at, UNITS_OUT)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(part), pa.int64()), pa.array(range(at, at + len(part)), pa.int32()), pa.array(part)],
+                    [pa.array(np.full(len(part), block)), pa.array(np.arange(at, at + len(part), dtype=np.int32)), part],
                     ["block", "number", "unit"])
         yield from _Blocks(pieces).run(batches, emit)
 
@@ -274,16 +411,15 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
         T.StructField("sizes", T.ArrayType(T.IntegerType())), T.StructField("of_word", T.BinaryType()),
         T.StructField("word_sizes", T.BinaryType()), T.StructField("n_units", T.IntegerType())])
     head_schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("number", T.IntegerType()),
-                                T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("long", T.StringType()),
-                                T.StructField("head", head)])
+                                T.StructField("units", T.BinaryType()), T.StructField("head", head)])
 
     def list_documents(batches):
         state = _Blocks(pieces)
 
         def emit(block, names, of_word, word_sizes):
-            row = {"block": block, "number": -1, "ids": None, "long": None, "head": {
-                "ids": [i.as_py() for i in state.ids], "codes": pack(np.concatenate(state.codes)),
-                "sizes": [len(c) for c in state.codes], "of_word": pack(of_word), "word_sizes": pack(word_sizes), "n_units": len(names)}}
+            row = {"block": block, "number": -1, "units": None, "head": {
+                "ids": [i.as_py() for i in state.ids], "codes": _pack(_first_seen(state.codes)),
+                "sizes": state.sizes, "of_word": _pack(_first_seen(of_word)), "word_sizes": _pack(word_sizes), "n_units": len(names)}}
             yield pa.RecordBatch.from_pylist([row], schema=arrow_head)
         yield from state.run(batches, emit)
 
@@ -292,13 +428,12 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     unit_schema = T.StructType([T.StructField("block", T.LongType(), False), T.StructField("number", T.IntegerType(), False),
                                 T.StructField("unit", T.StringType(), False)])
     listed = source.mapInArrow(list_units, unit_schema).repartition(target_partitions(docs.sparkSession), "unit")
-    # all uses of the list need the same columns and no filter below it, so that its exchange is made once
-    distinct = listed.groupBy("unit").agg(F.min("block").alias("block_0"), F.min("number").alias("number_0")) \
-        .where((F.col("block_0") >= 0) & (F.col("number_0") >= 0))
+    distinct = listed.groupBy(F.xxhash64("unit").alias("_hash"), "unit") \
+        .agg(F.collect_list(F.struct("block", "number")).alias("places")).select("unit", "places")
     coded = encode_units(distinct, pieces)
-    entries = listed.join(coded, "unit") \
-        .select("block", "number", "ids", F.when(F.col("ids").isNull(), F.col("unit")).alias("long"),
-                F.lit(None).cast(head).alias("head"))
+    entries = coded.select("places", "ids", F.when(F.col("ids").isNull(), F.col("unit")).alias("long")) \
+        .mapInArrow(_pack_ids(pieces), "block bigint, units binary") \
+        .select("block", F.lit(0).alias("number"), "units", F.lit(None).cast(head).alias("head"))
     heads = source.mapInArrow(list_documents, head_schema)
     out = T.StructType([source.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
     put_together = _put_together(to_arrow_type(id_type), pieces)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -251,6 +252,43 @@ def test_units_are_listed_once_and_cut_in_parts(spark, model, mixed, monkeypatch
     assert closed[0] == closed[1] and len(closed[0][0]) > 7
 
 
+def test_units_are_neither_joined_back_nor_sent_one_by_one(spark, model, mixed):
+    out = lattice.encode(documents(spark, mixed), model)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in final and final.count("BroadcastHashJoin") == 1
+    assert final.count("ShuffleQueryStage") == 2          # the listed units, and blocks with their packed ids
+
+
+def test_packed_numbers_and_cut_words_come_back(spark, model, mixed):
+    rng = np.random.default_rng(5)
+    seen = np.array([0, 0, 1, 0, 2, 2, 1, 3], np.int32)
+    assert lattice._seen_first(lattice._first_seen(seen)).tolist() == seen.tolist()
+    for numbers in (seen, np.empty(0, np.int32), rng.integers(0, 1 << 30, 1000).astype(np.int32)):
+        assert lattice._unpack(lattice._pack(numbers)).tolist() == numbers.tolist()
+    words = [w for t in mixed for w in pieces.pre_tokens(t or "")] + ["日本語𠀀é", "", "a\0b"]
+    codes = pieces.bigram_codes(model)
+    flat, sizes = pieces.cut_array(pa.array(words), codes)
+    want, sizes_want = pieces.cut_words(words, codes)
+    assert flat.to_pylist() == want and sizes.tolist() == sizes_want.tolist()
+
+
+def test_merges_out_of_the_order_of_score(spark, model, monkeypatch):
+    # runs of spaces have one score, so that a merge makes another one possible further left
+    assert pieces.unordered(model.scores) and all(set(p) == {pieces.SPACE} for p in pieces.unordered(model.scores))
+    scores = {"ab": -3.0, "bc": -9.0, "abc": -1.0, "cd": -2.0, "abcd": -1.5, "aa": -4.0, "aaa": -4.0}
+    assert pieces.unordered(scores) == {"abc", "abcd", "aaa"}
+    ids = {p: i for i, p in enumerate([*scores, *"abcd▁"], 256)}
+    own = pieces.Pieces("bpe", ids, scores | {c: -20.0 for c in "abcd▁"}, {b: b for b in range(256)}, [])
+    rng = random.Random(2)
+    units = sorted({"▁" + "".join(rng.choice("aaabcdé") for _ in range(rng.randint(0, 12))) for _ in range(300)})
+    got = lattice.encode_units(spark.createDataFrame([(u,) for u in units], "unit string"), own).collect()
+    assert len(got) == len(units)
+    for r in got:
+        want = [[ids[s]] if s in ids else list(s.encode()) for s in pieces.merge(r["unit"], own.scores)]
+        assert r["ids"] == [i for part in want for i in part], r["unit"]
+
+
 def test_unigram_models_fold_by_viterbi(spark):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as pb
