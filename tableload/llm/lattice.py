@@ -40,11 +40,11 @@ from .pieces import Pieces, bigram_codes, cut_array, plain, pre_tokens, spaces_i
 from .token_counts import PrefixCounter
 
 #: UTF-8 bytes of text in a block
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 #: words of a block that are cut into units at a time
 WORDS_CUT = 20_000
 #: places of units whose ids are packed at a time
-PLACES_PACKED = 400_000
+PLACES_PACKED = 100_000
 #: units in an outgoing batch
 UNITS_OUT = 20_000
 #: documents in an outgoing batch
